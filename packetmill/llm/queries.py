@@ -7,14 +7,34 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, near_hash, retrieval_packing
+from . import chat_format, collision_counting, decontaminate, license_scan, near_hash, personal_data, retrieval_packing
 from .base import read_table
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one more, -7, whose texts hold the template's own control strings."""
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], turns.schema)
+    return chat_format.digests(chat_format.format_conversations(turns.unionByName(more)))
+
+
 def op2_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval_packing.retrieval_packs(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_counting.collision_links(read_table(spark, sf_dir, "embeddings"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.find(read_table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_hash.simhash_groups(read_table(spark, sf_dir, "documents"))
 
@@ -24,9 +44,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
     "op2_retrieval_packing": op2_retrieval_packing,
+    "op3_collision_counting": op3_collision_counting,
+    "op6_license_scan": op6_license_scan,
+    "op8_personal_data": op8_personal_data,
     "op9_simhash_golay": op9_simhash_golay,
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLES: dict[str, str] = {"op10_decontamination": decontaminate.ORACLE}
+ORACLES: dict[str, str] = {"op1_chat_format": chat_format.ORACLE, "op10_decontamination": decontaminate.ORACLE}
