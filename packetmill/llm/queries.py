@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, collision_counting, decontaminate, license_scan, near_hash, personal_data, retrieval_packing
+from . import chat_format, collision_counting, decontaminate, language_id, license_scan, near_hash, personal_data, quality_gam, retrieval_packing, sentence_spans
 from .base import read_table
 
 
@@ -27,10 +27,24 @@ def op3_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collision_counting.collision_links(read_table(spark, sf_dir, "embeddings"))
 
 
+def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+def op5_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_gam.score(docs, quality_gam.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs))
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.find(read_table(spark, sf_dir, "documents"))
 
@@ -47,7 +61,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_retrieval_packing": op2_retrieval_packing,
     "op3_collision_counting": op3_collision_counting,
+    "op4_sentence_spans": op4_sentence_spans,
+    "op5_quality_gam": op5_quality_gam,
     "op6_license_scan": op6_license_scan,
+    "op7_language_id": op7_language_id,
     "op8_personal_data": op8_personal_data,
     "op9_simhash_golay": op9_simhash_golay,
     "op10_decontamination": op10_decontamination,
