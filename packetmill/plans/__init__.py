@@ -1 +1 @@
-
+"""Tables derived from the given ones, and the registered queries with their SQL."""
