@@ -25,6 +25,8 @@ _R = "'r' || lpad(cast({} as string), 10, '0')"
 _CAND = "cast(l_orderkey as string) || '-' || cast(l_linenumber as string)"
 
 VIEWS = {
+    "lines": """
+select l_orderkey, l_linenumber, min(l_partkey) as l_partkey, min(l_suppkey) as l_suppkey, min(l_discount) as l_discount from {lineitem} group by l_orderkey, l_linenumber""",
     "catalog": f"""
 select {_V} as video_id, substr(text, 1, 40) as title,
   case when doc_id % 17 = 3 then null else make_date(cast(2020 + doc_id % 5 as int), cast(1 + doc_id % 12 as int), cast(1 + doc_id % 28 as int)) end as published_at,
@@ -50,9 +52,9 @@ from {{events}} e join {{documents}} d on d.doc_id = cast(floor(e.event_id / 40)
 select {_V} as video_id, case when doc_id % 6 = 0 then SHA[['stale']] else SHA[[coalesce(text, '')]] end as transcript_sha256,
   case when doc_id % 4 = 0 then 'eligible' when doc_id % 4 = 1 then 'pending' else 'ineligible' end as eligibility_status,
   case when doc_id % 4 < 2 then ARR[[cast(null as string)]] when doc_id % 8 < 6 then ARR[['duration_missing']] else ARR[['transcript_text_empty', 'duration_missing']] end as raw_reasons,
-  case when doc_id % 41 = 0 then 'finished' when doc_id % 10 = 3 then 'claimed' else 'eligible' end as pipeline_status, cast(n_chars % 9000 as int) as duration_seconds, doc_id % 9 <> 2 as transcript_object_exists,
-  doc_id % 41 = 0 as pre_research_pipeline_finished, case when doc_id % 82 = 0 then SHA[[coalesce(text, '')]] when doc_id % 41 = 0 then SHA[['stale']] end as finished_transcript_sha256,
-  case when doc_id % 41 = 0 then 'i' || cast(doc_id as string) end as finished_intent_id, cast('2024-01-01' as date) as evaluated_at
+  case when doc_id % 7 = 0 then 'finished' when doc_id % 10 = 3 then 'claimed' else 'eligible' end as pipeline_status, cast(n_chars % 9000 as int) as duration_seconds, doc_id % 9 <> 2 as transcript_object_exists,
+  doc_id % 7 = 0 as pre_research_pipeline_finished, case when doc_id % 14 = 0 then SHA[[coalesce(text, '')]] when doc_id % 7 = 0 then SHA[['stale']] end as finished_transcript_sha256,
+  case when doc_id % 7 = 0 then 'i' || cast(doc_id as string) end as finished_intent_id, cast('2024-01-01' as date) as evaluated_at
 from {{documents}} where doc_id % 3 <> 1""",
     "sessions": f"""
 select {_R.format("event_id - event_id % 40 + event_id % 3")} as run_id, case when event_id % 2 = 0 then 'research' else 'synthesis' end as phase, cast(floor((event_id % 40 - 3) / 6) + 1 as int) as attempt,
@@ -71,7 +73,7 @@ select cast(l_orderkey as string) as analysis_id, {_CAND} as organization_candid
   case l_partkey % 4 when 0 then '' when 1 then {_pick(DOMAINS, "l_suppkey % 27")} when 2 then {_pick(DOMAINS, "l_suppkey % 27")} || ',' || {_pick(DOMAINS, "l_partkey % 27")} else 'frontier_model_lab,cloud_ai_platform,frontier_model_lab' end as secondary_csv,
   case when l_orderkey % 3 = 0 then 'parent' end as parent_name, case when l_orderkey % 6 = 0 then 'https://parent.example' end as parent_canonical_url,
   case when l_linenumber = 1 and l_orderkey % 5 <> 0 then 'primary_featured_organization,partner' else 'mentioned_only' end as roles_csv, cast(l_discount * 10 as double) as confidence
-from {{lineitem}}""",
+from {{lines}}""",
     "sources": f"""
 select {_CAND} as organization_candidate_id, cast(l_orderkey as string) as analysis_id, cast(1 + l_partkey % 3 as int) as source_rank, {_pick(SOURCE_ROLES, "l_suppkey % 14")} as source_role,
   {_pick(("first_party", "official_registry", "standards_body", "reputable_secondary"), "l_partkey % 4")} as authority_tier, l_returnflag <> 'R' as publicly_retrievable,
@@ -87,11 +89,11 @@ from {{orders}}""",
     "categories": f"""
 select cast(o_orderkey as string) as analysis_id, 'c' || cast(o_custkey as string) as video_id, {_pick((*CATEGORIES, "unlisted_category"), "o_orderkey % 18")} as category_code, 'primary' as assignment_role, cast(null as int) as alternative_rank from {{orders}}
 union all
-select cast(l_orderkey as string), 'x', {_pick(CATEGORIES, "l_partkey % 17")}, case when l_suppkey % 31 = 0 then 'primary' else 'secondary' end, cast(l_linenumber as int) from {{lineitem}} where l_linenumber < 6""",
+select cast(l_orderkey as string), 'x', {_pick(CATEGORIES, "l_partkey % 17")}, case when l_suppkey % 31 = 0 then 'primary' else 'secondary' end, cast(l_linenumber as int) from {{lines}} where l_linenumber < 6""",
     "families": f"""
 select cast(l_orderkey as string) as analysis_id, cast(case when l_suppkey % 29 = 0 then 1 else l_linenumber end as int) as family_rank, 'f' || cast(l_partkey % 50 as string) as family_label,
   {_pick(("current", "changed_since_publication", "historical", "uncertain"), "l_partkey % 4")} as temporal_status, cast(l_suppkey % 3 as int) as n_evidence, cast(l_partkey % 2 as int) as n_urls
-from {{lineitem}} where l_linenumber <= 4 and l_orderkey % 5 <> 0""",
+from {{lines}} where l_linenumber <= 4 and l_orderkey % 5 <> 0""",
     "resources": f"""
 select cast(page_id % 50 as string) as analysis_id, {_pick(RESOURCE_TYPES, "page_id % 12")} as resource_type, 'page ' || cast(page_id as string) as title, url, {_pick(("verified", "likely", "uncertain", "rejected"), "page_id % 4")} as verification_status,
   page_id % 3 = 0 as is_first_party, cast(page_id % 3 as int) as n_evidence, cast(page_id as bigint) as position from {{pages}}""",
