@@ -12,6 +12,7 @@ from ..operators import qualify as q
 from ..operators import registry as r
 from ..operators import state as s
 from .derived import Tables
+from .function_queries import _DROP, _TIDY
 from .qualify_queries import _QUEUE, _state
 from .registered import query
 from .validate_queries import _FIT, _IDENTITY, _TECHNICAL, _in, _lines
@@ -214,7 +215,10 @@ def review_queue(t: Tables) -> DataFrame:
     return m.review_queue(t.analyses).select("analysis_id", "overall_confidence")
 
 
-@query("verified_claim_conflicts")
+_CLAIMS = f"select cast(page_id % 50 as string) as analysis_id, {_TIDY.format(_DROP)} as url, page_id from {{pages}} where page_id % 3 = 0 and page_id % 4 = 0"
+
+
+@query("verified_claim_conflicts", f"select distinct analysis_id, url from ({_CLAIMS}) where (analysis_id, url) not in (select analysis_id, url from ({_CLAIMS}) where page_id % 8 = 0)")
 def verified_claim_conflicts(t: Tables) -> DataFrame:
     claims = t.resources.withColumn("url", normalize_official_url(F.col("url")))
     checked = claims.where("position % 8 = 0")

@@ -1 +1,4 @@
+"""Structured Streaming: session outcomes, packet intake, the search ledger and intent application."""
+from .jobs import OUTCOME_SCHEMA, apply_stream, ingest_packets_stream, outcomes_stream, search_counts_stream, session_outcomes
 
+__all__ = ["OUTCOME_SCHEMA", "apply_stream", "ingest_packets_stream", "outcomes_stream", "search_counts_stream", "session_outcomes"]
