@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Words, arrow_rows, blocks, mix, text_bytes
+from .base import Words, arrow_rows, blocks, materialise, mix, text_bytes
 
 SENTENCES, LEAST_WORDS, LONG_WORDS = 3, 25, 50
 _CUT = re.compile(rb"(?:[.!?]+[ \t\r\x0b\x0c]+|[ \t\r\x0b\x0c]*\n\s*)")
@@ -98,9 +98,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 own = pa.array(t + a)
                 yield pa.RecordBatch.from_arrays([pa.array(h.astype(np.uint64).view(np.int64)), batch.column("id").take(own), batch.column("mark").take(own), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], ["h", "id", "mark", "a", "b"])
 
-    spans = rows.mapInArrow(hash_runs, f"h long, id {kind}, mark long, a int, b int")
+    spans = materialise(rows.mapInArrow(hash_runs, f"h long, id {kind}, mark long, a int, b int"), "spans")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "mark", "a")
-    repeated = spans.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(~F.col("first").eqNullSafe(F.col("last"))).select("h", "first")
+    repeated = spans.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(~F.col("first").eqNullSafe(F.col("last")))
+    repeated = materialise(repeated.select("h", "first"), "repeated")  # both sides of the join are then scans, and Spark can split a hot key
     later = spans.join(repeated, "h").where(~place.eqNullSafe(F.col("first")))
     cut = later.groupBy("id", "mark").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
