@@ -79,7 +79,16 @@ class Gam:
 
 
 def _edges(values: np.ndarray, bins: int) -> np.ndarray:
-    return np.unique(np.quantile(values, np.linspace(0, 1, bins + 1)[1:-1]))
+    """Cuts at quantiles of all values, and at quantiles of those other than the commonest one, which may be most of them.
+
+    Cuts stand halfway between neighbouring values, so that unseen ones fall to the nearer side.
+    """
+    seen, count = np.unique(values, return_counts=True)
+    rest = values[values != seen[count.argmax()]]
+    at = np.linspace(0, 1, bins + 1)[1:-1]
+    after = np.searchsorted(seen, np.concatenate([np.quantile(v, at) for v in (values, rest) if len(v)]), side="right")
+    after = np.unique(np.concatenate((after, after - 1)).clip(1, len(seen) - 1)) if len(seen) > 1 else after[:0]
+    return (seen[after - 1] + seen[after]) / 2
 
 
 def _gain(g: np.ndarray, h: np.ndarray) -> np.ndarray:
