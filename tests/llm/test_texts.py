@@ -1,0 +1,224 @@
+"""Operators on single texts and conversations: round trips, held-out accuracy, brute force, odd inputs."""
+
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from packetmill.llm import chat_format as cf
+from packetmill.llm import language_id as li
+from packetmill.llm import license_scan as ls
+from packetmill.llm import personal_data as pd_
+from packetmill.llm import quality_gam as qg
+from packetmill.llm import queries
+from packetmill.llm import retrieval_packing as rp
+from tests.compare import connection, differences
+
+FOLDER, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+ODD = ["", None, " ", "\n\n", "é", "a" * 200_000, "word " * 30_000, "1 2 3", "😀", "x\x00y"]
+
+
+def odd(spark):
+    rows = [(i, t) for i, t in enumerate(ODD)] + [(0, ""), (None, "a b"), (None, None)]
+    return spark.createDataFrame(rows, "doc_id long, text string").withColumns({"id": F.lit("clash"), "score": F.lit("clash"), "k": F.lit("clash")})
+
+
+# --- conversations
+
+
+def test_chat_oracle(spark):
+    assert differences(queries.QUERIES["op1_chat_format"](spark, FOLDER), connection(FOLDER), queries.ORACLES["op1_chat_format"]) == ""
+
+
+def test_chat_round_trip(spark):
+    hard = ["\\### Assistant: </turn> ok", "<next>", "\\n\\s\\h\\e\\c", "### : </turn>\n", "\\", "</turn", "#", "", "é😀\n"]
+    rows = [(1, i, ("user", "user", "assistant", "assistant: x", "assistant")[i % 5], t) for i, t in enumerate(hard)] + [(1, 3, "assistant", hard[3]), (2, None, None, None), (None, 1, "assistant", "x"), (3, 1, "assistant", "b"), (3, 1, "assistant", "a"), (3, 0, "assistant", None)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").withColumns({"rows": F.lit(0), "formatted": F.lit("clash")})
+    made = cf.format_conversations(frame)
+    back = {r.conv_id: r for r in cf.read_back(made).collect()}
+    for conv in {r[0] for r in rows}:
+        turns = sorted(((r[1] is not None, r[1] or 0, r[2] or "", r[3] or "") for r in rows if r[0] == conv))
+        assert [(t.role, t.text) for t in back[conv].turns] == [t[2:] for t in turns]
+        assert back[conv].loss_text == "".join(t[3] for t in turns if t[2] == "assistant")
+    merged = {r.conv_id: r for r in made.collect()}[3]
+    assert merged.formatted.count("### assistant: ") == 1 and len(merged.mask) == 3
+    assert cf.format_conversations(frame.limit(0)).count() == 0
+
+
+# --- packing
+
+
+def check_packing(spark, docs, texts):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    slow = Tokenizer.from_file(path)
+    pieces = rp.retrieval_packs(docs, path, shard_docs=100).toPandas()
+    ids = {k: np.array([*slow.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for k, t in texts.items()}
+    for key, own in pieces.groupby("doc_id"):
+        at = 0
+        for p in own.sort_values("start").itertuples():
+            assert p.start == at and p.doc_tokens == len(ids[key]) and zlib.crc32(ids[key][at : at + p.length].tobytes()) == p.ids_crc32
+            at += p.length
+        assert at == len(ids[key])
+    assert set(pieces.doc_id) == set(ids)
+    for _, own in pieces.groupby("sequence_id"):
+        own = own.sort_values("offset")
+        assert own.offset.tolist() == [0, *own.length.cumsum().tolist()[:-1]] and own.length.sum() <= 2048
+    return pieces
+
+
+def test_packing(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    pieces = check_packing(spark, docs, {r.doc_id: r.text for r in docs.collect()})
+    full = pieces.groupby("sequence_id").length.sum()
+    assert full.sum() / (2048 * len(full)) > 0.98
+
+
+def test_packing_odd(spark):
+    rows = {i: t for i, t in enumerate([*ODD, "<|endoftext|> inside", "tab\there  spaces "])}
+    check_packing(spark, spark.createDataFrame(list(rows.items()), "doc_id long, text string").withColumn("shard", F.lit("clash")), rows)
+    twice = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "c")], "doc_id long, text string")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert sorted((r.doc_id or 0, r.length) for r in rp.retrieval_packs(twice, path).collect()) == [(0, 2), (1, 3), (1, 3)]
+    assert rp.retrieval_packs(twice.limit(0), path).count() == 0
+
+
+def test_bm25(spark):
+    rng = np.random.default_rng(1)
+    tails = [rng.integers(0, 40, int(n)).astype("<u2") for n in rng.integers(1, 60, 30)]
+    idf = rng.random(rp.VOCABULARY).astype(np.float32)
+    index = rp.ShardIndex(tails, idf, 20.0)
+    for seed in (0, 7):
+        plain = [sum(idf[t] * (d == t).sum() * 2.2 / ((d == t).sum() + 1.2 * (0.25 + 0.75 * len(d) / 20)) for t in set(tails[seed].tolist())) for d in tails]
+        assert np.allclose(index.scores(seed), plain, rtol=1e-4)
+
+
+# --- labels
+
+
+def test_quality(spark):
+    docs, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    model = qg.fit(docs, labels)
+    got = qg.score(docs, model).join(labels, "doc_id").toPandas()
+    held = got[got.held_out]
+    assert len(held) > 500 and held.score.between(0, 1).all() and ((held.score >= 0.3) == (held.predicted == 1)).all()
+    assert held.predicted[held.quality == 1].mean() > 0.99 and held.predicted[held.quality == 0].mean() < 0.05
+    assert model.pairs and qg.keep(docs, model).columns == docs.columns
+    assert qg.keep(docs, model).count() == qg.score(docs, model).where("predicted = 1").count()
+
+
+def test_quality_odd(spark):
+    model = qg.train(np.zeros((0, len(qg.NAMES))), np.zeros(0))
+    assert qg.score(odd(spark), model).where("score = 0.5 and predicted = 1").count() == len(ODD) + 3
+    labels = spark.createDataFrame([(0, None), (2, 1), (None, 0)], "doc_id long, quality int")
+    fitted = qg.fit(odd(spark), labels)
+    assert qg.score(odd(spark), fitted).where("score between 0 and 1").count() == len(ODD) + 3
+    assert qg.score(odd(spark).limit(0), fitted).count() == 0
+
+
+def test_quality_tables_are_additive():
+    rng = np.random.default_rng(2)
+    x = rng.random((4000, len(qg.NAMES)))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
+    model = qg.train(x, y, rounds=5)
+    assert {(a, b) for a, b, *_ in model.pairs} & {(1, 0)} and ((model.score(x) > 0.5) == (y == 1)).mean() > 0.9
+
+
+def test_language(spark):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    model = li.fit(docs)
+    got = li.predict(docs, model).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    assert (got.lang == got.lang_pred)[got.held_out].mean() > 0.98 and got.score.between(0, 1).all()
+    assert set(got.held_out) == {True, False} and got.held_out[got.doc_id == 1].item() == (zlib.crc32(b"1") % 4 == 2)
+    sure = li.predict(docs, model, rejecting=True).where("lang_pred <> 'und'").count()
+    assert 0.9 * len(got) < sure <= len(got)
+
+
+def test_language_odd(spark):
+    docs = odd(spark).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "aa").otherwise("bb"))
+    model = li.fit(docs)
+    got = {r.doc_id: r for r in li.predict(docs.where("doc_id is not null"), model).collect()}
+    assert all(got[i].lang_pred == "und" and got[i].score == 0 for i, t in enumerate(ODD) if not any(c.isalpha() for c in t or ""))
+    assert all(got[i].lang_pred in ("aa", "bb") for i in (4, 5, 6, 9))
+    empty = li.fit(docs.limit(0))
+    assert li.predict(docs, empty).where("lang_pred = 'und'").count() == len(ODD) + 3 and li.predict(docs.limit(0), model).count() == 0
+
+
+# --- licenses
+
+
+def plain_scan(text):
+    low = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    places = sorted((i, label) for phrase, label in ls.BASE for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split())
+    return len(words), len(places), places[0][0] if places else None, places[-1][0] if places else None, ",".join(sorted({b for _, b in places}))
+
+
+HARD = ["GNU General Public License", "xgnu general public license", "the MIT-License. mit licenses", "cc\nBY cc/by-nc ccby cc by", "Apache\x00License", "É apache license", "apache license, version 2.0 SPDX-License-Identifier: MIT"]
+
+
+def test_license_base(spark):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame([(10_000 + i, t) for i, t in enumerate([*HARD, *ODD])], "doc_id long, text string"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in ls.scan(docs).collect():
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == plain_scan(texts[r.doc_id]), texts[r.doc_id][:200]
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1 and (r.score > 0) == bool(r.labels)
+    assert ls.scan(odd(spark)).count() == len(ODD) + 3 and ls.scan(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("text", "labels"), [
+    ("Licensed under CC BY-NC 4.0.", ["cc-by-nc-4.0"]), ("licensed under the Apache License, Version 2.0", ["apache-2.0"]), ("GNU General Public License, version 3", ["gpl-3.0"]), ("SPDX-License-Identifier: MPL-2.0", ["mpl-2.0"]), ("GNU Lesser General Public License v2.1", ["lgpl-2.1"]),
+    ("All rights reserved. MIT License", ["proprietary", "mit"]), ("mit der lizenz", []), ("Creative Commons Attribution-NonCommercial-ShareAlike 3.0", ["cc-by-nc-sa-3.0"]),
+])
+def test_license_rules(text, labels):
+    assert len(ls.rules()) > 200
+    assert [r.label for *_, r in ls.detections(text.lower())] == labels
+
+
+# --- personal data
+
+
+def plain_spans(text):
+    out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m.group().split("."))]
+    digits = lambda m: re.sub("[^0-9]", "", m.group())
+    out += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text) if 14 <= len(digits(m)) <= 19 and pd_.luhn(digits(m))]
+    out += [(m.start(), 3, m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 10 <= len(digits(m)) <= 15]
+    return ",".join(f"{pd_.BASE_KINDS[k]}:{a}:{b}" for a, k, b in sorted(out))
+
+
+def test_personal_base(spark):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = pd_.find(docs).collect()
+    assert all(hashlib.sha256(plain_spans(texts[r.doc_id]).encode()).hexdigest() == r.base_sha256 for r in rows)
+    assert all(set(filter(None, plain_spans(texts[r.doc_id]).split(","))) <= set(r.spans.split(",")) for r in rows) and sum(r.n_email for r in rows) > 0
+
+
+def test_personal_fuzz():
+    rng = np.random.default_rng(9)
+    for _ in range(5000):
+        text = "".join(rng.choice(list("ab@..-+ 12 ()0é\n"), int(rng.integers(0, 50))))
+        assert pd_._listed(pd_.base_spans(text)) == plain_spans(text)
+
+
+def test_personal_odd_and_masks(spark):
+    rows = spark.createDataFrame([(1, "mail a@b.co, card 4111 1111 1111 1111 x", "l", "s", 9), (2, None, None, None, None), (3, "9" * 50_000 + "@" * 2000, "l", "s", 1), (4, "password = \"hunter2hunter\" and password: tiger12345", "l", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    weights = pd_.fit(rows)
+    out = {r.doc_id: r for r in pd_.redact(rows, weights=weights).collect()}
+    assert out[1].text == "mail [EMAIL], card [CARD] x" and out[1].n_chars == len(out[1].text) and out[2].text is None and out[2].n_chars is None
+    assert pd_.redact(rows).columns == rows.columns and pd_.find(odd(spark)).count() == len(ODD) + 3 and pd_.find(rows.limit(0)).count() == 0
+
+
+def test_reliabilities():
+    """EM trusts the labeler that agrees with the others, and posteriors follow it."""
+    rng = np.random.default_rng(3)
+    truth = rng.random(4000) < 0.5
+    sign = lambda p: np.where(rng.random(4000) < p, truth, ~truth) * 2 - 1
+    vote = np.stack([sign(0.9), sign(0.85), sign(0.8), sign(0.55)], 1)
+    p = pd_.posteriors(["x"] * 4000, vote, np.ones(4000))
+    assert ((p > 0.5) == truth).mean() > 0.92
