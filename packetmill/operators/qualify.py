@@ -66,16 +66,23 @@ def occupied(runs: DataFrame) -> DataFrame:
     return runs.where(F.col("status").isin(*OCCUPYING)).select("video_id", "transcript_sha256").distinct()
 
 
+def _hashes_of(rows: DataFrame, sha: str, name: str) -> DataFrame:
+    """(video_id, name): each video's distinct hashes, so that a flag needs one join on the video alone."""
+    return rows.groupBy("video_id").agg(F.collect_set(sha).alias(name))
+
+
 def has_live_or_applied_run(catalog: DataFrame, runs: DataFrame) -> DataFrame:
     """The catalog with has_live_or_applied_run for its current hash."""
-    flag = occupied(runs).withColumn("_live", F.lit(True))
-    return _hashed(catalog).join(flag, ["video_id", "transcript_sha256"], "left").withColumn("has_live_or_applied_run", F.coalesce("_live", F.lit(False))).drop("_live")
+    held = _hashes_of(runs.where(F.col("status").isin(*OCCUPYING)), "transcript_sha256", "_live")
+    flag = F.coalesce(F.array_contains("_live", F.col("transcript_sha256")), F.lit(False))
+    return _hashed(catalog).join(held, "video_id", "left").withColumn("has_live_or_applied_run", flag).drop("_live")
 
 
 def finished_for_current_transcript(catalog: DataFrame, state: DataFrame) -> DataFrame:
     """The catalog with finished_for_current: finished, and for the hash that it has now."""
-    done = state.where("pre_research_pipeline_finished").select("video_id", F.col("finished_transcript_sha256").alias("transcript_sha256")).distinct().withColumn("_done", F.lit(True))
-    return _hashed(catalog).join(done, ["video_id", "transcript_sha256"], "left").withColumn("finished_for_current", F.coalesce("_done", F.lit(False))).drop("_done")
+    held = _hashes_of(state.where("pre_research_pipeline_finished"), "finished_transcript_sha256", "_done")
+    flag = F.coalesce(F.array_contains("_done", F.col("transcript_sha256")), F.lit(False))
+    return _hashed(catalog).join(held, "video_id", "left").withColumn("finished_for_current", flag).drop("_done")
 
 
 def ineligibility_reasons(catalog: DataFrame, objects: DataFrame, runs: DataFrame | None = None, state: DataFrame | None = None, blank: str = "sql") -> DataFrame:

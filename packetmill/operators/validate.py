@@ -225,7 +225,8 @@ def validate_organization_candidates(rows: DataFrame, key: str = "analysis_id",
     )
     sets = violations(n, [key], [(F.col("p") != 1, ONE_PRIMARY), (F.col("r") != 1, ONE_RANK), ((F.col("p") == 1) & (F.col("r") == 1) & (F.col("b") == 0), SAME_ROW), (F.col("n") > 20, "At most twenty organization candidates are allowed")])
     order = lambda *by: W.partitionBy(key, *by).orderBy(position)
-    one = rows.withColumns({"k_rank": F.row_number().over(order("featured_rank")), "k_name": F.row_number().over(order("normalized_name")), "k_id": F.row_number().over(order("organization_candidate_id"))})
+    near = rows.repartition(key)  # an intent has some twenty candidates; all windows then share one exchange
+    one = near.withColumns({"k_rank": F.row_number().over(order("featured_rank")), "k_name": F.row_number().over(order("normalized_name")), "k_id": F.row_number().over(order("organization_candidate_id"))})
     label = F.coalesce("normalized_name", "organization_candidate_id")
     say = lambda text, *more: F.concat(label, F.lit(": " + text), *more)
     second, known = F.col("secondary_domain_codes"), F.array(*map(F.lit, v.DOMAINS))
