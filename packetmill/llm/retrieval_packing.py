@@ -10,6 +10,7 @@ fits, the best one is cut. So every window of a shard but its last is full.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -55,7 +56,7 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         if self.fast is None or any(x in text for x in self.added):
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
-        return self.fast.encode_to_numpy(text)
+        return np.frombuffer(array("I", self.fast.encode_ordinary(text)), np.uint32)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -120,18 +121,17 @@ class ShardIndex:
         self.n = len(tails)
         self.term, self.doc = pair // max(self.n, 1), pair % max(self.n, 1)
         length = np.array([len(t) for t in tails], np.float32)
-        self.weight = idf[self.term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[self.doc] / mean))
+        self.weight = (idf[self.term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[self.doc] / mean))).astype(np.float64)
         self.order = np.argsort(self.doc, kind="stable")
         self.of_doc = np.searchsorted(self.doc[self.order], np.arange(self.n + 1))
-        self.terms, self.begin, self.count = np.unique(self.term, return_index=True, return_counts=True)
+        self.terms, begin = np.unique(self.term, return_index=True)
+        self.postings = list(zip(np.split(self.doc, begin[1:]), np.split(self.weight, begin[1:]), strict=True))
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every piece of the shard for the seed's terms."""
         terms = self.term[self.order[self.of_doc[seed] : self.of_doc[seed + 1]]]
-        at = np.searchsorted(self.terms, terms)
-        count = self.count[at]
-        places = np.repeat(self.begin[at] - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
-        return np.bincount(self.doc[places], self.weight[places], self.n)
+        docs, weights = zip(*[self.postings[t] for t in np.searchsorted(self.terms, terms).tolist()], strict=True)
+        return np.bincount(np.concatenate(docs), np.concatenate(weights), self.n)
 
 
 def pack_shard(tails: list[np.ndarray], idf: np.ndarray, mean: float, window: int) -> Iterator[list[tuple[int, int, int]]]:
