@@ -203,7 +203,6 @@ def retrieval_packs(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id",
         made["doc_tokens"] = rows["doc_tokens"].to_numpy()[cols[0]]
         return made
 
-    dealt = tokens.withColumn("shard", F.pmod(F.xxhash64("id", "doc_tokens", "tail"), F.lit(shards)))
-    dealt = dealt.withColumn("shard", F.when(F.col("id").isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(shards))).otherwise(F.col("shard")))
+    dealt = tokens.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))  # by place in the written table: repeated rows spread too
     packed = dealt.groupBy("shard").applyInPandas(pack, f"id {kind}, start long, length long, ids_crc32 long, sequence_id long, offset long, doc_tokens long")
     return packed.select(F.col("id").alias(id_col), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
