@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from .base import arrow_rows, blocks, fold, text_bytes
 
 BUCKETS, WIDTH, FOLDS, HELD = 1 << 15, 16, 4, 2
-#: Documents per language that a model is fitted on, about: those with the least hashes of their ids.
-SAMPLE = 600
+#: Documents per language that a model is fitted on, about, and in all: those with the least hashes of their ids.
+SAMPLE, MOST = 600, 6000
 UNKNOWN = "und"
 _LETTER = np.array([b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint8)
 
@@ -98,7 +98,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], languages: list[str],
             embed[bucket] -= pace * WIDTH * share[:, None] * back
             done += 1
     table = embed @ weight
-    logits = np.array([(c / c.sum()) @ table[b] + bias for b, c, _ in held]).reshape(-1, n)
+    logits = np.array([(c / c.sum()) @ table[b] + bias for b, c, _ in held]).reshape(len(held), n)
     truth = np.array([y for *_, y in held], np.int64)
     best = (np.inf, 1.0)
     for temperature in np.geomspace(0.25, 8, 41):
@@ -120,11 +120,12 @@ def _lowered(column: pa.Array) -> list[bytes]:
     return text_bytes(pc.utf8_lower(column.cast(pa.large_string())))
 
 
-def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
-    """A model from text and non-null language of documents outside the held-out fold, about ``sample`` of each language."""
+def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, most: int = MOST) -> Model:
+    """A model from text and non-null language of documents outside the held-out fold: about ``sample`` of each language, ``most`` in all."""
     known = docs.where((fold(id_col, FOLDS) != HELD) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     known = known.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # one row per language
+    sample = min(sample, max(1, most // max(len(sizes), 1)))
     share = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / float(1 << 20)
     limit = F.lit(1.0)
     for lang, n in sizes.items():
@@ -138,9 +139,9 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
                 k, c = np.unique(pieces([text])[0], return_counts=True)
                 keys.append(k)
                 counts.append(c)
-            yield pa.RecordBatch.from_arrays([batch.column("id").cast(pa.string()), batch.column("lang"), pa.array(keys, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int64()))], ["id", "lang", "bucket", "count"])
+            yield pa.RecordBatch.from_arrays([batch.column("id").cast(pa.string()), batch.column("lang"), pa.array(keys, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))], ["id", "lang", "bucket", "count"])
 
-    rows = known.where(share < limit).mapInArrow(count, "id string, lang string, bucket array<long>, count array<long>").where("size(bucket) > 0").toPandas()
+    rows = known.where(share < limit).mapInArrow(count, "id string, lang string, bucket array<int>, count array<int>").where("size(bucket) > 0").toPandas()
     rows = rows.sort_values(["id", "lang"]).sample(frac=1, random_state=3) if len(rows) else rows
     languages = sorted(set(rows["lang"]))
     number = {x: i for i, x in enumerate(languages)}
