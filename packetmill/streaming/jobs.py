@@ -44,29 +44,32 @@ def session_outcomes(events: DataFrame, mode: str = "runner", complete: DataFram
     return out.select("session_id", "outcome", "message", "last_seq")
 
 
-def outcomes_stream(events: DataFrame, silence: str | None = None) -> DataFrame:
+def outcomes_stream(events: DataFrame, ttl_seconds: int = 86_400) -> DataFrame:
     """The runner's fold over a stream of (session_id, seq, type, message): one row when a session ends.
 
-    State is the outcome and the last message only, and goes when the session ends; events after the end are
-    passed over as long as the state of an ended session would have been dropped, which a marker remembers.
-    Within a micro-batch events are taken in seq order.
+    State is whether the session ended and its last message, kept until ``ttl_seconds`` without an event have passed: so
+    long are events after the end passed over, and a session that falls silent gives no row. Within a
+    micro-batch events are taken in seq order.
     """
 
     def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         ended, message = state.get if state.exists else (False, None)
         rows = pd.concat(list(batches)).sort_values("seq", kind="stable")
-        if ended:
-            return
         for seq, kind, text in zip(rows["seq"], rows["type"], rows["message"], strict=True):
+            if ended:
+                break
             if kind in _RUNNER:
-                state.update((True, None))
                 yield pd.DataFrame({"session_id": [key[0]], "outcome": [_RUNNER[kind]], "message": [message], "last_seq": [int(seq)]})
-                return
-            if kind == "message.completed" and text:
+                ended, message = True, None
+            elif kind == "message.completed" and text:
                 message = text
-        state.update((False, message))
+        state.update((ended, message))
+        state.setTimeoutDuration(ttl_seconds * 1000)
 
-    return events.groupBy("session_id").applyInPandasWithState(fold, OUTCOME_SCHEMA, "ended boolean, message string", "append", GroupStateTimeout.NoTimeout)
+    return events.groupBy("session_id").applyInPandasWithState(fold, OUTCOME_SCHEMA, "ended boolean, message string", "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def ingest_packets_stream(packets: DataFrame, registry_path: str, checkpoint: str, outcomes_path: str | None = None) -> StreamingQuery:
@@ -85,7 +88,8 @@ def ingest_packets_stream(packets: DataFrame, registry_path: str, checkpoint: st
         except Exception as error:  # nothing is registered yet
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-        held = before.where(F.col("batch") < number).drop("batch")
+        mine = batch.select("run_id").distinct()
+        held = before.where(F.col("batch") < number).drop("batch").join(mine, "run_id", "left_semi")  # a batch is small beside the registry
         result = register_artifacts(held, batch)
         result.where("outcome = 'registered'").drop("outcome").write.mode("overwrite").parquet(f"{registry_path}/batch={number}")
         if outcomes_path:
