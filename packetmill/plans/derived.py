@@ -47,7 +47,7 @@ select {_R.format("e.event_id")} as run_id, {_V.replace("doc_id", "d.doc_id")} a
   case when e.event_id % 5 = 4 then null when e.event_id % 5 < 2 then e.ts + interval '3' hour else e.ts + interval '9' day end as lease_expires_at,
   'pre-research/v2/' || {_V.replace("doc_id", "d.doc_id")} || '/' || {_R.format("e.event_id")} as packet_storage_prefix,
   cast(null as string) as intent_path, cast(null as string) as intent_sha256, case when e.event_id % 11 = 9 then 'E' || cast(e.event_id % 3 as string) end as error_code
-from {{events}} e join {{documents}} d on d.doc_id = cast(floor(e.event_id / 40) as bigint) where e.event_id % 40 in (0, 1, 2)""",
+from {{events}} e join {{documents}} d on d.doc_id = cast(floor(e.event_id / 40) as bigint)""",
     "video_state": f"""
 select {_V} as video_id, case when doc_id % 6 = 0 then SHA[['stale']] else SHA[[coalesce(text, '')]] end as transcript_sha256,
   case when doc_id % 4 = 0 then 'eligible' when doc_id % 4 = 1 then 'pending' else 'ineligible' end as eligibility_status,
@@ -57,11 +57,11 @@ select {_V} as video_id, case when doc_id % 6 = 0 then SHA[['stale']] else SHA[[
   case when doc_id % 7 = 0 then 'i' || cast(doc_id as string) end as finished_intent_id, cast('2024-01-01' as date) as evaluated_at
 from {{documents}} where doc_id % 3 <> 1""",
     "sessions": f"""
-select {_R.format("event_id - event_id % 40 + event_id % 3")} as run_id, case when event_id % 2 = 0 then 'research' else 'synthesis' end as phase, cast(floor((event_id % 40 - 3) / 6) + 1 as int) as attempt,
+select {_R.format("event_id - event_id % 40 + event_id % 3")} as run_id, case when event_id % 2 = 0 then 'research' else 'synthesis' end as phase, cast(floor((event_id % 40) / 6) + 1 as int) as attempt,
   's' || cast(event_id as string) as eve_session_id, case event_id % 5 when 0 then 'failed' when 1 then 'started' else 'completed' end as status, ts as started_at,
   case when event_id % 5 > 1 then case when event_id % 3 = 0 then ts + interval '10' minute when event_id % 3 = 1 then ts + interval '45' minute else ts + interval '2' hour end end as completed_at,
   case when event_id % 5 = 0 then 'SESSION_FAILED' end as error_code
-from {{events}} where event_id % 40 between 3 and 20""",
+from {{events}}""",
     "session_events": """
 select cast(conv_id as string) as session_id, cast(turn as bigint) as seq,
   case when turn % 7 = 6 then 'session.waiting' when turn % 7 = 5 and conv_id % 3 = 0 then 'turn.failed' when turn % 7 = 4 then 'turn.completed' when role = 'assistant' then 'message.completed' else 'message.started' end as type, text as message
@@ -89,11 +89,11 @@ from {{orders}}""",
     "categories": f"""
 select cast(o_orderkey as string) as analysis_id, 'c' || cast(o_custkey as string) as video_id, {_pick((*CATEGORIES, "unlisted_category"), "o_orderkey % 18")} as category_code, 'primary' as assignment_role, cast(null as int) as alternative_rank from {{orders}}
 union all
-select cast(l_orderkey as string), 'x', {_pick(CATEGORIES, "l_partkey % 17")}, case when l_suppkey % 31 = 0 then 'primary' else 'secondary' end, cast(l_linenumber as int) from {{lines}} where l_linenumber < 6""",
+select cast(l_orderkey as string), 'x', {_pick(CATEGORIES, "l_partkey % 17")}, case when l_suppkey % 31 = 0 then 'primary' else 'secondary' end, cast(l_linenumber as int) from {{lines}}""",
     "families": f"""
 select cast(l_orderkey as string) as analysis_id, cast(case when l_suppkey % 29 = 0 then 1 else l_linenumber end as int) as family_rank, 'f' || cast(l_partkey % 50 as string) as family_label,
   {_pick(("current", "changed_since_publication", "historical", "uncertain"), "l_partkey % 4")} as temporal_status, cast(l_suppkey % 3 as int) as n_evidence, cast(l_partkey % 2 as int) as n_urls
-from {{lines}} where l_linenumber <= 4 and l_orderkey % 5 <> 0""",
+from {{lines}} where l_orderkey % 5 <> 0""",
     "resources": f"""
 select cast(page_id % 50 as string) as analysis_id, {_pick(RESOURCE_TYPES, "page_id % 12")} as resource_type, 'page ' || cast(page_id as string) as title, url, {_pick(("verified", "likely", "uncertain", "rejected"), "page_id % 4")} as verification_status,
   page_id % 3 = 0 as is_first_party, cast(page_id % 3 as int) as n_evidence, cast(page_id as bigint) as position from {{pages}}""",
@@ -101,7 +101,7 @@ select cast(page_id % 50 as string) as analysis_id, {_pick(RESOURCE_TYPES, "page
 select cast(page_id % 50 as string) as analysis_id, {_pick(ENTITY_KINDS, "page_id % 10")} as entity_kind, 'n' || cast(page_id % 7 as string) as normalized_name, cast(page_id % 2 as int) as n_evidence from {{pages}}""",
     "searches": f"""
 select 'u' || cast(user_id as string) as run_id, {_pick(("organization_researcher", "web_context_scout", "source_verifier"), "event_id % 7 % 3")} as subagent, ts as searched_at, cast(event_id % 11 as int) as n_results, cast(event_id % 4 as int) as n_selected
-from {{events}} where event_id % 6 <> 0""",
+from {{events}}""",
     "kinds": "select * from (values " + ", ".join(f"({i}, '{k}', '{f}')" for i, (k, f) in enumerate(ARTIFACT_FILES.items())) + ") as k(kind_no, artifact_kind, file_name)",
     "bodies": f"""
 select {_R.format("d.doc_id")} as run_id, {_V.replace("doc_id", "d.doc_id")} as video_id, k.artifact_kind as artifact_kind, 'pre-research/v2/' || {_V.replace("doc_id", "d.doc_id")} || '/' || {_R.format("d.doc_id")} as packet_storage_prefix, k.kind_no, d.doc_id as doc_id,

@@ -184,7 +184,7 @@ def validate_operation_order(t: Tables) -> DataFrame:
 
 @query("validate_taxonomy_classification", "select run_id, message from (" + _lines(
     f"select analysis_id as run_id, 'exactly one primary category is required' as message from ({_CAT}) where p <> 1", f"select analysis_id, 'at most three secondary categories' from ({_CAT}) where s > 3",
-    f"select distinct analysis_id, 'unknown category code' from {{categories}} where category_code not in {_in(v.CATEGORIES)}", "select distinct analysis_id, 'one to six domains are required' from {categories} where analysis_id not in (select analysis_id from {families})",
+    f"select distinct analysis_id, 'unknown category code' from {{categories}} where category_code not in {_in(v.CATEGORIES)}", "select distinct analysis_id, 'one to six domains are required' from {categories} where analysis_id not in (select analysis_id from {families} group by 1 having count(*) <= 6)",
     "select distinct analysis_id, 'unknown or inactive domain code' from {families} where cast(substr(family_label, 2) as int) % 8 = 0", "select distinct analysis_id, 'one to seven lifecycle stages are required' from {categories} where analysis_id not in (select analysis_id from {families})",
     "select distinct analysis_id, 'unknown lifecycle stage' from {families} where temporal_status = 'uncertain'",
 ) + ")")
