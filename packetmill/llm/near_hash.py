@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from functools import cache
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -203,8 +204,10 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 # --- similarity of shingle sets: longer fingerprints, the same keys, and a check of the whole fingerprint
 
-#: Words of a shingle and least Jaccard similarity of sets of shingles; bits of a fingerprint, and of its part that keys come from.
-COPY_WORDS, SIMILARITY, LONG_BITS, KEY_BITS = 5, 0.8, 1024, 128
+#: Words of a shingle and least Jaccard similarity of sets of shingles; bits of a fingerprint, and of its part that pairs are first compared on.
+COPY_WORDS, SIMILARITY, LONG_BITS, FIRST_BITS = 5, 0.8, 1024, 128
+#: Share of pairs at the threshold that keys bring together, fingerprints per key that the length of keys aims at, and most tables.
+KEY_RECALL, PER_KEY, MOST_TABLES = 0.925, 0.5, 64
 #: Standard deviations of the estimate that a pair at the threshold is given.
 SLACK = 0.75
 _MIXES = np.random.default_rng(23).integers(1, 1 << 63, LONG_BITS // 64, dtype=np.uint64)
@@ -233,47 +236,54 @@ def long_fingerprints(texts: list[bytes], words: int = COPY_WORDS) -> list[bytes
     return out
 
 
-def similarity_keys(key_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(key, row) of every (codeword of a 16-bit segment, half of the next segment) of rows of 64-bit words."""
+def key_plan(n: int, similarity: float = SIMILARITY) -> tuple[int, int]:
+    """(exact bits, tables) for n fingerprints: keys grow with the logarithm of n, and tables make up for what longer keys miss."""
+    p = differing_share(similarity)
+    codes = golay_keys()[1].mean()
+    exact = min(16, max(8, int(np.ceil(np.log2(max(n, 1) * codes / PER_KEY))) - 12))
+    coded = sum(comb(16, k) * p**k * (1 - p) ** (16 - k) for k in range(3))
+    together = coded * (1 - p) ** exact
+    return exact, int(min(MOST_TABLES, np.ceil(np.log(1 - KEY_RECALL) / np.log(1 - together))))
+
+
+def similarity_keys(words: np.ndarray, exact: int, tables: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, row) of every table: the codewords of one 16-bit segment with ``exact`` bits of the next, of rows of 64-bit words."""
     codes, count = golay_keys()
-    segments = np.ascontiguousarray(key_words).view(np.uint16).astype(np.int64)
+    segments = np.ascontiguousarray(words).view(np.uint16).astype(np.int64)
     n, many = segments.shape
     keys, rows = [], []
-    for i in range(many):
-        own, after = segments[:, i], segments[:, (i + 1) % many]
+    for t in range(tables):
+        own, after = segments[:, t % many], segments[:, (t + 1) % many]
         valid = np.arange(codes.shape[1]) < count[own][:, None]
-        owner = np.repeat(np.arange(n), valid.sum(axis=1))
-        for half in (0, 1):
-            stem = ((2 * i + half) << 8 | (after >> 8 * half & 0xFF))[:, None] << 12
-            keys.append((stem | codes[own])[valid])
-            rows.append(owner)
+        stem = ((t << 16) | (after & ((1 << exact) - 1)))[:, None] << 12
+        keys.append((stem | codes[own])[valid])
+        rows.append(np.repeat(np.arange(n), valid.sum(axis=1)))
     return np.concatenate(keys), np.concatenate(rows)
 
 
-def close_pairs(key: np.ndarray, words: np.ndarray, cut: int, small: int = 16) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of pairs within runs of equal keys at ``cut`` or fewer differing bits.
+def close_pairs(key: np.ndarray, x: np.ndarray, y: np.ndarray, cut: int, small: int = 16) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of pairs within runs of equal keys whose (x, y) words differ in ``cut`` or fewer bits.
 
-    All of them in small runs; in larger ones what spans the components at a third, two thirds and the whole of ``cut``,
-    so that close pairs are kept before distant ones and a dense group gives a few pairs per member.
+    All of them in small runs; in larger ones what spans the components at half of ``cut`` and at the whole, so that
+    close pairs are kept before distant ones and a dense group gives a few pairs per member.
     """
     edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
     length = np.diff(edge)
     few = np.repeat(length <= small, length)
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    apart = lambda a, b: np.bitwise_count(a ^ b).sum(axis=1)
+    apart = lambda a, b: np.bitwise_count(x[a] ^ x[b]).astype(np.int16) + np.bitwise_count(y[a] ^ y[b])
     for d in range(1, min(small, int(length.max(initial=0)))):
         at = np.flatnonzero((key[d:] == key[:-d]) & few[d:])
-        at = at[apart(words[at], words[at + d]) <= cut]
+        at = at[apart(at, at + d) <= cut]
         left.append(at)
         right.append(at + d)
     for k in np.flatnonzero(length > small):
-        members = np.arange(edge[k], edge[k + 1])
-        for level in (cut // 3, 2 * cut // 3, cut):
-            rest = members
+        for level in (cut // 2, cut):
+            rest = np.arange(edge[k], edge[k + 1])
             while len(rest):
                 queue, rest = [rest[0]], rest[1:]
                 while queue and len(rest):
-                    near = apart(words[rest], words[queue[0]][None, :]) <= level
+                    near = apart(rest, queue[0]) <= level
                     left.append(np.full(int(near.sum()), queue[0]))
                     right.append(rest[near])
                     queue = queue[1:] + list(rest[near])
@@ -284,8 +294,8 @@ def close_pairs(key: np.ndarray, words: np.ndarray, cut: int, small: int = 16) -
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = COPY_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(id, component_id) per row: groups over links between texts whose sets of word shingles are similar.
 
-    Similarity is estimated from 1,024-bit fingerprints (standard deviation about 0.03 at 0.8), after Golay keys over
-    128 of the bits bring pairs together: each 16-bit segment's codewords with eight bits of the next one. Ids are
+    Similarity is estimated from 1,024-bit fingerprints (standard deviation about 0.03 at 0.8), after Golay keys bring
+    pairs together: a 16-bit segment's codewords with some bits of the next segment, in as many tables as ``key_plan`` says. Ids are
     expected to be unique and not null; the component is named by its least id. Equal fingerprints are one class, so copies make no
     pairs. Null and wordless texts have the zero fingerprint and group together. Extra columns are not read.
     """
@@ -300,16 +310,17 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     prints = materialise(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp binary"), "prints")
     classes = materialise(prints.groupBy("fp").agg(F.min("id").alias("least")).withColumn("node", F.monotonically_increasing_id()), "classes")
     share = differing_share(similarity)
-    cut = int(KEY_BITS * share + 2 * np.sqrt(KEY_BITS * share * (1 - share)))
+    cut = int(FIRST_BITS * share + 2 * np.sqrt(FIRST_BITS * share * (1 - share)))
+    exact, tables = key_plan(classes.count(), similarity)
     most = int(LONG_BITS * share + SLACK * np.sqrt(LONG_BITS * share * (1 - share)))
 
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, 1 << 13):
             node = batch.column("node").to_numpy()
-            part = np.frombuffer(b"".join(x[: KEY_BITS // 8] for x in batch.column("fp").to_pylist()), np.uint64).reshape(len(node), -1)
+            words64 = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint64).reshape(len(node), -1)
             if len(node):
-                key, row = similarity_keys(part)
-                yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int32)), pa.array(node[row]), _signed(part[row, 0]), _signed(part[row, 1])], ["key", "node", "x", "y"])
+                key, row = similarity_keys(words64, exact, tables)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node[row]), _signed(words64[row, -2]), _signed(words64[row, -1])], ["key", "node", "x", "y"])
 
     def pair(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -317,7 +328,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         def out(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
             table = pa.Table.from_batches(rows)
             key, node = table["key"].to_numpy(), table["node"].to_numpy()
-            i, j = close_pairs(key, np.stack([table[c].to_numpy().view(np.uint64) for c in "xy"], 1), cut)
+            i, j = close_pairs(key, table["x"].to_numpy().view(np.uint64), table["y"].to_numpy().view(np.uint64), cut)
             ends = np.unique(np.sort(np.stack((node[i], node[j]), 1), axis=1), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
 
@@ -336,7 +347,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if held:
             yield out(held)
 
-    keyed = classes.select("node", "fp").mapInArrow(emit, "key int, node long, x long, y long").repartition(F.col("key")).sortWithinPartitions("key")
+    keyed = classes.select("node", "fp").mapInArrow(emit, "key long, node long, x long, y long").repartition(F.col("key")).sortWithinPartitions("key", "node")
     pairs = materialise(keyed.mapInArrow(pair, "a long, b long").distinct(), "pairs")
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
