@@ -206,8 +206,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 #: Words of a shingle and least Jaccard similarity of sets of shingles; bits of a fingerprint, and of its part that pairs are first compared on.
 COPY_WORDS, SIMILARITY, LONG_BITS, FIRST_BITS = 5, 0.8, 1024, 128
-#: Share of pairs at the threshold that keys bring together, fingerprints per key that the length of keys aims at, and most tables.
-KEY_RECALL, PER_KEY, MOST_TABLES = 0.925, 0.5, 64
+#: Share of pairs at the threshold that keys bring together, and fingerprints per key that the length of keys aims at.
+KEY_RECALL, PER_KEY = 0.995, 0.5
 #: Standard deviations of the estimate that a pair at the threshold is given.
 SLACK = 0.75
 _MIXES = np.random.default_rng(23).integers(1, 1 << 63, LONG_BITS // 64, dtype=np.uint64)
@@ -237,23 +237,29 @@ def long_fingerprints(texts: list[bytes], words: int = COPY_WORDS) -> list[bytes
 
 
 def key_plan(n: int, similarity: float = SIMILARITY) -> tuple[int, int]:
-    """(exact bits, tables) for n fingerprints: keys grow with the logarithm of n, and tables make up for what longer keys miss."""
+    """(exact bits, tables) for n fingerprints: keys grow with the logarithm of n, and tables make up for what longer keys miss.
+
+    Tables share segments, so at 16 exact bits no number of them would reach 0.99.
+    """
     p = differing_share(similarity)
     codes = golay_keys()[1].mean()
-    exact = min(16, max(8, int(np.ceil(np.log2(max(n, 1) * codes / PER_KEY))) - 12))
+    exact = min(15, max(8, int(np.ceil(np.log2(max(n, 1) * codes / PER_KEY))) - 12))
     coded = sum(comb(16, k) * p**k * (1 - p) ** (16 - k) for k in range(3))
     together = coded * (1 - p) ** exact
-    return exact, int(min(MOST_TABLES, np.ceil(np.log(1 - KEY_RECALL) / np.log(1 - together))))
+    return exact, int(np.ceil(np.log(1 - KEY_RECALL) / np.log(1 - together)))
 
 
 def similarity_keys(words: np.ndarray, exact: int, tables: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, row) of every table: the codewords of one 16-bit segment with ``exact`` bits of the next, of rows of 64-bit words."""
+    """(key, row) of every table: the codewords of one 16-bit segment with ``exact`` bits of another, of rows of 64-bit words.
+
+    The other segment is the next one; tables beyond the number of segments take the one after it, and so on.
+    """
     codes, count = golay_keys()
     segments = np.ascontiguousarray(words).view(np.uint16).astype(np.int64)
     n, many = segments.shape
     keys, rows = [], []
     for t in range(tables):
-        own, after = segments[:, t % many], segments[:, (t + 1) % many]
+        own, after = segments[:, t % many], segments[:, (t + 1 + t // many) % many]
         valid = np.arange(codes.shape[1]) < count[own][:, None]
         stem = ((t << 16) | (after & ((1 << exact) - 1)))[:, None] << 12
         keys.append((stem | codes[own])[valid])

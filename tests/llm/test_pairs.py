@@ -116,6 +116,16 @@ def test_similar_groups(spark):
     assert {i: got[i] for i in range(1, 10)} == {1: 1, 2: 1, 3: 3, 4: 1, 5: 5, 6: 5, 7: 7, 8: 7, 9: 9} and all(got[i] == i for i in range(100, 140))
 
 
+def test_similarity_keys_recall():
+    """99 of 100 pairs that differ as expected at the threshold share a key, whatever the number of fingerprints."""
+    rng, n = np.random.default_rng(12), 3000
+    bits = rng.random((2, n, nh.LONG_BITS)) < np.array([0.5, nh.differing_share(nh.SIMILARITY)])[:, None, None]
+    a, flips = np.packbits(bits, axis=2).view(np.uint64)
+    for prints in (200_000, 100_000_000):
+        (ka, ra), (kb, rb) = (nh.similarity_keys(x, *nh.key_plan(prints)) for x in (a, a ^ flips))
+        assert len(np.unique(np.intersect1d(ka * 4096 + ra, kb * 4096 + rb) % 4096)) >= 0.99 * n
+
+
 def test_collision_counting(spark):
     rng = np.random.default_rng(5)
     rows, at = [], 0
