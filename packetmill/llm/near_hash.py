@@ -267,11 +267,15 @@ def similarity_keys(words: np.ndarray, exact: int, tables: int) -> tuple[np.ndar
     return np.concatenate(keys), np.concatenate(rows)
 
 
-def close_pairs(key: np.ndarray, x: np.ndarray, y: np.ndarray, cut: int, small: int = 16) -> tuple[np.ndarray, np.ndarray]:
+#: Longest run of equal keys of which all pairs are given at once.
+SMALL_RUN = 16
+
+
+def close_pairs(key: np.ndarray, x: np.ndarray, y: np.ndarray, cut: int, small: int = SMALL_RUN) -> tuple[np.ndarray, np.ndarray]:
     """Positions of pairs within runs of equal keys whose (x, y) words differ in ``cut`` or fewer bits.
 
     All of them in small runs; in larger ones what spans the components at half of ``cut`` and at the whole, so that
-    close pairs are kept before distant ones and a dense group gives a few pairs per member.
+    a dense group gives a few pairs per member. ``apart_pairs`` gives what is left of larger runs once these are tested.
     """
     edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
     length = np.diff(edge)
@@ -297,6 +301,41 @@ def close_pairs(key: np.ndarray, x: np.ndarray, y: np.ndarray, cut: int, small:
     return np.concatenate(left), np.concatenate(right)
 
 
+def apart_pairs(key: np.ndarray, label: np.ndarray, x: np.ndarray, y: np.ndarray, cut: int, tile: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of all pairs of different labels within runs of equal keys whose (x, y) words differ in ``cut`` or fewer bits, in tiles."""
+    edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
+    for a, b in zip(edge[:-1], edge[1:], strict=True):
+        _, name, count = np.unique(label[a:b], return_inverse=True, return_counts=True)
+        most = name == count.argmax()
+        order = a + np.concatenate((np.flatnonzero(~most), np.flatnonzero(most)))  # members of the commonest label need no comparison among them
+        step = max(1, tile // (b - a))
+        odd = int((~most).sum())
+        for at in range(0, odd, step):
+            one, all_after = order[at : min(odd, at + step), None], order[None, at:]
+            near = np.bitwise_count(x[one] ^ x[all_after]).astype(np.int16) + np.bitwise_count(y[one] ^ y[all_after]) <= cut
+            i, j = np.nonzero(near & (label[one] != label[all_after]))
+            yield order[at + i], order[at + j]
+
+
+def whole_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of batches in key order as tables that no run of equal keys crosses."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column("key").to_numpy()
+        at = int(np.searchsorted(key, key[-1]))  # the last run may go on in the next batch
+        if held and key[0] != held[-1].column("key")[-1].as_py():
+            yield pa.Table.from_batches(held)
+            held = []
+        if at:
+            yield pa.Table.from_batches([*held, batch.slice(0, at)])
+            held = []
+        held.append(batch.slice(at))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = COPY_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(id, component_id) per row: groups over links between texts whose sets of word shingles are similar.
 
@@ -328,33 +367,33 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 key, row = similarity_keys(words64, exact, tables)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node[row]), _signed(words64[row, -2]), _signed(words64[row, -1])], ["key", "node", "x", "y"])
 
-    def pair(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+    def words_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        return table["x"].to_numpy().view(np.uint64), table["y"].to_numpy().view(np.uint64)
 
-        def out(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-            table = pa.Table.from_batches(rows)
-            key, node = table["key"].to_numpy(), table["node"].to_numpy()
-            i, j = close_pairs(key, table["x"].to_numpy().view(np.uint64), table["y"].to_numpy().view(np.uint64), cut)
-            ends = np.unique(np.sort(np.stack((node[i], node[j]), 1), axis=1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+    def ends(node: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return np.unique(np.sort(np.stack((node[i], node[j]), 1), axis=1), axis=0)
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = batch.column("key").to_numpy()
-            at = int(np.searchsorted(key, key[-1]))  # the last run may go on in the next batch
-            if held and key[0] != held[-1].column("key")[-1].as_py():
-                yield out(held)
-                held = []
-            if at:
-                yield out([*held, batch.slice(0, at)])
-                held = []
-            held.append(batch.slice(at))
-        if held:
-            yield out(held)
+    def pair(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs without a key, and the members of larger runs, in a, with it."""
+        for table in whole_runs(batches):
+            key, node = table["key"].to_numpy(), table["node"].to_numpy()
+            two = ends(node, *close_pairs(key, *words_of(table), cut))
+            none = pa.nulls(len(two), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(two[:, 0]), pa.array(two[:, 1]), none, none, none], ["a", "b", "key", "x", "y"])
+            _, at, length = np.unique(key, return_inverse=True, return_counts=True)
+            if (many := table.filter(pa.array(length[at] > SMALL_RUN))).num_rows:
+                columns = [many[c].combine_chunks() for c in ("node", "key", "x", "y")]
+                yield pa.RecordBatch.from_arrays([columns[0], pa.nulls(many.num_rows, pa.int64()), *columns[1:]], ["a", "b", "key", "x", "y"])
+
+    def pair_apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_runs(batches):
+            node = table["node"].to_numpy()
+            for i, j in apart_pairs(table["key"].to_numpy(), table["label"].to_numpy(), *words_of(table), cut):
+                two = ends(node, i, j)
+                yield pa.RecordBatch.from_arrays([pa.array(two[:, 0]), pa.array(two[:, 1])], ["a", "b"])
 
     keyed = classes.select("node", "fp").mapInArrow(emit, "key long, node long, x long, y long").repartition(F.col("key")).sortWithinPartitions("key", "node")
-    pairs = materialise(keyed.mapInArrow(pair, "a long, b long").distinct(), "pairs")
+    runs = materialise(keyed.mapInArrow(pair, "a long, b long, key long, x long, y long"), "runs")
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, 1 << 14):
@@ -363,8 +402,18 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield batch.select(["a", "b"]).filter(pa.array(near))
 
     side = lambda end, name: classes.select(F.col("node").alias(end), F.col("fp").alias(name))
-    links = pairs.join(side("a", "p"), "a").join(side("b", "q"), "b").select("a", "b", "p", "q").mapInArrow(verify, "a long, b long")
-    found = components(links)
+
+    def tested(pairs: DataFrame) -> DataFrame:
+        return pairs.distinct().join(side("a", "p"), "a").join(side("b", "q"), "b").select("a", "b", "p", "q").mapInArrow(verify, "a long, b long")
+
+    found = components(tested(runs.where("key is null").select("a", "b")))
+    # A larger run gave what spans it, of which some failed: all its pairs that are still apart follow.
+    many = runs.where("key is not null").select("key", F.col("a").alias("k"), "x", "y")
+    labelled = many.join(found, F.col("k") == F.col("node"), "left").select("key", F.col("k").alias("node"), F.coalesce("component", "k").alias("label"), "x", "y")
+    apart = labelled.repartition(F.col("key")).sortWithinPartitions("key", "node").mapInArrow(pair_apart, "a long, b long")
+    more = materialise(tested(apart), "more")
+    if not more.isEmpty():
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     rooted = classes.join(found.withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left").select("fp", "least", F.coalesce("component", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = materialise(rooted.join(smallest, "root").select("fp", "component_id"), "named")

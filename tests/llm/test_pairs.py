@@ -126,6 +126,21 @@ def test_similarity_keys_recall():
         assert len(np.unique(np.intersect1d(ka * 4096 + ra, kb * 4096 + rb) % 4096)) >= 0.99 * n
 
 
+def test_large_runs_leave_no_pair_out():
+    """a and b hang on c in a large run and are no pair there; when c is found apart from both, they become one."""
+    rng = np.random.default_rng(13)
+    flip = lambda v, bits: v ^ np.bitwise_or.reduce(np.uint64(1) << np.array(bits, np.uint64))
+    c = rng.integers(0, 1 << 63, 1, dtype=np.uint64)[0]
+    x = np.array([c, flip(c, range(24)), flip(c, [*range(16), *range(24, 32)]), *(flip(c, [40 + i]) for i in range(20))])
+    y, key, label = np.zeros_like(x), np.zeros(len(x), np.int64), np.array([0, 1, 2, *[0] * 20])
+    pairs = lambda i, j: set(map(tuple, np.sort(np.stack((i, j), 1), axis=1).tolist()))
+    assert (1, 2) not in pairs(*nh.close_pairs(key, x, y, 27))
+    wanted = {(i, j) for i in range(len(x)) for j in range(i + 1, len(x)) if label[i] != label[j] and int(x[i] ^ x[j]).bit_count() <= 27}
+    assert (1, 2) in wanted
+    for tile in (1 << 22, 1):
+        assert set().union(*(pairs(i, j) for i, j in nh.apart_pairs(key, label, x, y, 27, tile))) == wanted
+
+
 def test_collision_counting(spark):
     rng = np.random.default_rng(5)
     rows, at = [], 0
