@@ -208,8 +208,9 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 COPY_WORDS, SIMILARITY, LONG_BITS, FIRST_BITS = 5, 0.8, 1024, 128
 #: Share of pairs at the threshold that keys bring together, and fingerprints per key that the length of keys aims at.
 KEY_RECALL, PER_KEY = 0.995, 0.5
-#: Standard deviations of the estimate that a pair at the threshold is given.
-SLACK = 0.75
+#: Room that a pair at the threshold has before its sets are compared: standard deviations of the estimate, and the factor by
+#: which sets of few shingles differ in more bits than expected (five and four of them in 3/16 at 0.8).
+SLACK, SMALL_SETS = 3, 1.25
 _MIXES = np.random.default_rng(23).integers(1, 1 << 63, LONG_BITS // 64, dtype=np.uint64)
 
 
@@ -218,21 +219,32 @@ def differing_share(similarity: float) -> float:
     return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
 
 
-def long_fingerprints(texts: list[bytes], words: int = COPY_WORDS) -> list[bytes]:
-    """A SimHash of ``LONG_BITS`` bits of each lower-cased text's distinct shingles; fewer words make one shingle, none give zero bits."""
+def loose_cut(bits: int, similarity: float) -> int:
+    """Most differing bits of a pair whose shingle sets are compared."""
+    share = SMALL_SETS * differing_share(similarity)
+    return int(bits * share + SLACK * np.sqrt(bits * share * (1 - share)))
+
+
+def shingle_sets(texts: list[bytes], words: int = COPY_WORDS) -> Iterator[np.ndarray]:
+    """Sorted distinct shingle hashes of each lower-cased text; fewer words make one shingle, none an empty set."""
     block = Words(texts)
     shingles, _ = block.shingles(words)
-    out = []
     for first, end in zip(block.first[:-1].tolist(), block.first[1:].tolist(), strict=True):
         if end - first >= words:
-            h = np.unique(shingles[first : end - words + 1])
+            yield np.unique(shingles[first : end - words + 1])
         else:
-            h = np.array([int(np.bitwise_xor.reduce(mix(block.hash[first:end] + np.arange(1, end - first + 1, dtype=np.uint64)))) ], np.uint64) if end > first else np.zeros(0, np.uint64)
+            yield np.array([int(np.bitwise_xor.reduce(mix(block.hash[first:end] + np.arange(1, end - first + 1, dtype=np.uint64)))) ], np.uint64) if end > first else np.zeros(0, np.uint64)
+
+
+def long_fingerprints(sets: Iterable[np.ndarray]) -> list[tuple[bytes, int]]:
+    """A SimHash of ``LONG_BITS`` bits of each set of hashes, none set for an empty one, and a digest of the set."""
+    out = []
+    for h in sets:
         counts = np.zeros(LONG_BITS, np.int64)
         for at in range(0, len(h), 4096):
             many = mix(h[at : at + 4096, None] ^ _MIXES)
             counts += np.unpackbits(many.view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
-        out.append(np.packbits(counts * 2 > len(h)).tobytes())
+        out.append((np.packbits(counts * 2 > len(h)).tobytes(), int(mix(h).sum(dtype=np.uint64).view(np.int64))))
     return out
 
 
@@ -339,25 +351,30 @@ def whole_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = COPY_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(id, component_id) per row: groups over links between texts whose sets of word shingles are similar.
 
-    Similarity is estimated from 1,024-bit fingerprints (standard deviation about 0.03 at 0.8), after Golay keys bring
-    pairs together: a 16-bit segment's codewords with some bits of the next segment, in as many tables as ``key_plan`` says. Ids are
-    expected to be unique and not null; the component is named by its least id. Equal fingerprints are one class, so copies make no
-    pairs. Null and wordless texts have the zero fingerprint and group together. Extra columns are not read.
+    Golay keys bring pairs together: a 16-bit segment's codewords with some bits of another segment, in as many tables as
+    ``key_plan`` says. Pairs whose 1,024-bit fingerprints are far apart are passed over, and the sets of all others are
+    compared whole, so no pair below ``similarity`` is linked. Ids are expected to be unique and not null; the component
+    is named by its least id. Equal sets are one class, so copies make no pairs. Null and wordless texts have the empty set
+    and group together. Extra columns are not read.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches):
             texts = [x.lower() for x in text_bytes(batch.column("text"))]
-            prints = [p for a, b in blocks(texts) for p in long_fingerprints(texts[a:b], words)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prints, pa.binary())], ["id", "fp"])
+            prints = [p for a, b in blocks(texts) for p in long_fingerprints(shingle_sets(texts[a:b], words))]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([p for p, _ in prints], pa.binary()), pa.array([d for _, d in prints], pa.int64())], ["id", "fp", "digest"])
 
-    prints = materialise(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp binary"), "prints")
-    classes = materialise(prints.groupBy("fp").agg(F.min("id").alias("least")).withColumn("node", F.monotonically_increasing_id()), "classes")
-    share = differing_share(similarity)
-    cut = int(FIRST_BITS * share + 2 * np.sqrt(FIRST_BITS * share * (1 - share)))
+    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arrow_rows(batches, 256):
+            texts = [x.lower() for x in text_bytes(batch.column("text"))]
+            found = [h.tobytes() for a, b in blocks(texts) for h in shingle_sets(texts[a:b], words)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], ["node", "shingles"])
+
+    prints = materialise(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp binary, digest long"), "prints")
+    classes = materialise(prints.groupBy("fp", "digest").agg(F.min("id").alias("least")).withColumn("node", F.monotonically_increasing_id()), "classes")
+    cut, most = loose_cut(FIRST_BITS, similarity), loose_cut(LONG_BITS, similarity)
     exact, tables = key_plan(classes.count(), similarity)
-    most = int(LONG_BITS * share + SLACK * np.sqrt(LONG_BITS * share * (1 - share)))
 
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, 1 << 13):
@@ -395,16 +412,30 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keyed = classes.select("node", "fp").mapInArrow(emit, "key long, node long, x long, y long").repartition(F.col("key")).sortWithinPartitions("key", "node")
     runs = materialise(keyed.mapInArrow(pair, "a long, b long, key long, x long, y long"), "runs")
 
-    def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def near(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, 1 << 14):
             p, q = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("p", "q"))
-            near = np.bitwise_count(p ^ q).sum(axis=1) <= most
-            yield batch.select(["a", "b"]).filter(pa.array(near))
+            yield batch.select(["a", "b"]).filter(pa.array(np.bitwise_count(p ^ q).sum(axis=1) <= most))
 
-    side = lambda end, name: classes.select(F.col("node").alias(end), F.col("fp").alias(name))
+    def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arrow_rows(batches, 256):
+            keep = []
+            for p, q in zip(batch.column("p"), batch.column("q"), strict=True):
+                one, other = (np.frombuffer(x.as_buffer(), np.uint64) for x in (p, q))
+                both = len(np.intersect1d(one, other, assume_unique=True)) if min(len(one), len(other)) >= similarity * max(len(one), len(other)) else 0
+                keep.append(both >= similarity * (len(one) + len(other) - both) - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    side = lambda table, column, end, name: table.select(F.col("node").alias(end), F.col(column).alias(name))
+    texts = docs.select(F.col(id_col).alias("least"), F.col(text_col).alias("text"))
 
     def tested(pairs: DataFrame) -> DataFrame:
-        return pairs.distinct().join(side("a", "p"), "a").join(side("b", "q"), "b").select("a", "b", "p", "q").mapInArrow(verify, "a long, b long")
+        told = lambda pairs, table, column: pairs.join(side(table, column, "a", "p"), "a").join(side(table, column, "b", "q"), "b").select("a", "b", "p", "q")
+        close = materialise(told(pairs.distinct(), classes, "fp").mapInArrow(near, "a long, b long"), "close")
+        nodes = close.select(F.col("a").alias("node")).union(close.select("b")).distinct()
+        chosen = texts.join(classes.join(nodes, "node").select("node", "least"), "least").select("node", "text")
+        compared = materialise(chosen.mapInArrow(sets, "node long, shingles binary"), "sets")
+        return told(close, compared, "shingles").mapInArrow(verify, "a long, b long")
 
     found = components(tested(runs.where("key is null").select("a", "b")))
     # A larger run gave what spans it, of which some failed: all its pairs that are still apart follow.
@@ -414,7 +445,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     more = materialise(tested(apart), "more")
     if not more.isEmpty():
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
-    rooted = classes.join(found.withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left").select("fp", "least", F.coalesce("component", "node").alias("root"))
+    rooted = classes.join(found.withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left").select("fp", "digest", "least", F.coalesce("component", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = materialise(rooted.join(smallest, "root").select("fp", "component_id"), "named")
-    return prints.join(named, "fp").select(F.col("id").alias(id_col), "component_id")
+    named = materialise(rooted.join(smallest, "root").select("fp", "digest", "component_id"), "named")
+    return prints.join(named, ["fp", "digest"]).select(F.col("id").alias(id_col), "component_id")

@@ -126,6 +126,24 @@ def test_similarity_keys_recall():
         assert len(np.unique(np.intersect1d(ka * 4096 + ra, kb * 4096 + rb) % 4096)) >= 0.99 * n
 
 
+def test_similar_groups_at_the_threshold(spark):
+    """Texts that replace their last words: pairs at 0.8 and just above are grouped, pairs just below are not."""
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows, wanted = [], {}
+    for k in range(120):
+        n, changed = ((9, 1), (112, 12), (184, 20), (112, 13), (184, 21), (40, 5))[k % 6] if k % 6 else (9, 1)
+        base = [word() for _ in range(n)]
+        other = base[: n - changed] + ([word() for _ in range(changed)] if k % 6 else [])
+        a, b = ({tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in (base, other))
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+        wanted[k] = len(a & b) / len(a | b) >= 0.8
+    got = {r.doc_id: r.component_id for r in nh.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    linked = {k: got[2 * k] == got[2 * k + 1] for k in wanted}
+    assert not [k for k in wanted if linked[k] and not wanted[k]]
+    assert sum(linked.values()) >= 0.97 * sum(wanted.values()) and 20 < sum(wanted.values()) < 100
+
+
 def test_large_runs_leave_no_pair_out():
     """a and b hang on c in a large run and are no pair there; when c is found apart from both, they become one."""
     rng = np.random.default_rng(13)
