@@ -38,7 +38,8 @@ _ADDED = (
     ("name", re.compile(r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.?\x20((?:[A-Z][^\W\d_]+\x20){0,2}[A-Z][^\W\d_]+)")),
     ("local_phone", re.compile(r"(?<![0-9+(])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])")),
 )
-_SECRET_HINTS, _NAME_HINTS = ("assw", "ecret", "ey=", "ey:", "oken"), ("Mr", "Ms", "Dr", "Prof", "Herr", "Frau", "Mme", "Sr")
+#: Every match of the pattern holds one of them; those of secrets, in the case-folded text.
+_SECRET_HINTS, _NAME_HINTS = ("passw", "secret", "key", "token"), ("Mr", "Ms", "Dr", "Prof", "Herr", "Frau", "Mme", "Sr")
 # Words that stand near such data, by kind, and gazetteers.
 CONTEXT = {
     "email": ("mail", "contact", "write", "correo"), "ip": ("ip", "host", "server", "address"), "card": ("card", "visa", "credit", "payment", "tarjeta", "karte"),
@@ -102,7 +103,8 @@ def candidates(text: str) -> list[Span]:
     digit = bool(_DIGIT.search(text))
     for kind, pattern in _ADDED:
         if kind == "secret":
-            if not any(h in text for h in _SECRET_HINTS) and not any(h in text for h in ("KEY", "ASSW", "ECRET", "OKEN")):
+            folded = text.casefold()
+            if not any(h in folded for h in _SECRET_HINTS):
                 continue
         elif kind == "name":
             if not any(h in text for h in _NAME_HINTS):

@@ -206,6 +206,16 @@ def test_personal_fuzz():
         assert pd_._listed(pd_.base_spans(text)) == plain_spans(text)
 
 
+def test_secret_gate_drops_nothing():
+    """With and without the hints a secret is a candidate, whatever its case and spaces."""
+    pattern = dict(pd_._ADDED)["secret"]
+    for word in ("api_key", "Api-Key", "APIKEY", "aPiKeY", "passWord", "PassWd", "SeCret", "toKen", "to\u212aen", "pa\u017fsword", "\u017fecret", "ap\u0130key"):
+        for sign in ("=", " = ", ": ", " :", " : '"):
+            text = f"set {word}{sign}sk1234abcd now"
+            assert [(s.start, s.end) for s in pd_.candidates(text) if s.kind == "secret"] == [m.span(1) for m in pattern.finditer(text)] != [], text
+    assert pd_.candidates("api_keeper = sk1234abcd") == []
+
+
 def test_personal_odd_and_masks(spark):
     rows = spark.createDataFrame([(1, "mail a@b.co, card 4111 1111 1111 1111 x", "l", "s", 9), (2, None, None, None, None), (3, "9" * 50_000 + "@" * 2000, "l", "s", 1), (4, "password = \"hunter2hunter\" and password: tiger12345", "l", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
     weights = pd_.fit(rows)
