@@ -1,7 +1,7 @@
 """License scan: ordered signature rules behind a keyword gate; priority and interval containment settle overlaps.
 
 Rules are built from license families and phrasing templates. A document is looked at more closely only if it holds
-a gate keyword; then only the rules of its keywords run. Of overlapping detections the one of higher priority
+a gate keyword; then only the rules of its keywords run, and every match of a rule holds one. Of overlapping detections the one of higher priority
 stands, and one that lies within another of the same or higher priority is dropped.
 """
 
@@ -25,55 +25,54 @@ _SEPARATOR = rb"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 _WORD = rb"[0-9a-z\x80-\xff]"
 _BASE = [(label, phrase.split()[-1].encode(), re.compile(rb"(?<!" + _WORD + rb")" + _SEPARATOR.join(phrase.encode().split()) + rb"(?!" + _WORD + rb")")) for phrase, label in BASE]
 
-#: Families: label, name as a regex, versions (or none), short form as a regex, gate keyword.
+#: Families: label, name as a regex, versions (or none), short form as a regex, a word that every match of the name holds and one that every match of the short form holds.
 FAMILIES = (
-    ("gpl", r"gnu\s+general\s+public\s+licen[sc]e", ("1.0", "2.0", "3.0"), r"gpl", "g"),
-    ("lgpl", r"gnu\s+(?:lesser|library)\s+general\s+public\s+licen[sc]e", ("2.0", "2.1", "3.0"), r"lgpl", "g"),
-    ("agpl", r"gnu\s+affero\s+general\s+public\s+licen[sc]e", ("1.0", "3.0"), r"agpl", "g"),
-    ("gfdl", r"gnu\s+free\s+documentation\s+licen[sc]e", ("1.1", "1.2", "1.3"), r"gfdl", "g"),
-    ("apache", r"apache\s+(?:software\s+)?licen[sc]e", ("1.0", "1.1", "2.0"), r"apache", "apache"),
-    ("mit", r"(?:the\s+)?mit\s+licen[sc]e", (), r"mit", "licen"),
-    ("bsd", r"(?:new\s+|modified\s+|simplified\s+|original\s+)?bsd\s+licen[sc]e", (), r"bsd", "bsd"),
-    ("bsd-2-clause", r"bsd\s+2[\s-]clause(?:\s+licen[sc]e)?", (), r"bsd-2-clause", "bsd"),
-    ("bsd-3-clause", r"bsd\s+3[\s-]clause(?:\s+licen[sc]e)?", (), r"bsd-3-clause", "bsd"),
-    ("mpl", r"mozilla\s+public\s+licen[sc]e", ("1.0", "1.1", "2.0"), r"mpl", "m"),
-    ("epl", r"eclipse\s+public\s+licen[sc]e", ("1.0", "2.0"), r"epl", "licen"),
-    ("cddl", r"common\s+development\s+and\s+distribution\s+licen[sc]e", ("1.0", "1.1"), r"cddl", "licen"),
-    ("cpl", r"common\s+public\s+licen[sc]e", ("1.0",), r"cpl", "licen"),
-    ("eupl", r"european\s+union\s+public\s+licen[sc]e", ("1.0", "1.1", "1.2"), r"eupl", "licen"),
-    ("artistic", r"artistic\s+licen[sc]e", ("1.0", "2.0"), r"artistic", "licen"),
-    ("bsl", r"boost\s+software\s+licen[sc]e", ("1.0",), r"bsl", "licen"),
-    ("busl", r"business\s+source\s+licen[sc]e", ("1.0", "1.1"), r"busl", "licen"),
-    ("isc", r"isc\s+licen[sc]e", (), r"isc", "licen"),
-    ("zlib", r"zlib\s+licen[sc]e", (), r"zlib", "licen"),
-    ("unlicense", r"the\s+unlicense", (), r"unlicense", "licen"),
-    ("wtfpl", r"do\s+what\s+the\s+fuck\s+you\s+want\s+to\s+public\s+licen[sc]e", ("1", "2"), r"wtfpl", "licen"),
-    ("ofl", r"sil\s+open\s+font\s+licen[sc]e", ("1.0", "1.1"), r"ofl", "licen"),
-    ("python", r"python\s+software\s+foundation\s+licen[sc]e", ("2",), r"psf", "licen"),
-    ("sspl", r"server\s+side\s+public\s+licen[sc]e", ("1",), r"sspl", "licen"),
-    ("ms-pl", r"microsoft\s+public\s+licen[sc]e", (), r"ms-pl", "licen"),
-    ("cecill", r"cecill\s+(?:free\s+software\s+)?licen[sc]e", ("1.0", "2.0", "2.1"), r"cecill", "licen"),
-    ("cc-by", r"creative\s+commons\s+attribution(?:\s+licen[sc]e)?", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by", "c"),
-    ("cc-by-sa", r"creative\s+commons\s+attribution[\s-]+share\s?alike", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-sa", "c"),
-    ("cc-by-nc", r"creative\s+commons\s+attribution[\s-]+non-?commercial", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-nc", "c"),
-    ("cc-by-nd", r"creative\s+commons\s+attribution[\s-]+no\s?-?derivatives", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-nd", "c"),
-    ("cc-by-nc-sa", r"creative\s+commons\s+attribution[\s-]+non-?commercial[\s-]+share\s?alike", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-nc-sa", "c"),
-    ("cc-by-nc-nd", r"creative\s+commons\s+attribution[\s-]+non-?commercial[\s-]+no\s?-?derivatives", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-nc-nd", "c"),
-    ("cc0", r"creative\s+commons\s+zero", ("1.0",), r"cc0", "c"),
-    ("public-domain", r"(?:dedicated\s+to|released\s+into|in)\s+the\s+public\s+domain", (), r"public-domain", "public domain"),
-    ("odbl", r"open\s+database\s+licen[sc]e", ("1.0",), r"odbl", "licen"),
-    ("proprietary", r"all\s+rights\s+reserved", (), r"proprietary", "all rights reserved"),
+    ("gpl", r"gnu\s+general\s+public\s+licen[sc]e", ("1.0", "2.0", "3.0"), r"gpl", "gnu", "gpl"),
+    ("lgpl", r"gnu\s+(?:lesser|library)\s+general\s+public\s+licen[sc]e", ("2.0", "2.1", "3.0"), r"lgpl", "gnu", "lgpl"),
+    ("agpl", r"gnu\s+affero\s+general\s+public\s+licen[sc]e", ("1.0", "3.0"), r"agpl", "gnu", "agpl"),
+    ("gfdl", r"gnu\s+free\s+documentation\s+licen[sc]e", ("1.1", "1.2", "1.3"), r"gfdl", "gnu", "gfdl"),
+    ("apache", r"apache\s+(?:software\s+)?licen[sc]e", ("1.0", "1.1", "2.0"), r"apache", "apache", "apache"),
+    ("mit", r"(?:the\s+)?mit\s+licen[sc]e", (), r"mit", "mit", "mit"),
+    ("bsd", r"(?:new\s+|modified\s+|simplified\s+|original\s+)?bsd\s+licen[sc]e", (), r"bsd", "bsd", "bsd"),
+    ("bsd-2-clause", r"bsd\s+2[\s-]clause(?:\s+licen[sc]e)?", (), r"bsd-2-clause", "bsd", "bsd-2-clause"),
+    ("bsd-3-clause", r"bsd\s+3[\s-]clause(?:\s+licen[sc]e)?", (), r"bsd-3-clause", "bsd", "bsd-3-clause"),
+    ("mpl", r"mozilla\s+public\s+licen[sc]e", ("1.0", "1.1", "2.0"), r"mpl", "mozilla", "mpl"),
+    ("epl", r"eclipse\s+public\s+licen[sc]e", ("1.0", "2.0"), r"epl", "eclipse", "epl"),
+    ("cddl", r"common\s+development\s+and\s+distribution\s+licen[sc]e", ("1.0", "1.1"), r"cddl", "distribution", "cddl"),
+    ("cpl", r"common\s+public\s+licen[sc]e", ("1.0",), r"cpl", "common", "cpl"),
+    ("eupl", r"european\s+union\s+public\s+licen[sc]e", ("1.0", "1.1", "1.2"), r"eupl", "european", "eupl"),
+    ("artistic", r"artistic\s+licen[sc]e", ("1.0", "2.0"), r"artistic", "artistic", "artistic"),
+    ("bsl", r"boost\s+software\s+licen[sc]e", ("1.0",), r"bsl", "boost", "bsl"),
+    ("busl", r"business\s+source\s+licen[sc]e", ("1.0", "1.1"), r"busl", "business", "busl"),
+    ("isc", r"isc\s+licen[sc]e", (), r"isc", "isc", "isc"),
+    ("zlib", r"zlib\s+licen[sc]e", (), r"zlib", "zlib", "zlib"),
+    ("unlicense", r"the\s+unlicense", (), r"unlicense", "unlicense", "unlicense"),
+    ("wtfpl", r"do\s+what\s+the\s+fuck\s+you\s+want\s+to\s+public\s+licen[sc]e", ("1", "2"), r"wtfpl", "fuck", "wtfpl"),
+    ("ofl", r"sil\s+open\s+font\s+licen[sc]e", ("1.0", "1.1"), r"ofl", "font", "ofl"),
+    ("python", r"python\s+software\s+foundation\s+licen[sc]e", ("2",), r"psf", "python", "psf"),
+    ("sspl", r"server\s+side\s+public\s+licen[sc]e", ("1",), r"sspl", "server", "sspl"),
+    ("ms-pl", r"microsoft\s+public\s+licen[sc]e", (), r"ms-pl", "microsoft", "ms-pl"),
+    ("cecill", r"cecill\s+(?:free\s+software\s+)?licen[sc]e", ("1.0", "2.0", "2.1"), r"cecill", "cecill", "cecill"),
+    ("cc-by", r"creative\s+commons\s+attribution(?:\s+licen[sc]e)?", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by", "commons", "cc"),
+    ("cc-by-sa", r"creative\s+commons\s+attribution[\s-]+share\s?alike", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-sa", "commons", "cc"),
+    ("cc-by-nc", r"creative\s+commons\s+attribution[\s-]+non-?commercial", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-nc", "commons", "cc"),
+    ("cc-by-nd", r"creative\s+commons\s+attribution[\s-]+no\s?-?derivatives", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-nd", "commons", "cc"),
+    ("cc-by-nc-sa", r"creative\s+commons\s+attribution[\s-]+non-?commercial[\s-]+share\s?alike", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-nc-sa", "commons", "cc"),
+    ("cc-by-nc-nd", r"creative\s+commons\s+attribution[\s-]+non-?commercial[\s-]+no\s?-?derivatives", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-nc-nd", "commons", "cc"),
+    ("cc0", r"creative\s+commons\s+zero", ("1.0",), r"cc0", "commons", "cc0"),
+    ("public-domain", r"(?:dedicated\s+to|released\s+into|in)\s+the\s+public\s+domain", (), r"public-domain", "domain", "public-domain"),
+    ("odbl", r"open\s+database\s+licen[sc]e", ("1.0",), r"odbl", "database", "odbl"),
+    ("proprietary", r"all\s+rights\s+reserved", (), r"proprietary", "reserved", "proprietary"),
 )
-#: What each gate letter stands for.
-GATES = {"g": ("gnu", "gpl", "gfdl"), "m": ("mozilla", "mpl"), "c": ("creative commons", "cc by", "cc-by", "cc0")}
 _GRANT = r"(?:licensed|released|distributed|available|published)\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?"
-#: Templates around a name {n}, a short form {s} and a version {v}: without and with the version; priority and confidence.
+_GRANTED = re.compile(r"(?:licensed|released|distributed|available|published)\s+under\s")
+#: Templates around a name {n}, a short form {s} and a version {v}: without and with the version; priority, confidence, and the head that every match needs.
 TEMPLATES = (
-    (r"spdx-licen[sc]e-identifier:\s*{s}", r"spdx-licen[sc]e-identifier:\s*{s}-{v}(?:-only|-or-later|\+)?", 50, 1.0),
-    (_GRANT + r"(?:{n}|{s})", _GRANT + r"(?:{n}|{s}),?\s+(?:version|v)?\.?\s*{v}", 40, 0.95),
-    (None, r"{n}(?:,?\s+(?:version|v)\.?\s*|\s+){v}", 30, 0.85),
-    (r"licen[sc]e:\s*(?:{n}|{s})", r"licen[sc]e:\s*(?:{n}|{s})[\s-]+v?{v}", 25, 0.8),
-    (r"{n}", None, 10, 0.6),
+    (r"spdx-licen[sc]e-identifier:\s*{s}", r"spdx-licen[sc]e-identifier:\s*{s}-{v}(?:-only|-or-later|\+)?", 50, 1.0, "spdx"),
+    (_GRANT + r"(?:{n}|{s})", _GRANT + r"(?:{n}|{s}),?\s+(?:version|v)?\.?\s*{v}", 40, 0.95, "grant"),
+    (None, r"{n}(?:,?\s+(?:version|v)\.?\s*|\s+){v}", 30, 0.85, "name"),
+    (r"licen[sc]e:\s*(?:{n}|{s})", r"licen[sc]e:\s*(?:{n}|{s})[\s-]+v?{v}", 25, 0.8, "colon"),
+    (r"{n}", None, 10, 0.6, "name"),
 )
 
 
@@ -84,6 +83,7 @@ class Rule:
     priority: int
     confidence: float
     pattern: re.Pattern
+    head: str
     keywords: tuple[str, ...]
 
 
@@ -91,15 +91,18 @@ class Rule:
 def rules() -> tuple[Rule, ...]:
     """All rules, in order: each family's versioned forms, then its bare forms, by template."""
     made = []
-    for label, name, versions, short, gate in FAMILIES:
+    for label, name, versions, short, name_word, short_word in FAMILIES:
         for version in (*versions, None):
-            for bare, versioned, priority, confidence in TEMPLATES:
+            for bare, versioned, priority, confidence, head in TEMPLATES:
                 template = versioned if version else bare
                 if template is None:
                     continue
                 number = re.escape((version or "").removesuffix(".0")) + (r"(?:\.0)?" if (version or "").endswith(".0") else "") + r"(?![0-9]|\.[0-9])"
                 text = template.replace("{n}", f"(?:{name})").replace("{s}", f"(?:{short})(?![a-z0-9])").replace("{v}", number)
-                made.append(Rule(len(made), label + (f"-{version}" if version else ""), priority + 2 * bool(version) + ("-" in label), confidence, re.compile(r"(?<![a-z0-9])" + text + r"(?![a-z])"), GATES.get(gate, (gate,))))
+                words = (short_word,) if head == "spdx" else (name_word,) if head == "name" else (name_word, short_word)
+                if head == "name" and name.endswith(("licen[sc]e", "unlicense")):
+                    head = "licen"
+                made.append(Rule(len(made), label + (f"-{version}" if version else ""), priority + 2 * bool(version) + ("-" in label), confidence, re.compile(r"(?<![a-z0-9])" + text + r"(?![a-z])"), head, words))
     return tuple(made)
 
 
@@ -108,12 +111,26 @@ def keywords() -> tuple[str, ...]:
     return tuple(dict.fromkeys(k for r in rules() for k in r.keywords))
 
 
-def detections(text: str) -> list[tuple[int, int, Rule]]:
-    """Detections in a lower-cased text that stand: by priority, then length, then rule order; contained ones go."""
+def heads(text: str) -> set[str]:
+    """The heads that a lower-cased text holds; rules of a bare name need "name", or "licen" where the name does."""
+    has = {"name"}
+    if "licen" in text:
+        has |= {"licen"} | {h for h, forms in (("spdx", ("spdx-licen",)), ("colon", ("license:", "licence:"))) if any(f in text for f in forms)}
+    if "under" in text and _GRANTED.search(text):
+        has.add("grant")
+    return has
+
+
+def detections(text: str, gated: bool = True) -> list[tuple[int, int, Rule]]:
+    """Detections in a lower-cased text that stand: by priority, then length, then rule order; contained ones go.
+
+    The gate passes over rules whose head or words the text lacks, which cannot match.
+    """
     held = {k for k in keywords() if k in text}
+    has = heads(text)
     found = []
-    for rule in rules() if held else ():
-        if held.intersection(rule.keywords):
+    for rule in rules() if held or not gated else ():
+        if not gated or rule.head in has and held.intersection(rule.keywords):
             found += [(m.start(), m.end(), rule) for m in rule.pattern.finditer(text)]
     found.sort(key=lambda d: (-d[2].priority, d[0] - d[1], d[2].order, d[0]))
     stand: list[tuple[int, int, Rule]] = []

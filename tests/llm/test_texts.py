@@ -179,6 +179,19 @@ def test_license_rules(text, labels):
     assert [r.label for *_, r in ls.detections(text.lower())] == labels
 
 
+NAMES = ["gnu general public license", "gnu affero general public licence", "apache license", "mit license", "bsd 2-clause", "mozilla public license", "eclipse public license", "common development and distribution license", "common public license", "european union public licence", "artistic license", "boost software license", "business source license", "isc license", "zlib license", "the unlicense", "do what the fuck you want to public license", "sil open font license", "python software foundation license", "server side public license", "microsoft public license", "cecill free software license", "creative commons attribution", "creative commons attribution-share alike", "creative commons zero", "released into the public domain", "open database license", "all rights reserved"]
+
+
+def test_license_gate_drops_nothing():
+    forms = NAMES + ["cc by", "cc by-nc-sa", *(f[3] for f in ls.FAMILIES if "[" not in f[3])]
+    frames = ["{}", "released under the {} ", "distributed under the terms of the {} v2.0", "{}, version 1.0", "spdx-license-identifier: {}-2.0", "licence: {} 3.0", "x{} under licenses", "available under {}, 4.0"]
+    texts = [(frame.format(form)).replace(" ", space) for form in forms for frame in frames for space in (" ", "\n", "  ", "\u00a0")]
+    differ = [t for t in texts if ls.detections(t) != ls.detections(t, gated=False)]
+    assert not differ
+    assert [r.label for *_, r in ls.detections("released under the mit")] == ["mit"] and [r.label for *_, r in ls.detections("all rights\nreserved")] == ["proprietary"]
+    assert sum(bool(ls.detections(t)) for t in texts) > len(texts) / 2
+
+
 # --- personal data
 
 
