@@ -1,10 +1,12 @@
 """Substring deduplication by sliding sentence spans: runs of sentences that occur before lose their later places.
 
-Every run of several consecutive sentences is hashed: from each sentence on, and back from each sentence, the shortest
-run of at least ``sentences`` sentences and ``least_words`` words, or of ``long_words`` words whatever its sentences.
-Hashes meet in one aggregation over the corpus; the first place of each, by document and position, stays, and the
-sentences of every other place go. A repeated passage of more than ``long_words`` words therefore loses all its
-sentences but the first time, short boilerplate stays.
+Sentences end at marks and line ends. Longer ones are cut further before chosen words: of every ``piece`` consecutive
+words of a sentence the one of least hash. Those cuts depend on nearby words only, so a passage that starts or
+ends within a sentence is cut in the same places wherever it stands, but for fewer than ``piece`` words at its start and at
+most ``piece`` at its end. From every piece on, and back from every piece, the shortest run of at least ``sentences`` pieces and
+``least_words`` words is hashed. Hashes meet in one aggregation over the corpus; the first place of each, by document and
+position, stays, and the pieces of every other place go. With the default parameters a passage of more than 50 words
+that stands twice holds at least three whole pieces of 28 words together, so that its later places always lose some.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .base import Words, arrow_rows, blocks, materialise, mix, text_bytes
 
-SENTENCES, LEAST_WORDS, LONG_WORDS = 3, 25, 50
+SENTENCES, LEAST_WORDS, PIECE = 3, 28, 12
 _CUT = re.compile(rb"(?:[.!?]+[ \t\r\x0b\x0c]+|[ \t\r\x0b\x0c]*\n\s*)")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
@@ -30,36 +32,66 @@ def sentence_starts(text: bytes) -> list[int]:
     return sorted({0, *(m.end() for m in _CUT.finditer(text))} - {len(text)}) if text else []
 
 
-def runs(first: np.ndarray, sentences: int, least_words: int, long_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, end) sentences of all runs, each once; ``first`` holds the first word of each sentence and the number of words."""
+def piece_cuts(block: Words, texts: list[bytes], piece: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words of the block that begin a piece, and the byte in their text where it begins; a wordless sentence belongs to the piece before it.
+
+    Of equal hashes in a window the last word counts, so that repeated words make short pieces.
+    """
+    n = len(block.hash)
+    at = np.full(n, -1, np.int64)
+    for t, text in enumerate(texts):
+        if block.first[t] == block.first[t + 1]:
+            continue
+        starts = np.array(sentence_starts(text))
+        word = np.searchsorted(block.start, starts + block.offset[t])
+        inside = word < block.first[t + 1]
+        at[word[inside]] = starts[inside]
+        at[block.first[t]] = 0
+    if n >= piece:
+        sentence = np.cumsum(at >= 0)
+        least = (block.hash >> np.uint64(32) << np.uint64(32)) | (np.uint64(0xFFFFFFFF) - np.arange(n, dtype=np.uint64))
+        width = 1
+        while 2 * width <= piece:
+            least = np.minimum(least[:-width], least[width:])
+            width *= 2
+        least = np.minimum(least[: n - piece + 1], least[piece - width :])
+        chosen = (np.uint64(0xFFFFFFFF) - (least & np.uint64(0xFFFFFFFF))).astype(np.int64)[sentence[: n - piece + 1] == sentence[piece - 1 :]]
+        chosen = chosen[at[chosen] < 0]
+        at[chosen] = block.start[chosen] - block.offset[np.searchsorted(block.first, chosen, side="right") - 1]
+    cut = np.flatnonzero(at >= 0)
+    return cut, at[cut]
+
+
+def runs(first: np.ndarray, sentences: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) pieces of all runs, each once; ``first`` holds the first word of each piece and the number of words."""
     n = len(first) - 1
     at = np.arange(n)
 
     def shortest(edge: np.ndarray) -> np.ndarray:
-        enough = np.maximum(np.searchsorted(edge, edge[:-1] + least_words), at + sentences)
-        return np.minimum(enough, np.searchsorted(edge, edge[:-1] + long_words))
+        return np.maximum(np.searchsorted(edge, edge[:-1] + least_words), at + sentences)
 
     forward = shortest(first)
     whole = forward <= n
     back = n - shortest(first[-1] - first[::-1])[::-1]
     whole_back = back >= 0
-    pairs = np.unique(np.concatenate((np.stack((at[whole], forward[whole]), 1), np.stack((back[whole_back], at[whole_back] + 1), 1))), axis=0)
-    return pairs[:, 0], pairs[:, 1]
+    pair = np.unique(np.concatenate((at[whole] * (n + 1) + forward[whole], back[whole_back] * (n + 1) + at[whole_back] + 1)))
+    return pair // (n + 1), pair % (n + 1)
 
 
-def span_hashes(texts: list[bytes], sentences: int, least_words: int, long_words: int) -> tuple[np.ndarray, ...]:
+def span_hashes(texts: list[bytes], sentences: int, least_words: int, piece: int) -> tuple[np.ndarray, ...]:
     """(text, hash, start, end) of every run of every text; hashes are of the run's lower-cased words alone."""
     block = Words([t.lower() for t in texts])
     power = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(len(block.hash), _STEP))))
     down = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(len(block.hash), _BACK))))
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(block.hash * power[:-1])))
+    cut, _ = piece_cuts(block, texts, piece)
+    edge = np.searchsorted(cut, block.first)
     out: list[tuple[np.ndarray, ...]] = []
-    for t, text in enumerate(texts):
-        starts = sentence_starts(text)
-        if not starts:
+    for t in range(len(texts)):
+        if edge[t] == edge[t + 1]:
             continue
-        first = np.searchsorted(block.start, np.array([*starts, len(text) + 1]) + block.offset[t])
-        a, b = runs(first, sentences, least_words, long_words)
+        first = np.append(cut[edge[t] : edge[t + 1]], block.first[t + 1])
+        a, b = runs(first, sentences, least_words)
         wa, wb = first[a], first[b]
         out.append((np.full(len(a), t), mix((total[wb] - total[wa]) * down[wa] + (wb - wa).astype(np.uint64)), a, b))
     if not out:
@@ -67,20 +99,23 @@ def span_hashes(texts: list[bytes], sentences: int, least_words: int, long_words
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def without(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
-    """The text without the sentences of the spans, its sentences, and how many of them went."""
-    starts = sentence_starts(text)
-    gone = np.zeros(len(starts), bool)
-    for a, b in spans:
-        gone[a:b] = True
-    ends = [*starts[1:], len(text)]
-    return b"".join(text[a:b] for a, b, g in zip(starts, ends, gone.tolist(), strict=True) if not g), len(starts), int(gone.sum())
+def without(texts: list[bytes], spans: list[list[tuple[int, int]]], piece: int) -> Iterator[tuple[bytes, int, int]]:
+    """Each text without the pieces of its spans, its pieces, and how many of them went."""
+    block = Words([t.lower() for t in texts])
+    cut, at = piece_cuts(block, texts, piece)
+    edge = np.searchsorted(cut, block.first)
+    for t, text in enumerate(texts):
+        starts = [*at[edge[t] : edge[t + 1]].tolist(), len(text)]
+        gone = np.zeros(len(starts) - 1, bool)
+        for a, b in spans[t]:
+            gone[a:b] = True
+        yield b"".join(text[a:b] for a, b, g in zip(starts[:-1], starts[1:], gone.tolist(), strict=True) if not g), len(gone), int(gone.sum())
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sentences: int = SENTENCES, least_words: int = LEAST_WORDS, long_words: int = LONG_WORDS) -> DataFrame:
-    """One row for every document that loses sentences: id, n_sentences, n_removed, removed_chars, text (what remains).
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sentences: int = SENTENCES, least_words: int = LEAST_WORDS, piece: int = PIECE) -> DataFrame:
+    """One row for every document that loses pieces of sentences: id, n_pieces, n_removed, removed_chars, text (what remains).
 
-    Documents that lose nothing are not in the result. The first place of a run is that of the least id (nulls last),
+    Documents that lose nothing are not in the result, nor are those that hold only first places. The first place of a run is that of the least id (nulls last),
     then of the least text hash, then of the first sentence; runs repeated within a document count too.
     Words are runs of letters, digits and characters beyond ASCII, lower-cased in ASCII; white space and marks
     do not matter. Rows equal in id and text count as one document and give equal rows. Null and empty texts lose
@@ -94,7 +129,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         for batch in arrow_rows(batches):
             texts = text_bytes(batch.column("text"))
             for a, b in blocks(texts):
-                t, h, start, end = span_hashes(texts[a:b], sentences, least_words, long_words)
+                t, h, start, end = span_hashes(texts[a:b], sentences, least_words, piece)
                 own = pa.array(t + a)
                 yield pa.RecordBatch.from_arrays([pa.array(h.astype(np.uint64).view(np.int64)), batch.column("id").take(own), batch.column("mark").take(own), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], ["h", "id", "mark", "a", "b"])
 
@@ -107,15 +142,16 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     def drop(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, 1024):
-            made = [without(t, [(s["a"], s["b"]) for s in own]) for t, own in zip(text_bytes(batch.column("text")), batch.column("spans").to_pylist(), strict=True)]
+            texts, spans = text_bytes(batch.column("text")), [[(s["a"], s["b"]) for s in own] for own in batch.column("spans").to_pylist()]
+            made = [row for a, b in blocks(texts) for row in without(texts[a:b], spans[a:b], piece)]
             old = batch.column("text").to_pylist()
             left = [x.decode() for x, _, _ in made]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([n for _, n, _ in made], pa.int64()), pa.array([n for *_, n in made], pa.int64()), pa.array([len(o) - len(x) for o, x in zip(old, left, strict=True)], pa.int64()), pa.array(left, pa.string())],
-                ["id", "n_sentences", "n_removed", "removed_chars", "text"],
+                ["id", "n_pieces", "n_removed", "removed_chars", "text"],
             )
 
     wanted = cut.select(F.col("id").alias("i"), F.col("mark").alias("m"), "spans")
     joined = rows.join(wanted, rows.mark.eqNullSafe(wanted.m) & rows.id.eqNullSafe(wanted.i)).select("id", "text", "spans")
-    out = joined.mapInArrow(drop, f"id {kind}, n_sentences long, n_removed long, removed_chars long, text string")
-    return out.select(F.col("id").alias(id_col), "n_sentences", "n_removed", "removed_chars", "text")
+    out = joined.mapInArrow(drop, f"id {kind}, n_pieces long, n_removed long, removed_chars long, text string")
+    return out.select(F.col("id").alias(id_col), "n_pieces", "n_removed", "removed_chars", "text")

@@ -223,15 +223,28 @@ def test_decontamination_edges(spark):
     assert dc.contained_items(docs.limit(0), items).count() == dc.contained_items(docs, items.limit(0)).count() == 0
 
 
+def plain_pieces(text, piece=ss.PIECE):
+    """(byte, words) of every piece, straight from the words and their hashes."""
+    data = text.encode()
+    starts = ss.sentence_starts(data)
+    out = []
+    for a, b in zip(starts, [*starts[1:], len(data)], strict=True):
+        found = list(dc._WORD.finditer(data[a:b].lower()))
+        if not found:
+            continue
+        hashes = [int(h) >> 32 for h in ss.Words([m.group() for m in found]).hash]
+        cuts = {0} | {min(range(i, i + piece), key=lambda k: (hashes[k], -k)) for i in range(len(found) - piece + 1)}
+        edges = [*sorted(cuts), len(found)]
+        for c, d in zip(edges, edges[1:], strict=False):
+            out.append((a + found[c].start() if c else (a if out else 0), [m.group() for m in found[c:d]]))
+    return out
+
+
 def brute_spans(rows):
     """Later places of every run, straight from the words."""
     seen, gone = {}, {}
-    words = lambda t: dc._WORD.findall(t.lower())
     for key in sorted(rows):
-        text = rows[key].encode()
-        starts = ss.sentence_starts(text)
-        ends = [*starts[1:], len(text)]
-        said = [words(text[a:b]) for a, b in zip(starts, ends, strict=True)]
+        said = [w for _, w in plain_pieces(rows[key])]
         found = set()
         for i in range(len(said)):
             for direction in (1, -1):
@@ -239,8 +252,7 @@ def brute_spans(rows):
                     a, b = (i, i + k) if direction == 1 else (i - k + 1, i + 1)
                     if a < 0 or b > len(said):
                         break
-                    n = sum(map(len, said[a:b]))
-                    if n >= 50 or k >= 3 and n >= 25:
+                    if k >= ss.SENTENCES and sum(map(len, said[a:b])) >= ss.LEAST_WORDS:
                         found.add((a, b))
                         break
         for a, b in sorted(found):
@@ -252,20 +264,42 @@ def brute_spans(rows):
     return gone
 
 
+def plain_text(text, gone):
+    pieces = plain_pieces(text)
+    data = text.encode()
+    ends = [b for b, _ in pieces[1:]] + [len(data)]
+    return b"".join(data[b:e] for i, ((b, _), e) in enumerate(zip(pieces, ends, strict=True)) if i not in gone).decode()
+
+
 def test_sentence_spans(spark):
     rng = random.Random(8)
     sentence = lambda n: (" ".join("".join(rng.choice("abcde") for _ in range(4)) for _ in range(n)) + ".").capitalize()
     passage = " ".join(sentence(11) for _ in range(6))
     single = sentence(60)
-    rows = {i: "\n".join([sentence(9) for _ in range(4)] + ([passage] if i % 3 == 0 else []) + ([single] if i % 5 == 0 else []) + ["Short one. Same line.", sentence(14)]) for i in range(30)}
+    rows = {i: "\n".join([sentence(9) for _ in range(4)] + ([passage] if i % 3 == 0 else []) + ([single] if i % 5 == 0 else []) + ["Short one. Same line.", "  ###", sentence(14)]) for i in range(30)}
     rows[30] = rows[1]
     rows[31] = passage + " " + sentence(8) + " " + passage
-    docs = spark.createDataFrame([*rows.items(), (40, None), (41, ""), (42, "x")], "doc_id long, text string").withColumn("h", F.lit(1))
+    rows[32] = "er " * 200 + "Été ñandú. " + "er " * 100
+    docs = spark.createDataFrame([*rows.items(), (40, None), (41, ""), (42, "x"), (43, "!? ...")], "doc_id long, text string").withColumn("h", F.lit(1))
     got = {r.doc_id: r for r in ss.remove_repeats(docs).collect()}
     wanted = brute_spans(rows)
-    assert {i: r.n_removed for i, r in got.items()} == {i: len(g) for i, g in wanted.items()}
+    assert {i: (r.n_removed, r.text) for i, r in got.items()} == {i: (len(g), plain_text(rows[i], g)) for i, g in wanted.items()}
     assert got[30].text == "" and 0 not in got and all(passage not in r.text for r in got.values()) and "Short one. Same line." in got[3].text
     assert got[3].removed_chars == len(rows[3]) - len(got[3].text)
     assert ss.remove_repeats(docs.limit(0)).count() == 0
     same = spark.createDataFrame([(1, passage), (1, passage), (None, passage)], "doc_id long, text string")
     assert [(r.doc_id, r.text) for r in ss.remove_repeats(same).collect()] == [(None, "")]
+
+
+def test_passages_that_start_and_end_within_sentences(spark):
+    """Every later place of a passage of 51 words loses some of it, whatever stands around it and however it is cut into sentences."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    rows, later = [], set()
+    for k in range(60):
+        passage = [word() + ("." if rng.random() < (0, 0.05, 0.2)[k % 3] else "") for _ in range(51)]
+        for copy in range(2):
+            rows.append((2 * k + copy, " ".join([word() for _ in range(rng.randint(0, 30))] + passage + [word() for _ in range(rng.randint(0, 30))])))
+        later.add(2 * k + 1)
+    got = {r.doc_id: r for r in ss.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(got) == later and all(r.removed_chars < 52 * 7 for r in got.values())
