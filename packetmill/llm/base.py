@@ -20,9 +20,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
+    """The folder that driver and executors share; a temporary one where the session names none and runs in one process only."""
     found = spark.conf.get(CHECKPOINT, None) or spark.sparkContext.getConf().get(CHECKPOINT)
     if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT} to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='packetmill-')}"
         spark.conf.set(CHECKPOINT, found)
     return found.rstrip("/")
@@ -47,6 +50,14 @@ def discard(df: DataFrame) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def numbered(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """``df`` with a number for every row under a column name that it does not have, written once so that all readers see the same numbers."""
+    name = "row"
+    while name in df.columns:
+        name += "_"
+    return materialise(df.withColumn(name, F.monotonically_increasing_id()), tag), name
+
+
 def fold(column: str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; null ids count as the text 'null'."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("null")).cast("binary")) % parts

@@ -12,6 +12,7 @@ any linked pair shares, and no pair within three bits is lost.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import cache
 from itertools import combinations
 from math import comb
@@ -208,9 +209,12 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 COPY_WORDS, SIMILARITY, LONG_BITS, FIRST_BITS = 5, 0.8, 1024, 128
 #: Share of pairs at the threshold that keys bring together, and fingerprints per key that the length of keys aims at.
 KEY_RECALL, PER_KEY = 0.995, 0.5
-#: Room that a pair at the threshold has before its sets are compared: standard deviations of the estimate, and the factor by
-#: which sets of few shingles differ in more bits than expected (five and four of them in 3/16 at 0.8).
-SLACK, SMALL_SETS = 3, 1.25
+#: Room that a pair at the threshold has before its sets are compared: standard deviations of the number of differing bits.
+SLACK = 3
+#: From so many shingles on, sets differ in bits as sets of that size do; smaller ones differ in more.
+LARGE_SET = 128
+#: Tables that first links are looked for in; all tables follow for what is still apart.
+FIRST_TABLES = 8
 _MIXES = np.random.default_rng(23).integers(1, 1 << 63, LONG_BITS // 64, dtype=np.uint64)
 
 
@@ -219,10 +223,33 @@ def differing_share(similarity: float) -> float:
     return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
 
 
-def loose_cut(bits: int, similarity: float) -> int:
-    """Most differing bits of a pair whose shingle sets are compared."""
-    share = SMALL_SETS * differing_share(similarity)
-    return int(bits * share + SLACK * np.sqrt(bits * share * (1 - share)))
+def _halves(n: int) -> np.ndarray:
+    """P(k of n fair bits are set)."""
+    return np.array([comb(n, k) for k in range(n + 1)], object).astype(float) / 2.0**n
+
+
+@cache
+def differing_most(similarity: float) -> np.ndarray:
+    """For sets of 0 to ``LARGE_SET`` shingles: the most that the expected share of differing bits is at the threshold, over the sizes of the other, larger set."""
+    most = np.zeros(LARGE_SET + 1)
+    for n in range(1, LARGE_SET + 1):
+        for m in range(n, int(n / similarity + 1e-9) + 1):
+            both = int(np.ceil(similarity * (n + m) / (1 + similarity) - 1e-9))
+            if both > n:
+                continue
+            common, one, other = (_halves(k) for k in (both, n - both, m - both))
+            # For k set bits among the common shingles, the chance that each set has its bit.
+            need = lambda size, k, own: np.array([own[max(0, size // 2 + 1 - x) :].sum() for x in k])
+            k = np.arange(both + 1)
+            p, q = need(n, k, one), need(m, k, other)
+            most[n] = max(most[n], float((common * (p * (1 - q) + q * (1 - p))).sum()))
+    return np.maximum.accumulate(most[::-1])[::-1]
+
+
+def loose_cut(bits: int, similarity: float, n: np.ndarray | int = LARGE_SET) -> np.ndarray:
+    """Most differing bits of a pair whose shingle sets are compared, where the smaller set has ``n`` shingles."""
+    share = differing_most(similarity)[np.minimum(n, LARGE_SET)]
+    return np.floor(bits * share + SLACK * np.sqrt(bits * share * (1 - share))).astype(np.int64)
 
 
 def shingle_sets(texts: list[bytes], words: int = COPY_WORDS) -> Iterator[np.ndarray]:
@@ -236,15 +263,15 @@ def shingle_sets(texts: list[bytes], words: int = COPY_WORDS) -> Iterator[np.nda
             yield np.array([int(np.bitwise_xor.reduce(mix(block.hash[first:end] + np.arange(1, end - first + 1, dtype=np.uint64)))) ], np.uint64) if end > first else np.zeros(0, np.uint64)
 
 
-def long_fingerprints(sets: Iterable[np.ndarray]) -> list[tuple[bytes, int]]:
-    """A SimHash of ``LONG_BITS`` bits of each set of hashes, none set for an empty one, and a digest of the set."""
+def long_fingerprints(sets: Iterable[np.ndarray]) -> list[tuple[bytes, int, int]]:
+    """A SimHash of ``LONG_BITS`` bits of each set of hashes, none set for an empty one, a digest of the set and its size."""
     out = []
     for h in sets:
         counts = np.zeros(LONG_BITS, np.int64)
         for at in range(0, len(h), 4096):
             many = mix(h[at : at + 4096, None] ^ _MIXES)
             counts += np.unpackbits(many.view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
-        out.append((np.packbits(counts * 2 > len(h)).tobytes(), int(mix(h).sum(dtype=np.uint64).view(np.int64))))
+        out.append((np.packbits(counts * 2 > len(h)).tobytes(), int(mix(h).sum(dtype=np.uint64).view(np.int64)), len(h)))
     return out
 
 
@@ -279,54 +306,97 @@ def similarity_keys(words: np.ndarray, exact: int, tables: int) -> tuple[np.ndar
     return np.concatenate(keys), np.concatenate(rows)
 
 
-#: Longest run of equal keys of which all pairs are given at once.
-SMALL_RUN = 16
+#: Longest run of equal keys that is compared by shifting whole arrays; longer ones are compared in tiles of so many pairs.
+SMALL_RUN, TILE = 16, 1 << 21
 
 
-def close_pairs(key: np.ndarray, x: np.ndarray, y: np.ndarray, cut: int, small: int = SMALL_RUN) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of pairs within runs of equal keys whose (x, y) words differ in ``cut`` or fewer bits.
+def runs_of(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length of every run of equal keys."""
+    start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    return start, np.diff(np.append(start, len(key)))
 
-    All of them in small runs; in larger ones what spans the components at half of ``cut`` and at the whole, so that
-    a dense group gives a few pairs per member. ``apart_pairs`` gives what is left of larger runs once these are tested.
-    """
-    edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
-    length = np.diff(edge)
+
+def with_neighbours(key: np.ndarray, x: np.ndarray, y: np.ndarray, cut: int, small: int = SMALL_RUN, tile: int = TILE) -> np.ndarray:
+    """Whether each position shares its run of equal keys with another whose (x, y) words differ in ``cut`` or fewer bits."""
+    start, length = runs_of(key)
+    out = np.zeros(len(key), bool)
     few = np.repeat(length <= small, length)
-    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    apart = lambda a, b: np.bitwise_count(x[a] ^ x[b]).astype(np.int16) + np.bitwise_count(y[a] ^ y[b])
     for d in range(1, min(small, int(length.max(initial=0)))):
         at = np.flatnonzero((key[d:] == key[:-d]) & few[d:])
-        at = at[apart(at, at + d) <= cut]
-        left.append(at)
-        right.append(at + d)
+        at = at[np.bitwise_count(x[at] ^ x[at + d]).astype(np.int16) + np.bitwise_count(y[at] ^ y[at + d]) <= cut]
+        out[at] = out[at + d] = True
     for k in np.flatnonzero(length > small):
-        for level in (cut // 2, cut):
-            rest = np.arange(edge[k], edge[k + 1])
-            while len(rest):
-                queue, rest = [rest[0]], rest[1:]
-                while queue and len(rest):
-                    near = apart(rest, queue[0]) <= level
-                    left.append(np.full(int(near.sum()), queue[0]))
-                    right.append(rest[near])
-                    queue = queue[1:] + list(rest[near])
-                    rest = rest[~near]
-    return np.concatenate(left), np.concatenate(right)
-
-
-def apart_pairs(key: np.ndarray, label: np.ndarray, x: np.ndarray, y: np.ndarray, cut: int, tile: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions of all pairs of different labels within runs of equal keys whose (x, y) words differ in ``cut`` or fewer bits, in tiles."""
-    edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
-    for a, b in zip(edge[:-1], edge[1:], strict=True):
+        a, b = start[k], start[k] + length[k]
+        step = max(1, tile // (b - a))
+        for at in range(a, b, step):
+            end = min(b, at + step)
+            near = np.bitwise_count(x[at:end, None] ^ x[a:b]).astype(np.int16) + np.bitwise_count(y[at:end, None] ^ y[a:b]) <= cut
+            out[at:end] |= near.sum(axis=1) > 1  # it is its own neighbour
+    return out
+
+
+@dataclass(frozen=True)
+class Near:
+    """What a pair of fingerprints must meet before its sets are compared: differing bits of the last two words and of all, by size, and sizes."""
+
+    prints: np.ndarray
+    size: np.ndarray
+    first_cut: int
+    cuts: np.ndarray
+    similarity: float
+
+    def pairs(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the pairs (i, j) that meet it."""
+        x, y = self.prints[:, -2], self.prints[:, -1]
+        less = np.minimum(self.size[i], self.size[j])
+        fit = np.bitwise_count(x[i] ^ x[j]).astype(np.int16) + np.bitwise_count(y[i] ^ y[j]) <= self.first_cut
+        fit &= less >= self.similarity * np.maximum(self.size[i], self.size[j]) - 1e-9
+        i, j, less = i[fit], j[fit], less[fit]
+        close = np.zeros(len(i), bool)
+        for at in range(0, len(i), 1 << 15):
+            part = slice(at, at + (1 << 15))
+            close[part] = np.bitwise_count(self.prints[i[part]] ^ self.prints[j[part]]).sum(axis=1) <= self.cuts[np.minimum(less[part], LARGE_SET)]
+        return i[close], j[close]
+
+    def between(self, one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of all pairs of two lists of positions that meet it."""
+        x, y = self.prints[:, -2], self.prints[:, -1]
+        i, j = np.nonzero(np.bitwise_count(x[one][:, None] ^ x[other]).astype(np.int16) + np.bitwise_count(y[one][:, None] ^ y[other]) <= self.first_cut)
+        return self.pairs(one[i], other[j])
+
+
+def spanning_pairs(key: np.ndarray, near: Near) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Near pairs that span each run of equal keys: every position found is taken out, so that a dense group gives a pair per member."""
+    start, length = runs_of(key)
+    for k in np.flatnonzero(length > 1):
+        rest = np.arange(start[k], start[k] + length[k])
+        while len(rest) > 1:
+            queue, rest = [rest[0]], rest[1:]
+            while queue and len(rest):
+                i, j = near.between(np.array(queue[:1]), rest)
+                yield i, j
+                queue = queue[1:] + list(j)
+                rest = np.setdiff1d(rest, j, assume_unique=True)
+
+
+def apart_pairs(key: np.ndarray, label: np.ndarray, near: Near, small: int = SMALL_RUN, tile: int = TILE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All near pairs of different labels within runs of equal keys: small runs by shifting whole arrays, larger ones in tiles."""
+    start, length = runs_of(key)
+    few = np.repeat(length <= small, length)
+    for d in range(1, min(small, int(length.max(initial=0)))):
+        at = np.flatnonzero((key[d:] == key[:-d]) & few[d:] & (label[d:] != label[:-d]))
+        yield near.pairs(at, at + d)
+    for k in np.flatnonzero(length > small):
+        a, b = start[k], start[k] + length[k]
         _, name, count = np.unique(label[a:b], return_inverse=True, return_counts=True)
         most = name == count.argmax()
         order = a + np.concatenate((np.flatnonzero(~most), np.flatnonzero(most)))  # members of the commonest label need no comparison among them
         step = max(1, tile // (b - a))
         odd = int((~most).sum())
         for at in range(0, odd, step):
-            one, all_after = order[at : min(odd, at + step), None], order[None, at:]
-            near = np.bitwise_count(x[one] ^ x[all_after]).astype(np.int16) + np.bitwise_count(y[one] ^ y[all_after]) <= cut
-            i, j = np.nonzero(near & (label[one] != label[all_after]))
-            yield order[at + i], order[at + j]
+            i, j = near.between(order[at : min(odd, at + step)], order[at:])
+            differ = label[i] != label[j]
+            yield i[differ], j[differ]
 
 
 def whole_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -351,11 +421,13 @@ def whole_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = COPY_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """(id, component_id) per row: groups over links between texts whose sets of word shingles are similar.
 
-    Golay keys bring pairs together: a 16-bit segment's codewords with some bits of another segment, in as many tables as
-    ``key_plan`` says. Pairs whose 1,024-bit fingerprints are far apart are passed over, and the sets of all others are
-    compared whole, so no pair below ``similarity`` is linked. Ids are expected to be unique and not null; the component
-    is named by its least id. Equal sets are one class, so copies make no pairs. Null and wordless texts have the empty set
-    and group together. Extra columns are not read.
+    Golay keys bring texts together: a 16-bit segment's codewords with some bits of another segment, in as many tables as
+    ``key_plan`` says. Texts that share a key with a text of close fingerprint go on; their whole fingerprints meet by the same
+    keys, and pairs too far apart in bits or sizes are passed over. The shingle sets of all others are compared whole, so no
+    pair below ``similarity`` is linked. This is done for pairs that span the runs of a few tables first, and then
+    for all pairs of all tables that are not in one group yet, so that a large group of copies gives few pairs and no link between
+    groups is left out. Ids are expected to be unique and not null; the component is named by its least id. Equal sets
+    are one class, so copies make no pairs. Null and wordless texts have the empty set and group together. Extra columns are not read.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -363,7 +435,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for batch in arrow_rows(batches):
             texts = [x.lower() for x in text_bytes(batch.column("text"))]
             prints = [p for a, b in blocks(texts) for p in long_fingerprints(shingle_sets(texts[a:b], words))]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([p for p, _ in prints], pa.binary()), pa.array([d for _, d in prints], pa.int64())], ["id", "fp", "digest"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array([p[k] for p in prints], t) for k, t in enumerate((pa.binary(), pa.int64(), pa.int64())))], ["id", "fp", "digest", "size"])
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, 256):
@@ -371,78 +443,73 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             found = [h.tobytes() for a, b in blocks(texts) for h in shingle_sets(texts[a:b], words)]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], ["node", "shingles"])
 
-    prints = materialise(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp binary, digest long"), "prints")
-    classes = materialise(prints.groupBy("fp", "digest").agg(F.min("id").alias("least")).withColumn("node", F.monotonically_increasing_id()), "classes")
-    cut, most = loose_cut(FIRST_BITS, similarity), loose_cut(LONG_BITS, similarity)
+    prints = materialise(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp binary, digest long, size long"), "prints")
+    classes = materialise(prints.groupBy("fp", "digest", "size").agg(F.min("id").alias("least")).withColumn("node", F.monotonically_increasing_id()), "classes")
+    first_cut = int(loose_cut(FIRST_BITS, similarity, 1))
+    cuts = loose_cut(LONG_BITS, similarity, np.arange(LARGE_SET + 1))
     exact, tables = key_plan(classes.count(), similarity)
 
+    def words_of(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
+        return np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, 1 << 13):
             node = batch.column("node").to_numpy()
-            words64 = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint64).reshape(len(node), -1)
             if len(node):
+                words64 = words_of(batch)
                 key, row = similarity_keys(words64, exact, tables)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node[row]), _signed(words64[row, -2]), _signed(words64[row, -1])], ["key", "node", "x", "y"])
 
-    def words_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        return table["x"].to_numpy().view(np.uint64), table["y"].to_numpy().view(np.uint64)
-
-    def ends(node: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        return np.unique(np.sort(np.stack((node[i], node[j]), 1), axis=1), axis=0)
-
-    def pair(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs without a key, and the members of larger runs, in a, with it."""
-        for table in whole_runs(batches):
-            key, node = table["key"].to_numpy(), table["node"].to_numpy()
-            two = ends(node, *close_pairs(key, *words_of(table), cut))
-            none = pa.nulls(len(two), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(two[:, 0]), pa.array(two[:, 1]), none, none, none], ["a", "b", "key", "x", "y"])
-            _, at, length = np.unique(key, return_inverse=True, return_counts=True)
-            if (many := table.filter(pa.array(length[at] > SMALL_RUN))).num_rows:
-                columns = [many[c].combine_chunks() for c in ("node", "key", "x", "y")]
-                yield pa.RecordBatch.from_arrays([columns[0], pa.nulls(many.num_rows, pa.int64()), *columns[1:]], ["a", "b", "key", "x", "y"])
-
-    def pair_apart(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def flag(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_runs(batches):
-            node = table["node"].to_numpy()
-            for i, j in apart_pairs(table["key"].to_numpy(), table["label"].to_numpy(), *words_of(table), cut):
-                two = ends(node, i, j)
-                yield pa.RecordBatch.from_arrays([pa.array(two[:, 0]), pa.array(two[:, 1])], ["a", "b"])
+            has = with_neighbours(table["key"].to_numpy(), *(table[c].to_numpy().view(np.uint64) for c in ("x", "y")), first_cut)
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(table["node"].to_numpy()[has]))], ["node"])
 
     keyed = classes.select("node", "fp").mapInArrow(emit, "key long, node long, x long, y long").repartition(F.col("key")).sortWithinPartitions("key", "node")
-    runs = materialise(keyed.mapInArrow(pair, "a long, b long, key long, x long, y long"), "runs")
-
-    def near(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow_rows(batches, 1 << 14):
-            p, q = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("p", "q"))
-            yield batch.select(["a", "b"]).filter(pa.array(np.bitwise_count(p ^ q).sum(axis=1) <= most))
+    flagged = keyed.mapInArrow(flag, "node long").distinct()
+    chosen = materialise(classes.join(flagged, "node").select("node", "least", "size", "fp"), "chosen")
+    texts = docs.select(F.col(id_col).alias("least"), F.col(text_col).alias("text"))
+    compared = materialise(texts.join(chosen.select("node", "least"), "least").select("node", "text").mapInArrow(sets, "node long, shingles binary"), "sets")
+
+    def pairs_of(rows: DataFrame, upto: int, pick: str) -> DataFrame:
+        """Near pairs among rows (node, label, size, fp) that meet in the first ``upto`` tables."""
+
+        def emit_whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in arrow_rows(batches, 1 << 10):
+                if batch.num_rows:
+                    key, row = similarity_keys(words_of(batch), exact, upto)
+                    yield pa.RecordBatch.from_arrays([pa.array(key), *batch.take(pa.array(row)).columns], ["key", *batch.schema.names])
+
+        def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for table in whole_runs(batches):
+                key, node, label, size = (table[c].to_numpy() for c in ("key", "node", "label", "size"))
+                near = Near(words_of(table), size, first_cut, cuts, similarity)
+                found = spanning_pairs(key, near) if pick == "span" else apart_pairs(key, label, near)
+                two = [np.sort(np.stack((node[i], node[j]), 1), axis=1) for i, j in found if len(i)]
+                if two:
+                    each = np.unique(np.concatenate(two), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(each[:, 0]), pa.array(each[:, 1])], ["a", "b"])
+
+        dealt = rows.select("node", "label", "size", "fp").mapInArrow(emit_whole, "key long, node long, label long, size long, fp binary").repartition(F.col("key")).sortWithinPartitions("key", "node")
+        return dealt.mapInArrow(meet, "a long, b long").distinct()
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, 256):
             keep = []
             for p, q in zip(batch.column("p"), batch.column("q"), strict=True):
                 one, other = (np.frombuffer(x.as_buffer(), np.uint64) for x in (p, q))
-                both = len(np.intersect1d(one, other, assume_unique=True)) if min(len(one), len(other)) >= similarity * max(len(one), len(other)) else 0
+                both = len(np.intersect1d(one, other, assume_unique=True))
                 keep.append(both >= similarity * (len(one) + len(other) - both) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    side = lambda table, column, end, name: table.select(F.col("node").alias(end), F.col(column).alias(name))
-    texts = docs.select(F.col(id_col).alias("least"), F.col(text_col).alias("text"))
+    def linked(pairs: DataFrame) -> DataFrame:
+        side = lambda end, name: compared.select(F.col("node").alias(end), F.col("shingles").alias(name))
+        return pairs.join(side("a", "p"), "a").join(side("b", "q"), "b").select("a", "b", "p", "q").mapInArrow(verify, "a long, b long")
 
-    def tested(pairs: DataFrame) -> DataFrame:
-        told = lambda pairs, table, column: pairs.join(side(table, column, "a", "p"), "a").join(side(table, column, "b", "q"), "b").select("a", "b", "p", "q")
-        close = materialise(told(pairs.distinct(), classes, "fp").mapInArrow(near, "a long, b long"), "close")
-        nodes = close.select(F.col("a").alias("node")).union(close.select("b")).distinct()
-        chosen = texts.join(classes.join(nodes, "node").select("node", "least"), "least").select("node", "text")
-        compared = materialise(chosen.mapInArrow(sets, "node long, shingles binary"), "sets")
-        return told(close, compared, "shingles").mapInArrow(verify, "a long, b long")
-
-    found = components(tested(runs.where("key is null").select("a", "b")))
-    # A larger run gave what spans it, of which some failed: all its pairs that are still apart follow.
-    many = runs.where("key is not null").select("key", F.col("a").alias("k"), "x", "y")
-    labelled = many.join(found, F.col("k") == F.col("node"), "left").select("key", F.col("k").alias("node"), F.coalesce("component", "k").alias("label"), "x", "y")
-    apart = labelled.repartition(F.col("key")).sortWithinPartitions("key", "node").mapInArrow(pair_apart, "a long, b long")
-    more = materialise(tested(apart), "more")
+    links = materialise(linked(pairs_of(chosen.withColumn("label", F.col("node")), min(tables, FIRST_TABLES), "span")), "first")
+    found = components(links)
+    labelled = chosen.join(found.withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left").withColumn("label", F.coalesce("component", "node"))
+    more = materialise(linked(pairs_of(labelled, tables, "apart")), "more")
     if not more.isEmpty():
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     rooted = classes.join(found.withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left").select("fp", "digest", "least", F.coalesce("component", "node").alias("root"))

@@ -144,19 +144,53 @@ def test_similar_groups_at_the_threshold(spark):
     assert sum(linked.values()) >= 0.97 * sum(wanted.values()) and 20 < sum(wanted.values()) < 100
 
 
-def test_large_runs_leave_no_pair_out():
-    """a and b hang on c in a large run and are no pair there; when c is found apart from both, they become one."""
+def near_prints(rng, n=60):
+    """Fingerprints around two centres and their sizes."""
+    centre = rng.integers(0, 1 << 63, (2, 16), dtype=np.uint64)
+    bits = rng.random((n, 1024)) < rng.uniform(0.02, 0.2, n)[:, None]
+    return centre[np.arange(n) % 2] ^ np.packbits(bits, axis=1).view(np.uint64), rng.integers(80, 120, n)
+
+
+def test_pairs_within_runs():
+    """Of all near pairs of a run, those that span it connect the same positions, and those of different labels all come, whatever the tile."""
     rng = np.random.default_rng(13)
-    flip = lambda v, bits: v ^ np.bitwise_or.reduce(np.uint64(1) << np.array(bits, np.uint64))
-    c = rng.integers(0, 1 << 63, 1, dtype=np.uint64)[0]
-    x = np.array([c, flip(c, range(24)), flip(c, [*range(16), *range(24, 32)]), *(flip(c, [40 + i]) for i in range(20))])
-    y, key, label = np.zeros_like(x), np.zeros(len(x), np.int64), np.array([0, 1, 2, *[0] * 20])
-    pairs = lambda i, j: set(map(tuple, np.sort(np.stack((i, j), 1), axis=1).tolist()))
-    assert (1, 2) not in pairs(*nh.close_pairs(key, x, y, 27))
-    wanted = {(i, j) for i in range(len(x)) for j in range(i + 1, len(x)) if label[i] != label[j] and int(x[i] ^ x[j]).bit_count() <= 27}
-    assert (1, 2) in wanted
-    for tile in (1 << 22, 1):
-        assert set().union(*(pairs(i, j) for i, j in nh.apart_pairs(key, label, x, y, 27, tile))) == wanted
+    prints, size = near_prints(rng)
+    key, label = np.repeat([1, 2], 30), rng.integers(0, 4, 60)
+    cuts = nh.loose_cut(1024, 0.8, np.arange(nh.LARGE_SET + 1))
+    both = nh.Near(prints, size, 40, cuts, 0.8)
+    near = lambda i, j: key[i] == key[j] and min(size[i], size[j]) >= 0.8 * max(size[i], size[j]) and int(np.bitwise_count(prints[i, -2:] ^ prints[j, -2:]).sum()) <= 40 and int(np.bitwise_count(prints[i] ^ prints[j]).sum()) <= cuts[min(size[i], size[j])]
+    wanted = {(i, j) for i in range(60) for j in range(i + 1, 60) if near(i, j)}
+    pairs = lambda found: {tuple(sorted(p)) for i, j in found for p in zip(i.tolist(), j.tolist(), strict=True)}
+    assert len(wanted) > 30
+    for small, tile in ((16, 1 << 21), (16, 1), (100, 1)):
+        assert pairs(nh.apart_pairs(key, label, both, small, tile)) == {(i, j) for i, j in wanted if label[i] != label[j]}
+    spanned = pairs(nh.spanning_pairs(key, both))
+    assert spanned <= wanted and closure(list(range(60)), lambda i, j: (i, j) in spanned) == closure(list(range(60)), lambda i, j: (i, j) in wanted)
+    close = lambda i, j: key[i] == key[j] and int(np.bitwise_count(prints[i, -2:] ^ prints[j, -2:]).sum()) <= 30
+    for small, tile in ((100, 1), (16, 1 << 21), (16, 64)):
+        flagged = nh.with_neighbours(key, prints[:, -2], prints[:, -1], 30, small, tile)
+        assert flagged.tolist() == [any(close(i, j) for j in range(60) if i != j) for i in range(60)]
+
+
+def test_differing_share_of_small_sets():
+    """The bound on differing bits holds for sets of few shingles, whose fingerprints differ in more bits."""
+    rng = np.random.default_rng(3)
+    for n, m, both in ((5, 5, 5), (9, 9, 8), (5, 4, 4), (20, 18, 17), (100, 110, 94)):
+        sign = rng.integers(0, 1 << 63, (300, n + m - both), dtype=np.uint64)
+        far = [int(np.bitwise_count(np.frombuffer(a, np.uint64) ^ np.frombuffer(b, np.uint64)).sum()) for (a, *_), (b, *_) in (nh.long_fingerprints([h[:n], h[n - both :]]) for h in sign)]
+        assert np.mean(np.array(far) <= nh.loose_cut(nh.LONG_BITS, 0.8, min(n, m))) > 0.99
+
+
+def test_similar_groups_of_many_variants(spark):
+    """Variants of one text at several rates: groups are those of all pairs of sets at 0.8 or more."""
+    rng = random.Random(31)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(300)]
+    rows = [(i, " ".join(word() if rng.random() < rng.choice((0.005, 0.01, 0.02, 0.03)) else w for w in base)) for i in range(250)]
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(296)} for i, t in rows}
+    wanted = closure(list(sets), lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))
+    got = {r.doc_id: r.component_id for r in nh.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == wanted and 1 < len(set(wanted.values())) < 250
 
 
 def test_collision_counting(spark):
