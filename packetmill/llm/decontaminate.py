@@ -4,7 +4,8 @@ Items are partitioned by their number of distinct shingles, and every partition
 the k least hashes of an item's shingles (bottom-k MinHash), with k one more than the most shingles that
 a document may miss and still contain the item. A document that contains the item therefore holds at
 least one shingle of the sketch, however long the document is, so that the search loses nothing.
-Documents look all their shingles up in the sketches; candidates are verified on the shingles themselves.
+Documents look all their shingles up in a bitmap of the sketch hashes, whose size is fixed; those that hit it meet the
+sketches in a join on the hash, and the pairs found are verified on the shingles themselves.
 """
 
 from __future__ import annotations
@@ -19,16 +20,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Words, arrow_rows, blocks, text_bytes
+from .base import Words, arrow_rows, blocks, materialise, mix, numbered, text_bytes
 
 SHINGLE, CONTAINMENT = 5, 0.8
-#: Characters of items that one pass over the documents takes to the executors; more items take more passes.
-ITEM_CHARS = 8_000_000
+#: Bits of the bitmap that goes to the executors (8 MB), whatever the number of items.
+BITMAP = 1 << 26
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-SCHEMA = "item_id {item}, n_shingles long, n_shared long, containment double"
 
 
 def lowered(column: pa.Array) -> list[bytes]:
+    """Lower-cased UTF-8 of documents and items alike."""
     return text_bytes(pc.utf8_lower(column.cast(pa.large_string())))
 
 
@@ -40,128 +41,120 @@ def shingle_set(text: bytes, size: int) -> set[bytes]:
     return {b" ".join(words[i : i + size]) for i in range(max(len(words) - size + 1, 1))}
 
 
-class ItemIndex:
-    """Items of one pass: exact shingle sets, and the sketch hashes that point to them."""
-
-    def __init__(self, items: list[tuple[object, bytes]], size: int, threshold: float):
-        self.size, self.threshold = size, threshold
-        self.items = [(i, s) for i, text in items if (s := shingle_set(text, size))]
-        self.short: dict[int, list[int]] = {}
-        owners: dict[int, list[int]] = {}
-        for k, (_, shingles) in enumerate(self.items):
-            first = next(iter(shingles)).split(b" ")
-            if len(first) < size:
-                self.short.setdefault(len(first), []).append(k)
-                continue
-            largest = (1 << len(shingles).bit_length()) - 1  # of the item's partition by size
-            sketch = math.floor(largest - threshold * largest + 1e-9) + 1
-            block = Words([x for x in shingles])
-            h, whole = block.shingles(size)
-            for x in np.sort(h[whole])[:sketch].tolist():
-                owners.setdefault(x, []).append(k)
-        self.hashes = np.array(sorted(owners), np.uint64)
-        self.owners = [owners[x] for x in self.hashes.tolist()]
-        self.filter = np.zeros(1 << 20, bool)
-        self.filter[(self.hashes & np.uint64(0xFFFFF)).astype(np.int64)] = True
-
-    def candidates(self, texts: list[bytes]) -> dict[int, set[int]]:
-        """Items that each text shares a sketch hash with, or a short item's whole word sequence with."""
-        found: dict[int, set[int]] = {}
-        block = Words(texts)
-        if len(self.hashes) and len(block.hash) >= self.size:
-            h, whole = block.shingles(self.size)
-            at = np.flatnonzero(self.filter[(h & np.uint64(0xFFFFF)).astype(np.int64)] & whole)
-            place = np.minimum(np.searchsorted(self.hashes, h[at]), len(self.hashes) - 1)
-            hit = self.hashes[place] == h[at]
-            text = np.searchsorted(block.first, at[hit], side="right") - 1
-            for t, p in {*zip(text.tolist(), place[hit].tolist(), strict=True)}:
-                found.setdefault(t, set()).update(self.owners[p])
-        for t in range(len(texts)) if self.short else ():
-            words = b" " + b" ".join(_WORD.findall(texts[t])) + b" "
-            for k in (k for ks in self.short.values() for k in ks):
-                if b" " + next(iter(self.items[k][1])) + b" " in words:
-                    found.setdefault(t, set()).add(k)
-        return found
-
-    def matches(self, texts: list[bytes]) -> Iterator[tuple[int, object, int, int]]:
-        """(text, item id, its shingles, those in the text) of every item contained to the threshold."""
-        for t, items in sorted(self.candidates(texts).items()):
-            own = shingle_set(texts[t], self.size)
-            for k in sorted(items):
-                item, shingles = self.items[k]
-                shared = len(shingles & own) if len(next(iter(shingles)).split(b" ")) == self.size else len(shingles)
-                if shared >= self.threshold * len(shingles) - 1e-9:
-                    yield t, item, len(shingles), shared
-
-
-def _passes(items: DataFrame, id_col: str, text_col: str, most: int) -> Iterator[list[tuple[object, bytes]]]:
-    """Items in runs of at most ``most`` characters (one at least), fetched partition by partition."""
-    held, size = [], 0
-    rows = items.select(F.col(id_col).alias("id"), F.lower(text_col).alias("text")).where("text is not null")
-    for row in rows.toLocalIterator():
-        if held and size + len(row["text"]) > most:
-            yield held
-            held, size = [], 0
-        held.append((row["id"], row["text"].encode()))
-        size += len(row["text"])
-    if held:
-        yield held
-
-
-def contained_items(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = SHINGLE, threshold: float = CONTAINMENT, item_chars: int = ITEM_CHARS) -> DataFrame:
+def hashes(block: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the ``size`` words from each word on, different for every size, and whether they all lie in one text."""
+    h, whole = block.shingles(size)
+    return mix(h ^ np.uint64(size)), whole
+
+
+def sketches(texts: list[bytes], size: int, threshold: float) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(text, words of a shingle, sketch) of each item; an item of fewer than ``size`` words has its whole sequence as sketch."""
+    block = Words(texts)
+    for t in range(len(texts)):
+        a, b = block.first[t], block.first[t + 1]
+        words = min(size, b - a)
+        if words:
+            h = np.unique(hashes(Words([texts[t]]), words)[0])
+            largest = (1 << len(h).bit_length()) - 1  # of the item's partition by size
+            yield t, int(words), h[: math.floor(largest - threshold * largest + 1e-9) + 1]
+
+
+def contained(text: bytes, shingles: set[bytes], item: bytes, size: int) -> tuple[int, int]:
+    """(the item's shingles, those in the text); a short item counts where its words stand consecutively."""
+    own = shingle_set(item, size)
+    one = next(iter(own))
+    if one.count(b" ") + 1 < size:
+        return 1, int(b" " + one + b" " in b" " + b" ".join(_WORD.findall(text)) + b" ")
+    return len(own), len(own & shingles)
+
+
+def contained_items(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = SHINGLE, threshold: float = CONTAINMENT) -> DataFrame:
     """(doc id, item id, n_shingles, n_shared, containment) for every item that a whole document contains.
 
-    Words are runs of lower-case letters, digits and characters beyond ASCII; shingles are ``size`` words, distinct.
-    Containment is the share of the item's shingles that the document has; pairs reach ``threshold``. An item
+    Texts are lower-cased; words are runs of letters a to z, digits and characters beyond ASCII; shingles are ``size`` words,
+    distinct. Containment is the share of the item's shingles that the document has; pairs reach ``threshold``. An item
     of fewer words is one shingle, found where its words stand consecutively. Null or wordless texts match nothing.
-    Repeated documents each give their rows; null ids pass through; extra columns are not read; an empty table
-    on either side gives an empty result. Items go to the executors in blocks of at most ``item_chars``
-    characters, each a pass over the documents, so that what a task holds is bounded whatever the number of items.
+    Repeated documents and items each give their rows; null ids pass through; extra columns are not read; an empty table
+    on either side gives an empty result. The driver holds a bitmap of fixed size, whatever the number of items; a
+    document that hits the bitmap is written once to the shared folder with its hits.
     """
+    spark = docs.sparkSession
     doc_kind, item_kind = docs.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
-    schema = f"doc_id {doc_kind}, {SCHEMA.format(item=item_kind)}"
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    wanted, number = numbered(items.select(F.col(item_id).alias("item"), F.col(item_text).alias("words")).where("words is not null"), "items")
+
+    def sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arrow_rows(batches):
+            rows, lengths, found = [], [], []
+            for t, n, h in sketches(lowered(batch.column("words")), size, threshold):
+                rows += [t] * len(h)
+                lengths += [n] * len(h)
+                found.append(h)
+            h = np.concatenate(found or [np.zeros(0, np.uint64)])
+            yield pa.RecordBatch.from_arrays([batch.column(number).take(pa.array(rows, pa.int64())), pa.array(lengths, pa.int32()), pa.array(h.view(np.int64))], ["n", "length", "hash"])
+
+    sketched = materialise(wanted.mapInArrow(sketch, "n long, length int, hash long"), "sketches")
+    place = F.pmod(F.col("hash"), F.lit(BITMAP))
+    parts = sketched.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()  # at most BITMAP / 32,768 rows of 4 KB
+    lengths = sorted(r.length for r in sketched.select("length").distinct().collect())  # at most ``size`` rows
+    bits = np.zeros(BITMAP, np.uint8)
+    for part in parts:
+        one = np.unpackbits(np.frombuffer(part.bits, np.uint8), bitorder="little")
+        at = (part.bucket - 1) * len(one) + 1  # Spark's buckets begin at position 1
+        bits[max(at, 0) : at + len(one)] |= one[max(-at, 0) : BITMAP - at]
+    shared = spark.sparkContext.broadcast(np.packbits(bits))
+
+    def look_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = shared.value
+        for batch in arrow_rows(batches):
+            hits: dict[int, list[int]] = {}
+            texts = lowered(batch.column("text"))
+            for a, b in blocks(texts):
+                block = Words(texts[a:b])
+                for n in lengths:
+                    h, whole = hashes(block, n)
+                    spot = (h % np.uint64(BITMAP)).astype(np.int64)
+                    at = np.flatnonzero((bitmap[spot >> 3] >> (7 - (spot & 7)) & 1).astype(bool) & whole)
+                    for t, x in zip((a + np.searchsorted(block.first, at, side="right") - 1).tolist(), h[at].view(np.int64).tolist(), strict=True):
+                        hits.setdefault(t, []).append(x)
+            own = sorted(hits)
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(own, pa.int64())), pa.array([texts[t].decode() for t in own], pa.string()), pa.array([sorted(set(hits[t])) for t in own], pa.list_(pa.int64()))], ["id", "text", "hits"])
 
-    def search(block: list[tuple[object, bytes]]) -> DataFrame:
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = ItemIndex(block, size, threshold)
-            for batch in arrow_rows(batches):
-                texts, ids = lowered(batch.column("text")), batch.column("id")
-                at, item, total, shared = [], [], [], []
-                for a, b in blocks(texts):
-                    for t, i, n, m in index.matches(texts[a:b]):
-                        at.append(a + t), item.append(i), total.append(n), shared.append(m)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(at, pa.int64())), pa.array(item, out_item), pa.array(total, pa.int64()), pa.array(shared, pa.int64()), pa.array(np.array(shared, float) / np.array(total, float))],
-                    ["doc_id", "item_id", "n_shingles", "n_shared", "containment"],
-                )
-
-        return rows.mapInArrow(run, schema)
-
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    out_item = to_arrow_type(items.schema[item_id].dataType)
-    out = None
-    for block in _passes(items, item_id, item_text, item_chars):
-        found = search(block)
-        out = found if out is None else out.unionByName(found)
-    out = out if out is not None else docs.sparkSession.createDataFrame([], schema)
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    suspects, row = numbered(rows.mapInArrow(look_up, f"id {doc_kind}, text string, hits array<long>"), "suspects")
+    pairs = suspects.select(F.col(row).alias("d"), F.explode("hits").alias("hash")).join(sketched.select("n", "hash"), "hash").select("d", "n").distinct()
+
+    def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, shingles = None, set()
+        for batch in arrow_rows(batches, 256):
+            total, part = [], []
+            for d, document, item in zip(batch.column("d").to_pylist(), text_bytes(batch.column("text")), lowered(batch.column("words")), strict=True):
+                if d != last:
+                    last, shingles = d, shingle_set(document, size)
+                n, m = contained(document, shingles, item, size)
+                total.append(n), part.append(m)
+            n, m = np.array(total, np.int64), np.array(part, np.int64)
+            keep = pa.array(m >= threshold * n - 1e-9)
+            out = pa.RecordBatch.from_arrays([batch.column("id"), batch.column("item"), pa.array(n), pa.array(m), pa.array(m / np.maximum(n, 1))], ["doc_id", "item_id", "n_shingles", "n_shared", "containment"])
+            yield out.filter(keep)
+
+    joined = pairs.join(wanted.withColumnRenamed(number, "n"), "n").join(suspects.select(F.col(row).alias("d"), "id", "text"), "d").select("d", "id", "text", "item", "words")
+    out = joined.mapInArrow(verify, f"doc_id {doc_kind}, item_id {item_kind}, n_shingles long, n_shared long, containment double")
     return out.withColumnsRenamed({"doc_id": doc_id, "item_id": item_id})
 
 
 ORACLE = r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(lower(text), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents WHERE text IS NOT NULL
-), shingles AS (
-  SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') AS s
-  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 0) + 1)) AS i FROM words)
 ), item_words AS (
   SELECT item_id, regexp_extract_all(lower(text), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark WHERE text IS NOT NULL
 ), item_shingles AS (
-  SELECT DISTINCT item_id, array_to_string(w[i:i+4], ' ') AS s
-  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 4, 0) + 1)) AS i FROM item_words)
+  SELECT DISTINCT item_id, array_to_string(w[i:i+4], ' ') AS s, least(len(w), 5) AS k
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM item_words WHERE len(w) > 0)
+), shingles AS (
+  SELECT DISTINCT doc_id, k, array_to_string(w[i:i+k-1], ' ') AS s
+  FROM (SELECT doc_id, w, k, unnest(range(1, greatest(len(w) - k + 1, 0) + 1)) AS i FROM words, (SELECT DISTINCT k FROM item_shingles))
 ), sizes AS (SELECT item_id, count(*) AS n FROM item_shingles GROUP BY item_id)
 SELECT doc_id, item_id, n AS n_shingles, count(*) AS n_shared, count(*)::DOUBLE / n AS containment
-FROM item_shingles JOIN shingles USING (s) JOIN sizes USING (item_id)
+FROM item_shingles JOIN shingles USING (s, k) JOIN sizes USING (item_id)
 GROUP BY doc_id, item_id, n HAVING count(*) >= 0.8 * n - 1e-9
 """
