@@ -11,10 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetmill.llm import decontaminate, near_hash, personal_data, quality_gam, retrieval_packing
-from packetmill.llm.base import materialise, read_table
-
-_ROW = "__row"
-
+from packetmill.llm.base import materialise, numbered, read_table
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality model rejects; it is fitted on ``labels`` outside the held-out fold."""
@@ -23,26 +20,30 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the first document of every group of similar texts (five-word shingles, 0.8), in table order; rows with equal or null ids are told apart."""
-    rows = docs.withColumn(_ROW, F.monotonically_increasing_id())  # the same for every scan of a written table
-    groups = near_hash.similar_groups(rows, id_col=_ROW)
-    return rows.join(groups.where(f"{_ROW} <> component_id").select(_ROW), _ROW, "left_anti").select(*docs.columns)
+    """Keep the first document of every group of similar texts (five-word shingles, 0.8), in table order.
+
+    Rows with equal or null ids are told apart by a number of their own; null and wordless texts are one group.
+    """
+    rows, row = numbered(docs, "rows")
+    groups = near_hash.similar_groups(rows, id_col=row)
+    gone = materialise(groups.where(F.col(row) != F.col("component_id")).select(row), "gone")
+    return rows.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that contain an item of ``benchmark``."""
-    rows = docs.withColumn(_ROW, F.monotonically_increasing_id())
-    found = decontaminate.contained_items(rows, read_table(spark, sf_dir, "benchmark"), doc_id=_ROW).select(_ROW).distinct()
-    return rows.join(found, _ROW, "left_anti").select(*docs.columns)
+    """Drop documents that contain an item of ``benchmark``; null texts contain none."""
+    rows, row = numbered(docs, "rows")
+    found = decontaminate.contained_items(rows, read_table(spark, sf_dir, "benchmark"), doc_id=row).select(row).distinct()
+    return rows.join(materialise(found, "contaminated"), row, "left_anti").select(*docs.columns)
 
 
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mask personal data; n_chars follows the text."""
+    """Mask personal data; n_chars follows the text. Null texts stay null."""
     return personal_data.redact(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of at most 2,048 tokens."""
+    """Pieces of sequences of at most 2,048 tokens; a null text is packed as an empty one."""
     return retrieval_packing.retrieval_packs(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
