@@ -149,7 +149,9 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
 
 
 def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", rejecting: bool = False) -> DataFrame:
-    """One row per input row: id, held_out (crc32 of the id as text is 2 modulo 4), lang_pred, score (calibrated probability).
+    """One row per input row: id, held_out (crc32 of the id as text is 2 modulo 4), lang_pred, score (calibrated probability), accepted.
+
+    accepted says whether the score reaches the rejection level, above which 99 of 100 validation labels are right.
 
     Whole texts are read. lang_pred is ``und``, with score 0, for null texts and texts without a letter, and where no
     language was learned; with ``rejecting`` also where the score is below the calibrated one. Repeated rows, null
@@ -165,7 +167,7 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
             letters = pc.fill_null(pc.match_substring_regex(column, r"\pL"), False).to_numpy(zero_copy_only=False)
             known = letters & (score >= least) & bool(model.languages)
             names = [model.languages[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), known.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0))], ["id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0)), pa.array(known & (score >= model.reject))], ["id", "lang_pred", "score", "accepted"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, lang_pred string, score double")
-    return rows.select(F.col("id").alias(id_col), (fold("id", FOLDS) == HELD).alias("held_out"), "lang_pred", "score")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, lang_pred string, score double, accepted boolean")
+    return rows.select(F.col("id").alias(id_col), (fold("id", FOLDS) == HELD).alias("held_out"), "lang_pred", "score", "accepted")

@@ -1,17 +1,22 @@
 """License scan: ordered signature rules behind a keyword gate; priority and interval containment settle overlaps.
 
-Rules are built from license families and phrasing templates. A document is looked at more closely only if it holds
-a gate keyword; then only the rules of its keywords run, and every match of a rule holds one. Of overlapping detections the one of higher priority
-stands, and one that lies within another of the same or higher priority is dropped.
+Rules are hand-written signatures of license texts and notices, and forms of license names in common phrasings. The
+literals that every match of a rule must hold are read off its pattern; one pass of an automaton finds the literals of a
+document, and only rules whose literals are all there run. A detection that lies within another of the same or higher
+priority is dropped; others stand, also where they overlap in part.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
+from re import _constants as op
+from re import _parser
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,54 +30,214 @@ _SEPARATOR = rb"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 _WORD = rb"[0-9a-z\x80-\xff]"
 _BASE = [(label, phrase.split()[-1].encode(), re.compile(rb"(?<!" + _WORD + rb")" + _SEPARATOR.join(phrase.encode().split()) + rb"(?!" + _WORD + rb")")) for phrase, label in BASE]
 
-#: Families: label, name as a regex, versions (or none), short form as a regex, a word that every match of the name holds and one that every match of the short form holds.
+#: Families: label, name as a regex, versions (or none), short form as a regex.
 FAMILIES = (
-    ("gpl", r"gnu\s+general\s+public\s+licen[sc]e", ("1.0", "2.0", "3.0"), r"gpl", "gnu", "gpl"),
-    ("lgpl", r"gnu\s+(?:lesser|library)\s+general\s+public\s+licen[sc]e", ("2.0", "2.1", "3.0"), r"lgpl", "gnu", "lgpl"),
-    ("agpl", r"gnu\s+affero\s+general\s+public\s+licen[sc]e", ("1.0", "3.0"), r"agpl", "gnu", "agpl"),
-    ("gfdl", r"gnu\s+free\s+documentation\s+licen[sc]e", ("1.1", "1.2", "1.3"), r"gfdl", "gnu", "gfdl"),
-    ("apache", r"apache\s+(?:software\s+)?licen[sc]e", ("1.0", "1.1", "2.0"), r"apache", "apache", "apache"),
-    ("mit", r"(?:the\s+)?mit\s+licen[sc]e", (), r"mit", "mit", "mit"),
-    ("bsd", r"(?:new\s+|modified\s+|simplified\s+|original\s+)?bsd\s+licen[sc]e", (), r"bsd", "bsd", "bsd"),
-    ("bsd-2-clause", r"bsd\s+2[\s-]clause(?:\s+licen[sc]e)?", (), r"bsd-2-clause", "bsd", "bsd-2-clause"),
-    ("bsd-3-clause", r"bsd\s+3[\s-]clause(?:\s+licen[sc]e)?", (), r"bsd-3-clause", "bsd", "bsd-3-clause"),
-    ("mpl", r"mozilla\s+public\s+licen[sc]e", ("1.0", "1.1", "2.0"), r"mpl", "mozilla", "mpl"),
-    ("epl", r"eclipse\s+public\s+licen[sc]e", ("1.0", "2.0"), r"epl", "eclipse", "epl"),
-    ("cddl", r"common\s+development\s+and\s+distribution\s+licen[sc]e", ("1.0", "1.1"), r"cddl", "distribution", "cddl"),
-    ("cpl", r"common\s+public\s+licen[sc]e", ("1.0",), r"cpl", "common", "cpl"),
-    ("eupl", r"european\s+union\s+public\s+licen[sc]e", ("1.0", "1.1", "1.2"), r"eupl", "european", "eupl"),
-    ("artistic", r"artistic\s+licen[sc]e", ("1.0", "2.0"), r"artistic", "artistic", "artistic"),
-    ("bsl", r"boost\s+software\s+licen[sc]e", ("1.0",), r"bsl", "boost", "bsl"),
-    ("busl", r"business\s+source\s+licen[sc]e", ("1.0", "1.1"), r"busl", "business", "busl"),
-    ("isc", r"isc\s+licen[sc]e", (), r"isc", "isc", "isc"),
-    ("zlib", r"zlib\s+licen[sc]e", (), r"zlib", "zlib", "zlib"),
-    ("unlicense", r"the\s+unlicense", (), r"unlicense", "unlicense", "unlicense"),
-    ("wtfpl", r"do\s+what\s+the\s+fuck\s+you\s+want\s+to\s+public\s+licen[sc]e", ("1", "2"), r"wtfpl", "fuck", "wtfpl"),
-    ("ofl", r"sil\s+open\s+font\s+licen[sc]e", ("1.0", "1.1"), r"ofl", "font", "ofl"),
-    ("python", r"python\s+software\s+foundation\s+licen[sc]e", ("2",), r"psf", "python", "psf"),
-    ("sspl", r"server\s+side\s+public\s+licen[sc]e", ("1",), r"sspl", "server", "sspl"),
-    ("ms-pl", r"microsoft\s+public\s+licen[sc]e", (), r"ms-pl", "microsoft", "ms-pl"),
-    ("cecill", r"cecill\s+(?:free\s+software\s+)?licen[sc]e", ("1.0", "2.0", "2.1"), r"cecill", "cecill", "cecill"),
-    ("cc-by", r"creative\s+commons\s+attribution(?:\s+licen[sc]e)?", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by", "commons", "cc"),
-    ("cc-by-sa", r"creative\s+commons\s+attribution[\s-]+share\s?alike", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-sa", "commons", "cc"),
-    ("cc-by-nc", r"creative\s+commons\s+attribution[\s-]+non-?commercial", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-nc", "commons", "cc"),
-    ("cc-by-nd", r"creative\s+commons\s+attribution[\s-]+no\s?-?derivatives", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-nd", "commons", "cc"),
-    ("cc-by-nc-sa", r"creative\s+commons\s+attribution[\s-]+non-?commercial[\s-]+share\s?alike", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-nc-sa", "commons", "cc"),
-    ("cc-by-nc-nd", r"creative\s+commons\s+attribution[\s-]+non-?commercial[\s-]+no\s?-?derivatives", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-nc-nd", "commons", "cc"),
-    ("cc0", r"creative\s+commons\s+zero", ("1.0",), r"cc0", "commons", "cc0"),
-    ("public-domain", r"(?:dedicated\s+to|released\s+into|in)\s+the\s+public\s+domain", (), r"public-domain", "domain", "public-domain"),
-    ("odbl", r"open\s+database\s+licen[sc]e", ("1.0",), r"odbl", "database", "odbl"),
-    ("proprietary", r"all\s+rights\s+reserved", (), r"proprietary", "reserved", "proprietary"),
+    ("gpl", r"gnu\s+general\s+public\s+licen[sc]e", ("1.0", "2.0", "3.0"), r"gpl"),
+    ("lgpl", r"gnu\s+(?:lesser|library)\s+general\s+public\s+licen[sc]e", ("2.0", "2.1", "3.0"), r"lgpl"),
+    ("agpl", r"gnu\s+affero\s+general\s+public\s+licen[sc]e", ("1.0", "3.0"), r"agpl"),
+    ("gfdl", r"gnu\s+free\s+documentation\s+licen[sc]e", ("1.1", "1.2", "1.3"), r"gfdl"),
+    ("apache", r"apache\s+(?:software\s+)?licen[sc]e", ("1.0", "1.1", "2.0"), r"apache"),
+    ("mit", r"(?:the\s+)?mit\s+licen[sc]e", (), r"mit"),
+    ("bsd", r"(?:new\s+|modified\s+|simplified\s+|original\s+)?bsd\s+licen[sc]e", (), r"bsd"),
+    ("bsd-2-clause", r"bsd\s+2[\s-]clause(?:\s+licen[sc]e)?", (), r"bsd-2-clause"),
+    ("bsd-3-clause", r"bsd\s+3[\s-]clause(?:\s+licen[sc]e)?", (), r"bsd-3-clause"),
+    ("mpl", r"mozilla\s+public\s+licen[sc]e", ("1.0", "1.1", "2.0"), r"mpl"),
+    ("epl", r"eclipse\s+public\s+licen[sc]e", ("1.0", "2.0"), r"epl"),
+    ("cddl", r"common\s+development\s+and\s+distribution\s+licen[sc]e", ("1.0", "1.1"), r"cddl"),
+    ("cpl", r"common\s+public\s+licen[sc]e", ("1.0",), r"cpl"),
+    ("eupl", r"european\s+union\s+public\s+licen[sc]e", ("1.0", "1.1", "1.2"), r"eupl"),
+    ("artistic", r"artistic\s+licen[sc]e", ("1.0", "2.0"), r"artistic"),
+    ("bsl", r"boost\s+software\s+licen[sc]e", ("1.0",), r"bsl"),
+    ("busl", r"business\s+source\s+licen[sc]e", ("1.0", "1.1"), r"busl"),
+    ("isc", r"isc\s+licen[sc]e", (), r"isc"),
+    ("zlib", r"zlib\s+licen[sc]e", (), r"zlib"),
+    ("unlicense", r"the\s+unlicense", (), r"unlicense"),
+    ("wtfpl", r"do\s+what\s+the\s+fuck\s+you\s+want\s+to\s+public\s+licen[sc]e", ("1", "2"), r"wtfpl"),
+    ("ofl", r"sil\s+open\s+font\s+licen[sc]e", ("1.0", "1.1"), r"ofl"),
+    ("python", r"python\s+software\s+foundation\s+licen[sc]e", ("2",), r"psf"),
+    ("sspl", r"server\s+side\s+public\s+licen[sc]e", ("1",), r"sspl"),
+    ("ms-pl", r"microsoft\s+public\s+licen[sc]e", (), r"ms-pl"),
+    ("cecill", r"cecill\s+(?:free\s+software\s+)?licen[sc]e", ("1.0", "2.0", "2.1"), r"cecill"),
+    ("cc-by", r"creative\s+commons\s+attribution(?:\s+licen[sc]e)?", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by"),
+    ("cc-by-sa", r"creative\s+commons\s+attribution[\s-]+share\s?alike", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-sa"),
+    ("cc-by-nc", r"creative\s+commons\s+attribution[\s-]+non-?commercial", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-nc"),
+    ("cc-by-nd", r"creative\s+commons\s+attribution[\s-]+no\s?-?derivatives", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-nd"),
+    ("cc-by-nc-sa", r"creative\s+commons\s+attribution[\s-]+non-?commercial[\s-]+share\s?alike", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-nc-sa"),
+    ("cc-by-nc-nd", r"creative\s+commons\s+attribution[\s-]+non-?commercial[\s-]+no\s?-?derivatives", ("2.0", "2.5", "3.0", "4.0"), r"cc[\s-]by-nc-nd"),
+    ("cc0", r"creative\s+commons\s+zero", ("1.0",), r"cc0"),
+    ("public-domain", r"(?:dedicated\s+to|released\s+into|in)\s+the\s+public\s+domain", (), r"public-domain"),
+    ("odbl", r"open\s+database\s+licen[sc]e", ("1.0",), r"odbl"),
+    ("proprietary", r"all\s+rights\s+reserved", (), r"proprietary"),
 )
+# Signatures of texts and notices; label, confidence, pattern over lower-cased text.
+SIGNATURES = r"""
+mit | 1.0 | permission\s+is\s+hereby\s+granted,?\s+free\s+of\s+charge,?\s+to\s+any\s+person\s+obtaining\s+a\s+copy
+mit | 0.9 | the\s+above\s+copyright\s+notice\s+and\s+this\s+permission\s+notice\s+shall\s+be\s+included\s+in\s+all\s+copies
+mit | 0.8 | the\s+software\s+is\s+provided\s+["'\u201c]?as\s+is["'\u201d]?,\s+without\s+warranty\s+of\s+any\s+kind
+mit-0 | 1.0 | mit\s+no\s+attribution
+mit-modern-variant | 0.9 | mit\s+licen[sc]e\s+modern\s+variant
+x11 | 0.9 | x11\s+licen[sc]e
+x11 | 0.9 | except\s+as\s+contained\s+in\s+this\s+notice,\s+the\s+names?\s+of
+expat | 0.9 | expat\s+licen[sc]e
+isc | 1.0 | permission\s+to\s+use,\s+copy,\s+modify,\s+and(?:/or)?\s+distribute\s+this\s+software\s+for\s+any\s+purpose\s+with\s+or\s+without\s+fee
+0bsd | 1.0 | (?:bsd\s+zero\s+clause|zero[\s-]clause\s+bsd)
+bsd | 0.9 | redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms,?\s+with\s+or\s+without\s+modification
+bsd-2-clause | 0.9 | redistributions\s+in\s+binary\s+form\s+must\s+reproduce\s+the\s+above\s+copyright\s+notice
+bsd-3-clause | 1.0 | neither\s+the\s+names?\s+of\s+.{1,200}?\s+nor\s+the\s+names\s+of\s+its\s+contributors
+bsd-4-clause | 1.0 | all\s+advertising\s+materials\s+mentioning\s+features\s+or\s+use\s+of\s+this\s+software
+bsd-3-clause-clear | 1.0 | no\s+express\s+or\s+implied\s+licen[sc]es\s+to\s+any\s+party's\s+patent\s+rights
+bsd-style | 0.7 | bsd[\s-]style\s+licen[sc]e
+apache-2.0 | 1.0 | licensed\s+under\s+the\s+apache\s+license,\s+version\s+2\.0\s+\(the\s+["'\u201c]?license["'\u201d]?\)
+apache-2.0 | 1.0 | you\s+may\s+not\s+use\s+this\s+file\s+except\s+in\s+compliance\s+with\s+the\s+license
+apache-2.0 | 1.0 | apache\.org/licenses/license-2\.0
+apache-2.0 | 0.9 | unless\s+required\s+by\s+applicable\s+law\s+or\s+agreed\s+to\s+in\s+writing,\s+software
+apache-1.1 | 0.9 | this\s+product\s+includes\s+software\s+developed\s+by\s+the\s+apache\s+software\s+foundation
+apache | 0.7 | apache[\s-]style\s+licen[sc]e
+gpl | 0.9 | this\s+program\s+is\s+free\s+software[;:,]?\s+you\s+can\s+redistribute\s+it
+gpl-2.0-or-later | 1.0 | either\s+version\s+2\s+of\s+the\s+license,?\s+or\s+\(?at\s+your\s+option\)?\s+any\s+later\s+version
+gpl-3.0-or-later | 1.0 | either\s+version\s+3\s+of\s+the\s+license,?\s+or\s+\(?at\s+your\s+option\)?\s+any\s+later\s+version
+gpl-2.0-only | 0.95 | version\s+2\s+of\s+the\s+license\s+only
+gpl | 0.9 | you\s+should\s+have\s+received\s+a\s+copy\s+of\s+the\s+gnu\s+general\s+public\s+license
+gpl | 0.9 | gnu\.org/licenses/gpl
+gpl-2.0 | 0.9 | gnu\.org/licenses/(?:old-licenses/)?gpl-2\.0
+gpl-3.0 | 0.9 | gnu\.org/licenses/gpl-3\.0
+gpl | 0.7 | under\s+the\s+terms\s+of\s+the\s+gpl
+gpl-classpath | 1.0 | gpl[\s-]+with[\s-]+(?:the\s+)?classpath[\s-]+exception
+gpl-autoconf | 0.9 | autoconf\s+(?:configure\s+)?exception
+gpl-bison | 0.9 | bison\s+(?:parser\s+)?exception
+gpl-gcc | 0.9 | gcc\s+runtime\s+library\s+exception
+gpl-font | 0.9 | gpl\s+font\s+exception
+gpl-linking | 0.8 | linking\s+exception
+lgpl | 0.9 | this\s+library\s+is\s+free\s+software[;:,]?\s+you\s+can\s+redistribute\s+it
+lgpl | 0.9 | you\s+should\s+have\s+received\s+a\s+copy\s+of\s+the\s+gnu\s+(?:lesser|library)\s+general\s+public\s+license
+lgpl | 0.9 | gnu\.org/licenses/lgpl
+lgpl-2.1 | 0.9 | gnu\.org/licenses/(?:old-licenses/)?lgpl-2\.1
+agpl | 0.9 | you\s+should\s+have\s+received\s+a\s+copy\s+of\s+the\s+gnu\s+affero\s+general\s+public\s+license
+agpl | 0.9 | gnu\.org/licenses/agpl
+agpl | 0.8 | affero\s+gpl
+gfdl | 0.9 | permission\s+is\s+granted\s+to\s+copy,\s+distribute\s+and/or\s+modify\s+this\s+document
+gfdl | 0.9 | gnu\.org/licenses/fdl
+gfdl | 0.7 | no\s+invariant\s+sections
+mpl-2.0 | 1.0 | this\s+source\s+code\s+form\s+is\s+subject\s+to\s+the\s+terms\s+of\s+the\s+mozilla\s+public\s+license,\s+v\.\s+2\.0
+mpl-1.1 | 1.0 | the\s+contents\s+of\s+this\s+file\s+are\s+subject\s+to\s+the\s+mozilla\s+public\s+license\s+version\s+1\.1
+mpl-2.0 | 0.9 | mozilla\.org/mpl/2\.0
+mpl | 0.8 | mozilla\.org/mpl
+mpl-2.0-no-copyleft-exception | 0.9 | incompatible\s+with\s+secondary\s+licenses
+epl-2.0 | 1.0 | this\s+program\s+and\s+the\s+accompanying\s+materials\s+are\s+made\s+available\s+under\s+the\s+terms\s+of\s+the\s+eclipse\s+public\s+license\s+2\.0
+epl-1.0 | 0.9 | eclipse\.org/legal/epl-v10
+epl-2.0 | 0.9 | eclipse\.org/legal/epl-2\.0
+edl | 0.9 | eclipse\s+distribution\s+licen[sc]e
+cddl | 0.9 | the\s+contents\s+of\s+this\s+file\s+are\s+subject\s+to\s+the\s+terms\s+of\s+the\s+common\s+development\s+and\s+distribution\s+license
+cpl | 0.9 | opensource\.org/licenses/cpl
+eupl | 0.9 | joinup\.ec\.europa\.eu/.{0,80}?eupl
+artistic-2.0 | 0.9 | the\s+artistic\s+license\s+2\.0
+artistic-perl | 0.9 | same\s+terms\s+as\s+perl\s+itself
+bsl | 1.0 | boost\.org/license_1_0
+bsl | 0.9 | distributed\s+under\s+the\s+boost\s+software\s+license
+busl-1.1 | 0.9 | change\s+date\s.{0,200}?\schange\s+license
+elastic-2.0 | 0.9 | elastic\s+license\s+2\.0
+elastic | 0.8 | elastic\s+licen[sc]e
+commons-clause | 1.0 | commons\s+clause
+confluent | 0.9 | confluent\s+community\s+licen[sc]e
+polyform-noncommercial | 1.0 | polyform\s+noncommercial\s+licen[sc]e
+polyform-small-business | 1.0 | polyform\s+small\s+business\s+licen[sc]e
+polyform-shield | 1.0 | polyform\s+shield\s+licen[sc]e
+prosperity | 1.0 | prosperity\s+public\s+licen[sc]e
+parity | 1.0 | parity\s+public\s+licen[sc]e
+zlib | 1.0 | this\s+software\s+is\s+provided\s+'as-is',\s+without\s+any\s+express\s+or\s+implied\s+warranty
+zlib | 0.9 | zlib/libpng\s+licen[sc]e
+libpng | 0.9 | libpng\s+licen[sc]e
+unlicense | 1.0 | this\s+is\s+free\s+and\s+unencumbered\s+software\s+released\s+into\s+the\s+public\s+domain
+unlicense | 0.9 | unlicense\.org
+wtfpl | 1.0 | you\s+just\s+do\s+what\s+the\s+fuck\s+you\s+want\s+to
+wtfpl | 0.9 | wtfpl\.net
+ofl | 0.9 | this\s+font\s+software\s+is\s+licensed\s+under\s+the\s+sil\s+open\s+font\s+license
+ofl | 0.9 | scripts\.sil\.org/ofl
+ofl | 0.8 | reserved\s+font\s+name
+ubuntu-font | 0.9 | ubuntu\s+font\s+licen[sc]e
+bitstream-vera | 0.9 | bitstream\s+vera\s+fonts?\s+copyright
+python | 0.9 | psf\s+license\s+agreement
+ruby | 0.9 | (?:same\s+terms\s+as\s+ruby|ruby\s+licen[sc]e)
+php | 0.9 | php\s+licen[sc]e
+php-3.01 | 0.9 | this\s+source\s+file\s+is\s+subject\s+to\s+version\s+3\.01\s+of\s+the\s+php\s+license
+zend | 0.9 | zend\s+(?:engine\s+)?licen[sc]e
+openssl | 1.0 | this\s+product\s+includes\s+software\s+developed\s+by\s+the\s+openssl\s+project
+openssl | 0.9 | openssl\s+licen[sc]e
+curl | 0.9 | curl\s+licen[sc]e
+postgresql | 1.0 | postgresql\s+licen[sc]e
+ncsa | 1.0 | (?:university\s+of\s+illinois/)?ncsa\s+open\s+source\s+licen[sc]e
+ecl-2.0 | 0.9 | educational\s+community\s+licen[sc]e
+afl | 0.9 | academic\s+free\s+licen[sc]e
+osl | 0.9 | open\s+software\s+licen[sc]e
+ms-rl | 1.0 | microsoft\s+reciprocal\s+licen[sc]e
+apsl | 1.0 | apple\s+public\s+source\s+licen[sc]e
+ipl | 0.9 | ibm\s+public\s+licen[sc]e
+spl | 0.9 | sun\s+public\s+licen[sc]e
+npl | 0.9 | netscape\s+public\s+licen[sc]e
+qpl | 0.9 | q\s+public\s+licen[sc]e
+lppl | 1.0 | latex\s+project\s+public\s+licen[sc]e
+w3c | 0.9 | w3c\s+software\s+(?:notice\s+and\s+)?licen[sc]e
+vim | 0.9 | vim\s+licen[sc]e
+beerware | 1.0 | the\s+beer-?ware\s+licen[sc]e
+json | 1.0 | the\s+software\s+shall\s+be\s+used\s+for\s+good,\s+not\s+evil
+json | 0.9 | json\s+licen[sc]e
+mulan-psl | 1.0 | mulan\s+(?:permissive\s+software\s+licen[sc]e|psl)
+blueoak | 1.0 | blue\s+oak\s+model\s+licen[sc]e
+upl | 1.0 | universal\s+permissive\s+licen[sc]e
+unicode | 0.8 | unicode,?\s+inc\.?\s+licen[sc]e\s+agreement
+icu | 0.9 | icu\s+licen[sc]e
+imagemagick | 0.9 | imagemagick\s+licen[sc]e
+ijg | 0.9 | independent\s+jpeg\s+group
+hpnd | 0.9 | historical\s+permission\s+notice\s+and\s+disclaimer
+nvidia | 0.9 | nvidia\s+(?:software|source\s+code)\s+licen[sc]e
+intel | 0.9 | intel\s+simplified\s+software\s+licen[sc]e
+openrail | 0.9 | (?:creativeml\s+)?open\s*rail(?:\+\+)?-m
+bigscience-rail | 1.0 | bigscience\s+(?:bloom\s+)?rail\s+licen[sc]e
+llama-2 | 1.0 | llama\s+2\s+community\s+licen[sc]e
+llama-3 | 1.0 | (?:meta\s+)?llama\s+3(?:\.[0-9])?\s+community\s+licen[sc]e
+gemma | 0.9 | gemma\s+terms\s+of\s+use
+cc-by-4.0 | 1.0 | creativecommons\.org/licenses/by/4\.0
+cc-by-3.0 | 1.0 | creativecommons\.org/licenses/by/3\.0
+cc-by-sa-4.0 | 1.0 | creativecommons\.org/licenses/by-sa/4\.0
+cc-by-sa-3.0 | 1.0 | creativecommons\.org/licenses/by-sa/3\.0
+cc-by-nc-4.0 | 1.0 | creativecommons\.org/licenses/by-nc/4\.0
+cc-by-nd-4.0 | 1.0 | creativecommons\.org/licenses/by-nd/4\.0
+cc-by-nc-sa-4.0 | 1.0 | creativecommons\.org/licenses/by-nc-sa/4\.0
+cc-by-nc-nd-4.0 | 1.0 | creativecommons\.org/licenses/by-nc-nd/4\.0
+cc0-1.0 | 1.0 | creativecommons\.org/publicdomain/zero/1\.0
+cc0 | 0.9 | waived\s+all\s+copyright\s+and\s+related\s+or\s+neighboring\s+rights
+public-domain-mark | 1.0 | creativecommons\.org/publicdomain/mark
+public-domain | 0.8 | this\s+work\s+is\s+in\s+the\s+public\s+domain
+public-domain | 0.8 | no\s+rights\s+reserved
+odbl | 1.0 | opendatacommons\.org/licenses/odbl
+odc-by | 1.0 | (?:opendatacommons\.org/licenses/by|open\s+data\s+commons\s+attribution)
+pddl | 1.0 | (?:opendatacommons\.org/licenses/pddl|public\s+domain\s+dedication\s+and\s+licen[sc]e)
+ogl-uk | 1.0 | open\s+government\s+licen[sc]e
+cdla-permissive | 1.0 | community\s+data\s+licen[sc]e\s+agreement\s+[-\u2013]\s+permissive
+cdla-sharing | 1.0 | community\s+data\s+licen[sc]e\s+agreement\s+[-\u2013]\s+sharing
+etalab | 1.0 | licence\s+ouverte
+free-art | 1.0 | (?:free\s+art\s+licen[sc]e|licence\s+art\s+libre)
+datenlizenz | 1.0 | datenlizenz\s+deutschland
+proprietary | 0.9 | (?:strictly\s+)?confidential\s+and\s+proprietary
+proprietary | 0.9 | unauthorized\s+copying\s+of\s+this\s+file
+proprietary | 0.8 | may\s+not\s+be\s+reproduced\s+(?:or\s+\w+\s+)?without\s+(?:the\s+)?(?:prior\s+)?(?:express\s+)?(?:written\s+)?permission
+proprietary | 0.8 | end[\s-]user\s+licen[sc]e\s+agreement
+proprietary | 0.7 | proprietary\s+licen[sc]e
+proprietary | 0.7 | alle\s+rechte\s+vorbehalten
+proprietary | 0.7 | tous\s+droits\s+r\u00e9serv\u00e9s
+proprietary | 0.7 | todos\s+los\s+derechos\s+reservados
+"""
+#: Priority of signatures; among the forms of names it lies between grants and identifiers.
+SIGNED = 45
+
 _GRANT = r"(?:licensed|released|distributed|available|published)\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?"
-_GRANTED = re.compile(r"(?:licensed|released|distributed|available|published)\s+under\s")
-#: Templates around a name {n}, a short form {s} and a version {v}: without and with the version; priority, confidence, and the head that every match needs.
+#: Templates around a name {n}, a short form {s} and a version {v}: without and with the version; priority and confidence.
 TEMPLATES = (
-    (r"spdx-licen[sc]e-identifier:\s*{s}", r"spdx-licen[sc]e-identifier:\s*{s}-{v}(?:-only|-or-later|\+)?", 50, 1.0, "spdx"),
-    (_GRANT + r"(?:{n}|{s})", _GRANT + r"(?:{n}|{s}),?\s+(?:version|v)?\.?\s*{v}", 40, 0.95, "grant"),
-    (None, r"{n}(?:,?\s+(?:version|v)\.?\s*|\s+){v}", 30, 0.85, "name"),
-    (r"licen[sc]e:\s*(?:{n}|{s})", r"licen[sc]e:\s*(?:{n}|{s})[\s-]+v?{v}", 25, 0.8, "colon"),
-    (r"{n}", None, 10, 0.6, "name"),
+    (r"spdx-licen[sc]e-identifier:\s*{s}", r"spdx-licen[sc]e-identifier:\s*{s}-{v}(?:-only|-or-later|\+)?", 50, 1.0),
+    (_GRANT + r"(?:{n}|{s})", _GRANT + r"(?:{n}|{s}),?\s+(?:version|v)?\.?\s*{v}", 40, 0.95),
+    (None, r"{n}(?:,?\s+(?:version|v)\.?\s*|\s+){v}", 30, 0.85),
+    (r"licen[sc]e:\s*(?:{n}|{s})", r"licen[sc]e:\s*(?:{n}|{s})[\s-]+v?{v}", 25, 0.8),
+    (r"{n}", None, 10, 0.6),
 )
 
 
@@ -83,61 +248,101 @@ class Rule:
     priority: int
     confidence: float
     pattern: re.Pattern
-    head: str
-    keywords: tuple[str, ...]
+    #: Of each set, every match holds a member.
+    needs: tuple[frozenset[str], ...]
+
+
+def literals(parsed: Iterable) -> list[frozenset[str]]:
+    """Sets of literals of a parsed pattern, of each of which every match holds one: runs of characters, and one run of each alternative."""
+    out, run = [], ""
+    for kind, value in [*parsed, (None, None)]:
+        if kind is op.LITERAL:
+            run += chr(value)
+            continue
+        if len(run) > 1:
+            out.append(frozenset((run,)))
+        run = ""
+        if kind is op.SUBPATTERN:
+            out += literals(value[-1])
+        elif kind in (op.MAX_REPEAT, op.MIN_REPEAT, op.POSSESSIVE_REPEAT) and value[0]:
+            out += literals(value[2])
+        elif kind is op.BRANCH:
+            each = [literals(x) for x in value[1]]
+            if all(each):
+                out.append(frozenset().union(*(max(x, key=lambda s: min(map(len, s))) for x in each)))
+    return out
 
 
 @cache
 def rules() -> tuple[Rule, ...]:
-    """All rules, in order: each family's versioned forms, then its bare forms, by template."""
-    made = []
-    for label, name, versions, short, name_word, short_word in FAMILIES:
+    """All rules, in order: signatures, then each family's versioned forms and its bare forms, by template."""
+    made: list[Rule] = []
+
+    def add(label: str, priority: int, confidence: float, text: str) -> None:
+        text = r"(?<![a-z0-9])" + text + r"(?![a-z])"
+        made.append(Rule(len(made), label, priority, confidence, re.compile(text, re.S), tuple(literals(_parser.parse(text, re.S)))))
+
+    for line in SIGNATURES.strip().split("\n"):
+        label, confidence, text = line.split(" | ")
+        add(label, SIGNED, float(confidence), text)
+    for label, name, versions, short in FAMILIES:
         for version in (*versions, None):
-            for bare, versioned, priority, confidence, head in TEMPLATES:
+            for bare, versioned, priority, confidence in TEMPLATES:
                 template = versioned if version else bare
                 if template is None:
                     continue
                 number = re.escape((version or "").removesuffix(".0")) + (r"(?:\.0)?" if (version or "").endswith(".0") else "") + r"(?![0-9]|\.[0-9])"
                 text = template.replace("{n}", f"(?:{name})").replace("{s}", f"(?:{short})(?![a-z0-9])").replace("{v}", number)
-                words = (short_word,) if head == "spdx" else (name_word,) if head == "name" else (name_word, short_word)
-                if head == "name" and name.endswith(("licen[sc]e", "unlicense")):
-                    head = "licen"
-                made.append(Rule(len(made), label + (f"-{version}" if version else ""), priority + 2 * bool(version) + ("-" in label), confidence, re.compile(r"(?<![a-z0-9])" + text + r"(?![a-z])"), head, words))
+                add(label + (f"-{version}" if version else ""), priority + 2 * bool(version) + ("-" in label), confidence, text)
     return tuple(made)
 
 
 @cache
-def keywords() -> tuple[str, ...]:
-    return tuple(dict.fromkeys(k for r in rules() for k in r.keywords))
+def automaton() -> ahocorasick.Automaton:
+    """Finds every literal that a rule needs."""
+    found = ahocorasick.Automaton()
+    for word in {w for r in rules() for need in r.needs for w in need}:
+        found.add_word(word, word)
+    found.make_automaton()
+    return found
 
 
-def heads(text: str) -> set[str]:
-    """The heads that a lower-cased text holds; rules of a bare name need "name", or "licen" where the name does."""
-    has = {"name"}
-    if "licen" in text:
-        has |= {"licen"} | {h for h, forms in (("spdx", ("spdx-licen",)), ("colon", ("license:", "licence:"))) if any(f in text for f in forms)}
-    if "under" in text and _GRANTED.search(text):
-        has.add("grant")
-    return has
+@cache
+def by_rarest() -> dict[str, list[Rule]]:
+    """Rules by the members of that one of their sets whose members are longest; rules without sets under ''."""
+    out: dict[str, list[Rule]] = {}
+    for rule in rules():
+        for word in max(rule.needs, key=lambda s: min(map(len, s)), default=("",)):
+            out.setdefault(word, []).append(rule)
+    return out
 
 
 def detections(text: str, gated: bool = True) -> list[tuple[int, int, Rule]]:
-    """Detections in a lower-cased text that stand: by priority, then length, then rule order; contained ones go.
-
-    The gate passes over rules whose head or words the text lacks, which cannot match.
+    """Detections in a lower-cased text that stand, by place. Those that lie within another of the same or higher priority go;
+    of equal intervals the earlier rule stands. The gate passes over rules whose literals the text lacks, which cannot match.
     """
-    held = {k for k in keywords() if k in text}
-    has = heads(text)
-    found = []
-    for rule in rules() if held or not gated else ():
-        if not gated or rule.head in has and held.intersection(rule.keywords):
-            found += [(m.start(), m.end(), rule) for m in rule.pattern.finditer(text)]
+    if gated:
+        held = {word for _, word in automaton().iter(text)}
+        index = by_rarest()
+        some = {r.order: r for word in ("", *held) for r in index.get(word, ())}
+        chosen = [r for _, r in sorted(some.items()) if all(need & held for need in r.needs)]
+    else:
+        chosen = list(rules())
+    found = [(m.start(), m.end(), rule) for rule in chosen for m in rule.pattern.finditer(text)]
     found.sort(key=lambda d: (-d[2].priority, d[0] - d[1], d[2].order, d[0]))
     stand: list[tuple[int, int, Rule]] = []
+    starts: list[int] = []  # of the intervals that lie in no other: starts and ends both ascend
+    ends: list[int] = []
     for start, end, rule in found:
-        if not any(a < end and start < b for a, b, _ in stand):
-            stand.append((start, end, rule))
-    return sorted(stand, key=lambda d: d[0])
+        k = bisect_right(starts, start)
+        if k and ends[k - 1] >= end:
+            continue
+        stand.append((start, end, rule))
+        first = k - 1 if k and starts[k - 1] == start else k
+        last = bisect_right(ends, end)
+        starts[first : max(first, last)] = [start]
+        ends[first : max(first, last)] = [end]
+    return sorted(stand, key=lambda d: (d[0], d[1]))
 
 
 def base_places(text: bytes) -> list[tuple[int, str]]:

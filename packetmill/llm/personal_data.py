@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -42,13 +43,29 @@ _ADDED = (
 _SECRET_HINTS, _NAME_HINTS = ("passw", "secret", "key", "token"), ("Mr", "Ms", "Dr", "Prof", "Herr", "Frau", "Mme", "Sr")
 # Words that stand near such data, by kind, and gazetteers.
 CONTEXT = {
-    "email": ("mail", "contact", "write", "correo"), "ip": ("ip", "host", "server", "address"), "card": ("card", "visa", "credit", "payment", "tarjeta", "karte"),
-    "phone": ("phone", "tel", "call", "mobile", "fax"), "local_phone": ("phone", "tel", "call", "mobile", "fax"), "ssn": ("ssn", "social", "security"),
-    "iban": ("iban", "bank", "account", "konto"), "secret": ("password", "passwd", "secret", "key", "token", "login"), "name": ("dear", "signed", "by", "from", "patient"),
-}
-AGAINST = ("version", "isbn", "doi", "page", "figure", "section", "chapter", "order", "id")
-TLDS = frozenset("com org net edu gov io de fr es uk eu info co us".split())
-GIVEN = frozenset("james mary john maria anna peter paul david michael robert linda susan hans jean pierre jose juan carlos laura thomas".split())
+    "email": ("mail", "email", "contact", "write", "reply", "from", "to", "correo", "kontakt", "courriel", "adresse"),
+    "ip": ("ip", "host", "server", "address", "client", "login", "from", "gateway", "dns", "router", "servidor", "adresse"),
+    "card": ("card", "visa", "mastercard", "amex", "credit", "debit", "payment", "charge", "tarjeta", "karte", "carte", "kreditkarte"),
+    "phone": ("phone", "tel", "telephone", "call", "mobile", "cell", "fax", "whatsapp", "telefon", "handy", "portable", "movil"),
+    "local_phone": ("phone", "tel", "telephone", "call", "mobile", "cell", "fax", "whatsapp", "telefon", "handy", "portable", "movil"),
+    "ssn": ("ssn", "social", "security", "taxpayer", "insurance", "number"),
+    "iban": ("iban", "bank", "account", "transfer", "konto", "cuenta", "compte", "bic", "swift"),
+    "secret": ("password", "passwd", "pwd", "secret", "key", "token", "login", "credential", "auth", "bearer", "config", "env", "export"),
+    "name": ("dear", "signed", "by", "from", "patient", "client", "customer", "lieber", "liebe", "cher", "estimado", "sincerely"),
+}
+AGAINST = ("version", "release", "isbn", "issn", "doi", "page", "pages", "figure", "table", "section", "chapter", "order", "ticket", "part", "model", "serial", "build")
+TLDS = frozenset(
+    "com org net edu gov mil int info biz name pro io ai app dev me tv cc co eu de at ch fr es it pt nl be lu uk ie us ca mx br ar cl pe ve uy ec bo py cu cr pa do gt "
+    "dk se no fi is ee lv lt pl cz sk hu ro bg gr cy mt si hr rs ba mk al ua by ru tr il ae sa qa kw eg ma tn dz za ng ke gh in pk bd lk np cn hk tw jp kr sg my th vn id ph au nz".split()
+)
+GIVEN = frozenset(
+    "adam agnes alan albert alex alexander alice alicia amanda amy ana andrea andreas andrew angela anita anja anna anne annette anthony antonio barbara beatriz benjamin bernard bernd brian bruno camille carla carlos carmen "
+    "carol caroline catherine charles charlotte christian christina christine christoph christopher claire claudia craig cristina daniel daniela david deborah denise dennis diana diego dieter dominique donald dorothy edward "
+    "elena elizabeth emily emma eric erik esther eva felix fernando florian francesca francis francisco frank franz friedrich gabriel gabriele george gerald gerhard gloria gregory hannah hans heike heinz helen helga henri "
+    "henry holger ignacio ines ingrid irene isabel jack jacques james jan jane javier jean jennifer jessica joan joachim johannes john jonas jorge jose joseph joshua juan judith julia julie karen karin karl katharina kevin "
+    "klaus kurt larry laura lisa louis luca lucas luis luise manuel marc marco margaret maria marie mark markus martha martin mary matthew michael michel miguel monika nancy nicole nina olivier oscar pablo patricia paul pedro "
+    "peter philippe pierre rachel ralf raul rebecca richard robert rosa ruth samuel sandra sarah sebastian sofia stefan stephen susan sylvie thomas ursula victor walter william wolfgang".split()
+)
 LABELERS = ("pattern", "checksum", "gazetteer", "context", "counter_context", "shape")
 
 
@@ -97,24 +114,47 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out, key=lambda s: (s.start, KINDS.index(s.kind)))
 
 
-def candidates(text: str) -> list[Span]:
-    """Base matches, then matches of the added patterns that overlap none of them nor an earlier one."""
-    out = base_spans(text)
+def _merged(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the disjoint intervals that spans, by start, cover."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for s in spans:
+        if ends and s.start < ends[-1]:
+            ends[-1] = max(ends[-1], s.end)
+        else:
+            starts.append(s.start)
+            ends.append(s.end)
+    return starts, ends
+
+
+def added_matches(text: str, gated: bool = True) -> Iterator[tuple[str, int, int]]:
+    """Matches of the added patterns, one pattern after the other. The gate passes over patterns that cannot match."""
     digit = bool(_DIGIT.search(text))
     for kind, pattern in _ADDED:
-        if kind == "secret":
+        if gated and kind == "secret":
             folded = text.casefold()
             if not any(h in folded for h in _SECRET_HINTS):
                 continue
-        elif kind == "name":
+        elif gated and kind == "name":
             if not any(h in text for h in _NAME_HINTS):
                 continue
-        elif not digit:
+        elif gated and not digit:
             continue
         for m in pattern.finditer(text):
-            a, b = m.span(1) if pattern.groups else m.span()
-            if not any(s.start < b and a < s.end for s in out):
-                out.append(Span(kind, a, b, False))
+            yield kind, *(m.span(1) if pattern.groups else m.span())
+
+
+def candidates(text: str, gated: bool = True) -> list[Span]:
+    """Base matches, then matches of the added patterns that overlap none of them nor an earlier one."""
+    out = base_spans(text)
+    starts, ends = _merged(out)
+    for kind, a, b in added_matches(text, gated):
+        k = bisect_left(starts, b)
+        if k and ends[k - 1] > a:
+            continue
+        starts.insert(k, a)
+        ends.insert(k, b)
+        out.append(Span(kind, a, b, False))
     return sorted(out, key=lambda s: (s.start, KINDS.index(s.kind), s.end))
 
 
