@@ -28,6 +28,13 @@ def unescape(text: Column, pairs: tuple = ESCAPES) -> Column:
     return text
 
 
+def blocks_of(items: Column) -> Column:
+    """An array as an array of arrays of about the square root of its length, so that folds within and over blocks stay short; ``items`` is to be a column, as it is read for every block."""
+    size = F.ceil(F.sqrt(F.size(items))).cast("int")
+    many = F.when(F.size(items) > 0, F.transform(F.sequence(F.lit(0), F.ceil(F.size(items) / size).cast("int") - 1), lambda k: F.slice(items, k * size + 1, size)))
+    return F.coalesce(many, F.filter(F.array(items), lambda x: F.lit(False)))
+
+
 def format_conversations(turns: DataFrame, *, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", learn: str = "assistant") -> DataFrame:
     """(conv id, formatted, mask): one row per conversation; mask is an array of (start, end), code points, end exclusive.
 
@@ -35,7 +42,8 @@ def format_conversations(turns: DataFrame, *, conv_id: str = "conv_id", turn: st
     role counts as empty, and rows with a null conversation id form one conversation. Roles are kept as
     written. Empty texts of ``learn`` have an empty range. Extra columns are not read; an empty table gives
     an empty result. A conversation is one row of the result, so its turns meet in one task; turns are
-    merged by comparing neighbours in the sorted array, in one pass however long the conversation is.
+    merged by comparing neighbours in the sorted array. Places under the mask are sums over blocks of turns and then within
+    them, so that 50,000 turns take no more than a few hundred steps over each.
     """
     rows = turns.select(
         F.col(conv_id).alias("conv"), F.col(turn).alias("t"), F.coalesce(F.col(role), F.lit("")).alias("r"), F.coalesce(F.col(text), F.lit("")).alias("x")
@@ -57,29 +65,44 @@ def format_conversations(turns: DataFrame, *, conv_id: str = "conv_id", turn: st
     made = sorted_rows.select("conv", F.transform("rows", segment).alias("parts"))
     made = made.select("conv", "parts", F.array_join(F.transform("parts", lambda p: F.concat(p["before"], p["body"], p["after"])), "").alias("formatted"))
 
+    lengths = F.transform("parts", lambda p: F.struct(F.length(p["before"]).alias("before"), F.length(p["body"]).alias("body"), F.length(p["after"]).alias("after"), p["learn"].alias("learn")))
+    made = made.select("conv", "formatted", lengths.alias("lengths")).select("conv", "formatted", blocks_of(F.col("lengths")).alias("blocks"))
+    made = made.select("conv", "formatted", "blocks", F.transform("blocks", lambda b: F.aggregate(b, F.lit(0), lambda at, p: at + p["before"] + p["body"] + p["after"])).alias("sizes"))
+
+    def start(state: Column, size: Column) -> Column:
+        return F.struct((state["at"] + size).alias("at"), F.concat(state["starts"], F.array(state["at"])).alias("starts"))
+
+    starts = F.aggregate("sizes", F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")), start, lambda state: state["starts"])
+    made = made.select("conv", "formatted", F.arrays_zip(F.col("blocks"), starts.alias("start")).alias("blocks"))
+
     def step(state: Column, part: Column) -> Column:
-        start = state["at"] + F.length(part["before"])
-        end = start + F.length(part["body"])
+        start = state["at"] + part["before"]
+        end = start + part["body"]
         span = F.struct(start.alias("start"), end.alias("end"))
-        return F.struct((end + F.length(part["after"])).alias("at"), F.when(part["learn"], F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"))
+        return F.struct((end + part["after"]).alias("at"), F.when(part["learn"], F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"))
+
+    def spans(block: Column) -> Column:
+        return F.aggregate(block["blocks"], F.struct(block["start"].alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans")), step, lambda state: state["spans"])
 
-    nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
-    mask = F.aggregate("parts", nothing, step, lambda state: state["spans"])
-    return made.select(F.col("conv").alias(conv_id), "formatted", mask.alias("mask"))
+    return made.select(F.col("conv").alias(conv_id), "formatted", F.flatten(F.transform("blocks", spans)).alias("mask"))
 
 
 def read_back(formatted: DataFrame, conv_id: str = "conv_id") -> DataFrame:
     """(conv id, turns, loss_text, formatted): every row's (role, text) and the text under the mask, from the formatted text and mask alone."""
     pieces = F.filter(F.split("formatted", END + "\n"), lambda p: p != "")
 
-    def messages(piece: Column) -> Column:
+    def parted(piece: Column) -> Column:
         role = unescape(F.substring_index(F.substring(piece, len(HEAD) + 1, 1 << 30), ": ", 1))
-        body = F.substring(piece, F.instr(piece, F.lit(": ")) + 2, F.length(piece))
-        return F.transform(F.split(body, NEXT), lambda x: F.struct(role.alias("role"), unescape(x).alias("text")))
-
-    turns = F.flatten(F.transform(pieces, messages))
-    learned = F.transform("mask", lambda m: unescape(F.substring(F.col("formatted"), m["start"] + 1, m["end"] - m["start"])))
-    return formatted.select(conv_id, turns.alias("turns"), F.array_join(learned, "").alias("loss_text"), "formatted")
+        return F.struct(role.alias("role"), F.split(F.substring(piece, F.instr(piece, F.lit(": ")) + 2, F.length(piece)), NEXT).alias("texts"))
+
+    # A merged turn is taken apart once, and then its texts one by one.
+    turns = F.flatten(F.transform(F.transform(pieces, parted), lambda t: F.transform(t["texts"], lambda x: F.struct(t["role"].alias("role"), unescape(x).alias("text")))))
+    first, last = lambda b: F.get(b, F.lit(0))["start"], lambda b: F.element_at(b, -1)["end"]
+    parts = formatted.select(conv_id, "formatted", turns.alias("turns"), blocks_of(F.col("mask")).alias("blocks"))
+    # The text of a block of ranges is cut from the whole, and each range from that text.
+    parts = parts.select(conv_id, "formatted", "turns", F.transform("blocks", lambda b: F.struct(F.substring(F.col("formatted"), first(b) + 1, last(b) - first(b)).alias("text"), b.alias("ranges"))).alias("blocks"))
+    learned = F.flatten(F.transform("blocks", lambda b: F.transform(b["ranges"], lambda m: unescape(F.substring(b["text"], m["start"] - first(b["ranges"]) + 1, m["end"] - m["start"])))))
+    return parts.select(conv_id, "turns", F.array_join(learned, "").alias("loss_text"), "formatted")
 
 
 def digests(formatted: DataFrame, conv_id: str = "conv_id") -> DataFrame:

@@ -63,17 +63,16 @@ def unit(rows: Iterable) -> np.ndarray:
 def collisions(left: np.ndarray, right: np.ndarray, window: float) -> np.ndarray:
     """For every left and right row, on how many columns the right value lies in the window centred on the left one.
 
-    Each column of the right side is sorted once; a window is then a range of ranks.
+    Each column of the right side is sorted; the window of a left row is a range of that order, and the rows in it count once each.
     """
-    count = np.zeros((len(left), len(right)), np.uint8)
+    count = np.zeros(len(left) * len(right), np.uint8)
     for a, b in zip(left.T, right.T, strict=True):
         order = np.argsort(b)
-        rank = np.empty(len(b), np.int32)
-        rank[order] = np.arange(len(b), dtype=np.int32)
-        low = np.searchsorted(b[order], a - window).astype(np.int32)
-        size = np.searchsorted(b[order], a + window, side="right").astype(np.int32) - low
-        count += (rank[None, :] - low[:, None]).view(np.uint32) < size.view(np.uint32)[:, None]
-    return count
+        low, high = np.searchsorted(b[order], a - window), np.searchsorted(b[order], a + window, side="right")
+        size = high - low
+        within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        count[np.repeat(np.arange(len(left)) * len(right), size) + order[np.repeat(low, size) + within]] += 1
+    return count.reshape(len(left), len(right))
 
 
 def linked_pairs(left: np.ndarray, right: np.ndarray, same: bool, cosine: float, window: float, n: int, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,9 +118,10 @@ def collision_links(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0),
         F.lit(False),
     )
-    rows = rows.withColumn("sound", sound)
+    digest = F.sha2(F.concat_ws(",", F.transform("v", lambda x: F.hex(F.xxhash64(x)))), 256)  # equal vectors meet by it, never by their components
+    rows = rows.withColumn("sound", sound).withColumn("digest", F.when(F.col("sound"), digest))
     classes = materialise(
-        rows.where("sound").groupBy("label", "v").agg(F.count("*").alias("n"), F.min("id").alias("least")).withColumn("node", F.monotonically_increasing_id()), "vectors"
+        rows.where("sound").groupBy("label", "digest").agg(F.count("*").alias("n"), F.min("id").alias("least"), F.first("v").alias("v")).withColumn("node", F.monotonically_increasing_id()), "vectors"
     )
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     signs = max(0, ceil(log2(max(largest, 1) / cell)))
@@ -185,7 +185,7 @@ def collision_links(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     rooted = classes.join(degree, F.col("node") == F.col("a"), "left").drop("a")
     rooted = rooted.join(joined.withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left").withColumn("root", F.coalesce("component", "node"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "root").select("label", "v", (F.col("n") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), "component_id")
-    out = rows.where("sound").join(named, ["label", "v"]).select("id", "n_links", "component_id")
+    named = rooted.join(smallest, "root").select("label", "digest", (F.col("n") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), "component_id")
+    out = rows.where("sound").join(named, ["label", "digest"]).select("id", "n_links", "component_id")
     out = out.unionByName(rows.where("not sound").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id")))
     return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))

@@ -52,6 +52,20 @@ def test_chat_round_trip(spark):
     assert cf.format_conversations(frame.limit(0)).count() == 0
 
 
+def test_chat_of_many_turns(spark):
+    """Places and loss texts of conversations of 50,000 turns, alternating and all by one role."""
+    n = 50_000
+    frame = spark.range(2 * n).select((F.col("id") % 2).alias("conv_id"), F.floor(F.col("id") / 2).cast("int").alias("turn"), F.when((F.col("id") % 2 == 1) | (F.floor(F.col("id") / 2) % 2 == 1), "assistant").otherwise("user").alias("role"), F.concat(F.lit("é turn "), F.col("id")).alias("text"))
+    began = time.time()
+    got = {r.conv_id: r for r in cf.digests(cf.format_conversations(frame)).collect()}
+    assert time.time() - began < 60
+    for conv in (0, 1):
+        turns = [("assistant" if conv or t % 2 else "user", f"é turn {2 * t + conv}") for t in range(n)]
+        loss = "".join(t for r, t in turns if r == "assistant")
+        assert got[conv].n_turns == n and got[conv].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+        assert got[conv].loss_chars == len(loss) and got[conv].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+
+
 # --- packing
 
 
