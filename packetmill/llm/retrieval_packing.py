@@ -1,7 +1,8 @@
 """Lexical retrieval packing: BM25 neighbours of a seed document fill its window of tokens.
 
 Documents are tokenised once. Their whole windows stand alone; what is left of each, shorter than a window, is
-dealt to shards of a bounded number of documents. Every shard has an inverted index over token ids; document
+dealt to shards of a bounded number of documents, ranges of an order in which texts of similar words stand near each other: the
+signs of weighted sums of random directions, one direction a token id, rare ids weighing more. Every shard has an inverted index over token ids; document
 frequencies and the mean length cover the whole corpus. The longest unused piece seeds a window, BM25
 ranks the unused pieces of the shard by the seed's terms, and the best that fit fill the window; where none
 fits, the best one is cut. So every window of a shard but its last is full.
@@ -23,7 +24,9 @@ from .base import arrow_rows, materialise
 
 WINDOW, END_ID, VOCABULARY = 2048, 1, 1 << 16
 #: Documents of a shard, about; an index of so many remainders takes a few MB.
-SHARD_DOCS = 1000
+SHARD_DOCS = 400
+#: Signs of a text's place among all.
+SIGNS = 8
 K1, B = 1.2, 0.75
 
 
@@ -68,24 +71,50 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+_axes: dict[int, np.ndarray] = {}
+
+
+def axes(seed: int = 29) -> np.ndarray:
+    """A direction for every token id, longer for ids that merges made late, which are rarer."""
+    if seed not in _axes:
+        _axes[seed] = np.random.default_rng(seed).standard_normal((VOCABULARY, SIGNS), np.float32) * np.log1p(np.arange(VOCABULARY, dtype=np.float32))[:, None]
+    return _axes[seed]
+
+
+def place(ids: np.ndarray) -> int:
+    """Where a text stands among all: signs of the sum of its ids' directions, read as a Gray code, so that neighbours differ in few signs."""
+    bits = int.from_bytes(np.packbits(np.ones(len(ids), np.float32) @ axes().take(ids, axis=0) > 0).tobytes(), "big")
+    for shift in (4, 2, 1):
+        bits ^= bits >> shift
+    return bits
+
+
+def narrow(ids: np.ndarray) -> np.ndarray:
+    """Token ids in 16 bits, which must hold them."""
+    if len(ids) and int(ids.max()) >= VOCABULARY:
+        raise ValueError(f"token id {int(ids.max())} does not fit 16 bits")
+    return ids.astype("<u2")
+
+
 def tokenise(docs: DataFrame, path: str, id_col: str, text_col: str, window: int) -> DataFrame:
-    """(row, id, doc_tokens, crcs of whole windows, tail start, tail as little-endian 16-bit ids) per document."""
+    """(row, id, doc_tokens, crcs of whole windows, tail as little-endian 16-bit ids, place of the tail) per document."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in arrow_rows(batches, 1024):
-            totals, crcs, tails = [], [], []
+            totals, crcs, tails, places = [], [], [], []
             for text in batch.column("text"):
                 ids = np.append(enc.ids(text.as_py() or ""), np.uint32(END_ID)).astype("<u4")
                 cut = len(ids) // window * window
                 totals.append(len(ids))
                 crcs.append([zlib.crc32(ids[a : a + window].tobytes()) for a in range(0, cut, window)])
-                tails.append(ids[cut:].astype("<u2").tobytes() if VOCABULARY <= 1 << 16 else ids[cut:].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(totals, pa.int64()), pa.array(crcs, pa.list_(pa.int64())), pa.array(tails, pa.binary())], ["id", "doc_tokens", "crcs", "tail"])
+                tails.append(narrow(ids)[cut:].tobytes())
+                places.append(place(ids[cut:]))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(totals, pa.int64()), pa.array(crcs, pa.list_(pa.int64())), pa.array(tails, pa.binary()), pa.array(places, pa.int32())], ["id", "doc_tokens", "crcs", "tail", "place"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, doc_tokens long, crcs array<long>, tail binary")
+    return rows.mapInArrow(run, f"id {kind}, doc_tokens long, crcs array<long>, tail binary, place int")
 
 
 def corpus_statistics(tokens: DataFrame) -> tuple[np.ndarray, float]:
@@ -173,7 +202,8 @@ def retrieval_packs(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id",
     offset 0, and its length is at most ``window``; only the last sequence of a shard may be shorter. sequence_id
     is unique over the result. ids_crc32 is taken over unsigned little-endian 32-bit ids. Repeated rows and
     ids and null ids are packed like any others; extra columns are not read; an empty table gives an empty result.
-    The tokenised table is written once to the shared folder, so that rows keep their shards on a retry.
+    The tokenised table is written once to the shared folder, so that rows keep their shards on a retry. A tokenizer with
+    ids of more than 16 bits raises an error.
     """
     tokens = materialise(tokenise(docs, tokenizer, id_col, text_col, window), "tokens")
     n = tokens.count()
@@ -181,10 +211,13 @@ def retrieval_packs(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id",
     shards = max(1, -(-n // shard_docs))
     kind = docs.schema[id_col].dataType.simpleString()
 
-    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["id", "doc_tokens", "tail"], kind="stable", na_position="last").reset_index(drop=True)
+    def pack(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = [b for b in batches if len(b)]
+        if not held:
+            return
+        rows = pd.concat(held).sort_values(["id", "doc_tokens", "tail"], kind="stable", na_position="last").reset_index(drop=True)
         out: list[tuple[int, int, int, int, int, int]] = []
-        sequence = int(key[0]) << 32
+        sequence = int(rows["shard"].iloc[0]) << 32
         for r, crcs in enumerate(rows["crcs"]):
             for k, crc in enumerate(crcs):
                 out.append((r, k * window, window, int(crc), sequence, 0))
@@ -201,8 +234,10 @@ def retrieval_packs(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id",
         made = pd.DataFrame(dict(zip(("start", "length", "ids_crc32", "sequence_id", "offset"), cols[1:], strict=True)))
         made.insert(0, "id", rows["id"].iloc[cols[0]].array)
         made["doc_tokens"] = rows["doc_tokens"].to_numpy()[cols[0]]
-        return made
+        yield made
 
-    dealt = tokens.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))  # by place in the written table: repeated rows spread too
-    packed = dealt.groupBy("shard").applyInPandas(pack, f"id {kind}, start long, length long, ids_crc32 long, sequence_id long, offset long, doc_tokens long")
+    # Equal places are told apart by the row's place in the written table, so that repeated rows spread over shards too.
+    spread = tokens.withColumn("mix", F.xxhash64(F.monotonically_increasing_id()))
+    dealt = spread.repartitionByRange(shards, "place", "mix").select("id", "doc_tokens", "crcs", "tail", F.spark_partition_id().alias("shard"))
+    packed = dealt.mapInPandas(pack, f"id {kind}, start long, length long, ids_crc32 long, sequence_id long, offset long, doc_tokens long")
     return packed.select(F.col("id").alias(id_col), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -113,6 +113,31 @@ def test_bm25(spark):
         assert np.allclose(index.scores(seed), plain, rtol=1e-4)
 
 
+def test_shards_bring_similar_texts_together(spark):
+    """The best BM25 score that a shard has for a text is nearer to the best of all documents than in shards dealt by chance."""
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    tokens = rp.tokenise(docs, public_tokenizers.path("byte_bpe_50k.json"), "doc_id", "text", 2048)
+    idf, mean = rp.corpus_statistics(tokens)
+    rows = sorted(((r.place, r.id, np.frombuffer(r.tail, "<u2")) for r in tokens.collect()), key=lambda r: r[:2])
+    tails = [t for *_, t in rows]
+    scores = rp.ShardIndex(tails, idf, mean)
+    rng = np.random.default_rng(2)
+    shard, chance = np.arange(len(tails)) // 100, rng.permutation(len(tails)) // 100
+    best = {"all": 0.0, "shard": 0.0, "chance": 0.0}
+    for seed in range(0, len(tails), 5):
+        s = scores.scores(seed)
+        s[seed] = 0
+        for name, fit in (("all", np.ones(len(tails), bool)), ("shard", shard == shard[seed]), ("chance", chance == chance[seed])):
+            best[name] += s[fit].max()
+    print({k: round(v / best["all"], 3) for k, v in best.items()})
+    assert best["shard"] > best["chance"] + 0.2 * (best["all"] - best["chance"])
+
+
+def test_wide_ids_raise():
+    with pytest.raises(ValueError, match="16 bits"):
+        rp.narrow(np.array([1, 70_000], "<u4"))
+
+
 # --- labels
 
 
