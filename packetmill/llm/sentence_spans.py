@@ -3,8 +3,8 @@
 Sentences end at marks and line ends. Longer ones are cut further before chosen words: of every ``piece`` consecutive
 words of a sentence the one of least hash. Those cuts depend on nearby words only, so a passage that starts or
 ends within a sentence is cut in the same places wherever it stands, but for fewer than ``piece`` words at its start and at
-most ``piece`` at its end. From every piece on, and back from every piece, the shortest run of at least ``sentences`` pieces and
-``least_words`` words is hashed. Hashes meet in one aggregation over the corpus; the first place of each, by document and
+most ``piece`` at its end. From every piece on, and back from every piece that ends a sentence, the shortest run of at least
+``sentences`` pieces and ``least_words`` words is hashed. Hashes meet in one aggregation over the corpus; the first place of each, by document and
 position, stays, and the pieces of every other place go. With the default parameters a passage of more than 50 words
 that stands twice holds at least three whole pieces of 28 words together, so that its later places always lose some.
 """
@@ -32,8 +32,8 @@ def sentence_starts(text: bytes) -> list[int]:
     return sorted({0, *(m.end() for m in _CUT.finditer(text))} - {len(text)}) if text else []
 
 
-def piece_cuts(block: Words, texts: list[bytes], piece: int) -> tuple[np.ndarray, np.ndarray]:
-    """Words of the block that begin a piece, and the byte in their text where it begins; a wordless sentence belongs to the piece before it.
+def piece_cuts(block: Words, texts: list[bytes], piece: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of the block that begin a piece, the byte in their text where it begins, and whether it begins a sentence; a wordless sentence belongs to the piece before it.
 
     Of equal hashes in a window the last word counts, so that repeated words make short pieces.
     """
@@ -47,6 +47,7 @@ def piece_cuts(block: Words, texts: list[bytes], piece: int) -> tuple[np.ndarray
         inside = word < block.first[t + 1]
         at[word[inside]] = starts[inside]
         at[block.first[t]] = 0
+    opens = at >= 0
     if n >= piece:
         sentence = np.cumsum(at >= 0)
         least = (block.hash >> np.uint64(32) << np.uint64(32)) | (np.uint64(0xFFFFFFFF) - np.arange(n, dtype=np.uint64))
@@ -59,11 +60,11 @@ def piece_cuts(block: Words, texts: list[bytes], piece: int) -> tuple[np.ndarray
         chosen = chosen[at[chosen] < 0]
         at[chosen] = block.start[chosen] - block.offset[np.searchsorted(block.first, chosen, side="right") - 1]
     cut = np.flatnonzero(at >= 0)
-    return cut, at[cut]
+    return cut, at[cut], opens[cut]
 
 
-def runs(first: np.ndarray, sentences: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, end) pieces of all runs, each once; ``first`` holds the first word of each piece and the number of words."""
+def runs(first: np.ndarray, closes: np.ndarray, sentences: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) pieces of all runs, each once; ``first`` holds the first word of each piece and the number of words, ``closes`` whether a piece ends a sentence."""
     n = len(first) - 1
     at = np.arange(n)
 
@@ -73,7 +74,7 @@ def runs(first: np.ndarray, sentences: int, least_words: int) -> tuple[np.ndarra
     forward = shortest(first)
     whole = forward <= n
     back = n - shortest(first[-1] - first[::-1])[::-1]
-    whole_back = back >= 0
+    whole_back = (back >= 0) & closes
     pair = np.unique(np.concatenate((at[whole] * (n + 1) + forward[whole], back[whole_back] * (n + 1) + at[whole_back] + 1)))
     return pair // (n + 1), pair % (n + 1)
 
@@ -84,14 +85,14 @@ def span_hashes(texts: list[bytes], sentences: int, least_words: int, piece: int
     power = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(len(block.hash), _STEP))))
     down = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(len(block.hash), _BACK))))
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(block.hash * power[:-1])))
-    cut, _ = piece_cuts(block, texts, piece)
+    cut, _, opens = piece_cuts(block, texts, piece)
     edge = np.searchsorted(cut, block.first)
     out: list[tuple[np.ndarray, ...]] = []
     for t in range(len(texts)):
         if edge[t] == edge[t + 1]:
             continue
         first = np.append(cut[edge[t] : edge[t + 1]], block.first[t + 1])
-        a, b = runs(first, sentences, least_words)
+        a, b = runs(first, np.append(opens[edge[t] + 1 : edge[t + 1]], True), sentences, least_words)
         wa, wb = first[a], first[b]
         out.append((np.full(len(a), t), mix((total[wb] - total[wa]) * down[wa] + (wb - wa).astype(np.uint64)), a, b))
     if not out:
@@ -102,7 +103,7 @@ def span_hashes(texts: list[bytes], sentences: int, least_words: int, piece: int
 def without(texts: list[bytes], spans: list[list[tuple[int, int]]], piece: int) -> Iterator[tuple[bytes, int, int]]:
     """Each text without the pieces of its spans, its pieces, and how many of them went."""
     block = Words([t.lower() for t in texts])
-    cut, at = piece_cuts(block, texts, piece)
+    cut, at, _ = piece_cuts(block, texts, piece)
     edge = np.searchsorted(cut, block.first)
     for t, text in enumerate(texts):
         starts = [*at[edge[t] : edge[t + 1]].tolist(), len(text)]
