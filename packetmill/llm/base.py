@@ -50,11 +50,17 @@ def discard(df: DataFrame) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def free_name(df: DataFrame) -> str:
+    """A column name that ``df`` does not have."""
+    name, taken = "row", {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def numbered(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """``df`` with a number for every row under a column name that it does not have, written once so that all readers see the same numbers."""
-    name = "row"
-    while name in df.columns:
-        name += "_"
+    name = free_name(df)
     return materialise(df.withColumn(name, F.monotonically_increasing_id()), tag), name
 
 

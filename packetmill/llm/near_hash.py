@@ -316,13 +316,13 @@ def runs_of(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.diff(np.append(start, len(key)))
 
 
-def with_neighbours(key: np.ndarray, x: np.ndarray, y: np.ndarray, cut: int, small: int = SMALL_RUN, tile: int = TILE) -> np.ndarray:
-    """Whether each position shares its run of equal keys with another whose (x, y) words differ in ``cut`` or fewer bits."""
+def with_neighbours(key: np.ndarray, label: np.ndarray, x: np.ndarray, y: np.ndarray, cut: int, small: int = SMALL_RUN, tile: int = TILE) -> np.ndarray:
+    """Whether each position shares its run of equal keys with one of another label whose (x, y) words differ in ``cut`` or fewer bits."""
     start, length = runs_of(key)
     out = np.zeros(len(key), bool)
     few = np.repeat(length <= small, length)
     for d in range(1, min(small, int(length.max(initial=0)))):
-        at = np.flatnonzero((key[d:] == key[:-d]) & few[d:])
+        at = np.flatnonzero((key[d:] == key[:-d]) & few[d:] & (label[d:] != label[:-d]))
         at = at[np.bitwise_count(x[at] ^ x[at + d]).astype(np.int16) + np.bitwise_count(y[at] ^ y[at + d]) <= cut]
         out[at] = out[at + d] = True
     for k in np.flatnonzero(length > small):
@@ -331,7 +331,7 @@ def with_neighbours(key: np.ndarray, x: np.ndarray, y: np.ndarray, cut: int, sma
         for at in range(a, b, step):
             end = min(b, at + step)
             near = np.bitwise_count(x[at:end, None] ^ x[a:b]).astype(np.int16) + np.bitwise_count(y[at:end, None] ^ y[a:b]) <= cut
-            out[at:end] |= near.sum(axis=1) > 1  # it is its own neighbour
+            out[at:end] |= (near & (label[at:end, None] != label[a:b])).any(axis=1)
     return out
 
 
@@ -425,7 +425,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``key_plan`` says. Texts that share a key with a text of close fingerprint go on; their whole fingerprints meet by the same
     keys, and pairs too far apart in bits or sizes are passed over. The shingle sets of all others are compared whole, so no
     pair below ``similarity`` is linked. This is done for pairs that span the runs of a few tables first, and then
-    for all pairs of all tables that are not in one group yet, so that a large group of copies gives few pairs and no link between
+    for all pairs of all tables whose ends are not in one group yet, so that a large group of copies gives few pairs and no link between
     groups is left out. Ids are expected to be unique and not null; the component is named by its least id. Equal sets
     are one class, so copies make no pairs. Null and wordless texts have the empty set and group together. Extra columns are not read.
     """
@@ -452,22 +452,26 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def words_of(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
         return np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint64).reshape(batch.num_rows, -1)
 
-    def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow_rows(batches, 1 << 13):
-            node = batch.column("node").to_numpy()
-            if len(node):
-                words64 = words_of(batch)
-                key, row = similarity_keys(words64, exact, tables)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node[row]), _signed(words64[row, -2]), _signed(words64[row, -1])], ["key", "node", "x", "y"])
-
-    def flag(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_runs(batches):
-            has = with_neighbours(table["key"].to_numpy(), *(table[c].to_numpy().view(np.uint64) for c in ("x", "y")), first_cut)
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(table["node"].to_numpy()[has]))], ["node"])
-
-    keyed = classes.select("node", "fp").mapInArrow(emit, "key long, node long, x long, y long").repartition(F.col("key")).sortWithinPartitions("key", "node")
-    flagged = keyed.mapInArrow(flag, "node long").distinct()
-    chosen = materialise(classes.join(flagged, "node").select("node", "least", "size", "fp"), "chosen")
+    def with_near(rows: DataFrame, labels: tuple[str, ...]) -> DataFrame:
+        """Nodes of rows (node, fp, labels) that share a key with one of another label (of another node, where labels is empty) and of near first bits."""
+
+        def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in arrow_rows(batches, 1 << 13):
+                if batch.num_rows:
+                    words64 = words_of(batch)
+                    key, row = similarity_keys(words64, exact, tables)
+                    of = pa.array(row)
+                    yield pa.RecordBatch.from_arrays([pa.array(key), *(batch.column(c).take(of) for c in ("node", *labels)), _signed(words64[row, -2]), _signed(words64[row, -1])], ["key", "node", *labels, "x", "y"])
+
+        def flag(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for table in whole_runs(batches):
+                has = with_neighbours(table["key"].to_numpy(), table[(*labels, "node")[0]].to_numpy(), *(table[c].to_numpy().view(np.uint64) for c in ("x", "y")), first_cut)
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(table["node"].to_numpy()[has]))], ["node"])
+
+        keyed = rows.select("node", *labels, "fp").mapInArrow(emit, ", ".join(f"{c} long" for c in ("key", "node", *labels, "x", "y")))
+        return keyed.repartition(F.col("key")).sortWithinPartitions("key", "node").mapInArrow(flag, "node long").distinct()
+
+    chosen = materialise(classes.join(with_near(classes, ()), "node").select("node", "least", "size", "fp"), "chosen")
     texts = docs.select(F.col(id_col).alias("least"), F.col(text_col).alias("text"))
     compared = materialise(texts.join(chosen.select("node", "least"), "least").select("node", "text").mapInArrow(sets, "node long, shingles binary"), "sets")
 
@@ -509,7 +513,9 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     links = materialise(linked(pairs_of(chosen.withColumn("label", F.col("node")), min(tables, FIRST_TABLES), "span")), "first")
     found = components(links)
     labelled = chosen.join(found.withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left").withColumn("label", F.coalesce("component", "node"))
-    more = materialise(linked(pairs_of(labelled, tables, "apart")), "more")
+    labelled = materialise(labelled.select("node", "label", "size", "fp"), "labelled")
+    contested = materialise(labelled.join(with_near(labelled, ("label",)), "node").select("node", "label", "size", "fp"), "contested")
+    more = materialise(linked(pairs_of(contested, tables, "apart")), "more")
     if not more.isEmpty():
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     rooted = classes.join(found.withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left").select("fp", "digest", "least", F.coalesce("component", "node").alias("root"))

@@ -168,8 +168,9 @@ def test_pairs_within_runs():
     assert spanned <= wanted and closure(list(range(60)), lambda i, j: (i, j) in spanned) == closure(list(range(60)), lambda i, j: (i, j) in wanted)
     close = lambda i, j: key[i] == key[j] and int(np.bitwise_count(prints[i, -2:] ^ prints[j, -2:]).sum()) <= 30
     for small, tile in ((100, 1), (16, 1 << 21), (16, 64)):
-        flagged = nh.with_neighbours(key, prints[:, -2], prints[:, -1], 30, small, tile)
-        assert flagged.tolist() == [any(close(i, j) for j in range(60) if i != j) for i in range(60)]
+        for own in (np.arange(60), label):
+            flagged = nh.with_neighbours(key, own, prints[:, -2], prints[:, -1], 30, small, tile)
+            assert flagged.tolist() == [any(close(i, j) for j in range(60) if own[i] != own[j]) for i in range(60)]
 
 
 def test_differing_share_of_small_sets():
@@ -291,7 +292,7 @@ def test_decontamination_cases_against_sql(spark, tmp_path):
 
 
 def plain_pieces(text, piece=ss.PIECE):
-    """(byte, words) of every piece, straight from the words and their hashes."""
+    """(byte, words, whether it ends a sentence) of every piece, straight from the words and their hashes."""
     data = text.encode()
     starts = ss.sentence_starts(data)
     out = []
@@ -303,7 +304,7 @@ def plain_pieces(text, piece=ss.PIECE):
         cuts = {0} | {min(range(i, i + piece), key=lambda k: (hashes[k], -k)) for i in range(len(found) - piece + 1)}
         edges = [*sorted(cuts), len(found)]
         for c, d in zip(edges, edges[1:], strict=False):
-            out.append((a + found[c].start() if c else (a if out else 0), [m.group() for m in found[c:d]]))
+            out.append((a + found[c].start() if c else (a if out else 0), [m.group() for m in found[c:d]], d == len(found)))
     return out
 
 
@@ -311,10 +312,11 @@ def brute_spans(rows):
     """Later places of every run, straight from the words."""
     seen, gone = {}, {}
     for key in sorted(rows):
-        said = [w for _, w in plain_pieces(rows[key])]
+        pieces = plain_pieces(rows[key])
+        said = [w for _, w, _ in pieces]
         found = set()
         for i in range(len(said)):
-            for direction in (1, -1):
+            for direction in (1, -1) if pieces[i][2] else (1,):
                 for k in range(1, len(said) + 1):
                     a, b = (i, i + k) if direction == 1 else (i - k + 1, i + 1)
                     if a < 0 or b > len(said):
@@ -334,8 +336,8 @@ def brute_spans(rows):
 def plain_text(text, gone):
     pieces = plain_pieces(text)
     data = text.encode()
-    ends = [b for b, _ in pieces[1:]] + [len(data)]
-    return b"".join(data[b:e] for i, ((b, _), e) in enumerate(zip(pieces, ends, strict=True)) if i not in gone).decode()
+    ends = [b for b, *_ in pieces[1:]] + [len(data)]
+    return b"".join(data[b:e] for i, ((b, *_), e) in enumerate(zip(pieces, ends, strict=True)) if i not in gone).decode()
 
 
 def test_sentence_spans(spark):
