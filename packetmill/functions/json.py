@@ -91,7 +91,7 @@ def _parsed(text: str | None) -> object:
 
 
 def evidence_ids_of(text: str | None) -> list[str]:
-    """Every string under ``evidence_ids`` or ``evidence_id`` at any depth, once each, in document order."""
+    """Every string under ``evidence_ids`` or ``evidence_id`` at any depth, once each, in document order; what these two hold is not entered."""
     found: dict[str, None] = {}
     todo = [_parsed(text)]
     while todo:
@@ -102,7 +102,7 @@ def evidence_ids_of(text: str | None) -> list[str]:
                     found.update((v, None) for v in value if isinstance(v, str))
                 elif name == "evidence_id" and isinstance(value, str):
                     found[value] = None
-            todo += reversed(x.values())
+            todo += reversed([v for k, v in x.items() if k not in ("evidence_ids", "evidence_id")])
         elif isinstance(x, list):
             todo += reversed(x)
     return list(found)
@@ -151,3 +151,33 @@ def intent_idempotency_key(schema_version: Column, source: Column, grades: Colum
     """Key over the four members of a parsed intent; the last three are JSON columns."""
     joined = F.concat(F.lit('{"schema_version":'), F.to_json(F.array(schema_version)).substr(F.lit(2), F.length(F.to_json(F.array(schema_version))) - 2), F.lit(',"source":'), source, F.lit(',"evidence_grades_used":'), grades, F.lit(',"operations":'), operations, F.lit("}"))
     return hash_canonical_json(joined)
+
+
+#: Escapes that the two writers spell with other letters: control characters whose code has a hexadecimal letter.
+_LETTERED = ("0B", "0E", "0F", "1A", "1B", "1C", "1D", "1E", "1F")
+
+
+def canonical_struct(row: Column) -> Column:
+    """Canonical text of a struct whose members stand in key order at every depth and whose numbers are whole, without leaving the JVM."""
+    text = F.to_json(row, {"ignoreNullFields": "false"})
+    lowered = text
+    for code in _LETTERED:
+        lowered = F.regexp_replace(lowered, r"(?<!\\)((?:\\\\)*)\\u00" + code, r"$1\\u00" + code.lower())
+    return F.when(text.contains("\\u00"), lowered).otherwise(text)
+
+
+def serialize_struct(row: Column) -> Column:
+    """``serialize_artifact`` of a struct as ``canonical_struct`` takes it."""
+    content = F.concat(canonical_struct(row), F.lit("\n"))
+    return F.struct(content.alias("content"), F.sha2(content, 256).alias("sha256"), F.octet_length(content).cast("long").alias("byte_count"))
+
+
+def rewrite_idempotency(intent: Column) -> Column:
+    """struct(idempotency_key, rewritten): the key that an intent's members give, and whether the intent states another or none.
+
+    intent is a JSON object column; members that are absent count as null. Null where it is not JSON.
+    """
+    member = lambda name: F.coalesce(F.to_json(F.try_variant_get(F.try_parse_json(intent), "$." + name, "variant")), F.lit("null"))
+    version = F.get_json_object(intent, "$.schema_version")
+    key = F.when(F.try_parse_json(intent).isNotNull(), intent_idempotency_key(F.coalesce(version, F.lit("")), member("source"), member("evidence_grades_used"), member("operations")))
+    return F.struct(key.alias("idempotency_key"), (~F.get_json_object(intent, "$.idempotency_key").eqNullSafe(key)).alias("rewritten"))

@@ -7,13 +7,14 @@ left out before the first write. Applying the same intents again changes nothing
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.json import serialize_artifact
+from ..functions.json import serialize_struct
 from ..functions.text import artifact_storage_path, iso_date, iso_datetime, packet_storage_prefix
 from ..functions.urls import normalize_official_url, normalize_url
 from ..vocabulary import MODEL_ID, OPERATION_TABLES, PACKET_VERSION, V1_VERSION
@@ -155,46 +156,148 @@ def apply_rows(results: DataFrame, incoming: DataFrame, target: DataFrame, keys:
     return replace_rows(target, now, keys)
 
 
-def runs_after(runs: DataFrame, results: DataFrame, now: Column) -> DataFrame:
-    """Runs with those of applied intents applied and completed; completed_at and pointers that are there stay."""
+def runs_after(runs: DataFrame, results: DataFrame, now: Column, ledger: DataFrame | None = None) -> DataFrame:
+    """Runs with those of applied intents applied and completed; completed_at and pointers that are there stay.
+
+    ledger (intent_id, storage_path, content_sha256) fills intent_path and intent_sha256 where runs have these columns.
+    """
     done = results.where("result = 'applied'").groupBy("run_id").agg(F.min("intent_id").alias("_i"))
+    if ledger is not None:
+        done = done.join(ledger.select(F.col("intent_id").alias("_i"), F.col("storage_path").alias("_path"), F.col("content_sha256").alias("_sha")), "_i", "left")
     rows = runs.join(done, "run_id", "left")
     hit = F.col("_i").isNotNull()
     new = {"status": F.when(hit, "applied").otherwise(F.col("status"))}
     if "completed_at" in runs.columns:
         new["completed_at"] = F.coalesce("completed_at", F.when(hit, now))
+    for column, pointer in (("intent_path", "_path"), ("intent_sha256", "_sha")):
+        if ledger is not None and column in runs.columns:
+            new[column] = F.coalesce(column, pointer)
     return rows.select(*[new.get(c, F.col(c)).alias(c) for c in runs.columns])
 
 
+def ledger_after(ledger: DataFrame, results: DataFrame, now: Column) -> DataFrame:
+    """The ledger with intents that apply now applied at ``now``; other columns and rows stay."""
+    done = results.where("result = 'applied'").select("intent_id", F.lit(True).alias("_now"))
+    new = {"status": F.when(F.col("_now"), "applied").otherwise(F.col("status")), "applied_at": F.when(F.col("_now"), now).otherwise(F.col("applied_at"))}
+    if "error_detail" in ledger.columns:
+        new["error_detail"] = F.when(F.col("_now"), F.lit(None).cast("string")).otherwise(F.col("error_detail"))
+    return ledger.join(done, "intent_id", "left").select(*[new.get(c, F.col(c)).alias(c) for c in ledger.columns])
+
+
+def payload_items(ops: DataFrame, kind: str, target: DataFrame, member: str | None = None) -> DataFrame:
+    """One row per item of the payloads of a kind: intent_id, run_id, analysis_id, operation_index, position, and the target's columns as the payload has them.
+
+    member names the list where the payload is an object; a payload that is an object without a list is one item.
+    """
+    own = ("analysis_id", "run_id")
+    item = T.StructType([f for f in target.schema if f.name not in own])
+    text = F.get_json_object("payload", "$." + member) if member else F.when(F.col("payload").startswith("["), F.col("payload")).otherwise(F.concat(F.lit("["), "payload", F.lit("]")))
+    rows = ops.where(F.col("kind") == kind).select("intent_id", "run_id", "analysis_id", "operation_index", F.posexplode(F.from_json(text, T.ArrayType(item))).alias("position", "_item"))
+    return rows.select("intent_id", "run_id", "analysis_id", "operation_index", "position", "_item.*")
+
+
+def apply_intents(tables: dict[str, DataFrame], ops: DataFrame, results: DataFrame, now: Column) -> dict[str, DataFrame]:
+    """The next state of every table after the intents whose result is ``applied``; nothing is written here.
+
+    tables: the targets by name (those of ``OPERATION_TABLES``), and ``ledger`` (intent_id, run_id, status, applied_at,
+    storage_path, content_sha256), ``runs`` (run_id, status, completed_at, intent_path, intent_sha256) and ``events``
+    (as ``intent_events`` gives them). ops: (intent_id, operation_index, kind, payload) as ``explode_operations`` gives
+    them. results: (intent_id, run_id, result). An intent is applied whole or not at all, since refused ones are left
+    out before any table is computed; the same intents again, found applied in the ledger, change nothing.
+    """
+    done = results.where("result = 'applied'").select("intent_id", "run_id").distinct()
+    mine = ops.join(done, "intent_id")
+    out = dict(tables)
+    name = OPERATION_TABLES["create_video_analysis"]
+    target = tables[name]
+    made = payload_items(mine.withColumn("analysis_id", F.lit(None).cast("string")), "create_video_analysis", target)
+    out[name] = create_video_analysis(made.drop("analysis_id", "position", "operation_index"), target)
+    mine = mine.join(out[name].select("run_id", "analysis_id"), "run_id")
+    touched = lambda kind: mine.where(F.col("kind") == kind)
+
+    def write(kind: str, next_table: Callable[[DataFrame, DataFrame], DataFrame], member: str | None = None, keep: tuple[str, ...] = ()) -> None:
+        table = OPERATION_TABLES[kind]
+        if table in tables:
+            target = tables[table]
+            rows = payload_items(mine, kind, target, member)
+            out[table] = next_table(rows.select(*target.columns, *keep), target).select(*target.columns)
+
+    table = OPERATION_TABLES["create_contextualized_initial_summary"]
+    if table in tables:
+        rows = payload_items(mine, "create_contextualized_initial_summary", tables[table]).drop("analysis_id")
+        out[table] = create_initial_summary(rows, out[name], tables[table]).select(*tables[table].columns)
+    write("replace_technology_library_summaries", lambda rows, target: replace_technology_summaries(rows, target, touched("replace_technology_library_summaries")), "families")
+    for kind in ("replace_category_assignments", "replace_domain_assignments", "replace_evidence_anchors"):
+        write(kind, lambda rows, target, kind=kind: replace_category_assignments(rows, target, touched(kind)))
+    table = OPERATION_TABLES["replace_lifecycle_assignments"]
+    if table in tables:
+        stages = touched("replace_lifecycle_assignments").select("analysis_id", F.from_json("payload", "array<string>").alias("stages"))
+        out[table] = replace_lifecycle_assignments(stages, tables[table]).select(*tables[table].columns)
+    write("replace_organization_candidates", lambda rows, target: replace_organization_candidates(rows, target, touched("replace_organization_candidates")))
+    candidates = OPERATION_TABLES["replace_organization_candidates"]
+    write("replace_organization_sources", lambda rows, target: replace_organization_sources(rows, target, out[candidates]) if candidates in out else replace_rows(target, rows, ["organization_candidate_id"]))
+    write("upsert_resource_candidates", lambda rows, target: upsert_resource_candidates(rows.withColumn("applied_at", now), target), keep=("operation_index", "position"))
+    write("upsert_entity_candidates", lambda rows, target: append_entity_candidates(rows, target))
+    write("record_web_search_events", lambda rows, target: append_web_search_events(rows, target))
+    if "events" in tables:
+        n = F.when(F.col("kind") == "replace_technology_library_summaries", F.json_array_length(F.get_json_object("payload", "$.families"))).otherwise(F.json_array_length("payload"))
+        counts = mine.select("intent_id", "operation_index", n.cast("long").alias("n"))
+        out["events"] = tables["events"].unionByName(intent_events(mine, results, counts), allowMissingColumns=True)
+    if "ledger" in tables:
+        out["ledger"] = ledger_after(tables["ledger"], results, now)
+    if "runs" in tables:
+        out["runs"] = runs_after(tables["runs"], results, now, tables.get("ledger"))
+    return out
+
+
+#: Kinds whose event names the analysis and the number of rows.
+_COUNTED = ("replace_technology_library_summaries", "replace_organization_candidates")
+
+
 def intent_events(ops: DataFrame, results: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """(intent_id, operation_index, operation_kind, status, affected_table, affected_key) of every operation that applied.
 
-    The key is the analysis id, with the number of rows where counts (intent_id, operation_index, n) has it. ops:
-    (intent_id, operation_index, kind, analysis_id).
+    The key is the number of rows for organization sources, the run for search events, the analysis and the number of rows for
+    families and organization candidates, and the analysis for all others. ops: (intent_id, run_id, operation_index, kind,
+    analysis_id); counts: (intent_id, operation_index, n), where an absent one is 0.
     """
     tables = F.create_map(*[F.lit(x) for pair in OPERATION_TABLES.items() for x in pair])
     rows = ops.join(results.where("result = 'applied'").select("intent_id"), "intent_id", "left_semi")
-    rows = rows.join(counts, ["intent_id", "operation_index"], "left") if counts is not None else rows.withColumn("n", F.lit(None).cast("long"))
-    key = F.concat(F.col("analysis_id"), F.coalesce(F.concat(F.lit(":"), F.col("n").cast("string")), F.lit("")))
+    rows = rows.join(counts.select("intent_id", "operation_index", "n"), ["intent_id", "operation_index"], "left") if counts is not None else rows.withColumn("n", F.lit(None).cast("long"))
+    n = F.coalesce(F.col("n").cast("string"), F.lit("0"))
+    key = (
+        F.when(F.col("kind") == "replace_organization_sources", n).when(F.col("kind") == "record_web_search_events", F.col("run_id"))
+        .when(F.col("kind").isin(*_COUNTED), F.concat("analysis_id", F.lit(":"), n)).otherwise(F.col("analysis_id"))
+    )
     return rows.select("intent_id", "operation_index", F.col("kind").alias("operation_kind"), F.lit("applied").alias("status"), tables[F.col("kind")].alias("affected_table"), key.alias("affected_key"))
 
 
-def build_receipts(intents: DataFrame, events: DataFrame, artifacts: DataFrame) -> DataFrame:
+def build_receipts(intents: DataFrame, events: DataFrame, artifacts: DataFrame, ops: DataFrame | None = None) -> DataFrame:
     """(intent_id, body, content_sha256, byte_count): canonical receipts, operations in order.
 
     intents: (intent_id, run_id, video_id, intent_sha256, schema_version, packet_storage_prefix, status, applied_at,
-    analysis_id); artifacts: (run_id) rows that count. An intent without events has no operations.
+    analysis_id); artifacts: (run_id) rows that count. An already applied intent without events takes its operations
+    from ops (intent_id, operation_index, kind), each with the analysis as its key; another without events has none.
     """
-    op = F.struct("operation_index", F.col("operation_kind").alias("kind"), "status", "affected_table", "affected_key", F.lit(None).cast("string").alias("error_detail"))
-    ops = events.groupBy("intent_id").agg(F.sort_array(F.collect_list(op)).alias("operations"))
+    events = events.select("intent_id", "operation_index", "operation_kind", "status", "affected_table", "affected_key")
+    if ops is not None:
+        bare = intents.where("status = 'already_applied'").join(events.select("intent_id").distinct(), "intent_id", "left_anti").select("intent_id", "analysis_id")
+        tables = F.create_map(*[F.lit(x) for pair in OPERATION_TABLES.items() for x in pair])
+        again = ops.select("intent_id", "operation_index", "kind").join(bare, "intent_id")
+        events = events.unionByName(again.select("intent_id", "operation_index", F.col("kind").alias("operation_kind"), F.lit("applied").alias("status"), tables[F.col("kind")].alias("affected_table"), F.col("analysis_id").alias("affected_key")))
+    op = F.struct("operation_index", F.struct("affected_key", "affected_table", F.lit(None).cast("string").alias("error_detail"), F.col("operation_kind").alias("kind"), "operation_index", "status").alias("entry"))
+    listed = events.groupBy("intent_id").agg(F.transform(F.sort_array(F.collect_list(op)), lambda x: x["entry"]).alias("operations"))
     n = artifacts.groupBy("run_id").agg(F.count("*").cast("int").alias("artifact_count"))
-    rows = intents.join(ops, "intent_id", "left").join(n, "run_id", "left").na.fill(0, ["artifact_count"])
-    rows = rows.withColumn("operations", F.coalesce("operations", F.array().cast("array<struct<operation_index:int,kind:string,status:string,affected_table:string,affected_key:string,error_detail:string>>")))
-    receipt = F.struct(
-        F.lit(PACKET_VERSION).alias("schema_version"), F.when(F.col("schema_version") == V1_VERSION, V1_VERSION).otherwise(PACKET_VERSION).alias("packet_schema_version"), "packet_storage_prefix", F.lit(False).alias("finished_marker_written"), "artifact_count",
-        "intent_id", "run_id", "video_id", "intent_sha256", "status", iso_datetime(F.col("applied_at")).alias("applied_at"), "analysis_id", "operations", F.lit(None).cast("string").alias("error_code"), F.lit(None).cast("string").alias("error_detail"),
-    )
-    made = rows.select("intent_id", serialize_artifact(F.to_json(receipt, {"ignoreNullFields": "false"})).alias("a"))
+    rows = intents.join(listed, "intent_id", "left").join(n, "run_id", "left").na.fill(0, ["artifact_count"])
+    rows = rows.withColumn("operations", F.coalesce("operations", F.array().cast("array<struct<affected_key:string,affected_table:string,error_detail:string,kind:string,operation_index:int,status:string>>")))
+    none = F.lit(None).cast("string")
+    members = {
+        "schema_version": F.lit(PACKET_VERSION), "packet_schema_version": F.when(F.col("schema_version") == V1_VERSION, V1_VERSION).otherwise(PACKET_VERSION), "packet_storage_prefix": F.col("packet_storage_prefix"),
+        "finished_marker_written": F.lit(False), "artifact_count": F.col("artifact_count"), "intent_id": F.col("intent_id"), "run_id": F.col("run_id"), "video_id": F.col("video_id"), "intent_sha256": F.col("intent_sha256"),
+        "status": F.col("status"), "applied_at": iso_datetime(F.col("applied_at")), "analysis_id": F.col("analysis_id"), "operations": F.col("operations"), "error_code": none, "error_detail": none,
+    }
+    receipt = F.struct(*[members[k].alias(k) for k in sorted(members)])  # members in key order are canonical as Spark writes them
+    made = rows.select("intent_id", serialize_struct(receipt).alias("a"))
     return made.select("intent_id", F.col("a.content").alias("body"), F.col("a.sha256").alias("content_sha256"), F.col("a.byte_count").alias("byte_count"))
 
 

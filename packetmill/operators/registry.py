@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.json import hash_canonical_json
+from ..functions.json import serialize_struct
 from ..functions.text import artifact_storage_path
 from ..vocabulary import ARTIFACT_KINDS, RESEARCH_KINDS
 
@@ -61,13 +61,13 @@ def packet_completeness(runs: DataFrame, artifacts: DataFrame, required: Sequenc
 def verify_artifacts(artifacts: DataFrame, stored: DataFrame, runs: DataFrame) -> DataFrame:
     """(run_id, artifact_kind, code): ARTIFACT_PATH_MISMATCH, ARTIFACT_MISSING, ARTIFACT_HASH_MISMATCH or null.
 
-    runs brings each run's packet_storage_prefix; slashes at a path's ends do not matter.
+    runs brings each run's packet_storage_prefix; one slash at the end of a path does not matter.
     """
     held = stored.select(F.col("bucket_id").alias("storage_bucket"), F.col("name").alias("storage_path"), F.col("content_sha256").alias("_actual"))
     joined = artifacts.join(runs.select("run_id", "packet_storage_prefix"), "run_id").join(held, ["storage_bucket", "storage_path"], "left")
     expected = artifact_storage_path(F.col("packet_storage_prefix"), F.col("artifact_kind"))
     code = (
-        F.when(~F.trim("storage_path").eqNullSafe(expected), "ARTIFACT_PATH_MISMATCH").when(F.col("_actual").isNull(), "ARTIFACT_MISSING").when(F.col("_actual") != F.col("content_sha256"), "ARTIFACT_HASH_MISMATCH")
+        F.when(~F.regexp_replace("storage_path", r"/\z", "").eqNullSafe(expected), "ARTIFACT_PATH_MISMATCH").when(F.col("_actual").isNull(), "ARTIFACT_MISSING").when(F.col("_actual") != F.col("content_sha256"), "ARTIFACT_HASH_MISMATCH")
     )
     return joined.select("run_id", "artifact_kind", code.alias("code"))
 
@@ -84,8 +84,8 @@ def packet_manifest_hash(artifacts: DataFrame, prefixes: DataFrame) -> DataFrame
     """(run_id, packet_sha256): canonical hash of the prefix and the artifacts by kind."""
     entry = F.struct("artifact_kind", "content_sha256", "storage_path")
     listed = artifacts.groupBy("run_id").agg(F.sort_array(F.collect_list(entry)).alias("artifacts"))
-    manifest = F.to_json(F.struct(F.col("packet_storage_prefix"), F.col("artifacts")), {"ignoreNullFields": "false"})
-    return listed.join(prefixes.select("run_id", "packet_storage_prefix"), "run_id").select("run_id", hash_canonical_json(manifest).alias("packet_sha256"))
+    manifest = serialize_struct(F.struct(F.col("artifacts"), F.col("packet_storage_prefix")))
+    return listed.join(prefixes.select("run_id", "packet_storage_prefix"), "run_id").select("run_id", manifest["sha256"].alias("packet_sha256"))
 
 
 def load_research_packets(artifacts: DataFrame, bodies: DataFrame) -> DataFrame:

@@ -53,8 +53,10 @@ def organization_sources_ranked(sources: DataFrame, candidates: DataFrame) -> Da
 def evidence_sample(anchors: DataFrame, n: int = 5, key: str = "analysis_id") -> DataFrame:
     """(key, total, evidence_id, preview) of the first n anchors by place in the text, nulls last, then id."""
     order = W.partitionBy(key).orderBy(F.col("start_character").asc_nulls_last(), "evidence_id")
-    rows = anchors.withColumn("_k", F.row_number().over(order)).withColumn("total", F.count("*").over(W.partitionBy(key))).where(F.col("_k") <= n)
-    return rows.select(key, "total", "evidence_id", preview_text(F.col("short_excerpt"), 180).alias("preview"))
+    # Excerpts are cut before they move, and a row number that is only filtered lets Spark keep n rows a key before the shuffle.
+    rows = anchors.select(key, "evidence_id", "start_character", preview_text(F.col("short_excerpt"), 180).alias("preview")).withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= n)
+    total = anchors.groupBy(key).agg(F.count("*").alias("total"))
+    return rows.join(total, key).select(key, "total", "evidence_id", "preview")
 
 
 def produced(analyses: DataFrame, summaries: DataFrame) -> DataFrame:

@@ -54,9 +54,21 @@ def explode_operations(intents: DataFrame, key: str = "intent_id", body: str = "
     return rows.select(key, "operation_index", kind.alias("kind"), F.to_json(F.variant_get("op", "$.payload", "variant")).alias("payload"), tables[kind].alias("target_table"))
 
 
-def validate_operation_order(ops: DataFrame, key: str = "intent_id") -> DataFrame:
-    """(key, operation_index, message): unknown kinds, repeats, and kinds after a later one of the fixed order."""
-    place = ordinal(F.col("kind"), v.OPERATIONS)
+def _with_v1(ops: DataFrame, versions: DataFrame | None, key: str) -> DataFrame:
+    """ops with ``v1``: whether versions (key, schema_version) has the first version for their intent."""
+    if versions is None:
+        return ops.withColumn("v1", F.lit(False))
+    first = versions.where(F.col("schema_version") == v.V1_VERSION).select(key).distinct().withColumn("v1", F.lit(True))
+    return ops.join(first, key, "left").withColumn("v1", F.coalesce("v1", F.lit(False)))
+
+
+def validate_operation_order(ops: DataFrame, key: str = "intent_id", versions: DataFrame | None = None) -> DataFrame:
+    """(key, operation_index, message): unknown kinds, repeats, and kinds after a later one of the fixed order.
+
+    versions (key, schema_version) says which intents are of version 1, which has kinds and an order of its own.
+    """
+    ops = _with_v1(ops, versions, key)
+    place = F.when(F.col("v1"), ordinal(F.col("kind"), v.V1_OPERATIONS)).otherwise(ordinal(F.col("kind"), v.OPERATIONS))
     before = F.max("place").over(W.partitionBy(key).orderBy("operation_index").rowsBetween(W.unboundedPreceding, -1))
     nth = F.row_number().over(W.partitionBy(key, "kind").orderBy("operation_index"))
     rows = ops.withColumn("place", F.coalesce(place, F.lit(0))).withColumn("before", before).withColumn("nth", nth)
@@ -78,7 +90,7 @@ def validate_envelope(intents: DataFrame, key: str = "intent_id", body: str = "b
         (bad("$.intent_id", UUID), "intent_id is not a uuid"), (bad("$.source.run_id", UUID), "source.run_id is not a uuid"), (bad("$.source.transcript_sha256", SHA), "source.transcript_sha256 is not a hash"),
         (bad("$.idempotency_key", SHA), "idempotency_key is not a hash"), (~F.coalesce(at("$.source.model_id") == v.MODEL_ID, F.lit(False)), "source.model_id is not the fixed model"), (~F.coalesce(F.length(at("$.source.video_id")) > 0, F.lit(False)), "source.video_id is empty"),
         (~F.coalesce(F.size(grades) > 0, F.lit(False)), "evidence_grades_used is empty"), (F.coalesce(F.size(F.array_except(grades, F.array(*map(F.lit, v.EVIDENCE_GRADES)))) > 0, F.lit(False)), "evidence_grades_used has an unknown grade"),
-        (~F.coalesce(F.size(ops) > 0, F.lit(False)), "operations is empty"), ((at("$.schema_version") == v.PACKET_VERSION) & bad("$.source.research_as_of", DATE), "source.research_as_of is not a date"),
+        (~F.coalesce(F.size(ops) > 0, F.lit(False)), "operations is empty"), ((at("$.schema_version") == v.PACKET_VERSION) & (bad("$.source.research_as_of", DATE) | at("$.source.research_as_of").try_cast("date").isNull()), "source.research_as_of is not a date"),
     ]
     return violations(intents, [key], checks)
 
@@ -153,6 +165,8 @@ def _broken(members: Column, rule: tuple) -> Column:
         ok = value.isin("true", "false")
     else:
         ok = value.rlike({_UUID: UUID, _URL: URL, _TIME: DATETIME, _DATE: DATE, "sha": SHA}[what])
+        if what in (_TIME, _DATE):  # a day that the calendar has
+            ok = F.when(ok, F.substring(value, 1, 10).try_cast("date").isNotNull()).otherwise(ok)
     nullable = what in (_URL, _TIME, _UUID) and rest[:1] == [True] or what == _INT and rest[1:2] == [True]
     return ~F.coalesce(ok, F.lit(nullable) & value.isNull())
 
@@ -164,17 +178,28 @@ def check_rules(df: DataFrame, keys: Sequence[str], kind: str, body: str, rules:
     return violations(rows, keys, checks)
 
 
-def validate_payload(ops: DataFrame, key: str = "intent_id") -> DataFrame:
-    """(key, operation_index, message) over the payloads of ``explode_operations``; list payloads are checked item by item."""
+#: What version 1 bounds and allows otherwise.
+V1_LISTS = {"record_web_search_events": (0, 20)}
+V1_RULES: dict[str, tuple[tuple, ...]] = {"record_web_search_events": ((_ENUM, "subagent", v.SUBAGENTS[1:]),)}
+
+
+def validate_payload(ops: DataFrame, key: str = "intent_id", versions: DataFrame | None = None) -> DataFrame:
+    """(key, operation_index, message) over the payloads of ``explode_operations``; list payloads are checked item by item.
+
+    versions (key, schema_version) says which intents are of version 1, which allows fewer search events and subagents.
+    """
+    ops = _with_v1(ops, versions, key)
     single = ops.where(~F.col("kind").isin(*PAYLOAD_LISTS))
     objects = check_rules(single, [key, "operation_index"], "kind", "payload", {k: r for k, r in PAYLOAD_RULES.items() if k not in PAYLOAD_LISTS})
     lists = ops.where(F.col("kind").isin(*PAYLOAD_LISTS)).withColumn("items", F.from_json("payload", "array<string>"))
     size = F.size("items")
     bounds = violations(lists, [key, "operation_index"], [((F.col("kind") == k) & ~F.coalesce(size.between(a, b), F.lit(False)), f"{k} must have {a} to {b} items") for k, (a, b) in PAYLOAD_LISTS.items()])
-    items = lists.select(key, "operation_index", "kind", F.explode("items").alias("item"))
+    bounds = bounds.unionByName(violations(lists.where("v1"), [key, "operation_index"], [((F.col("kind") == k) & (size > b), f"{k} must have {a} to {b} items in version 1") for k, (a, b) in V1_LISTS.items()]))
+    items = lists.select(key, "operation_index", "kind", "v1", F.explode("items").alias("item"))
     items = items.withColumn("item", F.when(F.col("kind") == "replace_lifecycle_assignments", F.to_json(F.struct(F.col("item").alias("x")))).otherwise(F.col("item")))
     rules = {k: tuple((r[0], r[1] or "x", *r[2:]) for r in rs) for k, rs in PAYLOAD_RULES.items() if k in PAYLOAD_LISTS}
-    return objects.unionByName(bounds).unionByName(check_rules(items, [key, "operation_index"], "kind", "item", rules)).distinct()
+    old = check_rules(items.where("v1"), [key, "operation_index"], "kind", "item", V1_RULES)
+    return objects.unionByName(bounds).unionByName(check_rules(items, [key, "operation_index"], "kind", "item", rules)).unionByName(old).distinct()
 
 
 def validate_research_artifacts(artifacts: DataFrame, key: str = "run_id") -> DataFrame:
@@ -353,21 +378,30 @@ def infer_next_status(runs: DataFrame, profiles: DataFrame, key: str = "run_id",
 
 
 def review_refusal_reasons(runs: DataFrame, profiles: DataFrame, candidates: DataFrame, sources: DataFrame, key: str = "run_id") -> DataFrame:
-    """(key, reason): what stands against applying a run without review.
+    """(key, place, reason): what stands against applying a run without review; reasons are told in the order of place.
 
-    runs: (key, status); profiles: (key, review_required, n_conflicts, profile_domain); candidates and sources carry the key.
+    runs: (key, status) and, where intents of version 1 are among them, schema_version: those have the first three reasons
+    only. profiles: (key, review_required, n_conflicts, profile_domain); candidates and sources carry the key.
     """
+    v2 = runs.where(~F.col("schema_version").eqNullSafe(F.lit(v.V1_VERSION))) if "schema_version" in runs.columns else runs
+    wanted = v2.select(key).distinct()
     rows = runs.select(key, "status").join(profiles, key, "left")
     own = violations(rows, [key], [
         (F.col("status") == "review_required", "run status is review_required"), (F.coalesce("review_required", F.lit(False)), "organization profile review_required"),
-        (F.coalesce(F.col("n_conflicts") > 0, F.lit(False)), "unresolved organization hierarchy conflicts"), (F.col("profile_domain") == v.UNKNOWN_DOMAIN, "organization profile primary_domain_code is other_unknown"),
+        (F.coalesce(F.col("n_conflicts") > 0, F.lit(False)), "unresolved organization hierarchy conflicts"),
     ])
-    primary = candidates.where("is_primary_featured").join(runs.select(key), key, "left_semi")
+    of = candidates.join(wanted, key, "left_semi")  # only what belongs to the runs is looked at
+    sets = validate_organization_candidates(of, key)
+    primary = of.where("is_primary_featured")
     unknown = primary.where(F.col("primary_domain_code") == v.UNKNOWN_DOMAIN).select(key, F.lit("primary organization domain is other_unknown").alias("message"))
     known = primary.where(F.col("primary_domain_code") != v.UNKNOWN_DOMAIN).select(key, "organization_candidate_id")
-    minimum = known.join(validate_source_minimum(known, sources), "organization_candidate_id").select(key, "message")
-    sets = validate_organization_candidates(candidates, key).join(runs.select(key), key, "left_semi")
-    return own.unionByName(unknown).unionByName(minimum).unionByName(sets).distinct().withColumnRenamed("message", "reason")
+    minimum = known.join(validate_source_minimum(known, sources.join(wanted, key, "left_semi")), "organization_candidate_id").select(key, "message")
+    last = profiles.join(wanted, key, "left_semi").where(F.col("profile_domain") == v.UNKNOWN_DOMAIN).select(key, F.lit("organization profile primary_domain_code is other_unknown").alias("message"))
+    place = F.when(F.col("message") == "run status is review_required", 1).when(F.col("message") == "organization profile review_required", 2).otherwise(3)
+    out = own.withColumn("place", place)
+    for k, part in enumerate((sets, unknown, minimum, last), 4):
+        out = out.unionByName(part.withColumn("place", F.lit(k)))
+    return out.distinct().select(key, "place", F.col("message").alias("reason"))
 
 
 # --- quality gates

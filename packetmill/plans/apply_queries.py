@@ -72,9 +72,15 @@ def runs_after_apply(t: Tables) -> DataFrame:
 _TABLE = "case kind when 'create_video_analysis' then 'research_video_analysis' when 'replace_category_assignments' then 'research_video_category' else 'research_web_search_event' end"
 
 
-@query("intent_events", f"select o.intent_id, o.operation_index, o.kind as operation_kind, 'applied' as status, {_TABLE} as affected_table, o.analysis_id as affected_key from ({_OPS}) o where o.intent_id in (select intent_id from ({_RESULTS}) where result = 'applied')")
+_EVERY_KIND = "select 'i' || analysis_id as intent_id, run_id, analysis_id, kind, cast(i as int) as operation_index from {analyses} join (" + " union all ".join(f"select {i} as i, '{k}' as kind" for i, k in enumerate(v.OPERATIONS)) + ") k on true"
+_ANY_TABLE = "case kind " + " ".join(f"when '{k}' then '{x}'" for k, x in v.OPERATION_TABLES.items()) + " end"
+_AFFECTED = f"case when kind = 'replace_organization_sources' then cast({_ID} % 5 as varchar) when kind = 'record_web_search_events' then run_id when kind in ('replace_technology_library_summaries', 'replace_organization_candidates') then analysis_id || ':' || ({_ID} % 5) else analysis_id end"
+
+
+@query("intent_events", f"select intent_id, operation_index, kind as operation_kind, 'applied' as status, {_ANY_TABLE} as affected_table, {_AFFECTED} as affected_key from ({_EVERY_KIND}) where intent_id in (select intent_id from ({_RESULTS}) where result = 'applied')")
 def intent_events(t: Tables) -> DataFrame:
-    return a.intent_events(t.sql(_OPS), _results(t))
+    ops = t.sql(_EVERY_KIND)
+    return a.intent_events(ops, _results(t), ops.selectExpr("intent_id", "operation_index", f"{_ID} % 5 as n"))
 
 
 _ENTRY = '{"affected_key":"\' || analysis_id || \'","affected_table":"\' || tab || \'","error_detail":null,"kind":"\' || kind || \'","operation_index":\' || operation_index || \',"status":"applied"}'
@@ -114,6 +120,100 @@ def finalize_state(t: Tables) -> DataFrame:
     return state.select("video_id", "pipeline_status", "finished_intent_id", "finished_transcript_sha256")
 
 
+# --- whole intents
+
+#: Intents over the analyses: every seventh is refused, every eleventh already applied; each has an analysis, categories, stages, candidates, sources and searches.
+_WHOLE = f"select 'i' || analysis_id as intent_id, run_id, analysis_id, {_ID} as n, case when {_ID} % 11 = 0 then 'already_applied' when {_ID} % 7 = 0 then 'refused' else 'applied' end as result from {{analyses}}"
+_JSON = {
+    "create_video_analysis": """'{"difficulty":"expert","content_form":"talk"}'""",
+    "replace_category_assignments": """'[{"category_code":"context_engineering_memory","assignment_role":"primary","alternative_rank":null},{"category_code":"coding_agents_software_engineering","assignment_role":"secondary","alternative_rank":' || cast(1 + n % 3 as string) || '}]'""",
+    "replace_lifecycle_assignments": """'["design","operations"]'""",
+    "replace_organization_candidates": """'[{"organization_candidate_id":"c' || cast(n as string) || '","official_url":"HTTPS://Org.example/a/","parent_canonical_url":null}]'""",
+    "replace_organization_sources": """'[{"organization_candidate_id":"c' || cast(n as string) || '","source_rank":1,"url":"https://org.example/x?utm_source=y","normalized_url":"payload"}]'""",
+    "record_web_search_events": """'[{"subagent":"source_verifier","query":"q' || cast(n % 9 as string) || '"},{"subagent":"web_context_scout","query":"second"}]'""",
+}
+_PAYLOADS = "select intent_id, run_id, analysis_id, result, n, cast(i as int) as operation_index, kind, case kind " + " ".join(f"when '{k}' then {x}" for k, x in _JSON.items()) + f" end as payload from ({_WHOLE}) join (" + " union all ".join(f"select {i} as i, '{k}' as kind" for i, k in enumerate(_JSON)) + ") k on true"
+_OLD = "try_cast(analysis_id as bigint) % 4 = 1"  # these analyses are there before; other ids are hashes
+
+
+def applied_tables(t: Tables) -> dict[str, DataFrame]:
+    """Target tables before the intents: every fourth run has an analysis with rows of its own."""
+    names = v.OPERATION_TABLES
+    old = f"from {{analyses}} where {_OLD}"
+    return {
+        names["create_video_analysis"]: t.sql(f"select run_id, analysis_id, difficulty, content_form {old}"),
+        names["replace_category_assignments"]: t.sql(f"select analysis_id, 'old' as category_code, 'primary' as assignment_role, cast(null as int) as alternative_rank {old}"),
+        names["replace_lifecycle_assignments"]: t.sql(f"select analysis_id, 'research' as lifecycle_stage {old}"),
+        names["replace_organization_candidates"]: t.sql(f"select analysis_id, 'o' || analysis_id as organization_candidate_id, 'u' as official_url, 'p' as parent_canonical_url {old}"),
+        names["replace_organization_sources"]: t.sql(f"select 'o' || analysis_id as organization_candidate_id, 9 as source_rank, 'u' as url, 'u' as normalized_url {old}"),
+        names["record_web_search_events"]: t.sql(f"select run_id, 'source_verifier' as subagent, 'before' as query {old}"),
+        "ledger": t.sql(f"select intent_id, run_id, case when result = 'already_applied' then 'applied' else 'validated' end as status, case when result = 'already_applied' then cast('2020-01-01 00:00:00' as timestamp) end as applied_at, 'path/' || intent_id as storage_path, 'h' || intent_id as content_sha256 from ({_WHOLE})"),
+        "runs": t.sql(f"select run_id, 'intent_ready' as status, cast(null as timestamp) as completed_at, case when n % 2 = 0 then 'mine' end as intent_path, cast(null as string) as intent_sha256 from ({_WHOLE})"),
+        "events": t.sql("select 'x' as intent_id, 0 as operation_index, 'k' as operation_kind, 'applied' as status, 't' as affected_table, 'key' as affected_key from {region} where r_regionkey = 0"),
+    }
+
+
+def applied_now(t: Tables) -> dict[str, DataFrame]:
+    return a.apply_intents(applied_tables(t), t.sql(f"select intent_id, operation_index, kind, payload from ({_PAYLOADS})"), t.sql(f"select intent_id, run_id, result from ({_WHOLE})"), F.lit("2024-01-01").cast("timestamp"))
+
+
+#: The analysis of a run after the intents: the old one, or a new id; and whether it has one.
+_AFTER = f"select w.*, case when {_OLD} then analysis_id else sha256('analysis|' || run_id) end as aid, {_OLD} as was, result = 'applied' as now from ({_WHOLE}) w"
+
+
+@query("apply_intents_analyses", f"select run_id, aid as analysis_id from ({_AFTER}) where was or now")
+def apply_intents_analyses(t: Tables) -> DataFrame:
+    return applied_now(t)[v.OPERATION_TABLES["create_video_analysis"]].select("run_id", "analysis_id")
+
+
+@query("apply_intents_categories", f"select aid as analysis_id, 'old' as category_code, null::int as alternative_rank from ({_AFTER}) where was and not now union all select aid, 'context_engineering_memory', null from ({_AFTER}) where now union all select aid, 'coding_agents_software_engineering', (1 + n % 3)::int from ({_AFTER}) where now")
+def apply_intents_categories(t: Tables) -> DataFrame:
+    return applied_now(t)[v.OPERATION_TABLES["replace_category_assignments"]].select("analysis_id", "category_code", "alternative_rank")
+
+
+@query("apply_intents_lifecycle", f"select aid as analysis_id, unnest(case when now then ['design', 'operations'] else ['research'] end) as lifecycle_stage from ({_AFTER}) where was or now")
+def apply_intents_lifecycle(t: Tables) -> DataFrame:
+    return applied_now(t)[v.OPERATION_TABLES["replace_lifecycle_assignments"]]
+
+
+@query("apply_intents_organizations", f"select aid as analysis_id, case when now then 'c' || n else 'o' || analysis_id end as organization_candidate_id, case when now then 'https://org.example/a' else 'u' end as official_url, case when now then 1 else 9 end as source_rank, case when now then 'https://org.example/x' else 'u' end as normalized_url from ({_AFTER}) where was or now")
+def apply_intents_organizations(t: Tables) -> DataFrame:
+    after = applied_now(t)
+    candidates, sources = after[v.OPERATION_TABLES["replace_organization_candidates"]], after[v.OPERATION_TABLES["replace_organization_sources"]]
+    return candidates.join(sources, "organization_candidate_id").select("analysis_id", "organization_candidate_id", "official_url", "source_rank", "normalized_url")
+
+
+@query("apply_intents_searches", f"select run_id, 'before' as query from ({_AFTER}) where was union all select run_id, unnest(['q' || (n % 9), 'second']) from ({_AFTER}) where now")
+def apply_intents_searches(t: Tables) -> DataFrame:
+    return applied_now(t)[v.OPERATION_TABLES["record_web_search_events"]].select("run_id", "query")
+
+
+@query("apply_intents_ledger", f"select intent_id, case when now or result = 'already_applied' then 'applied' else 'validated' end as status, case when now then '2024-01-01' when result = 'already_applied' then '2020-01-01' end as applied_on from ({_AFTER})")
+def apply_intents_ledger(t: Tables) -> DataFrame:
+    return applied_now(t)["ledger"].selectExpr("intent_id", "status", "substr(cast(applied_at as string), 1, 10) as applied_on")
+
+
+@query("apply_intents_runs", f"select run_id, case when now then 'applied' else 'intent_ready' end as status, now as completed, case when n % 2 = 0 then 'mine' when now then 'path/' || intent_id end as intent_path, case when now then 'h' || intent_id end as intent_sha256 from ({_AFTER})")
+def apply_intents_runs(t: Tables) -> DataFrame:
+    return applied_now(t)["runs"].select("run_id", "status", F.col("completed_at").isNotNull().alias("completed"), "intent_path", "intent_sha256")
+
+
+@query("apply_intents_events", f"""select intent_id, operation_index, case kind when 'replace_organization_sources' then '1' when 'record_web_search_events' then p.run_id when 'replace_organization_candidates' then aid || ':1' else aid end as affected_key from ({_PAYLOADS}) p join (select run_id, aid from ({_AFTER}) where now) x on x.run_id = p.run_id union all select 'x', 0, 'key'""")
+def apply_intents_events(t: Tables) -> DataFrame:
+    return applied_now(t)["events"].select("intent_id", "operation_index", "affected_key")
+
+
+_REBUILT = '{"affected_key":"\' || analysis_id || \'","affected_table":"\' || tab || \'","error_detail":null,"kind":"\' || kind || \'","operation_index":\' || operation_index || \',"status":"applied"}'
+
+
+@query("receipts_rebuilt", f"""select intent_id, '[' || string_agg('{_REBUILT}', ',' order by operation_index) || ']' as operations from (select *, {_ANY_TABLE} as tab from ({_EVERY_KIND}) where {_ID} % 3 = 0) group by 1""")
+def receipts_rebuilt(t: Tables) -> DataFrame:
+    intents = t.sql(f"select 'i' || analysis_id as intent_id, run_id, video_id, 'h' as intent_sha256, '2.0.0' as schema_version, 'p' as packet_storage_prefix, 'already_applied' as status, cast('2024-01-01 00:00:00' as timestamp) as applied_at, analysis_id from {{analyses}} where {_ID} % 3 = 0")
+    events = t.sql("select 'x' as intent_id, 0 as operation_index, 'k' as operation_kind, 'applied' as status, 't' as affected_table, 'key' as affected_key from {region} where r_regionkey = 0")
+    made = a.build_receipts(intents, events, t.sql("select run_id from {analyses}"), t.sql(_EVERY_KIND))
+    return made.select("intent_id", F.get_json_object("body", "$.operations").alias("operations"))
+
+
 # --- writes
 
 _NEW = "select analysis_id, category_code, 'secondary' as assignment_role, cast(9 as int) as alternative_rank from {categories} where assignment_role = 'primary' and cast(analysis_id as bigint) % 3 = 0"
@@ -124,6 +224,22 @@ def replace_category_assignments(t: Tables) -> DataFrame:
     return a.replace_category_assignments(t.sql(_NEW), t.categories.drop("video_id"))
 
 
+_DOMAINS_NEW = "select distinct analysis_id, 'coding_agents_developer_tools' as domain_code from {categories} where cast(analysis_id as bigint) % 5 = 0"
+
+
+@query("replace_domain_assignments", f"select analysis_id, category_code as domain_code from {{categories}} where analysis_id not in (select analysis_id from ({_DOMAINS_NEW})) union all select * from ({_DOMAINS_NEW})")
+def replace_domain_assignments(t: Tables) -> DataFrame:
+    return a.replace_domain_assignments(t.sql(_DOMAINS_NEW), t.sql("select analysis_id, category_code as domain_code from {categories}"))
+
+
+_ANCHORS_NEW = "select source as analysis_id, 'n' || cast(doc_id as string) as evidence_id, substr(text, 1, 40) as short_excerpt from {documents} where doc_id % 2 = 0 and source like '%1'"
+
+
+@query("replace_evidence_anchors", f"select source as analysis_id, 'e' || doc_id as evidence_id, substr(text, 1, 20) as short_excerpt from {{documents}} where source not in (select analysis_id from ({_ANCHORS_NEW})) union all select * from ({_ANCHORS_NEW})")
+def replace_evidence_anchors(t: Tables) -> DataFrame:
+    return a.replace_evidence_anchors(t.sql(_ANCHORS_NEW), t.sql("select source as analysis_id, 'e' || cast(doc_id as string) as evidence_id, substr(text, 1, 20) as short_excerpt from {documents}"))
+
+
 @query("replace_lifecycle_assignments", """
 select analysis_id, temporal_status as lifecycle_stage from {families} where cast(analysis_id as bigint) % 2 = 1 union all select analysis_id, unnest(['design', 'operations']) from (select distinct analysis_id from {families} where cast(analysis_id as bigint) % 4 = 0)""")
 def replace_lifecycle_assignments(t: Tables) -> DataFrame:

@@ -134,7 +134,7 @@ _RUN_STATUS = "case when cast(analysis_id as bigint) % 6 = 0 then 'review_requir
 def review_refusal_reasons(t: Tables) -> DataFrame:
     runs = t.analyses.selectExpr("run_id", f"{_RUN_STATUS} as status")
     profiles = t.sql(_PROFILES).select("run_id", "review_required", "n_conflicts", F.col("primary_domain_code").alias("profile_domain"))
-    return x.review_refusal_reasons(runs, profiles, _with_run(t, _candidates(t)), _with_run(t, t.sources))
+    return x.review_refusal_reasons(runs, profiles, _with_run(t, _candidates(t)), _with_run(t, t.sources)).select("run_id", "reason").distinct()
 
 
 @query("missing_evidence_research", """select distinct run_id, e as evidence_id from (select run_id, unnest(['e' || ((doc_id + kind_no) % 5), 'e' || (doc_id % 3)]) as e from {bodies} where artifact_kind = 'organization_research')

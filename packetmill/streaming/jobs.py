@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.apply import apply_intents
 from ..operators.registry import register_artifacts
+from ..operators.validate import explode_operations
 
 OUTCOME_SCHEMA = "session_id string, outcome string, message string, last_seq long"
 _RUNNER = {"turn.failed": "failed", "session.failed": "failed", "turn.completed": "completed", "session.waiting": "completed"}
@@ -104,6 +106,34 @@ def search_counts_stream(events: DataFrame, late: str = "10 minutes", width: str
     return counted.select(F.col("window.start").alias("window_start"), "subagent", "searches")
 
 
+def apply_intents_stream(intents: DataFrame, folder: str, decide: Callable[[dict[str, DataFrame], DataFrame], DataFrame], checkpoint: str) -> StreamingQuery:
+    """Apply a stream of intents (intent_id, run_id, body, applied_at) to the tables below ``folder``, batch by batch.
+
+    ``folder/version=-1/<table>`` holds the tables as ``apply_intents`` wants them; batch n writes ``folder/version=n``
+    from the newest version before it, so that a replayed batch writes the same tables again and applies nothing twice. ``decide``
+    takes the tables and the batch and returns (intent_id, run_id, result), as ``good_intents`` does; intents that the
+    ledger has as applied are passed over whatever it says.
+    """
+
+    def one(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        versions = [int(x.getPath().getName().removeprefix("version=")) for x in files.listStatus(place)]
+        base = f"{folder}/version={max(k for k in versions if k < number)}"
+        names = [x.getPath().getName() for x in files.listStatus(spark._jvm.org.apache.hadoop.fs.Path(base))]
+        tables = {name: spark.read.parquet(f"{base}/{name}") for name in names}
+        fresh = batch.dropDuplicates(["intent_id"]).join(tables["ledger"].where("status = 'applied'").select("intent_id"), "intent_id", "left_anti").cache()
+        results = decide(tables, fresh).join(fresh.select("intent_id"), "intent_id", "left_semi")
+        now = fresh.agg(F.max("applied_at")).first()[0]  # of the rows, not of the clock, so that a replay is the same
+        after = apply_intents(tables, explode_operations(fresh), results, F.lit(now).cast("timestamp"))
+        for name, table in after.items():
+            table.write.mode("overwrite").parquet(f"{folder}/version={number}/{name}")
+        fresh.unpersist()
+
+    return intents.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def apply_stream(intents: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Apply a stream of intents batch by batch, each intent once within a batch; ``apply`` must itself pass over applied ones."""
 

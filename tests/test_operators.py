@@ -180,3 +180,93 @@ def test_empty_inputs(spark):
     objects = spark.createDataFrame([], "bucket_id string, name string")
     runs = spark.createDataFrame([], "run_id string, video_id string, transcript_sha256 string, status string, created_at timestamp")
     assert q.list_eligible_videos(none, objects, runs).count() == q.ineligibility_reasons(none, objects, runs).count() == s.latest_live_run(runs).count() == 0
+
+
+# --- whole intents
+
+
+def intent_tables(spark):
+    from packetmill import vocabulary as v
+
+    names = v.OPERATION_TABLES
+    make = lambda rows, schema: spark.createDataFrame(rows, schema)
+    return {
+        names["create_video_analysis"]: make([("r2", "a2", "old")], "run_id string, analysis_id string, difficulty string"),
+        names["replace_category_assignments"]: make([("a2", "old"), ("a9", "other")], "analysis_id string, category_code string"),
+        names["record_web_search_events"]: make([], "run_id string, subagent string, query string"),
+        "ledger": make([("i1", "r1", "validated", None, "p1", "h1"), ("i2", "r2", "validated", None, "p2", "h2"), ("i3", "r3", "validated", None, "p3", "h3")], "intent_id string, run_id string, status string, applied_at timestamp, storage_path string, content_sha256 string"),
+        "runs": make([(r, "intent_ready", None, None, None) for r in ("r1", "r2", "r3")], "run_id string, status string, completed_at timestamp, intent_path string, intent_sha256 string"),
+        "events": make([], "intent_id string, operation_index int, operation_kind string, status string, affected_table string, affected_key string"),
+    }
+
+
+INTENT = '{"operations":[{"kind":"create_video_analysis","payload":{"difficulty":"expert"}},{"kind":"replace_category_assignments","payload":[{"category_code":"%s"}]},{"kind":"record_web_search_events","payload":[{"subagent":"source_verifier","query":"q"}]}]}'
+
+
+def rows_of(tables):
+    return {name: sorted(map(str, t.collect())) for name, t in tables.items()}
+
+
+def test_apply_intents_whole_or_not_at_all_and_once(spark):
+    from packetmill.operators import apply as a
+    from packetmill.operators.validate import explode_operations
+
+    tables = intent_tables(spark)
+    intents = spark.createDataFrame([("i1", INTENT % "x"), ("i2", INTENT % "y"), ("i3", INTENT % "z")], "intent_id string, body string")
+    ops = explode_operations(intents)
+    results = spark.createDataFrame([("i1", "r1", "applied"), ("i2", "r2", "applied"), ("i3", "r3", "refused")], "intent_id string, run_id string, result string")
+    now = F.lit("2024-05-01").cast("timestamp")
+    after = a.apply_intents(tables, ops, results, now)
+    ids = {r.run_id: r.analysis_id for r in after["research_video_analysis"].collect()}
+    assert set(ids) == {"r1", "r2"} and ids["r2"] == "a2"
+    assert {(r.analysis_id, r.category_code) for r in after["research_video_category"].collect()} == {(ids["r1"], "x"), ("a2", "y"), ("a9", "other")}
+    assert {(r.intent_id, r.status, r.applied_at is None) for r in after["ledger"].collect()} == {("i1", "applied", False), ("i2", "applied", False), ("i3", "validated", True)}
+    assert {(r.run_id, r.status, r.intent_path, r.intent_sha256) for r in after["runs"].collect()} == {("r1", "applied", "p1", "h1"), ("r2", "applied", "p2", "h2"), ("r3", "intent_ready", None, None)}
+    assert {(r.intent_id, r.operation_index, r.affected_key) for r in after["events"].collect()} == {("i1", 0, ids["r1"]), ("i1", 1, ids["r1"]), ("i1", 2, "r1"), ("i2", 0, "a2"), ("i2", 1, "a2"), ("i2", 2, "r2")}
+    again = a.apply_intents(after, ops, results.withColumn("result", F.when(F.col("result") == "applied", "already_applied").otherwise(F.col("result"))), now)
+    assert rows_of(again) == rows_of(after)
+
+
+def test_refusal_reasons_of_versions_and_their_order(spark):
+    from packetmill.operators import validate as x
+
+    runs = spark.createDataFrame([("r1", "review_required", "1.0.0"), ("r2", "review_required", "2.0.0")], "run_id string, status string, schema_version string")
+    profiles = spark.createDataFrame([(r, True, 1, "other_unknown") for r in ("r1", "r2")], "run_id string, review_required boolean, n_conflicts int, profile_domain string")
+    none = lambda schema: spark.createDataFrame([], schema)
+    candidates = none("run_id string, organization_candidate_id string, normalized_name string, is_primary_featured boolean, featured_rank int, primary_domain_code string, secondary_domain_codes array<string>, parent_name string, parent_canonical_url string, relationship_roles array<string>, position int")
+    sources = none("run_id string, organization_candidate_id string, source_role string, publicly_retrievable boolean, verification_status string, authority_tier string")
+    got = [(r.run_id, r.reason) for r in x.review_refusal_reasons(runs, profiles, candidates, sources).orderBy("run_id", "place", "reason").collect()]
+    first = ["run status is review_required", "organization profile review_required", "unresolved organization hierarchy conflicts"]
+    assert got == [("r1", m) for m in first] + [("r2", m) for m in [*first, "organization profile primary_domain_code is other_unknown"]]
+
+
+def test_version_one_has_an_order_and_bounds_of_its_own(spark):
+    from packetmill.operators import validate as x
+
+    search = '{"subagent":"%s","query":"q","provider":"exa","searched_at":"2024-01-01T00:00:00Z","result_urls":[],"selected_urls":[],"search_purpose":"p"}'
+    ops = spark.createDataFrame(
+        [(i, 0, "upsert_entity_candidates", "[]") for i in ("v1", "v2")] + [(i, 1, "replace_evidence_anchors", "[]") for i in ("v1", "v2")] + [(i, 2, "record_web_search_events", "[" + ",".join([search % "organization_researcher"] * 21) + "]") for i in ("v1", "v2")] + [("v1", 3, "replace_organization_sources", "[]")],
+        "intent_id string, operation_index int, kind string, payload string",
+    )
+    versions = spark.createDataFrame([("v1", "1.0.0"), ("v2", "2.0.0")], "intent_id string, schema_version string")
+    order = {(r.intent_id, r.operation_index, r.message) for r in x.validate_operation_order(ops, versions=versions).collect()}
+    assert order == {("v2", 1, "operation is out of order"), ("v1", 3, "unknown or forbidden operation kind")}
+    found = {(r.intent_id, r.message) for r in x.validate_payload(ops.where("operation_index = 2"), versions=versions).collect()}
+    assert found == {("v1", "record_web_search_events must have 0 to 20 items in version 1"), ("v1", "subagent breaks enum")}
+
+
+def test_dates_are_days_of_the_calendar(spark):
+    from packetmill.operators import validate as x
+
+    days = ["2024-02-29", "2023-02-29", "2024-02-31", "2024-04-31", "2024-12-31"]
+    ops = spark.createDataFrame([(d, 0, "record_web_search_events", '[{"subagent":"source_verifier","query":"q","provider":"exa","searched_at":"%sT10:00:00Z","result_urls":[],"selected_urls":[],"search_purpose":"p"}]' % d) for d in days], "intent_id string, operation_index int, kind string, payload string")
+    assert {r.intent_id for r in x.validate_payload(ops).collect()} == {"2023-02-29", "2024-02-31", "2024-04-31"}
+
+
+def test_one_slash_at_the_end_of_a_path(spark):
+    from packetmill.operators import registry as r
+
+    artifacts = spark.createDataFrame([("r", "web_context", "b", p, "h") for p in ("p/30-web-context.json", "p/30-web-context.json/", "p/30-web-context.json//", " p/30-web-context.json")], "run_id string, artifact_kind string, storage_bucket string, storage_path string, content_sha256 string")
+    stored = spark.createDataFrame([("b", "p/30-web-context.json", "h")], "bucket_id string, name string, content_sha256 string")
+    runs = spark.createDataFrame([("r", "p/")], "run_id string, packet_storage_prefix string")
+    assert sorted(str(x.code) for x in r.verify_artifacts(artifacts, stored, runs).collect()) == ["ARTIFACT_MISSING", "ARTIFACT_PATH_MISMATCH", "ARTIFACT_PATH_MISMATCH", "None"]

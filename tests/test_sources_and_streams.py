@@ -1,5 +1,6 @@
 """File sources and sinks, and streams against their batch forms."""
 
+import datetime
 import hashlib
 
 from pyspark.sql import functions as F
@@ -88,3 +89,26 @@ def test_search_counts_and_apply_streams(spark, tmp_path):
     spark.createDataFrame([("i",), ("i",), ("j",)], "intent_id string").write.parquet(f"{tmp_path}/i")
     apply_stream(spark.readStream.schema("intent_id string").parquet(f"{tmp_path}/i"), lambda b, n: seen.extend(r.intent_id for r in b.collect()), f"{tmp_path}/c2").awaitTermination(120)
     assert sorted(seen) == ["i", "j"]
+
+
+def test_apply_intents_stream_replays(spark, tmp_path):
+    """A stream of intents ends in the tables of one batch job; a replayed batch and a repeated intent change nothing."""
+    from packetmill.streaming import apply_intents_stream
+    from tests.test_operators import INTENT, intent_tables, rows_of
+
+    folder = f"{tmp_path}/tables"
+    for name, table in intent_tables(spark).items():
+        table.write.parquet(f"{folder}/version=-1/{name}")
+    schema = "intent_id string, run_id string, body string, applied_at timestamp"
+    stamp = datetime.datetime(2024, 5, 1)
+    decide = lambda tables, batch: batch.selectExpr("intent_id", "run_id", "if(intent_id = 'i3', 'refused', 'applied') as result")
+    for k, intents in enumerate((["i1", "i3"], ["i1", "i2"])):
+        spark.createDataFrame([(i, "r" + i[1], INTENT % i, stamp) for i in intents], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        apply_intents_stream(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), folder, decide, f"{tmp_path}/c").awaitTermination(300)
+        last = {p.name: spark.read.parquet(str(p)) for p in (tmp_path / "tables" / f"version={k}").iterdir()}
+    done = rows_of(last)
+    assert {r.intent_id for r in last["ledger"].where("status = 'applied'").collect()} == {"i1", "i2"} and last["events"].count() == 6 and last["research_web_search_event"].count() == 2
+    for name in ("1", ".1.crc"):
+        (tmp_path / "c" / "commits" / name).unlink(missing_ok=True)  # the last batch runs again
+    apply_intents_stream(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), folder, decide, f"{tmp_path}/c").awaitTermination(300)
+    assert rows_of({n: spark.read.parquet(f"{folder}/version=1/{n}") for n in done}) == done
