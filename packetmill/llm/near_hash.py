@@ -214,8 +214,11 @@ SLACK = 3
 #: From so many shingles on, sets differ in bits as sets of that size do; smaller ones differ in more.
 LARGE_SET = 128
 #: Tables that first links are looked for in; all tables follow for what is still apart.
-FIRST_TABLES = 8
+FIRST_TABLES = 4
+#: Bits of a second fingerprint, of texts that have near ones only, that pairs are told apart by before their sets are compared.
+WIDE_BITS = 3072
 _MIXES = np.random.default_rng(23).integers(1, 1 << 63, LONG_BITS // 64, dtype=np.uint64)
+_WIDE_MIXES = np.random.default_rng(24).integers(1, 1 << 63, WIDE_BITS // 64, dtype=np.uint64)
 
 
 def differing_share(similarity: float) -> float:
@@ -246,10 +249,10 @@ def differing_most(similarity: float) -> np.ndarray:
     return np.maximum.accumulate(most[::-1])[::-1]
 
 
-def loose_cut(bits: int, similarity: float, n: np.ndarray | int = LARGE_SET) -> np.ndarray:
-    """Most differing bits of a pair whose shingle sets are compared, where the smaller set has ``n`` shingles."""
+def loose_cut(bits: int, similarity: float, n: np.ndarray | int = LARGE_SET, slack: float = SLACK) -> np.ndarray:
+    """Most differing bits of a pair whose shingle sets are compared, where the smaller set has ``n`` shingles: ``slack`` deviations over what is expected."""
     share = differing_most(similarity)[np.minimum(n, LARGE_SET)]
-    return np.floor(bits * share + SLACK * np.sqrt(bits * share * (1 - share))).astype(np.int64)
+    return np.floor(bits * share + slack * np.sqrt(bits * share * (1 - share))).astype(np.int64)
 
 
 def shingle_sets(texts: list[bytes], words: int = COPY_WORDS) -> Iterator[np.ndarray]:
@@ -263,13 +266,13 @@ def shingle_sets(texts: list[bytes], words: int = COPY_WORDS) -> Iterator[np.nda
             yield np.array([int(np.bitwise_xor.reduce(mix(block.hash[first:end] + np.arange(1, end - first + 1, dtype=np.uint64)))) ], np.uint64) if end > first else np.zeros(0, np.uint64)
 
 
-def long_fingerprints(sets: Iterable[np.ndarray]) -> list[tuple[bytes, int, int]]:
-    """A SimHash of ``LONG_BITS`` bits of each set of hashes, none set for an empty one, a digest of the set and its size."""
+def long_fingerprints(sets: Iterable[np.ndarray], mixes: np.ndarray = _MIXES) -> list[tuple[bytes, int, int]]:
+    """A SimHash of ``LONG_BITS`` bits (or as many as ``mixes`` make) of each set of hashes, none set for an empty one, a digest of the set and its size."""
     out = []
     for h in sets:
-        counts = np.zeros(LONG_BITS, np.int64)
+        counts = np.zeros(64 * len(mixes), np.int64)
         for at in range(0, len(h), 4096):
-            many = mix(h[at : at + 4096, None] ^ _MIXES)
+            many = mix(h[at : at + 4096, None] ^ mixes)
             counts += np.unpackbits(many.view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
         out.append((np.packbits(counts * 2 > len(h)).tobytes(), int(mix(h).sum(dtype=np.uint64).view(np.int64)), len(h)))
     return out
@@ -399,6 +402,30 @@ def apart_pairs(key: np.ndarray, label: np.ndarray, near: Near, small: int = SMA
             yield i[differ], j[differ]
 
 
+@cache
+def _apart_codes() -> tuple[np.ndarray, np.ndarray]:
+    """Codewords of every segment twice, with fillers that are equal to none of the other."""
+    codes, count = golay_keys()
+    valid = np.arange(codes.shape[1]) < count[:, None]
+    return np.where(valid, codes, -1), np.where(valid, codes, -2)
+
+
+def meets_first(key: np.ndarray, prints: np.ndarray, i: np.ndarray, j: np.ndarray, exact: int) -> np.ndarray:
+    """Whether ``key[i]`` is the first of all keys that the fingerprints i and j share: by table, then by codeword."""
+    ours, theirs = _apart_codes()
+    segments = np.ascontiguousarray(prints).view(np.uint16)
+    many, table, first = segments.shape[1], key[i] >> 28, np.ones(len(i), bool)
+    for t in range(int(table.max(initial=-1)) + 1):
+        at = np.flatnonzero(first & (t <= table))
+        after = (t + 1 + t // many) % many
+        at = at[(segments[i[at], after] ^ segments[j[at], after]) & ((1 << exact) - 1) == 0]
+        own = ours[segments[i[at], t % many]]
+        shared = (own[:, :, None] == theirs[segments[j[at], t % many]][:, None, :]).any(axis=2)
+        least = np.where(shared, own, 1 << 20).min(axis=1, initial=1 << 20)
+        first[at[(least < 1 << 20) & ((t < table[at]) | (least < (key[i[at]] & 0xFFF)))]] = False
+    return first
+
+
 def whole_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
     """The rows of batches in key order as tables that no run of equal keys crosses."""
     held: list[pa.RecordBatch] = []
@@ -440,13 +467,15 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, 256):
             texts = [x.lower() for x in text_bytes(batch.column("text"))]
-            found = [h.tobytes() for a, b in blocks(texts) for h in shingle_sets(texts[a:b], words)]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], ["node", "shingles"])
+            found = [h for a, b in blocks(texts) for h in shingle_sets(texts[a:b], words)]
+            wide = [w for w, _, _ in long_fingerprints(found, _WIDE_MIXES)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([len(h) for h in found], pa.int64()), pa.array(wide, pa.binary()), pa.array([h.tobytes() for h in found], pa.binary())], ["node", "size", "wide", "shingles"])
 
     prints = materialise(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp binary, digest long, size long"), "prints")
     classes = materialise(prints.groupBy("fp", "digest", "size").agg(F.min("id").alias("least")).withColumn("node", F.monotonically_increasing_id()), "classes")
     first_cut = int(loose_cut(FIRST_BITS, similarity, 1))
-    cuts = loose_cut(LONG_BITS, similarity, np.arange(LARGE_SET + 1))
+    sizes = np.arange(LARGE_SET + 1)
+    cuts, likely, wide_cuts = loose_cut(LONG_BITS, similarity, sizes), loose_cut(LONG_BITS, similarity, sizes, 0), loose_cut(WIDE_BITS, similarity, sizes)
     exact, tables = key_plan(classes.count(), similarity)
 
     def words_of(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
@@ -473,7 +502,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     chosen = materialise(classes.join(with_near(classes, ()), "node").select("node", "least", "size", "fp"), "chosen")
     texts = docs.select(F.col(id_col).alias("least"), F.col(text_col).alias("text"))
-    compared = materialise(texts.join(chosen.select("node", "least"), "least").select("node", "text").mapInArrow(sets, "node long, shingles binary"), "sets")
+    compared = materialise(texts.join(chosen.select("node", "least"), "least").select("node", "text").mapInArrow(sets, "node long, size long, wide binary, shingles binary"), "sets")
 
     def pairs_of(rows: DataFrame, upto: int, pick: str) -> DataFrame:
         """Near pairs among rows (node, label, size, fp) that meet in the first ``upto`` tables."""
@@ -487,15 +516,18 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for table in whole_runs(batches):
                 key, node, label, size = (table[c].to_numpy() for c in ("key", "node", "label", "size"))
-                near = Near(words_of(table), size, first_cut, cuts, similarity)
+                near = Near(words_of(table), size, first_cut, likely if pick == "span" else cuts, similarity)
                 found = spanning_pairs(key, near) if pick == "span" else apart_pairs(key, label, near)
+                if pick == "apart":  # every pair comes from one key
+                    found = ((i[one], j[one]) for i, j in found for one in [meets_first(key, near.prints, i, j, exact)])
                 two = [np.sort(np.stack((node[i], node[j]), 1), axis=1) for i, j in found if len(i)]
                 if two:
                     each = np.unique(np.concatenate(two), axis=0)
                     yield pa.RecordBatch.from_arrays([pa.array(each[:, 0]), pa.array(each[:, 1])], ["a", "b"])
 
         dealt = rows.select("node", "label", "size", "fp").mapInArrow(emit_whole, "key long, node long, label long, size long, fp binary").repartition(F.col("key")).sortWithinPartitions("key", "node")
-        return dealt.mapInArrow(meet, "a long, b long").distinct()
+        met = dealt.mapInArrow(meet, "a long, b long")
+        return met.distinct() if pick == "span" else met
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, 256):
@@ -506,9 +538,19 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 keep.append(both >= similarity * (len(one) + len(other) - both) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    def close(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arrow_rows(batches, 1 << 12):
+            p, q = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("p", "q"))
+            less = np.minimum(np.minimum(batch.column("m").to_numpy(), batch.column("n").to_numpy()), LARGE_SET)
+            yield batch.select(["a", "b"]).filter(pa.array(np.bitwise_count(p ^ q).sum(axis=1) <= wide_cuts[less]))
+
     def linked(pairs: DataFrame) -> DataFrame:
+        """Pairs whose sets are similar; those far apart in the wide fingerprint are passed over, so that few sets move."""
+        wide = lambda end, name, size: compared.select(F.col("node").alias(end), F.col("wide").alias(name), F.col("size").alias(size))
+        told = pairs.join(wide("a", "p", "m"), "a").join(wide("b", "q", "n"), "b").select("a", "b", "p", "q", "m", "n")
+        left = materialise(told.mapInArrow(close, "a long, b long"), "close")
         side = lambda end, name: compared.select(F.col("node").alias(end), F.col("shingles").alias(name))
-        return pairs.join(side("a", "p"), "a").join(side("b", "q"), "b").select("a", "b", "p", "q").mapInArrow(verify, "a long, b long")
+        return left.join(side("a", "p"), "a").join(side("b", "q"), "b").select("a", "b", "p", "q").mapInArrow(verify, "a long, b long")
 
     links = materialise(linked(pairs_of(chosen.withColumn("label", F.col("node")), min(tables, FIRST_TABLES), "span")), "first")
     found = components(links)

@@ -173,6 +173,24 @@ def test_pairs_within_runs():
             assert flagged.tolist() == [any(close(i, j) for j in range(60) if own[i] != own[j]) for i in range(60)]
 
 
+def test_pairs_meet_once():
+    """Of all keys that two fingerprints share, exactly one counts as the first, and it is the least."""
+    rng = np.random.default_rng(41)
+    prints, _ = near_prints(rng, 40)
+    key, row = nh.similarity_keys(prints, 8, 33)
+    order = np.argsort(key, kind="stable")
+    key, row = key[order], row[order]
+    shared = {}
+    for k in np.unique(key):
+        own = np.flatnonzero(key == k)
+        i, j = (x.ravel() for x in np.meshgrid(own, own))
+        i, j = i[row[i] < row[j]], j[row[i] < row[j]]
+        first = nh.meets_first(key, prints[row], i, j, 8)
+        for a, b, f in zip(row[i].tolist(), row[j].tolist(), first.tolist(), strict=True):
+            shared.setdefault((a, b), []).append(f)
+    assert len(shared) > 200 and all(fs == [True] + [False] * (len(fs) - 1) for fs in shared.values())
+
+
 def test_differing_share_of_small_sets():
     """The bound on differing bits holds for sets of few shingles, whose fingerprints differ in more bits."""
     rng = np.random.default_rng(3)
