@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT = "spark.checkpoint.dir"
+#: Spark removes the shuffle files of an execution when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,19 +34,29 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends here and a lost executor costs no recomputation."""
+    """Write ``df`` to the shared folder and read it back: lineage ends here and a lost executor costs no recomputation.
+
+    Nothing reads the shuffle files of the write again, so they go when it ends and disk holds those of one write at a time.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
 
 
-def discard(df: DataFrame) -> None:
-    """Delete a table of ``materialise`` that nothing reads any more."""
-    path = getattr(df, "_scratch", None)
-    if path:
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialise`` that nothing reads any more."""
+    for df in tables:
+        path = getattr(df, "_scratch", None)
+        if not path:
+            continue
         spark = df.sparkSession
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

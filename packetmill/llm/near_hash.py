@@ -11,9 +11,9 @@ any linked pair shares, and no pair within three bits is lost.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
 from itertools import combinations
 from math import comb
 
@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Words, arrow_rows, blocks, materialise, mix, text_bytes
+from .base import Words, arrow_rows, blocks, discard, materialise, mix, text_bytes
 from .components import components
 
 WORDS, SEED, BITS = 3, 42, 3
@@ -215,6 +215,8 @@ SLACK = 3
 LARGE_SET = 128
 #: Tables that first links are looked for in; all tables follow for what is still apart.
 FIRST_TABLES = 4
+#: Tables whose keys are dealt at once, which bounds the disk that keys take whatever the number of tables.
+PASS_TABLES = 12
 #: Bits of a second fingerprint, of texts that have near ones only, that pairs are told apart by before their sets are compared.
 WIDE_BITS = 3072
 _MIXES = np.random.default_rng(23).integers(1, 1 << 63, LONG_BITS // 64, dtype=np.uint64)
@@ -291,8 +293,8 @@ def key_plan(n: int, similarity: float = SIMILARITY) -> tuple[int, int]:
     return exact, int(np.ceil(np.log(1 - KEY_RECALL) / np.log(1 - together)))
 
 
-def similarity_keys(words: np.ndarray, exact: int, tables: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, row) of every table: the codewords of one 16-bit segment with ``exact`` bits of another, of rows of 64-bit words.
+def similarity_keys(words: np.ndarray, exact: int, tables: int, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(key, row) of every table from ``first`` up to ``tables``: the codewords of one 16-bit segment with ``exact`` bits of another, of rows of 64-bit words.
 
     The other segment is the next one; tables beyond the number of segments take the one after it, and so on.
     """
@@ -300,7 +302,7 @@ def similarity_keys(words: np.ndarray, exact: int, tables: int) -> tuple[np.ndar
     segments = np.ascontiguousarray(words).view(np.uint16).astype(np.int64)
     n, many = segments.shape
     keys, rows = [], []
-    for t in range(tables):
+    for t in range(first, tables):
         own, after = segments[:, t % many], segments[:, (t + 1 + t // many) % many]
         valid = np.arange(codes.shape[1]) < count[own][:, None]
         stem = ((t << 16) | (after & ((1 << exact) - 1)))[:, None] << 12
@@ -481,24 +483,31 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def words_of(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
         return np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint64).reshape(batch.num_rows, -1)
 
+    def in_passes(upto: int, one: Callable[[int, int], DataFrame], tag: str) -> list[DataFrame]:
+        """``one(first, end)`` of a few tables at a time, each written before the next, so that only the keys of one pass lie on disk."""
+        return [materialise(one(at, min(upto, at + PASS_TABLES)), tag) for at in range(0, upto, PASS_TABLES)]
+
     def with_near(rows: DataFrame, labels: tuple[str, ...]) -> DataFrame:
         """Nodes of rows (node, fp, labels) that share a key with one of another label (of another node, where labels is empty) and of near first bits."""
 
-        def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in arrow_rows(batches, 1 << 13):
-                if batch.num_rows:
-                    words64 = words_of(batch)
-                    key, row = similarity_keys(words64, exact, tables)
-                    of = pa.array(row)
-                    yield pa.RecordBatch.from_arrays([pa.array(key), *(batch.column(c).take(of) for c in ("node", *labels)), _signed(words64[row, -2]), _signed(words64[row, -1])], ["key", "node", *labels, "x", "y"])
-
         def flag(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for table in whole_runs(batches):
                 has = with_neighbours(table["key"].to_numpy(), table[(*labels, "node")[0]].to_numpy(), *(table[c].to_numpy().view(np.uint64) for c in ("x", "y")), first_cut)
                 yield pa.RecordBatch.from_arrays([pa.array(np.unique(table["node"].to_numpy()[has]))], ["node"])
 
-        keyed = rows.select("node", *labels, "fp").mapInArrow(emit, ", ".join(f"{c} long" for c in ("key", "node", *labels, "x", "y")))
-        return keyed.repartition(F.col("key")).sortWithinPartitions("key", "node").mapInArrow(flag, "node long").distinct()
+        def flagged(first: int, end: int) -> DataFrame:
+            def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in arrow_rows(batches, 1 << 13):
+                    if batch.num_rows:
+                        words64 = words_of(batch)
+                        key, row = similarity_keys(words64, exact, end, first)
+                        of = pa.array(row)
+                        yield pa.RecordBatch.from_arrays([pa.array(key), *(batch.column(c).take(of) for c in ("node", *labels)), _signed(words64[row, -2]), _signed(words64[row, -1])], ["key", "node", *labels, "x", "y"])
+
+            keyed = rows.select("node", *labels, "fp").mapInArrow(emit, ", ".join(f"{c} long" for c in ("key", "node", *labels, "x", "y")))
+            return keyed.repartition(F.col("key")).sortWithinPartitions("key", "node").mapInArrow(flag, "node long").distinct()
+
+        return reduce(DataFrame.union, in_passes(tables, flagged, "near")).distinct()
 
     chosen = materialise(classes.join(with_near(classes, ()), "node").select("node", "least", "size", "fp"), "chosen")
     texts = docs.select(F.col(id_col).alias("least"), F.col(text_col).alias("text"))
@@ -507,12 +516,6 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def pairs_of(rows: DataFrame, upto: int, pick: str) -> DataFrame:
         """Near pairs among rows (node, label, size, fp) that meet in the first ``upto`` tables."""
 
-        def emit_whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in arrow_rows(batches, 1 << 10):
-                if batch.num_rows:
-                    key, row = similarity_keys(words_of(batch), exact, upto)
-                    yield pa.RecordBatch.from_arrays([pa.array(key), *batch.take(pa.array(row)).columns], ["key", *batch.schema.names])
-
         def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for table in whole_runs(batches):
                 key, node, label, size = (table[c].to_numpy() for c in ("key", "node", "label", "size"))
@@ -525,9 +528,18 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     each = np.unique(np.concatenate(two), axis=0)
                     yield pa.RecordBatch.from_arrays([pa.array(each[:, 0]), pa.array(each[:, 1])], ["a", "b"])
 
-        dealt = rows.select("node", "label", "size", "fp").mapInArrow(emit_whole, "key long, node long, label long, size long, fp binary").repartition(F.col("key")).sortWithinPartitions("key", "node")
-        met = dealt.mapInArrow(meet, "a long, b long")
-        return met.distinct() if pick == "span" else met
+        def met(first: int, end: int) -> DataFrame:
+            def emit_whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in arrow_rows(batches, 1 << 10):
+                    if batch.num_rows:
+                        key, row = similarity_keys(words_of(batch), exact, end, first)
+                        yield pa.RecordBatch.from_arrays([pa.array(key), *batch.take(pa.array(row)).columns], ["key", *batch.schema.names])
+
+            keyed = rows.select("node", "label", "size", "fp").mapInArrow(emit_whole, "key long, node long, label long, size long, fp binary")
+            return keyed.repartition(F.col("key")).sortWithinPartitions("key", "node").mapInArrow(meet, "a long, b long")
+
+        pairs = reduce(DataFrame.union, in_passes(upto, met, "met"))
+        return pairs.distinct() if pick == "span" else pairs
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, 256):
@@ -556,11 +568,14 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = components(links)
     labelled = chosen.join(found.withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left").withColumn("label", F.coalesce("component", "node"))
     labelled = materialise(labelled.select("node", "label", "size", "fp"), "labelled")
+    discard(chosen)
     contested = materialise(labelled.join(with_near(labelled, ("label",)), "node").select("node", "label", "size", "fp"), "contested")
     more = materialise(linked(pairs_of(contested, tables, "apart")), "more")
+    discard(compared, labelled, contested)
     if not more.isEmpty():
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     rooted = classes.join(found.withColumnRenamed("node", "k"), F.col("node") == F.col("k"), "left").select("fp", "digest", "least", F.coalesce("component", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = materialise(rooted.join(smallest, "root").select("fp", "digest", "component_id"), "named")
+    discard(classes)
     return prints.join(named, ["fp", "digest"]).select(F.col("id").alias(id_col), "component_id")
