@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from urllib.parse import quote, unquote_to_bytes
 
 import pandas as pd
@@ -15,6 +16,7 @@ _PORTS = {"http": 80, "https": 443, "ftp": 21, "ws": 80, "wss": 443}
 _PATH_SAFE = "!$%&'()*+,-./:;=@[\\]_|~"
 _QUERY_SAFE = "!$%&()*+,-./:;=?@[\\]^_`{|}~"
 _FORM_SAFE = "*-._"
+_USER_SAFE = "!$%&'()*+,"
 _BAD_HOST = re.compile(r"[\x00-\x20#%/:<>?@\[\\\]^|]")
 
 
@@ -36,15 +38,53 @@ def _path(raw: str) -> str:
     return "/" + "/".join(out)
 
 
+def _number(part: str) -> int | None:
+    """A part of an IPv4 address: decimal, octal after 0, hexadecimal after 0x; None for any other text."""
+    base, digits = (16, part[2:]) if part.startswith("0x") else (8, part[1:]) if len(part) > 1 and part[0] == "0" else (10, part)
+    if not re.fullmatch("[0-9a-f]*", digits) or not part:
+        return None
+    try:
+        return int(digits or "0", base)
+    except ValueError:
+        return None
+
+
+def _address(host: str) -> str:
+    """A host whose last label is a number as a dotted IPv4 address; ValueError where it is none. Other hosts stay."""
+    parts = host.split(".")
+    if len(parts) > 1 and not parts[-1]:
+        parts.pop()
+    if not re.fullmatch("[0-9]+", parts[-1]) and _number(parts[-1]) is None:
+        return host
+    numbers = [_number(x) for x in parts]
+    if len(parts) > 4 or None in numbers or any(x > 255 for x in numbers[:-1]) or numbers[-1] >= 256 ** (5 - len(parts)):
+        raise ValueError(host)
+    whole = sum(x << 8 * (3 - i) for i, x in enumerate(numbers[:-1])) + numbers[-1]
+    return ".".join(str(whole >> shift & 255) for shift in (24, 16, 8, 0))
+
+
+def _label(label: str) -> str:
+    """A label of a host in ASCII; ß and ς stay letters of their own."""
+    if re.search("[ßς]", label):
+        return "xn--" + unicodedata.normalize("NFKC", label).encode("punycode").decode()
+    return label.encode("idna").decode()
+
+
+def _user(raw: str) -> str:
+    """User name and password, escaped, with the sign that follows them; empty where both are."""
+    name, _, secret = (quote(x, safe=_USER_SAFE) for x in raw.partition(":"))
+    return f"{name}:{secret}@" if secret else f"{name}@" if name else ""
+
+
 def _host(raw: str) -> str:
     host = unquote_to_bytes(raw).decode("utf-8").lower()
     if host.startswith("[") and host.endswith("]"):
         return host
     if not host.isascii():
-        host = ".".join(label.encode("idna").decode() for label in host.split("."))
+        host = ".".join(map(_label, host.split(".")))
     if not host or _BAD_HOST.search(host):
         raise ValueError(raw)
-    return host
+    return _address(host)
 
 
 def parsed(raw: str) -> tuple[str, str, str, str | None]:
@@ -57,14 +97,14 @@ def parsed(raw: str) -> tuple[str, str, str, str | None]:
     rest = re.sub(r"^[/\\]*", "", rest)
     cut = re.search(r"[/\\?]", rest)
     authority, rest = (rest[: cut.start()], rest[cut.start() :]) if cut else (rest, "")
-    user, at, place = authority.rpartition("@")
+    user, _, place = authority.rpartition("@")
     found = re.fullmatch(r"(\[[^\]]*\]|[^:]*)(?::([0-9]*))?", place)
     if not found:
         raise ValueError(raw)
     port = int(found[2]) if found[2] else None
     if port is not None and port > 65535:
         raise ValueError(raw)
-    authority = (f"{user}@" if at and user.strip(":") else "") + _host(found[1]) + (f":{port}" if port is not None and port != _PORTS[name] else "")
+    authority = _user(user) + _host(found[1]) + (f":{port}" if port is not None and port != _PORTS[name] else "")
     path, mark, query = rest.partition("?")
     return name, authority, _path(path or "/"), quote(query, safe=_QUERY_SAFE + "%") if mark else None
 

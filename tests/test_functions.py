@@ -44,6 +44,8 @@ def test_canonical_text_ignores_key_order_and_keeps_values(value):
     ("HTTP://Shop.Garden.example/Seeds/?utm_term=x&UTM_content=y#rows", "http://shop.garden.example/Seeds", None), ("https://garden.example/plan/?bed=4&utm_id=9&row=b#end", "https://garden.example/plan?bed=4&row=b", None),
     ("https://a.com", "https://a.com/", "https://a.com/"), ("https://a.com/x//", "https://a.com/x/", None), ("HTTPS://A.com:443/p", "https://a.com/p", None), ("https://a.com/?q=a%20b", "https://a.com/?q=a%20b", None), ("https://a.com/?q=a%20b&UTM_x=1", "https://a.com/?q=a+b", None),
     ("https://a.com/?utm_x=1", "https://a.com/", "https://a.com/?utm_x=1"), ("https://a.com/b/../c/./d", "https://a.com/c/d", None), ("https://a.com/a b?c d", "https://a.com/a%20b?c%20d", None), ("https://a.com:8080/x/", "https://a.com:8080/x", None), ("not a url", None, None), ("mailto:x@y.z", None, None), (None, None, None), ("https://a.com/x?", "https://a.com/x?", None),
+    ("http://10.1/", "http://10.0.0.1/", None), ("http://0xC0.0250.0.1", "http://192.168.0.1/", None), ("http://3232235777./q", "http://192.168.1.1/q", None), ("http://1.2.3.4.5/", None, None), ("http://256.1.1.1/", None, None), ("http://a.09/", None, None), ("http://4.a/", "http://4.a/", None),
+    ("http://stra\u00dfe.example/", "http://xn--strae-oqa.example/", None), ("http://b\u00fccher.example/", "http://xn--bcher-kva.example/", None), ("http://u ser:p=w@a.com/", "http://u%20ser:p%3Dw@a.com/", None), ("http://u:@a.com/", "http://u@a.com/", None), ("http://:@a.com/", "http://a.com/", None), ("http://a@b@c.com/", "http://a%40b@c.com/", None),
 ])
 def test_urls(url, official, plain):
     assert normal(url, True) == official
