@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, collision_counting, decontaminate, language_id, license_scan, near_hash, personal_data, quality_gam, retrieval_packing, sentence_spans
+from . import chat_format, collision_counting, collocations, decontaminate, language_id, license_scan, near_hash, personal_data, quality_gam, retrieval_packing, sentence_spans, shard_packing, spelling_groups
 from .base import read_table
 
 
@@ -57,6 +57,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups.spelling_groups(read_table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_packing.shard_rows(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_retrieval_packing": op2_retrieval_packing,
@@ -68,6 +80,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_simhash_golay": op9_simhash_golay,
     "op10_decontamination": op10_decontamination,
+    "op11_spelling_groups": op11_spelling_groups,
+    "op12_collocations": op12_collocations,
+    "op13_best_fit_shards": op13_best_fit_shards,
 }
 
-ORACLES: dict[str, str] = {"op1_chat_format": chat_format.ORACLE, "op10_decontamination": decontaminate.ORACLE}
+ORACLES: dict[str, str] = {"op1_chat_format": chat_format.ORACLE, "op10_decontamination": decontaminate.ORACLE, "op11_spelling_groups": spelling_groups.ORACLE, "op12_collocations": collocations.ORACLE}
