@@ -27,7 +27,7 @@ UNKNOWN = "und"
 #: Bits of the bitmap of frequent words and pairs that goes to the executors (8 MB), whatever their number.
 BITMAP = 1 << 26
 #: Text bytes that are counted at once.
-BLOCK = 8 << 20
+BLOCK = 2 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _HARD = np.array([b in b".,;:!?\n\x0b\x0c\r" for b in range(256)])
 _GAP = _HARD | np.array([b in b" \t" for b in range(256)])
@@ -137,21 +137,21 @@ def counted(rows: DataFrame, known: list) -> DataFrame:
     """Phrases of ``rows`` (lang, text) as ``GRAM``, summed: words if nothing is ``known``, pairs of the words in its first bitmap, and phrases of three and four words whose pairs are in its second."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow_rows(batches, 8192):
+        for batch in arrow_rows(batches, 1024):
             texts, langs = text_bytes(batch.column("text")), batch.column("lang").to_pylist()
             for a, b in blocks(texts, BLOCK):
                 grams = Counts(texts[a:b], langs[a:b])
                 if not known:
-                    yield grams.table()
+                    yield from arrow_rows([grams.table()], 32_768)
                     continue
                 h, single = grams.word_hashes(), grams.single
                 grams.longer(found(known[0].value, h))
                 if len(known) == 1:
-                    yield grams.table()
+                    yield from arrow_rows([grams.table()], 32_768)
                     continue
                 grams.longer(found(known[1].value, joined(h[single[grams.first]], h[single[grams.first + 1]])))
                 while True:
-                    yield grams.table()
+                    yield from arrow_rows([grams.table()], 32_768)
                     if grams.words == LONGEST:
                         break
                     grams.longer()
