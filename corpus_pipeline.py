@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetmill.llm import decontaminate, near_hash, personal_data, quality_gam, retrieval_packing
-from packetmill.llm.base import free_name, materialise, numbered, read_table
+from packetmill.llm.base import materialise, numbered, read_table, stable_numbers
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality model rejects; it is fitted on ``labels`` outside the held-out fold."""
@@ -22,11 +23,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the first document of every group of similar texts (five-word shingles, 0.8), in table order.
 
-    Rows with equal or null ids are told apart by a number of their own, which every scan of the written table gives alike;
-    null and wordless texts are one group.
+    Rows with equal or null ids are told apart by their place in the files that hold them, which does not depend on how a
+    scan is planned; null and wordless texts are one group.
     """
-    row = free_name(docs)
-    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    rows, row = stable_numbers(docs, "rows")
     groups = near_hash.similar_groups(rows, id_col=row)
     gone = materialise(groups.where(F.col(row) != F.col("component_id")).select(row), "gone")
     return rows.join(gone, row, "left_anti").select(*docs.columns)

@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,6 +77,24 @@ def numbered(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     return materialise(df.withColumn(name, F.monotonically_increasing_id()), tag), name
 
 
+def stable_numbers(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """``df`` with a number for every row that all scans give alike, however they are planned, under a column name that it does not have.
+
+    Of a plain scan of Parquet files the number is the place of the row's file among the sorted paths and the row's place in that
+    file, so that nothing is copied; the driver holds one entry a file, as the scan itself does. Any other table is
+    written once with ``numbered``.
+    """
+    try:
+        files = sorted(r[0] for r in df.select("_metadata.file_path").distinct().collect())
+        placed = df.select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias(free_name(df)))
+    except AnalysisException:
+        return numbered(df, tag)
+    name = free_name(df)
+    order = F.broadcast(df.sparkSession.createDataFrame(list(zip(files, range(len(files)), strict=True)), "file_path string, file_number long").select(F.struct("file_path", "file_number").alias(f"{name}_file")))
+    met = placed.join(order, F.col(f"{name}_file.file_path") == F.col(f"{name}.file_path"))
+    return met.select(*[F.col(f"`{c}`") for c in df.columns], (F.shiftleft(F.col(f"{name}_file.file_number"), 36) + F.col(f"{name}.row_index")).alias(name)), name
+
+
 def fold(column: str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; null ids count as the text 'null'."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("null")).cast("binary")) % parts

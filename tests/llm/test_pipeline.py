@@ -70,3 +70,22 @@ def test_run_and_empty(spark, tmp_path):
         spark.read.parquet(f"{FOLDER}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
     spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_row_numbers_do_not_depend_on_the_plan(spark, tmp_path):
+    """Numbers, and the documents kept, stay as they are when a scan is planned for more or fewer cores."""
+    from packetmill.llm.base import stable_numbers
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    docs.repartition(6).write.parquet(f"{tmp_path}/six")
+    six = spark.read.parquet(f"{tmp_path}/six")
+    rows, row = stable_numbers(six, "rows")
+    seen = []
+    for least in ("1", "4", "17"):
+        spark.conf.set("spark.sql.files.minPartitionNum", least)
+        again, _ = stable_numbers(spark.read.parquet(f"{tmp_path}/six"), "rows")
+        seen += [{(r.doc_id, r.text, r[row]) for r in t.select("doc_id", "text", row).collect()} for t in (rows, again)]
+    spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert len(seen[0]) == docs.count() and all(x == seen[0] for x in seen) and len({x[2] for x in seen[0]}) == docs.count()
+    made, name = stable_numbers(spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "row long, text string"), "rows")
+    assert name != "row" and made.select(name).distinct().count() == 3
