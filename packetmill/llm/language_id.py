@@ -14,12 +14,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .base import arrow_rows, blocks, fold, text_bytes
+from .base import arrow_rows, blocks, fold, materialise, text_bytes
 
 BUCKETS, WIDTH, FOLDS, HELD = 1 << 15, 16, 4, 2
-#: Documents per language that a model is fitted on, about, and in all: those with the least hashes of their ids.
+#: Documents per language that a model is fitted on, and in all, at most: those with the least hashes of id and text.
 SAMPLE, MOST = 600, 6000
 UNKNOWN = "und"
 _LETTER = np.array([b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint8)
@@ -121,16 +122,17 @@ def _lowered(column: pa.Array) -> list[bytes]:
 
 
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, most: int = MOST) -> Model:
-    """A model from text and non-null language of documents outside the held-out fold: about ``sample`` of each language, ``most`` in all."""
+    """A model from text and non-null language of documents outside the held-out fold: ``sample`` of each language and ``most`` in all, at most.
+
+    The documents with the least hashes of id and text are taken, so that null and repeated ids neither exceed the sample nor leave a
+    language out; beyond ``most`` languages those with the fewest documents are not learned.
+    """
     known = docs.where((fold(id_col, FOLDS) != HELD) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    known = known.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # one row per language
-    sample = min(sample, max(1, most // max(len(sizes), 1)))
-    share = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / float(1 << 20)
-    limit = F.lit(1.0)
-    for lang, n in sizes.items():
-        if n > sample:
-            limit = F.when(F.col("lang") == lang, sample / n).otherwise(limit)
+    known = known.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("hash"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    languages = materialise(known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most), "languages")  # at most ``most`` rows
+    sample = min(sample, max(1, most // max(languages.count(), 1)))
+    place = F.row_number().over(W.partitionBy("lang").orderBy("hash"))  # every task hands on its least hashes only
+    chosen = known.join(F.broadcast(languages.select("lang")), "lang").withColumn("place", place).where(F.col("place") <= sample)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches):
@@ -139,10 +141,10 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
                 k, c = np.unique(pieces([text])[0], return_counts=True)
                 keys.append(k)
                 counts.append(c)
-            yield pa.RecordBatch.from_arrays([batch.column("id").cast(pa.string()), batch.column("lang"), pa.array(keys, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))], ["id", "lang", "bucket", "count"])
+            yield pa.RecordBatch.from_arrays([batch.column("hash"), batch.column("lang"), pa.array(keys, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))], ["hash", "lang", "bucket", "count"])
 
-    rows = known.where(share < limit).mapInArrow(count, "id string, lang string, bucket array<int>, count array<int>").where("size(bucket) > 0").toPandas()
-    rows = rows.sort_values(["id", "lang"]).sample(frac=1, random_state=3) if len(rows) else rows
+    rows = chosen.select("hash", "text", "lang").mapInArrow(count, "hash long, lang string, bucket array<int>, count array<int>").where("size(bucket) > 0").toPandas()
+    rows = rows.sort_values(["hash", "lang"]).sample(frac=1, random_state=3) if len(rows) else rows
     languages = sorted(set(rows["lang"]))
     number = {x: i for i, x in enumerate(languages)}
     return train([(np.asarray(b), np.asarray(c, float), number[y]) for b, c, y in zip(rows["bucket"], rows["count"], rows["lang"], strict=True)], languages)

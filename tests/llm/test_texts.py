@@ -363,3 +363,21 @@ def test_reliabilities():
     vote = np.stack([sign(0.9), sign(0.85), sign(0.8), sign(0.55)], 1)
     p = pd_.posteriors(["x"] * 4000, vote, np.ones(4000))
     assert ((p > 0.5) == truth).mean() > 0.92
+
+
+def test_language_fit_is_bounded(spark, monkeypatch):
+    """Null ids and one id for all rows bring no more than the sample to the driver, and every language is learned."""
+    words = {"a": "the quick brown fox and some more words", "b": "der schnelle braune fuchs und andere worte"}
+    for ids in (lambda k: None, lambda k: 1, lambda k: k):
+        rows = spark.createDataFrame([(ids(k), f"{words['ab'[k % 2]]} {k}", "ab"[k % 2]) for k in range(800)], "doc_id long, text string, lang string")
+        held = []
+        train = li.train
+        monkeypatch.setattr(li, "train", lambda found, languages: (held.append((len(found), languages)), train(found, languages))[1])
+        li.fit(rows, sample=100, most=300)
+        monkeypatch.setattr(li, "train", train)
+        assert held == [(200, ["a", "b"])]
+    many = spark.createDataFrame([(k, f"word {k} here", f"l{k}") for k in range(400)], "doc_id long, text string, lang string")
+    held = []
+    monkeypatch.setattr(li, "train", lambda found, languages: held.append((len(found), len(languages))))
+    li.fit(many, sample=100, most=50)
+    assert held == [(50, 50)]
