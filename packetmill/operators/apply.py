@@ -17,7 +17,9 @@ from pyspark.sql import types as T
 from ..functions.json import serialize_struct
 from ..functions.text import artifact_storage_path, iso_date, iso_datetime, packet_storage_prefix
 from ..functions.urls import normalize_official_url, normalize_url
+from ..sources.versions import Versions
 from ..vocabulary import MODEL_ID, OPERATION_TABLES, PACKET_VERSION, V1_VERSION
+from .validate import explode_operations
 
 # --- preflight
 
@@ -72,7 +74,7 @@ def upsert_rows(target: DataFrame, incoming: DataFrame, keys: Sequence[str], ord
 def create_video_analysis(ops: DataFrame, existing: DataFrame) -> DataFrame:
     """Analyses with one for every run that has none; ids are hashes of run ids. Of several for a run the least intent counts."""
     first = ops.withColumn("_k", F.row_number().over(W.partitionBy("run_id").orderBy("intent_id"))).where("_k = 1").drop("_k")
-    new = first.join(existing.select("run_id"), "run_id", "left_anti").withColumn("analysis_id", F.sha2(F.concat(F.lit("analysis|"), "run_id"), 256))
+    new = first.join(existing.select("run_id"), "run_id", "left_anti").withColumn("analysis_id", analysis_id_of("run_id"))
     return existing.unionByName(new.select(*[c for c in existing.columns if c in new.columns]), allowMissingColumns=True)
 
 
@@ -114,6 +116,17 @@ def replace_organization_sources(rows: DataFrame, target: DataFrame, candidates:
     return replace_rows(target, fixed, ["organization_candidate_id"]).join(candidates.select("organization_candidate_id").distinct(), "organization_candidate_id", "left_semi")
 
 
+def replace_sources_of(rows: DataFrame, target: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """As ``replace_organization_sources``, where only candidates of some analyses are at hand, before and after they were replaced.
+
+    Sources of candidates that are gone go; incoming ones need a candidate; all others stay.
+    """
+    key = "organization_candidate_id"
+    gone = before.select(key).join(after.select(key), key, "left_anti").distinct()
+    fixed = rows.withColumn("normalized_url", normalize_official_url(F.col("url"))).join(after.select(key).distinct(), key, "left_semi")
+    return replace_rows(target, fixed, [key], rows.select(key).unionByName(gone))
+
+
 def upsert_resource_candidates(rows: DataFrame, target: DataFrame) -> DataFrame:
     """Resources by analysis and normalised URL, which is computed and not taken from the payload; the last in payload order wins.
 
@@ -235,7 +248,7 @@ def apply_intents(tables: dict[str, DataFrame], ops: DataFrame, results: DataFra
         out[table] = replace_lifecycle_assignments(stages, tables[table]).select(*tables[table].columns)
     write("replace_organization_candidates", lambda rows, target: replace_organization_candidates(rows, target, touched("replace_organization_candidates")))
     candidates = OPERATION_TABLES["replace_organization_candidates"]
-    write("replace_organization_sources", lambda rows, target: replace_organization_sources(rows, target, out[candidates]) if candidates in out else replace_rows(target, rows, ["organization_candidate_id"]))
+    write("replace_organization_sources", lambda rows, target: replace_sources_of(rows, target, tables[candidates], out[candidates]) if candidates in out else replace_rows(target, rows, ["organization_candidate_id"]))
     write("upsert_resource_candidates", lambda rows, target: upsert_resource_candidates(rows.withColumn("applied_at", now), target), keep=("operation_index", "position"))
     write("upsert_entity_candidates", lambda rows, target: append_entity_candidates(rows, target))
     write("record_web_search_events", lambda rows, target: append_web_search_events(rows, target))
@@ -250,6 +263,62 @@ def apply_intents(tables: dict[str, DataFrame], ops: DataFrame, results: DataFra
     return out
 
 
+#: The column by whose hash each table is kept in buckets; all others by analysis.
+TABLE_KEYS = {name: "analysis_id" for name in OPERATION_TABLES.values()} | {
+    OPERATION_TABLES["create_video_analysis"]: "run_id", OPERATION_TABLES["record_web_search_events"]: "run_id", OPERATION_TABLES["replace_organization_sources"]: "organization_candidate_id",
+    "runs": "run_id", "ledger": "intent_id", "events": "intent_id",
+}
+#: Tables that intents only add to.
+APPENDED = (OPERATION_TABLES["upsert_entity_candidates"], OPERATION_TABLES["record_web_search_events"], "events")
+
+
+def analysis_id_of(run_id: str) -> Column:
+    return F.sha2(F.concat(F.lit("analysis|"), run_id), 256)
+
+
+def apply_batch(store: Versions, intents: DataFrame, number: int, decide: Callable[[dict[str, DataFrame], DataFrame], DataFrame]) -> None:
+    """Apply intents (intent_id, run_id, body, applied_at) to the tables of ``store`` as its version ``number``.
+
+    Only buckets with a key of the batch are read and written: of its intents, runs and analyses, and for sources of the
+    candidates that its analyses had and get. Tables that are only added to are not read. ``decide`` takes the tables, so pruned,
+    and the intents that the ledger does not have as applied, and returns (intent_id, run_id, result). A number that is
+    published already is passed over.
+    """
+    if number in store.numbers():
+        return
+    known = store.manifest()["tables"]
+    at: dict[str, list[int]] = {"ledger": store.touched("ledger", intents.select("intent_id"))}
+    ledger = store.read("ledger", at["ledger"])
+    fresh = intents.dropDuplicates(["intent_id"]).join(ledger.where("status = 'applied'").select("intent_id"), "intent_id", "left_anti").persist()
+    own = fresh.select("run_id").distinct()
+    made, candidates, sources = (OPERATION_TABLES[k] for k in ("create_video_analysis", "replace_organization_candidates", "replace_organization_sources"))
+    at[made] = at["runs"] = store.touched(made, own)
+    analyses = store.read(made, at[made])
+    ids = own.join(analyses.select("run_id", "analysis_id"), "run_id", "left").select(F.coalesce("analysis_id", analysis_id_of("run_id")).alias("analysis_id")).persist()
+    by_analysis = None
+    for name in known:
+        if TABLE_KEYS[name] == "analysis_id" and name not in APPENDED:
+            by_analysis = store.touched(name, ids) if by_analysis is None else by_analysis
+            at[name] = by_analysis
+    ops = explode_operations(fresh)
+    if sources in known:
+        none = F.lit(None).cast("string")
+        named = payload_items(ops.withColumns({"analysis_id": none, "run_id": none}), "replace_organization_sources", store.read(sources, ())).select("organization_candidate_id")
+        if candidates in known:
+            named = named.unionByName(store.read(candidates, at[candidates]).join(ids, "analysis_id", "left_semi").select("organization_candidate_id"))
+        at[sources] = store.touched(sources, named)
+    tables = {name: store.read(name, () if name in APPENDED else at[name]) for name in known}
+    results = decide(tables, fresh).join(fresh.select("intent_id"), "intent_id", "left_semi").persist()
+    if results.where("result = 'applied'").isEmpty():
+        store.commit(number)
+    else:
+        now = fresh.agg(F.max("applied_at")).first()[0]  # of the rows, not of the clock, so that a replay is the same
+        after = apply_intents(tables, ops, results, F.lit(now).cast("timestamp"))
+        store.commit(number, {n: (after[n], at[n]) for n in known if n not in APPENDED}, {n: after[n] for n in known if n in APPENDED})
+    for df in (fresh, ids, results):
+        df.unpersist()
+
+
 #: Kinds whose event names the analysis and the number of rows.
 _COUNTED = ("replace_technology_library_summaries", "replace_organization_candidates")
 

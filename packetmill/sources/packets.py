@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+import uuid
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,25 +58,27 @@ def write_packets(packets: DataFrame, root: str) -> DataFrame:
     """(storage_path, content_sha256, byte_count) of the artifacts written: (packet_storage_prefix, artifact_kind, body).
 
     Each artifact is one file at its fixed path, in canonical form with a line end. Tasks write through the Hadoop file
-    system under a temporary name and then rename, so that a retried task leaves whole files only.
+    system under a temporary name and then rename, so that a retried task leaves whole files only, and hand on what they
+    wrote. That goes to a hidden table below the root, which is what comes back: the input is computed once.
     """
     path = artifact_storage_path(F.col("packet_storage_prefix"), F.col("artifact_kind"))
-    made = packets.select(path.alias("storage_path"), serialize_artifact(F.col("body")).alias("a")).select("storage_path", F.col("a.content").alias("content"), F.col("a.sha256").alias("content_sha256"), F.col("a.byte_count").alias("byte_count"))
-
-    def write(rows) -> None:
-        import os
-        import uuid
-
-        from pyarrow import fs
+    made = packets.select(path.alias("storage_path"), serialize_artifact(F.col("body")).alias("a")).select("storage_path", F.col("a.content").alias("content"))
 
+    def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = fs.FileSystem.from_uri(root)
-        for row in rows:
-            target = f"{base.rstrip('/')}/{row['storage_path']}"
-            system.create_dir(os.path.dirname(target), recursive=True)
-            temporary = f"{target}.{uuid.uuid4().hex}.tmp"
-            with system.open_output_stream(temporary) as out:
-                out.write(row["content"].encode())
-            system.move(temporary, target)
-
-    made.foreachPartition(write)
-    return made.drop("content")
+        for batch in batches:
+            places, hashes, sizes = batch.column("storage_path"), [], []
+            for place, text in zip(places.to_pylist(), batch.column("content").to_pylist(), strict=True):
+                target, content = f"{base.rstrip('/')}/{place}", text.encode()
+                system.create_dir(os.path.dirname(target), recursive=True)
+                temporary = f"{target}.{uuid.uuid4().hex}.tmp"
+                with system.open_output_stream(temporary) as out:
+                    out.write(content)
+                system.move(temporary, target)
+                hashes.append(hashlib.sha256(content).hexdigest())
+                sizes.append(len(content))
+            yield pa.RecordBatch.from_arrays([places, pa.array(hashes, pa.string()), pa.array(sizes, pa.int64())], ["storage_path", "content_sha256", "byte_count"])
+
+    receipts, schema = f"{root.rstrip('/')}/_written/{uuid.uuid4().hex}", "storage_path string, content_sha256 string, byte_count long"
+    made.mapInArrow(write, schema).write.parquet(receipts)
+    return packets.sparkSession.read.schema(schema).parquet(receipts)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Declared columns of the tables that jobs read and write.
@@ -27,18 +29,35 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{path}/{name}.parquet")
 
 
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """The hash bucket of a row by its keys."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
 def write_table(df: DataFrame, path: str, keys: Sequence[str], buckets: int = 64) -> None:
     """Overwrite only the buckets that ``df`` has rows in; a bucket is the hash of the keys. ``df`` must not read ``path``.
 
     Rows of a bucket go to one task each, and only touched partitions are replaced, so a small change rewrites little.
+    ``versions.Versions`` keeps several tables so, reads by bucket and publishes a batch at once.
     """
-    spread = df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+    spread = df.withColumn("bucket", bucket_of(keys, buckets))
     spread.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
 
 
 def touched_buckets(df: DataFrame, keys: Sequence[str], buckets: int = 64) -> DataFrame:
     """The distinct buckets that rows would fall into: what has to be read before a replace."""
-    return df.select(F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("bucket")).distinct()
+    return df.select(bucket_of(keys, buckets).alias("bucket")).distinct()
+
+
+def shared_folder(spark: SparkSession, tag: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``; a temporary one where that is unset and the session is one process."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = f"file://{tempfile.mkdtemp(prefix='packetmill-')}"
+    return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
 def load_taxonomy(versions: DataFrame, categories: DataFrame, domains: DataFrame, version: str) -> DataFrame:

@@ -2,12 +2,17 @@
 
 import datetime
 import hashlib
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
+from packetmill.operators.apply import TABLE_KEYS
 from packetmill.plans.derived import Tables
 from packetmill.sources import packets, tables
-from packetmill.streaming import apply_stream, ingest_packets_stream, outcomes_stream, search_counts_stream, session_outcomes
+from packetmill.sources.versions import Versions
+from packetmill.streaming import apply_intents_stream, apply_stream, controller_outcomes_stream, ingest_packets_stream, outcomes_stream, search_counts_stream, search_ledger_stream, session_outcomes
+from packetmill.streaming.jobs import SEARCH_SCHEMA
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -48,15 +53,38 @@ def test_read_table_has_the_declared_columns(spark, tmp_path):
     assert tables.read_table(spark, f"file://{tmp_path}", "run").first().status is None
 
 
-def test_outcomes_stream_equals_batch(spark, tmp_path):
-    events = Tables(spark, FOLDER).session_events
-    events.repartition(3).write.parquet(f"{tmp_path}/events")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    stream = spark.readStream.schema(events.schema).parquet(f"{tmp_path}/events")
-    query = outcomes_stream(stream).writeStream.format("memory").queryName("outcomes").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
-    query.awaitTermination(120)
-    ended = session_outcomes(events).where("outcome <> 'unknown'")
-    assert sorted(map(tuple, spark.table("outcomes").collect())) == sorted(map(tuple, ended.collect()))
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def shuffled_events(spark, path):
+    """Session events in three files of rows in no order, and one far ahead that lets the watermark pass all of them."""
+    failed = (F.col("seq") == 2) & (F.col("session_id").cast("long") % 3 == 0)
+    events = Tables(spark, FOLDER).session_events.withColumn("at", F.timestamp_seconds(F.col("seq") * 60)).withColumn("type", F.when(failed, "session.failed").otherwise(F.col("type")))
+    for k in range(3):
+        events.where(F.pmod(F.xxhash64("session_id", "seq", F.lit(7)), F.lit(3)) == k).orderBy(F.rand(k)).coalesce(1).write.mode("append").parquet(path)
+    spark.createDataFrame([("flush", 1, "message.started", None, datetime.datetime(2100, 1, 1))], events.schema).coalesce(1).write.mode("append").parquet(path)
+    return spark.read.parquet(path).where("session_id <> 'flush'").drop("at"), spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def test_outcomes_stream_equals_batch_in_any_order(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    events, stream = shuffled_events(spark, f"{tmp_path}/events")
+    query = outcomes_stream(stream, late="2 hours").writeStream.format("memory").queryName("outcomes").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+    query.awaitTermination(300)
+    expected = session_outcomes(events)
+    assert expected.where("outcome = 'unknown'").count() and expected.where("outcome = 'failed'").count()
+    assert sorted(map(str, spark.table("outcomes").collect())) == sorted(map(str, expected.collect()))
+
+
+def test_controller_stream_equals_batch_in_any_order(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    events, stream = shuffled_events(spark, f"{tmp_path}/events")
+    complete = events.select("session_id").distinct().withColumn("complete", F.col("session_id").cast("long") % 2 == 0)
+    for _ in range(2):
+        controller_outcomes_stream(stream, lambda _: complete, f"file://{tmp_path}/out", f"{tmp_path}/c", late="2 hours").awaitTermination(300)
+    expected = session_outcomes(events, "controller", complete)
+    assert {r.outcome for r in expected.collect()} == {"unknown", "completed", "failed"}
+    assert sorted(map(str, Versions(spark, f"file://{tmp_path}/out").read("outcomes").collect())) == sorted(map(str, expected.collect()))
 
 
 def test_controller_outcomes(spark):
@@ -66,17 +94,74 @@ def test_controller_outcomes(spark):
     assert got == {"a": ("completed", "hi"), "b": ("unknown", None), "c": ("failed", None)}
 
 
-def test_ingest_registers_once(spark, tmp_path):
+def test_ingest_reads_touched_buckets_and_registers_once(spark, tmp_path, monkeypatch):
     cols = "run_id string, artifact_kind string, storage_path string, content_sha256 string"
-    source = f"{tmp_path}/in"
-    spark.createDataFrame([("r", "web_context", "p", "h")], cols).write.parquet(source)
-    start = lambda: ingest_packets_stream(spark.readStream.schema(cols).parquet(source), f"{tmp_path}/reg", f"{tmp_path}/c", f"{tmp_path}/out").awaitTermination(120)
+    source, folder = f"{tmp_path}/in", f"file://{tmp_path}/reg"
+    write = lambda rows: spark.createDataFrame(rows, cols).coalesce(1).write.mode("append").parquet(source)
+    start = lambda: ingest_packets_stream(spark.readStream.schema(cols).parquet(source), folder, f"{tmp_path}/c").awaitTermination(120)
+    write([(f"r{k}", "web_context", "p", "h") for k in range(40)])
     start()
-    spark.createDataFrame([("r", "web_context", "p", "h"), ("r", "initial_summary", "q", "i"), ("r", "web_context", "p", "x")], cols).write.mode("append").parquet(source)
+    write([("r1", "web_context", "p", "h"), ("r1", "initial_summary", "q", "i"), ("r1", "web_context", "p", "x"), ("r1", "web_context", "z", "h"), ("r1", "nonsense", "p", "h")])
+    read, seen = Versions.read, []
+    monkeypatch.setattr(Versions, "read", lambda self, name, buckets=None, number=None: (seen.append(read(self, name, buckets, number)), seen[-1])[1])
     start()
+    assert len(seen) == 1 and all(f"/bucket={Versions(spark, folder).touched('registry', spark.sql('select "r1" as run_id'))[0]}/" in x for x in seen[0].inputFiles()) and seen[0].count() < 40
+    for name in ("1", ".1.crc"):
+        (tmp_path / "c" / "commits" / name).unlink(missing_ok=True)  # the last batch runs again
     start()
-    assert sorted(r.artifact_kind for r in spark.read.parquet(f"{tmp_path}/reg").collect()) == ["initial_summary", "web_context"]
-    assert sorted(r.outcome for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["ARTIFACT_CONTENT_COLLISION", "identical", "registered", "registered"]
+    store = Versions(spark, folder)
+    assert store.read("registry").count() == 41 and store.numbers() == [0, 1]
+    assert Counter(r.outcome for r in store.read("outcomes").collect()) == {"registered": 41, "identical": 1, "ARTIFACT_CONTENT_COLLISION": 1, "ARTIFACT_PATH_COLLISION": 1, "UNKNOWN_ARTIFACT_KIND": 1}
+
+
+def test_search_ledger_takes_late_rows_apart(spark, tmp_path):
+    at = lambda h, m=0: datetime.datetime(2024, 1, 1, h, m)
+    files = [
+        [("r", "s", "q", at(9)), ("r", "s", "q", at(9)), ("r", "s", None, at(9, 55)), ("r", "s", "q", at(10))],
+        [("r", "s", "q", at(9, 55)), ("r", "s", None, at(9, 55)), ("r", "s", "q", at(9, 40)), ("r", "s", "q", at(11)), ("r", "s", "q", None), ("r", "s", "q", at(9, 50))],
+        [("r", "s", "q", at(10)), ("r", "s", "q", at(10)), ("r", "s", "q", at(11)), ("t", "s", "q", at(11))],
+    ]
+    for rows in files:
+        spark.createDataFrame(rows, SEARCH_SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        search_ledger_stream(spark.readStream.schema(SEARCH_SCHEMA).parquet(f"{tmp_path}/in"), f"file://{tmp_path}/out", f"{tmp_path}/c").awaitTermination(120)
+    for name in ("2", ".2.crc"):
+        (tmp_path / "c" / "commits" / name).unlink(missing_ok=True)
+    search_ledger_stream(spark.readStream.schema(SEARCH_SCHEMA).parquet(f"{tmp_path}/in"), f"file://{tmp_path}/out", f"{tmp_path}/c").awaitTermination(120)
+    store = Versions(spark, f"file://{tmp_path}/out")
+    rows = lambda name: Counter((r.run_id, r.query, r.searched_at) for r in store.read(name).collect())
+    assert rows("late") == Counter([("r", "q", at(9, 40)), ("r", "q", None), ("r", "q", at(10)), ("r", "q", at(10))])
+    assert rows("ledger") == Counter([("r", "q", at(9)), ("r", None, at(9, 55)), ("r", "q", at(10)), ("r", "q", at(9, 55)), ("r", "q", at(11)), ("r", "q", at(9, 50)), ("t", "q", at(11))])
+
+
+def test_versions_replace_append_and_retire(spark, tmp_path):
+    folder = f"file://{tmp_path}/v"
+    rows = spark.range(200).select("id", F.lit("old").alias("v"))
+    store = Versions.create(spark, folder, {"t": rows, "log": rows.limit(0)}, {"t": "id", "log": "id"}, 8)
+    assert Versions.create(spark, folder, {"t": rows.limit(0)}, {"t": "id"}).read("t").count() == 200
+    (b,) = store.touched("t", spark.range(5, 6))
+    new = store.read("t", [b]).withColumn("v", F.when(F.col("id") == 5, "new").otherwise(F.col("v")))
+    store.commit(0, {"t": (new, [b])}, {"log": spark.range(3).select("id", F.lit("x").alias("v"))})
+    assert store.read("t").count() == 200 and [r.id for r in store.read("t").where("v = 'new'").collect()] == [5] and store.read("t", number=-1).where("v = 'new'").isEmpty()
+    size = new.count()
+    before = {str(p) for p in (tmp_path / "v" / "data" / "t").glob("*/bucket=*")}
+    assert len(before) == 9  # one bucket was written anew
+    with pytest.raises(ValueError):
+        store.commit(1, {"t": (rows, [b])})
+    store.commit(1, {"t": (new.limit(0), [b])})
+    assert store.read("t").count() == 200 - size and store.numbers() == [0, 1]
+    assert not [p for p in (tmp_path / "v" / "data" / "t").glob(f"-1-*/bucket={b}")]  # only version -1 named it
+    for n in range(2, 22):
+        store.commit(n, append={"log": spark.range(1).select("id", F.lit(str(n)).alias("v"))})
+    assert store.read("log").count() == 23 and max(map(len, store.manifest()["tables"]["log"]["parts"].values())) <= 16
+    assert len(list((tmp_path / "v" / "versions").glob("*.json"))) == 2
+
+
+def test_written_packets_are_what_comes_back(spark, tmp_path):
+    """An input that differs each time it is computed gives hashes equal to the files."""
+    rows = spark.range(20).select(F.concat(F.lit("pre-research/v2/v/r"), "id").alias("packet_storage_prefix"), F.lit("web_context").alias("artifact_kind"), F.concat(F.lit('{"x":'), F.rand(), F.lit("}")).alias("body"))
+    written = packets.write_packets(rows, f"file://{tmp_path}/out")
+    back = packets.read_packets(spark, f"file://{tmp_path}/out")
+    assert {r.content_sha256 for r in written.collect()} == {r.content_sha256 for r in written.collect()} == {r.content_sha256 for r in back.collect()} and back.count() == 20
 
 
 def test_search_counts_and_apply_streams(spark, tmp_path):
@@ -91,24 +176,33 @@ def test_search_counts_and_apply_streams(spark, tmp_path):
     assert sorted(seen) == ["i", "j"]
 
 
-def test_apply_intents_stream_replays(spark, tmp_path):
+def test_apply_intents_stream_touches_few_buckets_and_replays(spark, tmp_path):
     """A stream of intents ends in the tables of one batch job; a replayed batch and a repeated intent change nothing."""
-    from packetmill.streaming import apply_intents_stream
     from tests.test_operators import INTENT, intent_tables, rows_of
 
-    folder = f"{tmp_path}/tables"
-    for name, table in intent_tables(spark).items():
-        table.write.parquet(f"{folder}/version=-1/{name}")
+    folder = f"file://{tmp_path}/tables"
+    tables_before = intent_tables(spark)
+    more = spark.range(100).select(F.concat(F.lit("b"), "id").alias("analysis_id"), F.lit("other").alias("category_code"))
+    tables_before["research_video_category"] = tables_before["research_video_category"].unionByName(more)
+    Versions.create(spark, folder, tables_before, TABLE_KEYS, 16)
     schema = "intent_id string, run_id string, body string, applied_at timestamp"
     stamp = datetime.datetime(2024, 5, 1)
     decide = lambda tables, batch: batch.selectExpr("intent_id", "run_id", "if(intent_id = 'i3', 'refused', 'applied') as result")
-    for k, intents in enumerate((["i1", "i3"], ["i1", "i2"])):
+    start = lambda: apply_intents_stream(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), folder, decide, f"{tmp_path}/c").awaitTermination(300)
+    folders = lambda name: {str(p) for p in (tmp_path / "tables" / "data" / name).glob("*/bucket=*")}
+    for intents in (["i1", "i3"], ["i1", "i2"]):
         spark.createDataFrame([(i, "r" + i[1], INTENT % i, stamp) for i in intents], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-        apply_intents_stream(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), folder, decide, f"{tmp_path}/c").awaitTermination(300)
-        last = {p.name: spark.read.parquet(str(p)) for p in (tmp_path / "tables" / f"version={k}").iterdir()}
+        before = {n: folders(n) for n in tables_before}
+        start()
+        # one applied intent: one bucket a table, two where the refused or repeated one has another
+        assert all(len(folders(n) - before[n]) <= (2 if n in ("ledger", "runs", "research_video_analysis", "research_video_category") else 1) for n in tables_before)
+    store = Versions(spark, folder)
+    last = {n: store.read(n) for n in tables_before}
     done = rows_of(last)
     assert {r.intent_id for r in last["ledger"].where("status = 'applied'").collect()} == {"i1", "i2"} and last["events"].count() == 6 and last["research_web_search_event"].count() == 2
+    ids = {r.run_id: r.analysis_id for r in last["research_video_analysis"].collect()}
+    assert {(r.analysis_id, r.category_code) for r in last["research_video_category"].where("category_code <> 'other'").collect()} == {(ids["r1"], "i1"), ("a2", "i2")} and last["research_video_category"].count() == 103
     for name in ("1", ".1.crc"):
         (tmp_path / "c" / "commits" / name).unlink(missing_ok=True)  # the last batch runs again
-    apply_intents_stream(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), folder, decide, f"{tmp_path}/c").awaitTermination(300)
-    assert rows_of({n: spark.read.parquet(f"{folder}/version=1/{n}") for n in done}) == done
+    start()
+    assert rows_of({n: store.read(n) for n in done}) == done and store.numbers() == [0, 1]
