@@ -43,11 +43,35 @@ def session_stats(sessions: DataFrame, pointers: DataFrame) -> DataFrame:
 
 def stage_durations(sessions: DataFrame) -> DataFrame:
     """(phase, n, avg_seconds, p50_seconds, p95_seconds, max_seconds) of completed sessions, and 'end_to_end' per run."""
+    return _durations(sessions).groupBy("phase").agg(F.count("*").alias("n"), F.avg("s").alias("avg_seconds"), F.percentile("s", 0.5).alias("p50_seconds"), F.percentile("s", 0.95).alias("p95_seconds"), F.max("s").alias("max_seconds"))
+
+
+def _durations(sessions: DataFrame) -> DataFrame:
+    """(phase, s): seconds of every completed session, and of every run from its first start to its last end."""
     took = lambda a, b: F.unix_timestamp(b) - F.unix_timestamp(a)
     ended = sessions.where("completed_at is not null")
-    per = ended.select("phase", took("started_at", "completed_at").alias("s"))
     whole = ended.groupBy("run_id").agg(F.min("started_at").alias("a"), F.max("completed_at").alias("b")).select(F.lit("end_to_end").alias("phase"), took("a", "b").alias("s"))
-    return per.unionByName(whole).groupBy("phase").agg(F.count("*").alias("n"), F.avg("s").alias("avg_seconds"), F.percentile("s", 0.5).alias("p50_seconds"), F.percentile("s", 0.95).alias("p95_seconds"), F.max("s").alias("max_seconds"))
+    return ended.select("phase", took("started_at", "completed_at").alias("s")).unionByName(whole)
+
+
+def stage_quantiles(sessions: DataFrame, probabilities: Sequence[float] = (0.5, 0.95), accuracy: int = 10_000) -> DataFrame:
+    """(phase, n, avg_seconds, max_seconds, quantiles) like ``stage_durations``, from mergeable sketches of fixed size.
+
+    Each quantile is the duration of some session whose rank is within n / accuracy of the one asked for.
+    """
+    return _durations(sessions).groupBy("phase").agg(F.count("*").alias("n"), F.avg("s").alias("avg_seconds"), F.max("s").alias("max_seconds"), F.percentile_approx("s", list(probabilities), accuracy).alias("quantiles"))
+
+
+def stage_gaps(sessions: DataFrame) -> DataFrame:
+    """(run_id, research_end, synthesis_start, gap_seconds): each synthesis start whose event before it, in its run, is the end of research.
+
+    Ends of research are those of completed sessions; an end and a start at one time count as end first.
+    """
+    ends = sessions.where("phase = 'research' and status = 'completed' and completed_at is not null").select("run_id", F.col("completed_at").alias("at"), F.lit(0).alias("starts"))
+    starts = sessions.where("phase = 'synthesis' and started_at is not null").select("run_id", F.col("started_at").alias("at"), F.lit(1).alias("starts"))
+    order = W.partitionBy("run_id").orderBy("at", "starts")
+    rows = ends.unionByName(starts).withColumns({"before": F.lag("at").over(order), "was": F.lag("starts").over(order)}).where("starts = 1 and was = 0")
+    return rows.select("run_id", F.col("before").alias("research_end"), F.col("at").alias("synthesis_start"), (F.unix_timestamp("at") - F.unix_timestamp("before")).alias("gap_seconds"))
 
 
 def search_stats(events: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ Every child table is aggregated by its key before it is joined, and long texts a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -59,6 +60,103 @@ def evidence_sample(anchors: DataFrame, n: int = 5, key: str = "analysis_id") ->
     return rows.join(total, key).select(key, "total", "evidence_id", "preview")
 
 
+def organizations_with_sources(candidates: DataFrame, sources: DataFrame, columns: Sequence[str] = ("source_rank", "source_role", "normalized_url")) -> DataFrame:
+    """Candidates with their sources, ranked, as an array of the columns: the inner level of reports and feeds; none is an empty array."""
+    item = F.struct(*columns)
+    listed = sources.groupBy("organization_candidate_id").agg(F.sort_array(F.collect_list(item)).alias("sources"))
+    kinds = listed.schema["sources"].dataType
+    return candidates.join(listed, "organization_candidate_id", "left").withColumn("sources", F.coalesce("sources", F.array().cast(kinds)))
+
+
+@dataclass
+class Child:
+    """A list of a report: rows, the kind of their key (run, analysis or intent) and its column, sort keys, and the columns shown."""
+
+    rows: DataFrame
+    kind: str
+    order: Sequence[Column]
+    columns: Sequence[str]
+
+    @property
+    def key(self) -> str:
+        return f"{self.kind}_id"
+
+
+def gather(children: Mapping[str, Child]) -> DataFrame:
+    """(owner, one array a child): the rows of all children in one union and one aggregation by owner, which is kind and key.
+
+    A row fills its own child's column only, so that each list keeps its types; lists are sorted by their keys, then by the
+    columns shown. Keys that are null own nothing.
+    """
+    union = None
+    for name, child in children.items():
+        item = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(child.order)], *[F.col(c) for c in child.columns])
+        part = child.rows.where(F.col(child.key).isNotNull()).select(_owner(child.kind, F.col(child.key)).alias("owner"), item.alias(name))
+        union = part if union is None else union.unionByName(part, allowMissingColumns=True)
+
+    def listed(name: str, columns: Sequence[str]) -> Column:
+        return F.transform(F.sort_array(F.collect_list(name)), lambda x: F.struct(*[x[c].alias(c) for c in columns])).alias(name)
+
+    return union.groupBy("owner").agg(*[listed(name, child.columns) for name, child in children.items()])
+
+
+def _owner(kind: str, key: Column) -> Column:
+    return F.concat(F.lit(kind + ":"), key.cast("string"))
+
+
+def full_reports(catalog: DataFrame, state: DataFrame, runs: DataFrame, children: Mapping[str, Child], run_id: str | None = None) -> DataFrame:
+    """One row per video: title, pipeline_status, n_runs, the selected run_id, and every child list of that run; none is an empty array.
+
+    ``analysis`` among the children gives the run's analysis_id and ``intent`` its intent_id, by which the lists of
+    these kinds are found; a run has one of either. All children share one exchange.
+    """
+    chosen = select_run(runs, state, run_id)
+    n = runs.groupBy("video_id").agg(F.count("*").alias("n_runs"))
+    out = catalog.select("video_id", "title").join(state.select("video_id", "pipeline_status"), "video_id", "left").join(n, "video_id", "left").join(chosen, "video_id", "left").na.fill(0, ["n_runs"])
+    lists = gather(children)
+    for kind, of in (("run", None), ("analysis", "analysis"), ("intent", "intent")):
+        names = [name for name, child in children.items() if child.kind == kind]
+        if of in children:
+            out = out.withColumn(f"{kind}_id", F.get(of, F.lit(0))[f"{kind}_id"])
+        if names:
+            own = lists.where(F.col("owner").startswith(kind + ":")).select("owner", *names)
+            out = out.join(own, _owner(kind, F.col(f"{kind}_id")) == own["owner"], "left").drop("owner")
+    return out.select(*[c for c in out.columns if c not in children], *[F.coalesce(c, F.array().cast(out.schema[c].dataType)).alias(c) for c in children])
+
+
+def produced_lists(reports: DataFrame) -> DataFrame:
+    """(video_id, run_id, companies, technologies, summaries, taxonomy, entities, resources) of ``full_reports``: what a run produced, with long texts as previews.
+
+    Taken from the lists organizations, families, summary, analysis, categories, domains, lifecycle, entities and resources, as far as they are there.
+    """
+    has = set(reports.columns)
+
+    def listed(name: str, columns: Mapping[str, str], cut: str | None = None) -> Column:
+        known = {f.name for f in reports.schema[name].dataType.elementType.fields} if name in has else set()
+        one = lambda x: F.struct(*[(preview_text(F.coalesce(x[c], F.lit("")), 240) if c == cut else x[c]).alias(k) for k, c in columns.items() if c in known])
+        return F.transform(name, one) if known else F.array()
+
+    def first(name: str, column: str, length: int | None = None) -> Column:
+        held = name in has and column in {f.name for f in reports.schema[name].dataType.elementType.fields}
+        value = F.get(name, F.lit(0))[column] if held else F.lit(None).cast("string")
+        return preview_text(F.coalesce(value, F.lit("")), length) if length else value
+
+    companies = {"name": "normalized_name", "primary": "is_primary_featured", "rank": "featured_rank", "scope": "organization_scope", "roles": "relationship_roles", "domain": "primary_domain_code", "official_url": "official_url", "parent": "parent_name", "status": "current_status", "summary": "authoritative_summary"}
+    technologies = {"rank": "family_rank", "family": "family_label", "technology": "primary_technology", "kind": "primary_technology_kind", "temporal_status": "temporal_status", "current_status": "current_status", "official_urls": "official_urls", "implementations": "implementations", "summary": "summary"}
+    told = F.coalesce(first("summary", "transcript_summary"), first("analysis", "contextualized_abstract"), F.lit(""))
+    summaries = F.struct(
+        first("analysis", "initial_summary", 320).alias("transcript_only"), first("analysis", "structured_summary", 320).alias("structured"), preview_text(told, 320).alias("contextualized"),
+        first("analysis", "why_it_matters", 240).alias("why_it_matters"), first("summary", "temporal_context", 240).alias("temporal_context"),
+    )
+    taxonomy = F.struct(
+        *[first("analysis", c).alias(c) for c in ("difficulty", "content_form", "evidence_level")], listed("categories", {"role": "assignment_role", "code": "category_code", "confidence": "confidence"}).alias("categories"),
+        listed("domains", {"code": "domain_code", "confidence": "confidence"}).alias("domains"), (F.transform("lifecycle", lambda x: x["lifecycle_stage"]) if "lifecycle" in has else F.array()).alias("lifecycle"),
+    )
+    entities = listed("entities", {"kind": "entity_kind", "name": "normalized_name", "url": "canonical_url", "status": "verification_status"})
+    resources = listed("resources", {"type": "resource_type", "title": "title", "url": "url", "first_party": "is_first_party", "status": "verification_status"})
+    return reports.select("video_id", "run_id", listed("organizations", companies, "authoritative_summary").alias("companies"), listed("families", technologies, "summary").alias("technologies"), summaries.alias("summaries"), taxonomy.alias("taxonomy"), entities.alias("entities"), resources.alias("resources"))
+
+
 def produced(analyses: DataFrame, summaries: DataFrame) -> DataFrame:
     """(analysis_id, transcript_only, structured, contextualized): previews; the contextualized one falls back on the abstract."""
     s = summaries.select("analysis_id", "transcript_summary")

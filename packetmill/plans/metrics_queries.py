@@ -161,6 +161,32 @@ def stage_durations(t: Tables) -> DataFrame:
     return m.stage_durations(t.sessions)
 
 
+_ACCURACY = 100
+_TOOK = "select phase, cast(floor(epoch(completed_at)) - floor(epoch(started_at)) as bigint) as s from {sessions} where completed_at is not null union all select 'end_to_end', cast(floor(epoch(max(completed_at))) - floor(epoch(min(started_at))) as bigint) from {sessions} where completed_at is not null group by run_id"
+
+
+@query("stage_quantiles", f"select phase, count(*) as n, avg(s) as avg_seconds, max(s) as max_seconds, true as p50_within, true as p95_within from ({_TOOK}) group by 1")
+def stage_quantiles(t: Tables) -> DataFrame:
+    """Sketched quantiles, and whether the exact rank of each lies within the stated error of the one asked for."""
+    found = m.stage_quantiles(t.sessions, (0.5, 0.95), _ACCURACY)
+    each = m._durations(t.sessions).join(found.select("phase", "quantiles"), "phase")
+    below, upto = ([F.sum((F.col("s") < F.col("quantiles")[k]).cast("long")) for k in (0, 1)], [F.sum((F.col("s") <= F.col("quantiles")[k]).cast("long")) for k in (0, 1)])
+    n = F.count("*")
+    within = [(below[k] <= n * p + n / _ACCURACY + 1) & (upto[k] >= n * p - n / _ACCURACY - 1) for k, p in enumerate((0.5, 0.95))]
+    ranks = each.groupBy("phase").agg(within[0].alias("p50_within"), within[1].alias("p95_within"))
+    return found.join(ranks, "phase").select("phase", "n", "avg_seconds", "max_seconds", "p50_within", "p95_within")
+
+
+@query("stage_gaps", """
+select run_id, ended as research_end, moment as synthesis_start, cast(floor(epoch(moment)) - floor(epoch(ended)) as bigint) as gap_seconds from (
+  select *, lag(moment) over w as ended, lag(starts) over w as was from (
+    select run_id, completed_at as moment, 0 as starts from {sessions} where phase = 'research' and status = 'completed' and completed_at is not null
+    union all select run_id, started_at, 1 from {sessions} where phase = 'synthesis') window w as (partition by run_id order by moment, starts))
+where starts = 1 and was = 0""")
+def stage_gaps(t: Tables) -> DataFrame:
+    return m.stage_gaps(t.sessions)
+
+
 @query("search_stats", "select run_id, subagent, count(*) as searches, sum(n_results)::bigint as results, sum(n_selected)::bigint as selected from {searches} group by 1, 2")
 def search_stats(t: Tables) -> DataFrame:
     return m.search_stats(t.searches)

@@ -270,3 +270,31 @@ def test_one_slash_at_the_end_of_a_path(spark):
     stored = spark.createDataFrame([("b", "p/30-web-context.json", "h")], "bucket_id string, name string, content_sha256 string")
     runs = spark.createDataFrame([("r", "p/")], "run_id string, packet_storage_prefix string")
     assert sorted(str(x.code) for x in r.verify_artifacts(artifacts, stored, runs).collect()) == ["ARTIFACT_MISSING", "ARTIFACT_PATH_MISMATCH", "ARTIFACT_PATH_MISMATCH", "None"]
+
+
+def test_report_children_share_one_exchange(spark):
+    """However many lists a report has, their rows move once; an owner without rows has empty lists."""
+    import re
+
+    from packetmill.operators import report as p
+
+    runs = spark.createDataFrame([("r1", "v1", 1), ("r2", "v1", 2), ("r3", "v2", 1)], "run_id string, video_id string, created_at long")
+    state = spark.createDataFrame([("v1", "finished", None)], "video_id string, pipeline_status string, latest_run_id string")
+    catalog = spark.createDataFrame([("v1", "t"), ("v2", "u"), ("v3", "w")], "video_id string, title string")
+    make = spark.createDataFrame
+    children = {
+        "analysis": p.Child(make([("r2", "a2", "long  text", None)], "run_id string, analysis_id string, initial_summary string, why_it_matters string"), "run", (), ("analysis_id", "initial_summary", "why_it_matters")),
+        "intent": p.Child(make([("r2", "i2", "applied")], "run_id string, intent_id string, status string"), "run", (), ("intent_id", "status")),
+        "events": p.Child(make([("i2", 1, "b"), ("i2", 0, "a"), ("i9", 0, "x"), (None, 0, "y")], "intent_id string, operation_index int, status string"), "intent", (F.col("operation_index"),), ("status",)),
+        "organizations": p.Child(p.organizations_with_sources(make([("a2", "c1", "n1", 2, ["x"]), ("a2", "c2", "n2", 1, None)], "analysis_id string, organization_candidate_id string, normalized_name string, featured_rank int, relationship_roles array<string>"), make([("c1", 2, "r", "u2"), ("c1", 1, "r", "u1")], "organization_candidate_id string, source_rank int, source_role string, normalized_url string")), "analysis", (F.col("featured_rank"),), ("normalized_name", "relationship_roles", "sources")),
+        "summary": p.Child(make([], "analysis_id string, transcript_summary string"), "analysis", (), ("transcript_summary",)),
+    }
+    out = p.full_reports(catalog, state, runs, children)
+    got = {y.video_id: y for y in out.collect()}
+    assert got["v1"].run_id == "r2" and got["v1"].n_runs == 2 and [y.status for y in got["v1"].events] == ["a", "b"] and got["v3"].n_runs == 0 and got["v3"].events == [] and got["v2"].run_id == "r3" and got["v2"].organizations == []
+    assert [(y.normalized_name, [z.normalized_url for z in y.sources]) for y in got["v1"].organizations] == [("n2", []), ("n1", ["u1", "u2"])]
+    plan = p.gather(children)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(owner", plan)) == 1
+    made = {y.video_id: y for y in p.produced_lists(out).collect()}
+    assert made["v1"].summaries.transcript_only == "long text" and [y.name for y in made["v1"].companies] == ["n2", "n1"] and made["v1"].entities == []
+    assert p.full_reports(catalog, state, runs, children, run_id="r1").where("video_id = 'v1'").first().events == []
