@@ -1,7 +1,13 @@
-"""URL normalisation after the WHATWG rules for http and https, as vectorized helpers."""
+"""URL normalisation after the WHATWG rules, as vectorized helpers.
+
+Schemes other than http, https, ftp, ws and wss keep their host as it stands but for its case, or have none: then the path
+either begins with a slash or is opaque. ``file`` URLs are not told from other text. International names are mapped by
+the older IDNA tables but for ß and ς.
+"""
 
 from __future__ import annotations
 
+import ipaddress
 import re
 import unicodedata
 from urllib.parse import quote, unquote_to_bytes
@@ -17,12 +23,14 @@ _PATH_SAFE = "!$%&'()*+,-./:;=@[\\]_|~"
 _QUERY_SAFE = "!$%&()*+,-./:;=?@[\\]^_`{|}~"
 _FORM_SAFE = "*-._"
 _USER_SAFE = "!$%&'()*+,"
+_PLAIN = "".join(map(chr, range(32, 127)))
+_BAD_OPAQUE = re.compile(r"[\x00\t\n\r #/:<>?@\[\\\]^|]")
 _BAD_HOST = re.compile(r"[\x00-\x20#%/:<>?@\[\\\]^|]")
 
 
-def _path(raw: str) -> str:
+def _path(raw: str, special: bool = True) -> str:
     out: list[str] = []
-    parts = raw.replace("\\", "/").split("/")[1:]
+    parts = (raw.replace("\\", "/") if special else raw).split("/")[1:]
     for i, part in enumerate(parts):
         plain = part.lower().replace("%2e", ".")
         last = i == len(parts) - 1
@@ -63,6 +71,20 @@ def _address(host: str) -> str:
     return ".".join(str(whole >> shift & 255) for shift in (24, 16, 8, 0))
 
 
+def _six(text: str) -> str:
+    """An IPv6 address in its shortest form: the first longest run of two zeros or more is left out; ValueError where it is none."""
+    if "%" in text or text != text.strip():
+        raise ValueError(text)
+    whole = int(ipaddress.IPv6Address(text))
+    pieces = [whole >> 16 * (7 - i) & 0xFFFF for i in range(8)]
+    runs = [(next((j for j in range(i, 8) if pieces[j]), 8) - i, -i) for i in range(8)]
+    length, at = max(runs)
+    told = [f"{x:x}" for x in pieces]
+    if length < 2:
+        return ":".join(told)
+    return ":".join(told[:-at]) + "::" + ":".join(told[-at + length :])
+
+
 def _label(label: str) -> str:
     """A label of a host in ASCII; ß and ς stay letters of their own."""
     if re.search("[ßς]", label):
@@ -77,9 +99,9 @@ def _user(raw: str) -> str:
 
 
 def _host(raw: str) -> str:
+    if raw.startswith("["):
+        return f"[{_six(raw[1:-1])}]"
     host = unquote_to_bytes(raw).decode("utf-8").lower()
-    if host.startswith("[") and host.endswith("]"):
-        return host
     if not host.isascii():
         host = ".".join(map(_label, host.split(".")))
     if not host or _BAD_HOST.search(host):
@@ -87,26 +109,44 @@ def _host(raw: str) -> str:
     return _address(host)
 
 
-def parsed(raw: str) -> tuple[str, str, str, str | None]:
-    """(scheme, authority, path, query) of an http, https, ftp, ws or wss URL; ValueError for any other text."""
-    text = re.sub(r"[\t\n\r]", "", raw.strip("".join(map(chr, range(33)))))
-    scheme = _SCHEME.match(text)
-    if not scheme or scheme[1].lower() not in _PORTS:
-        raise ValueError(raw)
-    name, rest = scheme[1].lower(), text[scheme.end() :].partition("#")[0]
-    rest = re.sub(r"^[/\\]*", "", rest)
-    cut = re.search(r"[/\\?]", rest)
-    authority, rest = (rest[: cut.start()], rest[cut.start() :]) if cut else (rest, "")
+def _placed(authority: str, name: str) -> str:
+    """User, host and port as they are told; the port of the scheme is left out."""
     user, _, place = authority.rpartition("@")
     found = re.fullmatch(r"(\[[^\]]*\]|[^:]*)(?::([0-9]*))?", place)
     if not found:
-        raise ValueError(raw)
+        raise ValueError(authority)
     port = int(found[2]) if found[2] else None
     if port is not None and port > 65535:
+        raise ValueError(authority)
+    if name in _PORTS or found[1].startswith("["):
+        host = _host(found[1])
+    elif _BAD_OPAQUE.search(found[1]) or not found[1] and (user or port is not None):
+        raise ValueError(authority)
+    else:
+        host = quote(found[1], safe=_PLAIN).lower()
+    return _user(user) + host + (f":{port}" if port is not None and port != _PORTS.get(name) else "")
+
+
+def parsed(raw: str) -> tuple[str, str, str | None, bool]:
+    """(what comes before the path, path, query, whether the path is opaque) of a URL; ValueError for any other text."""
+    text = re.sub(r"[\t\n\r]", "", raw.strip("".join(map(chr, range(33)))))
+    scheme = _SCHEME.match(text)
+    if not scheme or scheme[1].lower() == "file":
         raise ValueError(raw)
-    authority = _user(user) + _host(found[1]) + (f":{port}" if port is not None and port != _PORTS[name] else "")
-    path, mark, query = rest.partition("?")
-    return name, authority, _path(path or "/"), quote(query, safe=_QUERY_SAFE + "%") if mark else None
+    name, rest = scheme[1].lower(), text[scheme.end() :].partition("#")[0]
+    special = name in _PORTS
+    if special:
+        rest = "//" + re.sub(r"^[/\\]*", "", rest)
+    before, mark, query = rest.partition("?")
+    told = quote(query, safe=_QUERY_SAFE + ("%" if special else "%'")) if mark else None
+    if before.startswith("//"):
+        cut = re.search(r"[/\\]" if special else "/", before[2:])
+        authority, path = (before[2:][: cut.start()], before[2:][cut.start() :]) if cut else (before[2:], "/" if special else "")
+        return f"{name}://{_placed(authority, name)}", _path(path, special) if path else "", told, False
+    if before.startswith("/"):
+        path = _path(before, False)
+        return f"{name}:" + ("/." if path.startswith("//") else ""), path, told, False
+    return f"{name}:", quote(before, safe=_PLAIN), told, True
 
 
 def _pairs(query: str) -> list[tuple[str, str]]:
@@ -119,15 +159,15 @@ def normal(raw: str | None, official: bool = False) -> str | None:
     if raw is None:
         return None
     try:
-        scheme, authority, path, query = parsed(raw)
+        before, path, query, opaque = parsed(raw)
     except (ValueError, UnicodeError):
         return None
     if official and query and any(k.lower().startswith("utm_") for k, _ in _pairs(query)):
         kept = [(k, v) for k, v in _pairs(query) if not k.lower().startswith("utm_")]
         query = "&".join("=".join(quote(x, safe=_FORM_SAFE + " ").replace("~", "%7E").replace(" ", "+") for x in pair) for pair in kept) or None
-    if path != "/" and path.endswith("/"):
+    if path != "/" and path.endswith("/") and not opaque:
         path = path[:-1]
-    return f"{scheme}://{authority}{path}" + (f"?{query}" if query is not None and query != "" else "?" if query == "" else "")
+    return before + path + (f"?{query}" if query is not None and query != "" else "?" if query == "" else "")
 
 
 @F.pandas_udf(T.StringType())

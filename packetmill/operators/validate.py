@@ -245,25 +245,39 @@ def validate_organization_candidates(rows: DataFrame, key: str = "analysis_id",
 
     Second and later uses of a rank, name or id count as the duplicates.
     """
-    n = rows.groupBy(key).agg(
-        F.count_if("is_primary_featured").alias("p"), F.count_if(F.col("featured_rank") == 1).alias("r"), F.count_if(F.col("is_primary_featured") & (F.col("featured_rank") == 1)).alias("b"), F.count("*").alias("n")
-    )
-    sets = violations(n, [key], [(F.col("p") != 1, ONE_PRIMARY), (F.col("r") != 1, ONE_RANK), ((F.col("p") == 1) & (F.col("r") == 1) & (F.col("b") == 0), SAME_ROW), (F.col("n") > 20, "At most twenty organization candidates are allowed")])
-    order = lambda *by: W.partitionBy(key, *by).orderBy(position)
-    near = rows.repartition(key)  # an intent has some twenty candidates; all windows then share one exchange
-    one = near.withColumns({"k_rank": F.row_number().over(order("featured_rank")), "k_name": F.row_number().over(order("normalized_name")), "k_id": F.row_number().over(order("organization_candidate_id"))})
     label = F.coalesce("normalized_name", "organization_candidate_id")
     say = lambda text, *more: F.concat(label, F.lit(": " + text), *more)
     second, known = F.col("secondary_domain_codes"), F.array(*map(F.lit, v.DOMAINS))
-    checks = [
-        (F.col("featured_rank") < 1, say("featured_rank must be an integer >= 1")), ((F.col("featured_rank") >= 1) & (F.col("k_rank") > 1), say("featured_rank ", F.col("featured_rank").cast("string"), F.lit(" is duplicated"))),
-        (F.col("normalized_name").isNotNull() & (F.col("k_name") > 1), say("normalized_name is duplicated")), (F.col("organization_candidate_id").isNotNull() & (F.col("k_id") > 1), say("organization_candidate_id is duplicated")),
-        (~_has(v.DOMAINS, "primary_domain_code"), say("unknown primary_domain_code ", F.col("primary_domain_code"))), (F.size(second) > 2, say("at most two secondary organization domains are allowed")),
-        (F.size(F.array_except(second, known)) > 0, say("unknown secondary_domain_code")), (F.array_contains(second, F.col("primary_domain_code")), say("secondary domains must not repeat the primary domain")),
-        (F.size(F.array_distinct(second)) < F.size(second), say("duplicate secondary_domain_code")), (F.col("parent_name").isNotNull() & F.col("parent_canonical_url").isNull(), say("parent_name requires parent_canonical_url")),
+    own = [
+        (F.col("featured_rank") < 1, say("featured_rank must be an integer >= 1")), (~_has(v.DOMAINS, "primary_domain_code"), say("unknown primary_domain_code ", F.col("primary_domain_code"))),
+        (F.size(second) > 2, say("at most two secondary organization domains are allowed")), (F.size(F.array_except(second, known)) > 0, say("unknown secondary_domain_code")),
+        (F.array_contains(second, F.col("primary_domain_code")), say("secondary domains must not repeat the primary domain")), (F.size(F.array_distinct(second)) < F.size(second), say("duplicate secondary_domain_code")),
+        (F.col("parent_name").isNotNull() & F.col("parent_canonical_url").isNull(), say("parent_name requires parent_canonical_url")),
         (F.col("is_primary_featured") & ~F.array_contains("relationship_roles", v.PRIMARY_ROLE), say("primary featured organization must include relationship role primary_featured_organization")),
     ]
-    return sets.unionByName(violations(one, [key], checks))
+    item = F.struct(F.col(position).alias("position"), F.col("featured_rank").alias("rank"), F.col("normalized_name").alias("name"), F.col("organization_candidate_id").alias("id"), label.alias("label"), _messages(own).alias("own"))
+    sets = rows.groupBy(key).agg(
+        F.count_if("is_primary_featured").alias("p"), F.count_if(F.col("featured_rank") == 1).alias("r"), F.count_if(F.col("is_primary_featured") & (F.col("featured_rank") == 1)).alias("b"), F.count("*").alias("n"),
+        F.sort_array(F.collect_list(item)).alias("items"),
+    )
+
+    def of_item(x: Column, i: Column) -> Column:
+        """A candidate's own messages and those of values that one before it has."""
+        before = F.slice("items", 1, i)
+        again = lambda c: F.coalesce(F.exists(before, lambda y: y[c] == x[c]), F.lit(False))
+        name = F.concat(x["label"], F.lit(": "))
+        return F.concat(x["own"], _messages([
+            ((x["rank"] >= 1) & again("rank"), F.concat(name, F.lit("featured_rank "), x["rank"].cast("string"), F.lit(" is duplicated"))), (again("name"), F.concat(name, F.lit("normalized_name is duplicated"))),
+            (again("id"), F.concat(name, F.lit("organization_candidate_id is duplicated"))),
+        ]))
+
+    whole = _messages([(F.col("p") != 1, F.lit(ONE_PRIMARY)), (F.col("r") != 1, F.lit(ONE_RANK)), ((F.col("p") == 1) & (F.col("r") == 1) & (F.col("b") == 0), F.lit(SAME_ROW)), (F.col("n") > 20, F.lit("At most twenty organization candidates are allowed"))])
+    return sets.select(key, F.explode(F.concat(whole, F.flatten(F.transform("items", of_item)))).alias("message"))
+
+
+def _messages(checks: Sequence[tuple[Column, Column]]) -> Column:
+    """The messages whose condition holds, in order."""
+    return F.array_compact(F.array(*[F.when(condition, message) for condition, message in checks]))
 
 
 def qualifying_source() -> Column:

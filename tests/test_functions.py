@@ -43,7 +43,7 @@ def test_canonical_text_ignores_key_order_and_keeps_values(value):
 @pytest.mark.parametrize(("url", "official", "plain"), [
     ("HTTP://Shop.Garden.example/Seeds/?utm_term=x&UTM_content=y#rows", "http://shop.garden.example/Seeds", None), ("https://garden.example/plan/?bed=4&utm_id=9&row=b#end", "https://garden.example/plan?bed=4&row=b", None),
     ("https://a.com", "https://a.com/", "https://a.com/"), ("https://a.com/x//", "https://a.com/x/", None), ("HTTPS://A.com:443/p", "https://a.com/p", None), ("https://a.com/?q=a%20b", "https://a.com/?q=a%20b", None), ("https://a.com/?q=a%20b&UTM_x=1", "https://a.com/?q=a+b", None),
-    ("https://a.com/?utm_x=1", "https://a.com/", "https://a.com/?utm_x=1"), ("https://a.com/b/../c/./d", "https://a.com/c/d", None), ("https://a.com/a b?c d", "https://a.com/a%20b?c%20d", None), ("https://a.com:8080/x/", "https://a.com:8080/x", None), ("not a url", None, None), ("mailto:x@y.z", None, None), (None, None, None), ("https://a.com/x?", "https://a.com/x?", None),
+    ("https://a.com/?utm_x=1", "https://a.com/", "https://a.com/?utm_x=1"), ("https://a.com/b/../c/./d", "https://a.com/c/d", None), ("https://a.com/a b?c d", "https://a.com/a%20b?c%20d", None), ("https://a.com:8080/x/", "https://a.com:8080/x", None), ("not a url", None, None), ("mailto:x@y.z", "mailto:x@y.z", None), (None, None, None), ("https://a.com/x?", "https://a.com/x?", None),
     ("http://10.1/", "http://10.0.0.1/", None), ("http://0xC0.0250.0.1", "http://192.168.0.1/", None), ("http://3232235777./q", "http://192.168.1.1/q", None), ("http://1.2.3.4.5/", None, None), ("http://256.1.1.1/", None, None), ("http://a.09/", None, None), ("http://4.a/", "http://4.a/", None),
     ("http://stra\u00dfe.example/", "http://xn--strae-oqa.example/", None), ("http://b\u00fccher.example/", "http://xn--bcher-kva.example/", None), ("http://u ser:p=w@a.com/", "http://u%20ser:p%3Dw@a.com/", None), ("http://u:@a.com/", "http://u@a.com/", None), ("http://:@a.com/", "http://a.com/", None), ("http://a@b@c.com/", "http://a%40b@c.com/", None),
 ])
@@ -71,6 +71,17 @@ def test_columns(spark):
     assert out[2].h is None and out[3].h is None
 
 
+@pytest.mark.parametrize(("url", "plain"), [
+    ("http://[2001:DB8:0:0:0:0:0:1]/a/", "http://[2001:db8::1]/a"), ("http://[::FFFF:1.2.3.4]:80/", "http://[::ffff:102:304]/"), ("http://[1:0:0:2:0:0:0:3]/", "http://[1:0:0:2::3]/"), ("http://[0:0:0:0:0:0:0:0]/", "http://[::]/"), ("http://[1:0:3:4:5:6:7:8]:81/", "http://[1:0:3:4:5:6:7:8]:81/"),
+    ("http://[1:2:3:4:5:6:0:0]/", "http://[1:2:3:4:5:6::]/"), ("http://[1::2::3]/", None), ("http://[fe80::1%25eth0]/", None), ("http://[12345::]/", None), ("http://[::1/", None), ("http://[1:0:0:4:5:0:0:8]/", "http://[1::4:5:0:0:8]/"),
+    ("mailto:A@B.c?subject=x y#z", "mailto:A@B.c?subject=x%20y"), ("DATA:text/plain,é/", "data:text/plain,%C3%A9/"), ("tel:+1 2", "tel:+1 2"), ("foo://Host/a/../b/?q='#f", "foo://host/b?q='"), ("foo://Host", "foo://host"), ("foo://host:80/", "foo://host:80/"), ("foo:/a/./b/", "foo:/a/b"),
+    ("foo://ho st/", None), ("foo:/..//p", "foo:/.//p"), ("git+ssh://u:p@H.x/~/y\\z", "git+ssh://u:p@h.x/~/y\\z"), ("file:///a", None), ("1a:b", None), ("foo:///x", "foo:///x"), ("https://a.com\\b\\", "https://a.com/b"), ("http:a.com", "http://a.com/"),
+])
+def test_hosts_and_other_schemes(url, plain):
+    assert normal(url) == plain
+    assert plain is None or normal(plain) == plain
+
+
 def test_paths_and_urls(spark):
     rows = spark.createDataFrame([("v", "r")], "v string, r string")
     got = rows.select(f.packet_storage_prefix(F.col("v"), F.col("r")).alias("two"), f.packet_storage_prefix(F.col("v"), F.col("r"), "1.0.0").alias("one"), f.artifact_storage_path(F.lit("p/"), F.lit("organization_profile")).alias("a"), f.artifact_storage_path(F.lit("p"), F.lit("nothing")).alias("b")).first()

@@ -298,3 +298,12 @@ def test_report_children_share_one_exchange(spark):
     made = {y.video_id: y for y in p.produced_lists(out).collect()}
     assert made["v1"].summaries.transcript_only == "long text" and [y.name for y in made["v1"].companies] == ["n2", "n1"] and made["v1"].entities == []
     assert p.full_reports(catalog, state, runs, children, run_id="r1").where("video_id = 'v1'").first().events == []
+
+
+def test_candidate_rules_take_one_exchange_and_no_window(spark):
+    rows = spark.createDataFrame([_candidate(), _candidate(2, "github", False, 1), _candidate(1, "github", False, 3)], CANDIDATE)
+    out = x.validate_organization_candidates(rows)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" not in plan
+    got = sorted(y.message for y in out.collect())
+    assert got.count("github: normalized_name is duplicated") == 2 and got.count("github: featured_rank 1 is duplicated") == 1 and x.ONE_RANK in got
