@@ -25,8 +25,8 @@ from .base import arrow_rows, materialise
 WINDOW, END_ID, VOCABULARY = 2048, 1, 1 << 16
 #: Documents of a shard, about; an index of so many remainders takes a few MB.
 SHARD_DOCS = 400
-#: Signs of a text's place among all.
-SIGNS = 8
+#: Signs of a text's place among all: 16 million places, so that shards of billions of documents still hold neighbours.
+SIGNS = 24
 K1, B = 1.2, 0.75
 
 
@@ -84,7 +84,7 @@ def axes(seed: int = 29) -> np.ndarray:
 def place(ids: np.ndarray) -> int:
     """Where a text stands among all: signs of the sum of its ids' directions, read as a Gray code, so that neighbours differ in few signs."""
     bits = int.from_bytes(np.packbits(np.ones(len(ids), np.float32) @ axes().take(ids, axis=0) > 0).tobytes(), "big")
-    for shift in (4, 2, 1):
+    for shift in (16, 8, 4, 2, 1):
         bits ^= bits >> shift
     return bits
 
@@ -202,6 +202,7 @@ def retrieval_packs(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id",
     offset 0, and its length is at most ``window``; only the last sequence of a shard may be shorter. sequence_id
     is unique over the result. ids_crc32 is taken over unsigned little-endian 32-bit ids. Repeated rows and
     ids and null ids are packed like any others; extra columns are not read; an empty table gives an empty result.
+    Partitions, no more than the session's shuffle partitions, are cut into shards of at most ``shard_docs``, one held at a time.
     The tokenised table is written once to the shared folder, so that rows keep their shards on a retry. A tokenizer with
     ids of more than 16 bits raises an error.
     """
@@ -211,13 +212,30 @@ def retrieval_packs(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id",
     shards = max(1, -(-n // shard_docs))
     kind = docs.schema[id_col].dataType.simpleString()
 
+    parts = min(shards, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
     def pack(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = [b for b in batches if len(b)]
-        if not held:
-            return
-        rows = pd.concat(held).sort_values(["id", "doc_tokens", "tail"], kind="stable", na_position="last").reset_index(drop=True)
+        """Rows of a partition, in order of place, shard by shard; one shard is held at a time."""
+        held, waiting = None, 0
+        sequence = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            sequence = int(batch["part"].iloc[0]) << 40 if sequence is None else sequence
+            held, waiting = batch if held is None else pd.concat([held, batch]), waiting + len(batch)
+            while waiting >= 2 * shard_docs:
+                made, sequence = shard(held.iloc[:shard_docs], sequence)
+                held, waiting = held.iloc[shard_docs:], waiting - shard_docs
+                yield made
+        if waiting:
+            for rows in ([held] if waiting <= shard_docs else [held.iloc[: waiting // 2], held.iloc[waiting // 2 :]]):
+                made, sequence = shard(rows, sequence)
+                yield made
+
+    def shard(held: pd.DataFrame, sequence: int) -> tuple[pd.DataFrame, int]:
+        """The pieces of a shard, whose sequences are numbered from ``sequence`` on, and the next number."""
+        rows = held.sort_values(["id", "doc_tokens", "tail"], kind="stable", na_position="last").reset_index(drop=True)
         out: list[tuple[int, int, int, int, int, int]] = []
-        sequence = int(rows["shard"].iloc[0]) << 32
         for r, crcs in enumerate(rows["crcs"]):
             for k, crc in enumerate(crcs):
                 out.append((r, k * window, window, int(crc), sequence, 0))
@@ -234,10 +252,10 @@ def retrieval_packs(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id",
         made = pd.DataFrame(dict(zip(("start", "length", "ids_crc32", "sequence_id", "offset"), cols[1:], strict=True)))
         made.insert(0, "id", rows["id"].iloc[cols[0]].array)
         made["doc_tokens"] = rows["doc_tokens"].to_numpy()[cols[0]]
-        yield made
+        return made, sequence
 
     # Equal places are told apart by the row's place in the written table, so that repeated rows spread over shards too.
     spread = tokens.withColumn("mix", F.xxhash64(F.monotonically_increasing_id()))
-    dealt = spread.repartitionByRange(shards, "place", "mix").select("id", "doc_tokens", "crcs", "tail", F.spark_partition_id().alias("shard"))
+    dealt = spread.repartitionByRange(parts, "place", "mix").sortWithinPartitions("place", "mix").select("id", "doc_tokens", "crcs", "tail", F.spark_partition_id().alias("part"))
     packed = dealt.mapInPandas(pack, f"id {kind}, start long, length long, ids_crc32 long, sequence_id long, offset long, doc_tokens long")
     return packed.select(F.col("id").alias(id_col), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
