@@ -95,6 +95,24 @@ def stable_numbers(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     return met.select(*[F.col(f"`{c}`") for c in df.columns], (F.shiftleft(F.col(f"{name}_file.file_number"), 36) + F.col(f"{name}.row_index")).alias(name)), name
 
 
+def bitmap_of(hashes: DataFrame, column: str, size: int) -> np.ndarray:
+    """A bitmap of ``size`` bits, a multiple of 2**15, of the 64-bit hashes of a column; the driver gets at most size / 32,768 rows of 4 KB."""
+    place = F.pmod(F.col(column), F.lit(size))
+    parts = hashes.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    bits = np.zeros(size, np.uint8)
+    for part in parts:
+        one = np.unpackbits(np.frombuffer(part.bits, np.uint8), bitorder="little")
+        at = (part.bucket - 1) * len(one) + 1  # Spark's buckets begin at position 1
+        bits[max(at, 0) : at + len(one)] |= one[max(-at, 0) : size - at]
+    return np.packbits(bits)
+
+
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which unsigned hashes ``bitmap_of`` may hold; never false for one that it does, as the size divides 2**64."""
+    spot = (hashes % np.uint64(8 * len(bits))).astype(np.int64)
+    return (bits[spot >> 3] >> (7 - (spot & 7)) & 1).astype(bool)
+
+
 def fold(column: str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; null ids count as the text 'null'."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("null")).cast("binary")) % parts

@@ -1,27 +1,32 @@
 """Substring deduplication by sliding sentence spans: runs of sentences that occur before lose their later places.
 
-Sentences end at marks and line ends. Longer ones are cut further before chosen words: of every ``piece`` consecutive
-words of a sentence the one of least hash. Those cuts depend on nearby words only, so a passage that starts or
-ends within a sentence is cut in the same places wherever it stands, but for fewer than ``piece`` words at its start and at
-most ``piece`` at its end. From every piece on, and back from every piece that ends a sentence, the shortest run of at least
-``sentences`` pieces and ``least_words`` words is hashed. Hashes meet in one aggregation over the corpus; the first place of each, by document and
-position, stays, and the pieces of every other place go. With the default parameters a passage of more than 50 words
-that stands twice holds at least three whole pieces of 28 words together, so that its later places always lose some.
+Sentences end at marks and line ends. Every run of ``sentences`` consecutive sentences is hashed, however short. So that
+passages which start or end within long sentences are found too, sentences are also cut before chosen words: of every
+``piece`` consecutive words of a sentence the one of least hash. Those cuts depend on nearby words only, so a passage is cut in the same
+places wherever it stands, but for fewer than ``piece`` words at its start and at most ``piece`` at its end. From every
+piece on, and back from every piece that ends a sentence, the shortest run of at least ``sentences`` pieces and ``least_words``
+words is hashed as well. Hashes meet in one aggregation over the corpus; the first place of each, by document and
+position, stays, and what every other place covers goes. A second scan hashes again and hands on runs that a bitmap of repeated hashes
+does not rule out, so that no run is written but those. With the default parameters a passage of more than 50 words that stands
+twice holds at least three whole pieces of 28 words together, so that its later places always lose some.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Words, arrow_rows, blocks, materialise, mix, text_bytes
+from .base import Words, arrow_rows, bitmap_of, blocks, in_bitmap, materialise, mix, stable_numbers, text_bytes
 
 SENTENCES, LEAST_WORDS, PIECE = 3, 28, 12
+#: Bits of the bitmap of repeated hashes that goes to the executors (8 MB), whatever their number.
+BITMAP = 1 << 26
 _CUT = re.compile(rb"(?:[.!?]+[ \t\r\x0b\x0c]+|[ \t\r\x0b\x0c]*\n\s*)")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
@@ -64,7 +69,10 @@ def piece_cuts(block: Words, texts: list[bytes], piece: int) -> tuple[np.ndarray
 
 
 def runs(first: np.ndarray, closes: np.ndarray, sentences: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, end) pieces of all runs, each once; ``first`` holds the first word of each piece and the number of words, ``closes`` whether a piece ends a sentence."""
+    """(start, end) pieces of all runs, each once; ``first`` holds the first word of each piece and the number of words, ``closes`` whether a piece ends a sentence.
+
+    Runs are those of whole sentences and those of pieces.
+    """
     n = len(first) - 1
     at = np.arange(n)
 
@@ -75,7 +83,9 @@ def runs(first: np.ndarray, closes: np.ndarray, sentences: int, least_words: int
     whole = forward <= n
     back = n - shortest(first[-1] - first[::-1])[::-1]
     whole_back = (back >= 0) & closes
-    pair = np.unique(np.concatenate((at[whole] * (n + 1) + forward[whole], back[whole_back] * (n + 1) + at[whole_back] + 1)))
+    edges = np.concatenate((np.zeros(1, np.int64), np.flatnonzero(closes) + 1))
+    spoken = edges[:-sentences] * (n + 1) + edges[sentences:]
+    pair = np.unique(np.concatenate((at[whole] * (n + 1) + forward[whole], back[whole_back] * (n + 1) + at[whole_back] + 1, spoken)))
     return pair // (n + 1), pair % (n + 1)
 
 
@@ -119,27 +129,39 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     Documents that lose nothing are not in the result, nor are those that hold only first places. The first place of a run is that of the least id (nulls last),
     then of the least text hash, then of the first sentence; runs repeated within a document count too.
     Words are runs of letters, digits and characters beyond ASCII, lower-cased in ASCII; white space and marks
-    do not matter. Rows equal in id and text count as one document and give equal rows. Null and empty texts lose
-    nothing; extra columns are not read; an empty table gives an empty result. A run shared by a third of all
-    documents is aggregated before the shuffle, and the join that finds its places is one Spark can split.
+    do not matter. Rows equal in id and text count as one document and give equal rows, but rows without an id are documents
+    of their own. Null and empty texts lose nothing; extra columns are not read; an empty table gives an empty result. A run
+    shared by a third of all documents is aggregated before the shuffle, and the join that finds its places is one Spark can split.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null").withColumn("mark", F.xxhash64("text"))
-
-    def hash_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow_rows(batches):
-            texts = text_bytes(batch.column("text"))
-            for a, b in blocks(texts):
-                t, h, start, end = span_hashes(texts[a:b], sentences, least_words, piece)
-                own = pa.array(t + a)
-                yield pa.RecordBatch.from_arrays([pa.array(h.astype(np.uint64).view(np.int64)), batch.column("id").take(own), batch.column("mark").take(own), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], ["h", "id", "mark", "a", "b"])
-
-    spans = materialise(rows.mapInArrow(hash_runs, f"h long, id {kind}, mark long, a int, b int"), "spans")
-    place = F.struct(F.col("id").isNull().alias("none"), "id", "mark", "a")
-    repeated = spans.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(~F.col("first").eqNullSafe(F.col("last")))
-    repeated = materialise(repeated.select("h", "first"), "repeated")  # both sides of the join are then scans, and Spark can split a hot key
-    later = spans.join(repeated, "h").where(~place.eqNullSafe(F.col("first")))
-    cut = later.groupBy("id", "mark").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    plain, number = stable_numbers(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "rows")
+    row = F.when(F.col("id").isNull(), F.col(number)).otherwise(0)
+    rows = plain.where("text is not null").select("id", "text", F.xxhash64("text").alias("mark"), row.cast("long").alias("row"))
+    owner = ("id", "mark", "row")
+
+    def hash_runs(bits: Broadcast | None) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in arrow_rows(batches):
+                texts = text_bytes(batch.column("text"))
+                for a, b in blocks(texts):
+                    t, h, start, end = span_hashes(texts[a:b], sentences, least_words, piece)
+                    h = h.astype(np.uint64)
+                    if bits is not None:
+                        known = in_bitmap(bits.value, h)
+                        t, h, start, end = t[known], h[known], start[known], end[known]
+                    own = pa.array(t + a)
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *(batch.column(c).take(own) for c in owner), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))], ["h", *owner, "a", "b"])
+
+        return run
+
+    spans = lambda bits: rows.mapInArrow(hash_runs(bits), f"h long, id {kind}, mark long, row long, a int, b int")
+    place = F.struct(F.col("id").isNull().alias("none"), *owner, "a")
+    repeated = spans(None).groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(~F.col("first").eqNullSafe(F.col("last")))
+    repeated = materialise(repeated.select("h", "first"), "repeated")
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap_of(repeated, "h", BITMAP))
+    again = materialise(spans(bits), "spans")  # both sides of the join are then scans, and Spark can split a hot key
+    later = again.join(repeated, "h").where(~place.eqNullSafe(F.col("first")))
+    cut = later.groupBy(*owner).agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
     def drop(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, 1024):
@@ -152,7 +174,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 ["id", "n_pieces", "n_removed", "removed_chars", "text"],
             )
 
-    wanted = cut.select(F.col("id").alias("i"), F.col("mark").alias("m"), "spans")
-    joined = rows.join(wanted, rows.mark.eqNullSafe(wanted.m) & rows.id.eqNullSafe(wanted.i)).select("id", "text", "spans")
+    wanted = cut.select(*[F.col(c).alias(f"{c}_") for c in owner], "spans")
+    same = [rows[c].eqNullSafe(wanted[f"{c}_"]) for c in owner]
+    joined = rows.join(wanted, same).select("id", "text", "spans")
     out = joined.mapInArrow(drop, f"id {kind}, n_pieces long, n_removed long, removed_chars long, text string")
     return out.select(F.col("id").alias(id_col), "n_pieces", "n_removed", "removed_chars", "text")

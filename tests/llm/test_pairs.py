@@ -1,6 +1,7 @@
 """Operators on pairs and groups against brute force, on small fixtures with ties, nulls, repeats and clashing columns."""
 
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -342,6 +343,8 @@ def brute_spans(rows):
                     if k >= ss.SENTENCES and sum(map(len, said[a:b])) >= ss.LEAST_WORDS:
                         found.add((a, b))
                         break
+        edges = [0, *(i + 1 for i, piece in enumerate(pieces) if piece[2])]
+        found |= {(a, b) for a, b in zip(edges, edges[3:], strict=False)}
         for a, b in sorted(found):
             run = tuple(w for s in said[a:b] for w in s)
             if run in seen and seen[run] != (key, a):
@@ -378,6 +381,42 @@ def test_sentence_spans(spark):
     assert [(r.doc_id, r.text) for r in ss.remove_repeats(same).collect()] == [(None, "")]
 
 
+def own_sentences(text):
+    """Sentences of words straight from the text, and where each begins; wordless parts belong to the sentence before."""
+    out = []
+    at = 0
+    for part in re.split(r"(?<=[.!?])(?=[ \t\r\x0b\x0c])|(?=\n)", text):
+        words = re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", part)
+        if words:
+            out.append(tuple(w.lower() for w in words))
+        at += len(part)
+    return out
+
+
+def test_every_run_of_three_sentences(spark):
+    """However short: a document that holds three sentences in a row, as one before it does, loses them, and no other loses anything."""
+    rng = random.Random(12)
+    stock = ["Yes.", "No!", "All the best to you.", "Call us now?", "See below.", "It rains today.", "We are open.", "Thank you all."]
+    rows = {i: " ".join(rng.choice(stock) for _ in range(rng.randint(1, 7))) for i in range(60)} | {90: "One two three four. Five six seven eight. Nine ten eleven twelve.", 91: "Odd words. One two three four. Five six seven eight. Nine ten eleven twelve. Odd.", 92: "One two three four. Five six seven eight. Then other."}
+    seen, left = {}, {}
+    for i in sorted(rows):
+        said = own_sentences(rows[i])
+        gone = set()
+        for k in range(len(said) - 2):
+            if seen.setdefault(tuple(said[k : k + 3]), (i, k)) != (i, k):
+                gone |= {k, k + 1, k + 2}
+        if gone:
+            left[i] = [s for k, s in enumerate(said) if k not in gone]
+    got = {r.doc_id: own_sentences(r.text) for r in ss.remove_repeats(spark.createDataFrame(list(rows.items()), "doc_id long, text string")).collect()}
+    assert got == left and 91 in got and 92 not in got and got[91] == [("odd", "words"), ("odd",)]
+
+
+def test_rows_without_an_id_are_documents_of_their_own(spark):
+    text = "One two three four. Five six seven eight. Nine ten eleven twelve."
+    none = spark.createDataFrame([(None, text, "x")] * 3 + [(None, None, "x")], "doc_id long, text string, row string")
+    assert [r.text for r in ss.remove_repeats(none).collect()] == ["", ""]
+
+
 def test_passages_that_start_and_end_within_sentences(spark):
     """Every later place of a passage of 51 words loses some of it, whatever stands around it and however it is cut into sentences."""
     rng = random.Random(21)
