@@ -33,12 +33,12 @@ select {_V} as video_id, substr(text, 1, 40) as title,
   case when doc_id % 13 = 5 then null when doc_id % 19 = 7 then 0 else cast((n_chars * 7) % 7200 as int) end as duration_seconds,
   case when doc_id % 5 = 4 then 'none' else 'stored' end as transcript_status,
   case when doc_id % 23 = 9 then 'other-bucket' else 'ai-engineer-transcripts' end as transcript_bucket,
-  case when doc_id % 29 = 11 then null else 'ai-dot-engineer/' || {_V} || '.txt' end as transcript_path,
+  case when doc_id % 29 = 11 then null else 'talks/' || {_V} || '.txt' end as transcript_path,
   case when doc_id % 31 = 13 then '   ' when doc_id % 37 = 1 then null else text end as transcript_text,
   cast(n_chars as bigint) as transcript_char_count, lang as transcript_language, source as channel_id
 from {{documents}}""",
     "storage_objects": f"""
-select case when doc_id % 23 = 9 then 'other-bucket' else 'ai-engineer-transcripts' end as bucket_id, 'ai-dot-engineer/' || {_V} || '.txt' as name, cast(n_chars as bigint) as size, SHA[[coalesce(text, '')]] as content_sha256
+select case when doc_id % 23 = 9 then 'other-bucket' else 'ai-engineer-transcripts' end as bucket_id, 'talks/' || {_V} || '.txt' as name, cast(n_chars as bigint) as size, SHA[[coalesce(text, '')]] as content_sha256
 from {{documents}} where doc_id % 9 <> 2""",
     "runs": f"""
 select {_R.format("e.event_id")} as run_id, {_V.replace("doc_id", "d.doc_id")} as video_id,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 PROMPT_VERSION, PACKET_VERSION, V1_VERSION, TAXONOMY_VERSION = "pre-research-2.0.0", "2.0.0", "1.0.0", "1.0.0"
 MODEL_ID = "zai/glm-5.2"
-INTENT_BUCKET, TRANSCRIPT_BUCKET = "research-ingestion-intents", "ai-engineer-transcripts"
+TRANSCRIPT_BUCKET = "ai-engineer-transcripts"
 MAX_DURATION_SECONDS = 5400
 
 CATEGORIES = (
@@ -29,9 +29,7 @@ EVIDENCE_SOURCES = ("transcript", "description", "web")
 RESOURCE_TYPES = ("repository", "code_example", "documentation", "paper", "article", "slides", "dataset", "benchmark", "model", "demo", "course", "other")
 ENTITY_KINDS = ("person", "organization", "product", "model", "protocol", "dataset", "benchmark", "paper", "repository", "other")
 EVIDENCE_GRADES = ("said_in_transcript", "inferred_from_transcript", "verified_external", "unverified_external")
-TEMPORAL_STATUSES = ("current", "changed_since_publication", "historical", "uncertain")
 ORGANIZATION_SCOPES = ("independent_company", "parent_company", "subsidiary", "division", "research_lab", "product_organization", "standards_body", "academic_institution", "nonprofit", "community_education_media", "other")
-ORGANIZATION_ROLES = ("primary_featured_organization", "implementation_owner", "speaker_employer", "parent_organization", "subsidiary_or_division", "acquisition_party", "partner", "customer_or_internal_user", "standards_steward", "mentioned_only")
 PRIMARY_ROLE = "primary_featured_organization"
 SOURCE_ROLES = (
     "official_homepage", "official_about", "official_product", "official_documentation", "official_research", "official_model_or_system_card", "official_repository", "official_engineering_blog",
@@ -41,8 +39,6 @@ IDENTITY_ROLES = ("official_homepage", "official_about", "regulatory_or_company_
 TECHNICAL_ROLES = ("official_product", "official_documentation", "official_repository", "official_research", "official_model_or_system_card", "official_engineering_blog", "official_changelog", "standards_specification")
 AUTHORITY_TIERS = ("first_party", "official_registry", "standards_body", "reputable_secondary")
 AUTHORITATIVE_TIERS = ("first_party", "official_registry", "standards_body")
-TECHNOLOGY_KINDS = ("architecture", "technique", "protocol", "model_family", "platform_capability", "product", "other")
-IMPLEMENTATION_TYPES = ("library", "framework", "sdk", "tool", "service", "platform", "product", "protocol", "model", "repository", "other")
 SUBAGENTS = ("organization_researcher", "web_context_scout", "source_verifier")
 
 #: Artifact kinds and the files that hold them.
