@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetmill.llm import decontaminate, near_hash, personal_data, quality_gam, retrieval_packing
-from packetmill.llm.base import materialise, numbered, read_table, stable_numbers
+from packetmill.llm.base import materialise, read_table, stable_numbers
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that contain an item of ``benchmark``; null texts contain none."""
-    rows, row = numbered(docs, "rows")
+    rows, row = stable_numbers(docs, "rows")
     found = decontaminate.contained_items(rows, read_table(spark, sf_dir, "benchmark"), doc_id=row).select(row).distinct()
     return rows.join(materialise(found, "contaminated"), row, "left_anti").select(*docs.columns)
 
