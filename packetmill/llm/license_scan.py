@@ -69,7 +69,7 @@ FAMILIES = (
     ("odbl", r"open\s+database\s+licen[sc]e", ("1.0",), r"odbl"),
     ("proprietary", r"all\s+rights\s+reserved", (), r"proprietary"),
 )
-# Signatures of texts and notices; label, confidence, pattern over lower-cased text.
+# Signatures of texts and notices; label, confidence, pattern over lower-cased text, where a space stands for white space.
 SIGNATURES = r"""
 mit | 1.0 | permission\s+is\s+hereby\s+granted,?\s+free\s+of\s+charge,?\s+to\s+any\s+person\s+obtaining\s+a\s+copy
 mit | 0.9 | the\s+above\s+copyright\s+notice\s+and\s+this\s+permission\s+notice\s+shall\s+be\s+included\s+in\s+all\s+copies
@@ -226,6 +226,222 @@ proprietary | 0.7 | proprietary\s+licen[sc]e
 proprietary | 0.7 | alle\s+rechte\s+vorbehalten
 proprietary | 0.7 | tous\s+droits\s+r\u00e9serv\u00e9s
 proprietary | 0.7 | todos\s+los\s+derechos\s+reservados
+mit-cmu | 0.9 | permission to use, copy, modify,? and distribute this software and its documentation for any purpose and without fee is hereby granted
+mit-enna | 0.9 | in the case of dissemination or publication of modified versions
+mit-feh | 0.9 | copies of the software and its documentation and acknowledgment shall be given
+hpnd-sell-variant | 0.9 | permission to use, copy, modify, distribute, and sell this software and its documentation for any purpose
+smlnj | 0.9 | standard ml of new jersey copyright notice
+ntp | 0.9 | permission to use, copy, modify, and distribute this software and its documentation for any purpose with or without fee is hereby granted
+isc | 0.8 | the software is provided ["'“]?as is["'”]? and the author disclaims all warranties
+bsd-1-clause | 0.8 | redistributions of source code must retain the above copyright notice
+bsd-2-clause-freebsd | 0.9 | the views and conclusions contained in the software and documentation are those of the authors
+bsd-2-clause-patent | 1.0 | each copyright holder and contributor hereby grants to those receiving rights under this license a perpetual
+bsd-3-clause-attribution | 0.9 | redistributions of any form whatsoever must retain the following acknowledgments?
+bsd-3-clause-lbnl | 0.9 | you are under no obligation whatsoever to provide any bug fixes, patches, or upgrades
+bsd-3-clause-no-nuclear | 1.0 | not designed, licensed or intended for use in the design, construction, operation or maintenance of any nuclear facility
+bsd-4-clause-uc | 0.9 | this product includes software developed by the university of california,? berkeley
+bsd-source-code | 0.8 | redistributions of source code in source code form must retain
+bsd-protection | 0.9 | bsd protection licen[sc]e
+bsd-systemics | 0.9 | systemics bsd variant
+apache-1.0 | 0.9 | this product includes software developed by the apache group for use in the apache http server
+apache-1.1 | 0.8 | the names ["'“]?apache["'”]? and ["'“]?apache software foundation["'”]? must not be used to endorse
+apache-2.0 | 0.9 | each contributor hereby grants to you a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license
+apache-2.0 | 0.9 | you must cause any modified files to carry prominent notices stating that you changed the files
+apache-2.0-llvm-exception | 1.0 | llvm exceptions? to the apache 2\.0 license
+apache-2.0-swift-exception | 1.0 | runtime library exception to the apache 2\.0 license
+gpl-1.0-or-later | 1.0 | either version 1,? or \(at your option\) any later version
+gpl | 0.8 | this general public license does not permit incorporating your program into proprietary programs
+gpl | 0.8 | the licenses for most software are designed to take away your freedom to share and change it
+gpl-3.0 | 0.9 | the gnu general public license is a free, copyleft license for software and other kinds of works
+gpl-3.0 | 0.8 | no covered work shall be deemed part of an effective technological measure
+gpl-2.0 | 0.8 | you may not copy, modify, sublicense, or distribute the program except as expressly provided under this license
+gpl-2.0 | 0.8 | activities other than copying, distribution and modification are not covered by this license
+gpl-classpath | 0.9 | the copyright holders of this library give you permission to link this library with independent modules
+gpl-openssl | 0.9 | permission to link the code of (?:this program|portions of this program) with the openssl library
+gpl-foss | 0.9 | (?:foss|floss) licen[sc]e exception
+gpl-universal-foss | 0.9 | universal foss exception
+gpl-linux-syscall | 1.0 | this copyright does \*?not\*? cover user programs that use kernel services
+gpl-qt | 0.9 | qt gpl exception
+gpl-u-boot | 0.9 | u-boot exception
+gpl-wxwindows | 0.9 | wxwindows library licen[sc]e
+lgpl-2.1-or-later | 1.0 | either version 2\.1 of the license,? or \(at your option\) any later version
+lgpl-2.1 | 0.8 | a ["'“]?work that uses the library["'”]?
+lgpl-3.0 | 0.9 | this version of the gnu lesser general public license incorporates the terms and conditions of version 3
+agpl-3.0 | 0.9 | all users interacting with it remotely through a computer network
+agpl-3.0 | 0.9 | the gnu affero general public license is a free, copyleft license for software and other kinds of works
+gfdl | 0.9 | with no invariant sections, no front-cover texts,? and no back-cover texts
+mpl-2.0 | 0.9 | if a copy of the mpl was not distributed with this file
+mpl-1.1 | 0.8 | software distributed under the license is distributed on an ["'“]?as is["'”]? basis
+epl-1.0 | 1.0 | made available under the terms of the eclipse public license v1\.0
+epl-2.0 | 0.9 | this source code may also be made available under the following secondary licenses
+cddl-1.0 | 0.9 | you can obtain a copy of the license at usr/src/opensolaris\.license
+cddl | 0.9 | when distributing covered code, include this cddl header notice
+eupl | 0.9 | licensed under the eupl
+eupl-1.2 | 0.9 | licence publique de l'union européenne
+artistic-1.0 | 0.9 | the intent of this document is to state the conditions under which a package may be copied
+artistic-2.0 | 0.9 | everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed\.? preamble this license establishes the terms
+artistic-clarified | 0.9 | clarified artistic licen[sc]e
+bsl | 0.9 | permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation
+busl-1.1 | 0.9 | the licensor hereby grants you the right to copy, modify, create derivative works, redistribute, and make non-production use
+busl-1.1 | 0.9 | additional use grant
+sspl | 0.9 | making the functionality of the program or modified version available to third parties as a service
+elastic-2.0 | 0.9 | you may not provide the software to third parties as a hosted or managed service
+commons-clause | 0.9 | the grant of rights under the license will not include, and the license does not grant to you, the right to sell the software
+polyform-internal-use | 1.0 | polyform internal use licen[sc]e
+polyform-free-trial | 1.0 | polyform free trial licen[sc]e
+polyform-perimeter | 1.0 | polyform perimeter licen[sc]e
+polyform-strict | 1.0 | polyform strict licen[sc]e
+fsl | 1.0 | functional source licen[sc]e
+fair-source | 0.9 | fair source licen[sc]e
+timescale | 0.9 | timescale licen[sc]e
+redis-sal | 0.9 | redis source available licen[sc]e
+mariadb-bsl | 0.9 | mariadb business source licen[sc]e
+zlib | 0.9 | altered source versions must be plainly marked as such
+zlib | 0.8 | the origin of this software must not be misrepresented
+zlib-acknowledgement | 0.9 | zlib/libpng license with acknowledgement
+libpng | 0.9 | the png reference library is supplied ["'“]?as is
+bzip2 | 0.9 | bzip2(?: and libbzip2)? licen[sc]e
+unlicense | 0.9 | anyone is free to copy, modify, publish, use, compile, sell, or distribute this software
+wtfpl | 0.9 | everyone is permitted to copy and distribute verbatim or modified copies of this license document
+ofl | 0.9 | the fonts and derivatives, however, cannot be released under any other type of license
+ofl | 0.9 | neither the font software nor any of its individual components
+arphic | 0.9 | arphic public licen[sc]e
+ipa | 0.9 | ipa font licen[sc]e
+bitstream-vera | 0.8 | the font software may be modified, altered, or added to
+stix-fonts | 0.9 | stix fonts? user licen[sc]e
+python-2.0 | 0.9 | psf hereby grants licensee a nonexclusive, royalty-free, world-wide license
+python-cnri | 0.9 | cnri (?:open source gpl-compatible )?license agreement
+python-bsd | 0.8 | beopen\.com (?:python open source )?license agreement
+ruby | 0.9 | you may make and give away verbatim copies of the source form of the software without restriction
+php-3.0 | 0.9 | this product includes php software, freely available from
+zpl | 0.9 | zope public licen[sc]e
+openssl | 0.9 | the names ["'“]?openssl toolkit["'”]? and ["'“]?openssl project["'”]? must not be used
+ssleay | 0.9 | this package is an ssl implementation written by eric young
+curl | 0.8 | copyright and permission notice copyright .{1,80}? daniel stenberg
+postgresql | 0.9 | permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted
+tcl | 0.9 | tcl/tk licen[sc]e
+tcl | 0.9 | the authors hereby grant permission to use, copy, modify, distribute, and license this software and its documentation
+ncsa | 0.9 | developed by: .{1,120}? university of illinois
+afl-3.0 | 0.9 | licensed under the academic free license version 3\.0
+osl-3.0 | 0.9 | licensed under the open software license version 3\.0
+cpal | 1.0 | common public attribution licen[sc]e
+rpl | 0.9 | reciprocal public licen[sc]e
+cua | 0.9 | cua office public licen[sc]e
+nokia | 0.9 | nokia open source licen[sc]e
+motosoto | 0.9 | motosoto open source licen[sc]e
+frameworx | 0.9 | frameworx (?:open )?licen[sc]e
+fair | 0.8 | usage of the works is permitted provided that this instrument is retained with the works
+naumen | 0.9 | naumen public licen[sc]e
+ngpl | 0.9 | nethack general public licen[sc]e
+oclc | 0.9 | oclc research public licen[sc]e
+realnetworks | 0.9 | realnetworks public source licen[sc]e
+ricoh | 0.9 | ricoh source code public licen[sc]e
+sissl | 0.9 | sun industry standards source licen[sc]e
+simpl | 0.9 | simple public licen[sc]e
+sleepycat | 0.9 | sleepycat (?:software product )?licen[sc]e
+sleepycat | 0.9 | redistributions in any form must be accompanied by information on how to obtain complete source code
+sybase | 0.9 | sybase open watcom public licen[sc]e
+vsl | 0.9 | vovida software licen[sc]e
+watcom | 0.8 | open watcom public licen[sc]e
+xnet | 0.9 | x\.net,? inc\.? licen[sc]e
+entessa | 0.9 | entessa public licen[sc]e
+eiffel | 0.9 | eiffel forum licen[sc]e
+eu-datagrid | 0.9 | eu datagrid software licen[sc]e
+lpl | 0.9 | lucent public licen[sc]e
+liliq | 0.9 | licence libre du québec
+cecill | 0.9 | ce logiciel est régi par la licence cecill
+cecill | 0.9 | this software is governed by the cecill(?:-[bc])? license under french law
+cecill-b | 1.0 | cecill-b(?: free software)? licen[sc]e
+cecill-c | 1.0 | cecill-c(?: free software)? licen[sc]e
+miros | 0.8 | provided that these terms and disclaimer and all copyright notices are retained or reproduced
+multics | 0.9 | multics licen[sc]e
+nasa | 1.0 | nasa open source agreement
+oset | 0.9 | oset public licen[sc]e
+osc | 0.8 | open source community licen[sc]e
+openldap | 1.0 | openldap public licen[sc]e
+oracle-bcl | 0.9 | oracle binary code licen[sc]e
+oracle-otn | 0.9 | oracle technology network licen[sc]e
+upl | 0.9 | subject to the condition set forth below, permission is hereby granted to any person obtaining a copy of this software, associated documentation and/or data
+apsl | 0.9 | this file contains original code and/or modifications of original code as defined in and that are subject to the apple public source license
+apple-sample | 0.9 | apple inc\. \(["'“]?apple["'”]?\) in consideration of your agreement to the following terms
+ms-pl | 0.9 | the terms ["'“]?reproduce,["'”]? ["'“]?reproduction,["'”]? ["'“]?derivative works,["'”]? and ["'“]?distribution["'”]? have the same meaning here as under u\.s\. copyright law
+ms-lpl | 0.9 | microsoft limited public licen[sc]e
+ms-eula | 0.9 | microsoft software licen[sc]e terms
+lppl-1.3 | 1.0 | conditions of the latex project public license, either version 1\.3
+lppl | 0.9 | this work has the lppl maintenance status
+w3c | 0.9 | by obtaining, using and/or copying this work, you \(the licensee\) agree
+vim | 0.8 | vim is charityware
+beerware | 0.9 | if we meet some day, and you think this stuff is worth it, you can buy me a beer
+mulan-psl-2.0 | 0.9 | you can use this software according to the terms and conditions of the mulan psl v2
+blueoak | 0.9 | each contributor licenses you to do everything with this software that would otherwise infringe
+unicode | 0.9 | permission is hereby granted, free of charge, to any person obtaining a copy of the unicode data files
+icu | 0.8 | to deal in the software without restriction, .{1,120}? provided that the above copyright notice\(s\) and this permission notice appear in all copies
+imagemagick | 0.8 | copyright .{1,80}? imagemagick studio llc
+freetype | 1.0 | (?:the )?freetype (?:project )?licen[sc]e
+ftl | 0.9 | portions of this software are copyright .{1,60}? the freetype project
+fsf-all-permissive | 0.9 | copying and distribution of this file, with or without modification, are permitted in any medium without royalty
+fsf-unlimited | 0.9 | this configure script is free software; the free software foundation gives unlimited permission
+gnuplot | 0.9 | permission to modify the software is granted, but not the right to distribute the complete modified source code
+doc | 0.8 | ace\(tm\), tao\(tm\)
+boehm-gc | 0.9 | provided the above notices are retained on all copies
+info-zip | 1.0 | info-zip licen[sc]e
+info-zip | 0.9 | for the purposes of this copyright and license, ["'“]?info-zip["'”]? is defined as
+unrar | 1.0 | unrar (?:sources? )?(?:license|cannot be used to re-?create the rar compression algorithm)
+7zip | 0.8 | 7-zip licen[sc]e
+nvidia | 0.8 | any use, reproduction, disclosure or distribution of this software and related documentation without an express license agreement from nvidia
+intel | 0.8 | intel open source licen[sc]e
+openrail | 0.9 | use-based restrictions as referenced in paragraph 5
+openrail | 0.9 | bigcode open\s?rail-m
+llama-2 | 0.9 | if you use the llama materials to create, train, fine tune, or otherwise improve an ai model
+llama-3 | 0.9 | built with (?:meta )?llama 3
+llama-4 | 1.0 | llama 4 community licen[sc]e
+falcon | 0.9 | falcon (?:180b )?(?:tii )?licen[sc]e
+qwen | 0.9 | (?:tongyi )?qianwen licen[sc]e agreement
+deepseek | 0.9 | deepseek (?:model )?licen[sc]e
+mistral-research | 1.0 | mistral ai research licen[sc]e
+stability | 0.9 | stability ai (?:community|non-commercial research community) licen[sc]e
+yi | 0.9 | yi series models community licen[sc]e
+cc-by-2.0 | 1.0 | creativecommons\.org/licenses/by/2\.0
+cc-by-2.5 | 1.0 | creativecommons\.org/licenses/by/2\.5
+cc-by-sa-2.0 | 1.0 | creativecommons\.org/licenses/by-sa/2\.0
+cc-by-sa-2.5 | 1.0 | creativecommons\.org/licenses/by-sa/2\.5
+cc-by-nc-2.0 | 1.0 | creativecommons\.org/licenses/by-nc/2\.0
+cc-by-nc-3.0 | 1.0 | creativecommons\.org/licenses/by-nc/3\.0
+cc-by-nd-3.0 | 1.0 | creativecommons\.org/licenses/by-nd/3\.0
+cc-by-nc-sa-3.0 | 1.0 | creativecommons\.org/licenses/by-nc-sa/3\.0
+cc-by-nc-nd-3.0 | 1.0 | creativecommons\.org/licenses/by-nc-nd/3\.0
+cc-sampling | 1.0 | creativecommons\.org/licenses/sampling
+cc-devnations | 1.0 | creativecommons\.org/licenses/devnations
+cc-by | 0.8 | this work is licensed under a creative commons attribution
+cc-by-sa | 0.9 | text is available under the creative commons attribution-share\s?alike licen[sc]e
+cc0-1.0 | 0.9 | to the extent possible under law, .{1,160}? has waived all copyright
+public-domain | 0.8 | the author\(?s?\)? disclaims? copyright to this source code
+public-domain | 0.8 | placed in the public domain
+public-domain | 0.8 | this is a work of the (?:u\.s\.|united states) government
+odbl | 0.9 | contains information from .{1,120}? which is made available here under the open database license
+dbcl | 1.0 | database contents licen[sc]e
+ogl-canada | 1.0 | contains information licensed under the open government licen[sc]e
+nlod | 1.0 | norwegian licence for open government data
+etalab | 0.9 | etalab open licen[sc]e
+gnu-verbatim | 0.9 | verbatim copying and distribution of this entire article (?:is|are) permitted
+opl | 0.9 | open publication licen[sc]e
+dsl | 0.9 | design science licen[sc]e
+against-drm | 0.9 | against drm licen[sc]e
+hippocratic | 1.0 | hippocratic licen[sc]e
+anti-996 | 1.0 | anti[\s-]996 licen[sc]e
+cooperative-nonviolent | 1.0 | (?:cooperative nonviolent public|anti-capitalist software) licen[sc]e
+cern-ohl | 1.0 | cern open hardware licen[sc]e
+tapr-ohl | 1.0 | tapr open hardware licen[sc]e
+solderpad | 1.0 | solderpad hardware licen[sc]e
+ogl-wotc | 1.0 | open game licen[sc]e
+proprietary | 0.8 | this (?:software|document) contains (?:proprietary|confidential) information of
+proprietary | 0.8 | no part of this (?:publication|book|document|work) may be reproduced
+proprietary | 0.8 | by installing(?:,? copying)? or (?:otherwise )?using (?:the|this) software,? you agree to be bound
+proprietary | 0.8 | you may not reverse[\s-]engineer, decompile,? or disassemble
+proprietary | 0.8 | for (?:personal|evaluation|internal) use only
+proprietary | 0.7 | tutti i diritti riservati
+proprietary | 0.7 | todos os direitos reservados
+proprietary | 0.7 | alle rechten voorbehouden
 """
 #: Priority of signatures; among the forms of names it lies between grants and identifiers.
 SIGNED = 45
@@ -284,7 +500,7 @@ def rules() -> tuple[Rule, ...]:
 
     for line in SIGNATURES.strip().split("\n"):
         label, confidence, text = line.split(" | ")
-        add(label, SIGNED, float(confidence), text)
+        add(label, SIGNED, float(confidence), text.replace(" ", r"\s+"))
     for label, name, versions, short in FAMILIES:
         for version in (*versions, None):
             for bare, versioned, priority, confidence in TEMPLATES:

@@ -221,6 +221,19 @@ def test_license_rules(text, labels):
     assert [r.label for *_, r in ls.detections(text.lower())] == labels
 
 
+@pytest.mark.parametrize(("text", "label"), [
+    ("This Source Code may also be made available under the following Secondary Licenses", "epl-2.0"), ("3. All users interacting with it remotely\nthrough a computer network", "agpl-3.0"),
+    ("Altered source versions must be plainly marked as such, and", "zlib"), ("Everyone is permitted to copy and distribute verbatim or modified copies of this license document", "wtfpl"),
+    ("Ce logiciel est régi par la licence CeCILL soumise au droit", "cecill"), ("https://creativecommons.org/licenses/by-nc-sa/3.0/", "cc-by-nc-sa-3.0"), ("under the PolyForm Strict License 1.0.0", "polyform-strict"),
+    ("Redistributions in any form must be accompanied by information on how to obtain complete source code", "sleepycat"), ("To the extent possible under law, Ana Ruiz has waived all copyright", "cc0-1.0"),
+    ("either version 2.1 of the License, or (at your option) any later version", "lgpl-2.1-or-later"), ("Tutti i diritti riservati", "proprietary"),
+])
+def test_license_signatures(text, label):
+    signed = [line.split(" | ") for line in ls.SIGNATURES.strip().split("\n")]
+    assert len(signed) > 350 and len({p for *_, p in signed}) == len(signed)
+    assert label in [r.label for *_, r in ls.detections(text.lower())]
+
+
 def match_of(parsed, rng):
     """A text that a parsed pattern matches, by chance."""
     out = ""
