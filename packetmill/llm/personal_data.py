@@ -24,23 +24,41 @@ from pyspark.sql import types as T
 from .base import arrow_rows
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-ADDED_KINDS = ("ssn", "iban", "secret", "name", "local_phone")
+ADDED_KINDS = ("ssn", "iban", "secret", "name", "local_phone", "access_key", "birth_date", "street", "person")
 KINDS = BASE_KINDS + ADDED_KINDS
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_DIGIT = re.compile(r"[0-9]")
+_DIGIT, _NUMBER, _DIGITS = re.compile(r"[0-9]"), re.compile(r"[0-9]+"), "0123456789"
+# Given names, words that end or begin street names, and words that follow a greeting without being a name.
+GIVEN = frozenset(
+    "adam agnes alan albert alex alexander alice alicia amanda amy ana andrea andreas andrew angela anita anja anna anne annette anthony antonio barbara beatriz benjamin bernard bernd brian bruno camille carla carlos carmen "
+    "carol caroline catherine charles charlotte christian christina christine christoph christopher claire claudia craig cristina daniel daniela david deborah denise dennis diana diego dieter dominique donald dorothy edward "
+    "elena elizabeth emily emma eric erik esther eva felix fernando florian francesca francis francisco frank franz friedrich gabriel gabriele george gerald gerhard gloria gregory hannah hans heike heinz helen helga henri "
+    "henry holger ignacio ines ingrid irene isabel jack jacques james jan jane javier jean jennifer jessica joan joachim johannes john jonas jorge jose joseph joshua juan judith julia julie karen karin karl katharina kevin "
+    "klaus kurt larry laura lisa louis luca lucas luis luise manuel marc marco margaret maria marie mark markus martha martin mary matthew michael michel miguel monika nancy nicole nina olivier oscar pablo patricia paul pedro "
+    "peter philippe pierre rachel ralf raul rebecca richard robert rosa ruth samuel sandra sarah sebastian sofia stefan stephen susan sylvie thomas ursula victor walter william wolfgang".split()
+)
+_GIVEN = "|".join(sorted(n.capitalize() for n in GIVEN))
+_WAYS = "Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd|Lane|Ln|Drive|Court|Ct|Way|Place|Terrace|Square|Highway|Parkway"
+_DATE = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{1,2}[./-][0-9]{1,2}[./-][0-9]{4}|[0-9]{1,2}\.?\x20(?:de\x20)?[^\W\d_]{3,10}\x20(?:de\x20)?[0-9]{4}|[^\W\d_]{3,10}\x20[0-9]{1,2},?\x20[0-9]{4}"
+COMMON = frozenset("street road park university college institute museum school hospital church foundation award prize day model method theorem algorithm airport station river county city island bridge".split())
 _ADDED = (
     ("ssn", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")),
     ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
     ("secret", re.compile(r"(?i)(?:password|passwd|secret|api[_-]?key|token)\s?[=:]\s?[\"']?([^\s,;\"']{6,})")),
     ("name", re.compile(r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Sr|Sra)\.?\x20((?:[A-Z][^\W\d_]+\x20){0,2}[A-Z][^\W\d_]+)")),
     ("local_phone", re.compile(r"(?<![0-9+(])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])")),
+    ("access_key", re.compile(r"(?<![A-Za-z0-9_-])(?:AKIA[0-9A-Z]{16}|gh[opsu]_[A-Za-z0-9]{30,}|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})(?![A-Za-z0-9_])")),
+    ("birth_date", re.compile(rf"(?i)(?<![a-z])(?:born(?:\x20on)?|birth|birthday|birthdate|d\.?o\.?b\.?|geboren(?:\x20am)?|geburtsdatum|née?\x20le|nacid[oa]\x20el|nacimiento|naissance)(?:\x20?:)?\x20({_DATE})(?![0-9])")),
+    ("street", re.compile(rf"(?<![0-9A-Za-z.,-])(?:[0-9]{{1,5}}\x20(?:[NSEW]\.?\x20)?(?:[A-Z][^\W\d_]+\x20){{1,3}}(?:{_WAYS})(?![^\W\d_])|[A-ZÄÖÜ][^\W\d_]*(?:straße|strasse|gasse|allee|weg|platz)\x20[0-9]{{1,4}}[a-z]?(?![0-9A-Za-z])|[0-9]{{1,4}},?\x20(?:rue|avenue|boulevard|chemin|quai)(?:\x20(?:de|du|des|la|le|les))*(?:\x20[A-ZÉ][^\W\d_]+){{1,3}}|(?:Calle|Avenida|Plaza|Paseo)(?:\x20(?:de|del|la|las|los))*(?:\x20[A-ZÁÉÍÓÚ][^\W\d_]+){{1,3}},?\x20[0-9]{{1,4}}(?![0-9]))")),
+    ("person", re.compile(rf"(?<![^\W\d_])(?:(?:{_GIVEN})(?:\x20[A-Z]\.)?(?:\x20(?:von|van|de|del|da|di))?\x20[A-Z][^\W\d_]+|(?<=my\x20name\x20is\x20)[A-Z][^\W\d_]+(?:\x20[A-Z][^\W\d_]+){{1,2}}|(?<=signed\x20by\x20)[A-Z][^\W\d_]+(?:\x20[A-Z][^\W\d_]+){{1,2}}|(?<=me\x20llamo\x20)[A-Z][^\W\d_]+(?:\x20[A-Z][^\W\d_]+){{1,2}}|(?<=ich\x20heiße\x20)[A-Z][^\W\d_]+(?:\x20[A-Z][^\W\d_]+){{1,2}}|(?<=je\x20m'appelle\x20)[A-Z][^\W\d_]+(?:\x20[A-Z][^\W\d_]+){{1,2}})")),
 )
 #: Every match of the pattern holds one of them; those of secrets, in the case-folded text.
-_SECRET_HINTS, _NAME_HINTS = ("passw", "secret", "key", "token"), ("Mr", "Ms", "Dr", "Prof", "Herr", "Frau", "Mme", "Sr")
+_SECRET_HINTS = ("passw", "secret", "key", "token")
+_HINTS = {"name": ("Mr", "Ms", "Dr", "Prof", "Herr", "Frau", "Mme", "Sr"), "access_key": ("AKIA", "gh", "k_live_", "k_test_", "xox", "AIza", "eyJ")}
 # Words that stand near such data, by kind, and gazetteers.
 CONTEXT = {
     "email": ("mail", "email", "contact", "write", "reply", "from", "to", "correo", "kontakt", "courriel", "adresse"),
@@ -51,6 +69,10 @@ CONTEXT = {
     "ssn": ("ssn", "social", "security", "taxpayer", "insurance", "number"),
     "iban": ("iban", "bank", "account", "transfer", "konto", "cuenta", "compte", "bic", "swift"),
     "secret": ("password", "passwd", "pwd", "secret", "key", "token", "login", "credential", "auth", "bearer", "config", "env", "export"),
+    "access_key": ("key", "token", "aws", "secret", "bearer", "authorization", "credential", "export", "header", "jwt"),
+    "birth_date": ("born", "birth", "birthday", "birthdate", "dob", "geboren", "geburtsdatum", "né", "née", "nacido", "nacida", "nacimiento", "naissance"),
+    "street": ("address", "lives", "live", "at", "home", "ship", "deliver", "residence", "wohnt", "adresse", "wohnhaft", "domicilio", "vive", "habite", "dirección", "anschrift"),
+    "person": ("dear", "signed", "by", "from", "is", "patient", "client", "customer", "contact", "mr", "mrs", "heiße", "appelle", "llamo", "employee", "applicant", "attn", "name", "sincerely", "regards", "kunde", "cliente"),
     "name": ("dear", "signed", "by", "from", "patient", "client", "customer", "lieber", "liebe", "cher", "estimado", "sincerely"),
 }
 AGAINST = ("version", "release", "isbn", "issn", "doi", "page", "pages", "figure", "table", "section", "chapter", "order", "ticket", "part", "model", "serial", "build")
@@ -58,14 +80,8 @@ TLDS = frozenset(
     "com org net edu gov mil int info biz name pro io ai app dev me tv cc co eu de at ch fr es it pt nl be lu uk ie us ca mx br ar cl pe ve uy ec bo py cu cr pa do gt "
     "dk se no fi is ee lv lt pl cz sk hu ro bg gr cy mt si hr rs ba mk al ua by ru tr il ae sa qa kw eg ma tn dz za ng ke gh in pk bd lk np cn hk tw jp kr sg my th vn id ph au nz".split()
 )
-GIVEN = frozenset(
-    "adam agnes alan albert alex alexander alice alicia amanda amy ana andrea andreas andrew angela anita anja anna anne annette anthony antonio barbara beatriz benjamin bernard bernd brian bruno camille carla carlos carmen "
-    "carol caroline catherine charles charlotte christian christina christine christoph christopher claire claudia craig cristina daniel daniela david deborah denise dennis diana diego dieter dominique donald dorothy edward "
-    "elena elizabeth emily emma eric erik esther eva felix fernando florian francesca francis francisco frank franz friedrich gabriel gabriele george gerald gerhard gloria gregory hannah hans heike heinz helen helga henri "
-    "henry holger ignacio ines ingrid irene isabel jack jacques james jan jane javier jean jennifer jessica joan joachim johannes john jonas jorge jose joseph joshua juan judith julia julie karen karin karl katharina kevin "
-    "klaus kurt larry laura lisa louis luca lucas luis luise manuel marc marco margaret maria marie mark markus martha martin mary matthew michael michel miguel monika nancy nicole nina olivier oscar pablo patricia paul pedro "
-    "peter philippe pierre rachel ralf raul rebecca richard robert rosa ruth samuel sandra sarah sebastian sofia stefan stephen susan sylvie thomas ursula victor walter william wolfgang".split()
-)
+#: Share of personal data that is taken for granted among candidates of a kind; without a vote a span is none.
+BALANCE = 0.4
 LABELERS = ("pattern", "checksum", "gazetteer", "context", "counter_context", "shape")
 
 
@@ -135,10 +151,10 @@ def added_matches(text: str, gated: bool = True) -> Iterator[tuple[str, int, int
             folded = text.casefold()
             if not any(h in folded for h in _SECRET_HINTS):
                 continue
-        elif gated and kind == "name":
-            if not any(h in text for h in _NAME_HINTS):
+        elif gated and kind in _HINTS:
+            if not any(h in text for h in _HINTS[kind]):
                 continue
-        elif gated and not digit:
+        elif gated and kind != "person" and not digit:
             continue
         for m in pattern.finditer(text):
             yield kind, *(m.span(1) if pattern.groups else m.span())
@@ -177,8 +193,20 @@ def votes(text: str, span: Span) -> tuple[int, ...]:
         gazetteer = 1 if value.split()[0].lower() in GIVEN else 0
     context = 1 if before.intersection(CONTEXT[span.kind]) else 0
     counter = -1 if before.intersection(AGAINST) else 0
+    if span.kind == "person":
+        gazetteer = -1 if value.split()[-1].lower() in COMMON else int(value.split()[0].lower() in GIVEN)
+    if span.kind == "street":
+        gazetteer = 1 if len(value.split()[-1]) > 3 or value[-1] in _DIGITS else 0
+    if span.kind == "birth_date":
+        numbers = [int(x) for x in _NUMBER.findall(value)]
+        year, rest = max(numbers), sorted(numbers)[:-1]
+        checksum = 1 if 1880 <= year <= 2100 and rest and 1 <= rest[0] <= (12 if len(rest) > 1 else 31) and rest[-1] <= 31 else -1
+    if span.kind == "access_key":
+        checksum = 1 if digits and len(set(value)) > 6 else -1
     shape = 0
-    if span.kind == "secret":
+    if span.kind in ("street", "person", "access_key", "birth_date"):
+        shape = 1
+    elif span.kind == "secret":
         shape = 1 if digits and len(value) >= 8 else -1
     elif len(set(digits)) <= 1 and digits:
         shape = -1
@@ -202,20 +230,26 @@ def vector(feature: str) -> np.ndarray:
     return np.array([1.0, *(kind == k for k in KINDS), *(x > 0 for x in v), *(x < 0 for x in v), int(length) / 6, int(share) / 4, int(left), int(right)], float)
 
 
-def posteriors(kinds: list[str], vote: np.ndarray, weight: np.ndarray, rounds: int = 30) -> np.ndarray:
-    """EM over labelers of unknown reliability: P(span is personal data) of each row. Votes start out trusted at 0.8."""
+def posteriors(kinds: list[str], vote: np.ndarray, weight: np.ndarray, rounds: int = 30, balance: float = BALANCE) -> np.ndarray:
+    """EM over labelers of unknown reliability: P(span is personal data) of each row. Votes are trusted at 0.8, and the data weigh as much as that trust.
+
+    A labeler that votes alike on all spans of a kind tells none of them from another and counts only where no labeler does. The
+    share of personal data among candidates is given: learned along, it would drown labelers that stand alone on their spans.
+    """
     out = np.full(len(kinds), 0.5)
     for kind in sorted(set(kinds)):
         at = np.array([k == kind for k in kinds])
         v, w = vote[at], weight[at]
-        right, prior = np.full(v.shape[1], 0.8), 0.5
+        if (varying := (v != v[0]).any(axis=0)).any():
+            v = v[:, varying]
+        right = np.full(v.shape[1], 0.8)
         for _ in range(rounds):
             right = np.clip(right, 0.55, 0.98)
-            odds = np.log(prior / (1 - prior)) + (v * np.log(right / (1 - right))).sum(axis=1)
+            odds = np.log(balance / (1 - balance)) + (v * np.log(right / (1 - right))).sum(axis=1)
             p = 1 / (1 + np.exp(-odds))
             agree = (w[:, None] * ((v > 0) * p[:, None] + (v < 0) * (1 - p)[:, None])).sum(axis=0)
-            right = (agree + 8) / ((w[:, None] * (v != 0)).sum(axis=0) + 10)
-            prior = float(np.clip((w * p).sum() / w.sum(), 0.05, 0.95))
+            n = (w[:, None] * (v != 0)).sum(axis=0)
+            right = (agree + 0.8 * (n + 10)) / (2 * n + 10)
         out[at] = p
     return out
 
@@ -242,11 +276,16 @@ def fit(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["feature", "n"])
 
     rows = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n")).toPandas().sort_values("feature")
-    if rows.empty:
+    return weights_of(dict(zip(rows["feature"], rows["n"], strict=True)))
+
+
+def weights_of(counts: dict[str, int]) -> np.ndarray:
+    """Weights of the span classifier from counts by feature: EM for the posterior of each, then regression on them; zeros without any."""
+    if not counts:
         return np.zeros(len(vector("name|0,0,0,0,0,0|0|0|0|0")))
-    names = rows["feature"].tolist()
+    names = list(counts)
     vote = np.array([[int(x) for x in f.split("|")[1].split(",")] for f in names])
-    weight = rows["n"].to_numpy(float)
+    weight = np.array([counts[f] for f in names], float)
     p = posteriors([f.split("|")[0] for f in names], vote, weight)
     return train(np.array([vector(f) for f in names]), p, weight)
 
@@ -261,7 +300,7 @@ def _listed(spans: list[Span]) -> str:
 
 
 def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", weights: np.ndarray | None = None) -> DataFrame:
-    """One row per input row: id, n_email, n_ip, n_card, n_phone, base_sha256, spans.
+    """One row per input row: id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans (of all kinds).
 
     Whole texts are searched; positions are code points, ends exclusive; lists are ordered by start, then kind. Null and
     empty texts have no spans. Repeated rows, null ids and extra columns are harmless; no rows give no rows. Without
@@ -275,10 +314,10 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wei
             spans = [decided(t or "", learned) for t in batch.column("text").to_pylist()]
             counts = [pa.array([sum(s.kind == k for s in row) for row in spans], pa.int64()) for k in BASE_KINDS]
             digest = pa.array([hashlib.sha256(_listed([s for s in row if s.base]).encode()).hexdigest() for row in spans], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *counts, digest, pa.array([_listed(r) for r in spans], pa.string())], ["id", *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *counts, digest, pa.array([_listed(r) for r in spans], pa.string()), pa.array([len(r) for r in spans], pa.int64())], ["id", *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans", "n_spans"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(run, f"id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long").withColumnRenamed("id", id_col)
 
 
 def mask(text: str, spans: list[Span]) -> str:
