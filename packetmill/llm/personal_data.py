@@ -56,9 +56,13 @@ _ADDED = (
     ("street", re.compile(rf"(?<![0-9A-Za-z.,-])(?:[0-9]{{1,5}}\x20(?:[NSEW]\.?\x20)?(?:[A-Z][^\W\d_]+\x20){{1,3}}(?:{_WAYS})(?![^\W\d_])|[A-ZÄÖÜ][^\W\d_]*(?:straße|strasse|gasse|allee|weg|platz)\x20[0-9]{{1,4}}[a-z]?(?![0-9A-Za-z])|[0-9]{{1,4}},?\x20(?:rue|avenue|boulevard|chemin|quai)(?:\x20(?:de|du|des|la|le|les))*(?:\x20[A-ZÉ][^\W\d_]+){{1,3}}|(?:Calle|Avenida|Plaza|Paseo)(?:\x20(?:de|del|la|las|los))*(?:\x20[A-ZÁÉÍÓÚ][^\W\d_]+){{1,3}},?\x20[0-9]{{1,4}}(?![0-9]))")),
     ("person", re.compile(rf"(?<![^\W\d_])(?:(?:{_GIVEN})(?:\x20[A-Z]\.)?(?:\x20(?:von|van|de|del|da|di))?\x20[A-Z][^\W\d_]+|(?<=my\x20name\x20is\x20)[A-Z][^\W\d_]+(?:\x20[A-Z][^\W\d_]+){{1,2}}|(?<=signed\x20by\x20)[A-Z][^\W\d_]+(?:\x20[A-Z][^\W\d_]+){{1,2}}|(?<=me\x20llamo\x20)[A-Z][^\W\d_]+(?:\x20[A-Z][^\W\d_]+){{1,2}}|(?<=ich\x20heiße\x20)[A-Z][^\W\d_]+(?:\x20[A-Z][^\W\d_]+){{1,2}}|(?<=je\x20m'appelle\x20)[A-Z][^\W\d_]+(?:\x20[A-Z][^\W\d_]+){{1,2}})")),
 )
-#: Every match of the pattern holds one of them; those of secrets, in the case-folded text.
-_SECRET_HINTS = ("passw", "secret", "key", "token")
-_HINTS = {"name": ("Mr", "Ms", "Dr", "Prof", "Herr", "Frau", "Mme", "Sr"), "access_key": ("AKIA", "gh", "k_live_", "k_test_", "xox", "AIza", "eyJ")}
+#: Every match of the pattern holds one of them; those that are folded, in the case-folded text.
+_FOLDED_HINTS = {"secret": ("passw", "secret", "key", "token"), "birth_date": ("born", "rth", "dob", "d.ob", "do.b", "d.o.b", "geb", "né", "nac", "ssance")}
+_HINTS = {"name": ("Mr", "Ms", "Dr", "Prof", "Herr", "Frau", "Mme", "Sr"), "access_key": ("AKIA", "gh", "k_live_", "k_test_", "xox", "AIza", "eyJ"),
+    "street": (*(f"\x20{w}" for w in _WAYS.split("|")), "straße", "strasse", "gasse", "allee", "weg\x20", "platz\x20", "\x20rue\x20", "\x20avenue\x20", "\x20boulevard\x20", "\x20chemin\x20", "\x20quai\x20", "Calle\x20", "Avenida\x20", "Plaza\x20", "Paseo\x20"),
+}
+_INTRODUCED, _CAPITAL = ("my name is ", "signed by ", "me llamo ", "ich heiße ", "je m'appelle "), re.compile(r"[A-Z][a-z]+")
+_FIRST = frozenset(n.capitalize() for n in GIVEN)
 # Words that stand near such data, by kind, and gazetteers.
 CONTEXT = {
     "email": ("mail", "email", "contact", "write", "reply", "from", "to", "correo", "kontakt", "courriel", "adresse"),
@@ -145,16 +149,19 @@ def _merged(spans: list[Span]) -> tuple[list[int], list[int]]:
 
 def added_matches(text: str, gated: bool = True) -> Iterator[tuple[str, int, int]]:
     """Matches of the added patterns, one pattern after the other. The gate passes over patterns that cannot match."""
-    digit = bool(_DIGIT.search(text))
+    digit, folded = bool(_DIGIT.search(text)), None
     for kind, pattern in _ADDED:
-        if gated and kind == "secret":
-            folded = text.casefold()
-            if not any(h in folded for h in _SECRET_HINTS):
+        if gated and kind in _FOLDED_HINTS:
+            folded = text.casefold() if folded is None else folded
+            if not any(h in folded for h in _FOLDED_HINTS[kind]) or not digit and kind == "birth_date":
                 continue
         elif gated and kind in _HINTS:
-            if not any(h in text for h in _HINTS[kind]):
+            if not any(h in text for h in _HINTS[kind]) or not digit and kind == "street":
+                continue
+        elif gated and kind == "person":
+            if _FIRST.isdisjoint(_CAPITAL.findall(text)) and not any(h in text for h in _INTRODUCED):
                 continue
-        elif gated and kind != "person" and not digit:
+        elif gated and not digit:
             continue
         for m in pattern.finditer(text):
             yield kind, *(m.span(1) if pattern.groups else m.span())
@@ -202,7 +209,7 @@ def votes(text: str, span: Span) -> tuple[int, ...]:
         year, rest = max(numbers), sorted(numbers)[:-1]
         checksum = 1 if 1880 <= year <= 2100 and rest and 1 <= rest[0] <= (12 if len(rest) > 1 else 31) and rest[-1] <= 31 else -1
     if span.kind == "access_key":
-        checksum = 1 if digits and len(set(value)) > 6 else -1
+        checksum = 1 if len(set(value)) > 6 else -1
     shape = 0
     if span.kind in ("street", "person", "access_key", "birth_date"):
         shape = 1

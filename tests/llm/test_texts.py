@@ -402,6 +402,9 @@ def test_secret_gate_drops_nothing():
             text = f"set {word}{sign}sk1234abcd now"
             assert [(s.start, s.end) for s in pd_.candidates(text) if s.kind == "secret"] == [m.span(1) for m in pattern.finditer(text)] != [], text
     assert pd_.candidates("api_keeper = sk1234abcd") == []
+    for word in ("born", "BoRn on", "B\u0130RTH", "D.O.B", "d.ob", "Dob", "GeBoren am", "GEBURT\u017fDATUM", "N\u00c9 le", "n\u00e9e le", "NACIDA el", "Nac\u0130miento", "nai\u017f\u017fance"):
+        text = f"was {word} 12.03.1984, then"
+        assert [s for s in pd_.candidates(text) if s.kind == "birth_date"] == [s for s in pd_.candidates(text, gated=False) if s.kind == "birth_date"] != [], text
 
 
 def test_personal_odd_and_masks(spark):
