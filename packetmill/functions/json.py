@@ -1,4 +1,4 @@
-"""Canonical JSON and what is derived from it; vectorized helpers, since built-in JSON functions print numbers and order keys differently."""
+"""Canonical JSON and what is derived from it; vectorized helpers where built-in JSON functions print numbers or order keys differently."""
 
 from __future__ import annotations
 
@@ -122,9 +122,36 @@ def holds_transcript(text: str | None) -> bool:
     return False
 
 
+#: A string of a JSON text, without backtracking; white space between tokens; a key like an integer; what may print otherwise
+#: outside strings: exponents, very small numbers and more digits than a double surely keeps.
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_ZEROS = r"(\.[0-9]*[1-9])0+(?![0-9])|\.0+(?![0-9])"
+_BLANK, _INTEGER_KEY, _UNSURE = r"[ \t\n\r]+", r'"[0-9]+":', r"[0-9.]{16,}|[0-9][eE]|0\.00000"
+
+
+def written_as_parsed(text: Column) -> tuple[Column, Column]:
+    """(guard, text): where the guard holds, the text that Spark writes of the parsed column is the canonical one.
+
+    Spark keeps the members of a parsed object in key order, by UTF-16 code unit. The guard leaves out what it writes or reads
+    otherwise: keys like integers, numbers that a double or ECMAScript prints in another way, escapes by code, characters beyond
+    the private area of the first plane, repeated keys, and texts of which not every character but blanks was taken over: but for zeros
+    at the end of fractions nothing that is left prints longer or shorter than it was, so equal lengths leave no room for a loss.
+    """
+    out = F.to_json(F.try_parse_json(text))
+    bare = F.regexp_replace(text, f"({_STRING})|{_BLANK}", "$1")
+    outside, written = F.regexp_replace(bare, _STRING, '""'), F.regexp_replace(out, _STRING, '""')
+    whole = (F.length(bare) - F.length(outside) == F.length(out) - F.length(written)) & (F.length(F.regexp_replace(outside, _ZEROS, "$1")) == F.length(written))
+    guard = whole & ~text.contains("\\u") & ~out.contains("\\u") & ~out.rlike(_INTEGER_KEY) & ~text.rlike("[\\x{E000}-\\x{10FFFF}]") & ~outside.rlike(_UNSURE)
+    return F.coalesce(guard, F.lit(False)), out
+
+
 def canonical_json(text: Column) -> Column:
-    """Canonical text of a JSON column: keys in order at every depth, numbers as ECMAScript prints them; null where it is not JSON."""
-    return _canonical(text)
+    """Canonical text of a JSON column: keys in order at every depth, numbers as ECMAScript prints them; null where it is not JSON.
+
+    Python sees only the texts that ``written_as_parsed`` is not sure of.
+    """
+    guard, out = written_as_parsed(text)
+    return F.when(guard, out).otherwise(_canonical(F.when(~guard, text)))
 
 
 def hash_canonical_json(text: Column) -> Column:

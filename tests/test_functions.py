@@ -90,6 +90,31 @@ def test_paths_and_urls(spark):
     assert {tuple(r) for r in f.extract_urls(text, "id", "text").collect()} == {(1, "https://a.com/x"), (1, "http://b.org/")}
 
 
+def random_json(rng, depth=0):
+    """A JSON text, or nearly one, by chance."""
+    string = lambda: json.dumps("".join(rng.choice(["a", "b", "Z", "é", "\u2028", "\x7f", "\n", '"', "\\", "/", "\x01", "😀", "\ue000", "10", "9", 'x"y', "k:", "{", "[", ",", " "]) for _ in range(rng.randint(0, 4))), ensure_ascii=rng.random() < 0.3)
+    blank = lambda: rng.choice(("", "", " ", "\n", "\t"))
+    kind = rng.random()
+    if depth > 3 or kind < 0.35:
+        return rng.choice((string(), string(), "true", "null", *"0 -0 1 12345678901234567890 0.1 1.50 10.0 1e5 1E-7 0.0000001 0.000001 123456.789 -0.0 9007199254740993 1.0E10 0.1234567890123456 1e400 00 .5 NaN tru".split(), '"\\/"', '"\\ud800"'))
+    if kind < 0.6:
+        return "[" + blank() + ",".join(random_json(rng, depth + 1) + blank() for _ in range(rng.randint(0, 3))) + "]"
+    return "{" + blank() + ",".join(string() + blank() + ":" + random_json(rng, depth + 1) for _ in range(rng.randint(0, 4))) + blank() + "}"
+
+
+def test_canonical_json_on_the_jvm_equals_python(spark):
+    """Whatever the guard lets through is the canonical text; long and deep texts, trailing characters and repeated keys included."""
+    from packetmill.functions.json import canonical_json, written_as_parsed
+
+    rng = random.Random(3)
+    texts = [random_json(rng) + rng.choice(("", "", "", "", " ", "x", "}", " 1")) for _ in range(6000)]
+    texts += ["", " ", "{", None, '"' + "a\\n" * 100_000 + '"', "[" * 2000 + "]" * 2000, "[1] [2]", '{"a":1,"a":2}', "\ufeff1", '{"b":1, "a":"x  y"}', "[1e5,-0.0,10.0]"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    out = rows.select("i", canonical_json(F.col("t")).alias("c"), written_as_parsed(F.col("t"))[0].alias("jvm")).collect()
+    assert not [(texts[r.i], r.c) for r in out if r.c != canonical_text(texts[r.i])]
+    assert sum(r.jvm for r in out) > 900 and not any(r.jvm for r in out if canonical_text(texts[r.i]) is None)
+
+
 def test_structs_are_canonical_without_python(spark):
     """What Spark writes of a struct in key order is the canonical text, control characters and letters beyond ASCII included."""
     from packetmill.functions.json import canonical_json, canonical_struct
