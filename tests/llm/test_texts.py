@@ -1,6 +1,8 @@
 """Operators on single texts and conversations: round trips, held-out accuracy, brute force, odd inputs."""
 
+import bisect
 import hashlib
+import math
 import random
 import re
 import time
@@ -441,3 +443,76 @@ def test_language_fit_is_bounded(spark, monkeypatch):
     monkeypatch.setattr(li, "train", lambda found, languages: held.append((len(found), len(languages))))
     li.fit(many, sample=100, most=50)
     assert held == [(50, 50)]
+
+
+# --- models against plain loops
+
+
+def plain_tree(g, h, leaves=3):
+    """The best cut of any part, tried one by one, until there are ``leaves`` parts."""
+    gain = lambda a, b: sum(g[a:b]) ** 2 / (sum(h[a:b]) + 1)
+    parts = [(0, len(g))]
+    while len(parts) < leaves:
+        tries = [(gain(a, m) + gain(m, b) - gain(a, b), -k, -m) for k, (a, b) in enumerate(parts) for m in range(a + 1, b)]
+        if not tries or max(tries)[0] <= 1e-9:
+            break
+        _, k, m = max(tries)
+        a, b = parts[-k]
+        parts[-k : -k + 1] = [(a, -m), (-m, b)]
+    return [sum(g[a:b]) / (sum(h[a:b]) + 1) for a, b in parts for _ in range(a, b)]
+
+
+def test_quality_model_against_loops():
+    """Cyclic boosting of one table a feature, cut by cut and row by row, and scores as sums of looked-up values."""
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(300, 3)), 1)
+    y = (x[:, 0] * x[:, 1] + x[:, 2] > 0).astype(float)
+    model = qg.train(x, y, rounds=4, n_pairs=0)
+    assert not model.pairs
+    place = [[bisect.bisect_right(list(e), v) for v in x[:, j]] for j, e in enumerate(model.edges)]
+    tables = [[0.0] * (len(e) + 1) for e in model.edges]
+    total = [math.log(y.mean() / (1 - y.mean()))] * len(y)
+    for _ in range(4):
+        for j, table in enumerate(tables):
+            g, h = [0.0] * len(table), [0.0] * len(table)
+            for spot, t, truth in zip(place[j], total, y, strict=True):
+                p = 1 / (1 + math.exp(-t))
+                g[spot] += truth - p
+                h[spot] += p * (1 - p)
+            step = [0.25 * v for v in plain_tree(g, h)]
+            tables[j] = [a + b for a, b in zip(table, step, strict=True)]
+            total = [t + step[spot] for t, spot in zip(total, place[j], strict=True)]
+    for mine, plain in zip(model.tables, tables, strict=True):
+        assert np.allclose(mine, plain)
+    paired = qg.train(x, y, rounds=4, n_pairs=3)
+    for row, score in zip(x.tolist(), paired.score(x), strict=True):
+        at = paired.intercept + sum(t[bisect.bisect_right(list(e), v)] for t, e, v in zip(paired.tables, paired.edges, row, strict=True))
+        at += sum(t[bisect.bisect_right(list(ea), row[a]), bisect.bisect_right(list(eb), row[b])] for a, b, ea, eb, t in paired.pairs)
+        assert abs(1 / (1 + math.exp(-at)) - score) < 1e-12
+    assert ((paired.score(x) > 0.5) == y).mean() > ((model.score(x) > 0.5) == y).mean()
+
+
+def plain_pieces(text):
+    """Buckets of all pieces of three and four bytes of the marked words of a lower-cased text."""
+    out = []
+    for word in re.findall(rb"[a-z\x80-\xff]+", text):
+        marked = b" " + word + b" "
+        for n in (3, 4):
+            for i in range(len(marked) - n + 1):
+                h = int.from_bytes(marked[i : i + n], "little") * 2654435761 % 2**32 ^ n * 0x9E37
+                out.append(((h ^ h >> 15) * 2246822519 % 2**32) >> 17)
+    return out
+
+
+def test_language_scores_against_loops():
+    """Pieces word by word, and a text's label and probability as the softmax of the mean of its pieces' scores."""
+    rng = np.random.default_rng(4)
+    model = li.Model(["a", "b", "c"], rng.normal(size=(li.BUCKETS, 3)), np.array([0.1, -0.2, 0.0]), 0.7, 0.5)
+    texts = ["", "a", "one two", "élan, vital!", "x" * 500, "12 34", "der schnelle   fuchs", "日本 語", "it's"]
+    texts = [t.encode() for t in texts + ["".join(rng.choice(list("abé 1.-\n"), 40)) for _ in range(200)]]
+    best, score = model.predict(texts)
+    for text, label, p in zip(texts, best, score, strict=True):
+        found = plain_pieces(text)
+        logits = [(sum(model.table[b, k] for b in found) / max(len(found), 1) + model.bias[k]) / 0.7 for k in range(3)]
+        powers = [math.exp(v) for v in logits]
+        assert label == logits.index(max(logits)) and abs(p - max(powers) / sum(powers)) < 1e-9, text
