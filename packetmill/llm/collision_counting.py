@@ -3,7 +3,7 @@
 Unit vectors are projected on many random directions. Two vectors collide on a direction when one lies in the
 window centred on the other along that direction's sorted values; the number of collisions over all directions is
 binomial, with a probability that the cosine fixes. Pairs are verified when their count reaches the value that a
-pair at the threshold reaches with the wanted recall.
+pair at the threshold reaches with the wanted recall. Windows over the sorted values produce the pairs, and their sum the candidates.
 
 Windows of single directions thin out pairs by a constant factor only, whatever their width. So vectors
 are first dealt to cells, the signs along a few further directions, once for each of several tables; the number of
@@ -28,6 +28,8 @@ from .components import components
 COSINE, DIRECTIONS, WINDOW, RECALL = 0.93, 32, 0.5, 0.99
 #: Vectors of a cell that the number of signs aims at, and of a tile.
 CELL, TILE = 512, 1024
+#: Collisions that are summed at once, at most but for a single row: left rows by right rows by directions.
+EMITTED = 1 << 23
 SEED = 11
 
 
@@ -60,31 +62,45 @@ def unit(rows: Iterable) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def collisions(left: np.ndarray, right: np.ndarray, window: float) -> np.ndarray:
-    """For every left and right row, on how many columns the right value lies in the window centred on the left one.
+def collisions(left: np.ndarray, right: np.ndarray, window: float, least: int = 1, same: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(left row, right row, count) of pairs that collide on ``least`` columns or more; ``same``: only right rows behind the left one.
 
-    Each column of the right side is sorted; the window of a left row is a range of that order, and the rows in it count once each.
+    Each column of the right side is sorted once, and the window of a left row is a range of that order. Every column gives
+    (left row, window neighbour) pairs, which are sorted and summed, some left rows at a time: pairs that no window
+    brings together are never looked at, and memory is bounded by the windows of those rows.
     """
-    count = np.zeros(len(left) * len(right), np.uint8)
-    for a, b in zip(left.T, right.T, strict=True):
-        order = np.argsort(b)
-        low, high = np.searchsorted(b[order], a - window), np.searchsorted(b[order], a + window, side="right")
-        size = high - low
-        within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        count[np.repeat(np.arange(len(left)) * len(right), size) + order[np.repeat(low, size) + within]] += 1
-    return count.reshape(len(left), len(right))
+    order = np.argsort(right, axis=0).T
+    values = np.take_along_axis(right.T, order, axis=1)
+    order = order.astype(np.int32)
+    low = np.array([np.searchsorted(v, a - window) for v, a in zip(values, left.T, strict=True)])
+    high = np.array([np.searchsorted(v, a + window, side="right") for v, a in zip(values, left.T, strict=True)])
+    step = max(1, EMITTED // max(1, right.size))
+    for at in range(0, len(left), step):
+        emitted = []
+        for own, a, b in zip(order, low[:, at : at + step], high[:, at : at + step], strict=True):
+            size = b - a
+            row = np.repeat(np.arange(len(size), dtype=np.int32), size)
+            neighbour = own[np.arange(len(row)) + np.repeat(a - np.cumsum(size) + size, size)]
+            if same:
+                behind = neighbour > row + at
+                row, neighbour = row[behind], neighbour[behind]
+            emitted.append(row * np.int32(len(right)) + neighbour)
+        pair, count = np.unique(np.concatenate(emitted), return_counts=True)
+        pair, count = pair[count >= least], count[count >= least]
+        yield at + pair // len(right), pair % len(right), count
 
 
 def linked_pairs(left: np.ndarray, right: np.ndarray, same: bool, cosine: float, window: float, n: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions of pairs whose collision count passes and whose cosine reaches the threshold."""
     lines = directions(left.shape[1], n, 1)
-    count = collisions(left @ lines, right @ lines, window)
-    i, j = np.nonzero(np.triu(count >= least, 1) if same else count >= least)
-    keep = np.zeros(len(i), bool)
-    for at in range(0, len(i), 1 << 16):
-        part = slice(at, at + (1 << 16))
-        keep[part] = (left[i[part]] * right[j[part]]).sum(axis=1) >= cosine
-    return i[keep], j[keep]
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for i, j, _ in collisions(left @ lines, right @ lines, window, least, same):
+        for at in range(0, len(i), 1 << 16):
+            a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+            keep = (left[a] * right[b]).sum(axis=1) >= cosine
+            found.append((a[keep], b[keep]))
+    i, j = zip(*found, strict=True)
+    return np.concatenate(i), np.concatenate(j)
 
 
 def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -112,7 +128,9 @@ def collision_links(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     Repeated ids keep their rows, and null ids are passed over as component_id (kept is false for them). Extra
     columns are not read; an empty table gives an empty result.
     """
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
+    given = vectors.schema[vector_col].dataType.simpleString()
+    held = given if given == "array<float>" else "array<double>"  # singles stay as narrow as they are; all arithmetic is in doubles
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast(held).alias("v"))
     sound = F.coalesce(
         F.col("label").isNotNull() & (F.size("v") > 0)
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0),
@@ -124,7 +142,7 @@ def collision_links(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
         rows.where("sound").groupBy("label", "digest").agg(F.count("*").alias("n"), F.min("id").alias("least"), F.first("v").alias("v")).withColumn("node", F.monotonically_increasing_id()), "vectors"
     )
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    signs = max(0, ceil(log2(max(largest, 1) / cell)))
+    signs = min(30, max(0, ceil(log2(max(largest, 1) / cell))))  # cells are integers; 30 signs are met by 5e11 vectors of a label
     tables = tables_for(cosine, signs, recall)
     least = least_count(cosine, n_directions, window, recall)
     kind = classes.schema["label"].dataType.simpleString()
@@ -139,11 +157,11 @@ def collision_links(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
                 bits = (unit(vectors[k] for k in at) @ directions(dim, tables * signs, 2)) > 0
                 for k, own in zip(at, (bits.reshape(len(at), tables, signs) @ weights).tolist(), strict=True):
                     cells[k] = own
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.list_(pa.int64()))], [*batch.schema.names, "cells"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.list_(pa.int32()))], [*batch.schema.names, "cells"])
 
-    dealt = classes.select("node", "label", "n", "v").mapInArrow(deal, f"node long, label {kind}, n long, v array<double>, cells array<long>")
+    dealt = classes.select("node", "label", "n", "v").mapInArrow(deal, f"node long, label {kind}, n long, v {held}, cells array<int>")
     dealt = materialise(dealt, "cells")
-    placed = dealt.select("*", F.size("v").alias("dim"), F.posexplode("cells").alias("table", "cell"))
+    placed = dealt.select("*", F.size("v").alias("dim"), F.posexplode("cells").alias("table", "cell")).withColumn("cells", F.slice("cells", F.lit(1), F.col("table")))
     where = ["label", "dim", "table", "cell"]
     large = placed.groupBy(*where).count().where(F.col("count") > tile).select(*where, F.ceil(F.col("count") / tile).cast("long").alias("tiles"))
     cut = placed.join(large, where, "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
@@ -164,7 +182,7 @@ def collision_links(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
         i, j = linked_pairs(x[a], x[b], ti == tj, cosine, window, n_directions, least)
         i, j = a[i], b[j]
         if table and len(i):  # a pair belongs to the first table that brings it together
-            cells = np.array([np.asarray(c[:table]) for c in group["cells"]])
+            cells = np.array([np.asarray(c) for c in group["cells"]])
             first = np.zeros(len(i), bool)
             for at in range(0, len(i), 1 << 16):
                 part = slice(at, at + (1 << 16))

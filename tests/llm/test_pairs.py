@@ -260,7 +260,7 @@ def test_collision_counting_at_the_defaults(spark):
     assert sum(got[i].component_id == r for i, r in root.items()) >= 0.98 * len(root)
 
 
-def test_collision_recall(spark):
+def test_collision_recall(monkeypatch):
     """At the threshold the count finds what it is calibrated for; far pairs hardly ever reach it."""
     least = cc.least_count(0.93)
     rng = np.random.default_rng(6)
@@ -271,10 +271,21 @@ def test_collision_recall(spark):
     z /= np.linalg.norm(z, axis=1, keepdims=True)
     y = 0.931 * x + np.sqrt(1 - 0.931**2) * z
     lines = cc.directions(64, cc.DIRECTIONS, 1)
-    counts = cc.collisions(x @ lines, y @ lines, cc.WINDOW)
+
+    def counted(a, b, **more):
+        full = np.zeros((len(a), len(b)), int)
+        for i, j, n in cc.collisions(a, b, cc.WINDOW, **more):
+            full[i, j] = n
+        return full
+
+    counts = counted(x @ lines, y @ lines)
     assert (np.diag(counts) >= least).mean() >= 0.97 and (counts[~np.eye(400, dtype=bool)] >= least).mean() < 0.02
     plain = (np.abs((x @ lines)[:50, None] - (y @ lines)[None, :50]) <= cc.WINDOW).sum(2)
-    assert (cc.collisions((x @ lines)[:50], (y @ lines)[:50], cc.WINDOW) == plain).all()
+    assert (counted((x @ lines)[:50], (y @ lines)[:50]) == plain).all()
+    monkeypatch.setattr(cc, "EMITTED", 1)  # one left row at a time
+    assert (counted((x @ lines)[:50], (y @ lines)[:50]) == plain).all()
+    own = (np.abs((x @ lines)[:50, None] - (x @ lines)[None, :50]) <= cc.WINDOW).sum(2)
+    assert (counted((x @ lines)[:50], (x @ lines)[:50], least=9, same=True) == np.triu(np.where(own >= 9, own, 0), 1)).all()
 
 
 def test_decontamination_oracle(spark):
