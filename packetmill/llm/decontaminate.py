@@ -25,6 +25,8 @@ from .base import Words, arrow_rows, blocks, materialise, mix, numbered, text_by
 SHINGLE, CONTAINMENT = 5, 0.8
 #: Bits of the bitmap that goes to the executors (8 MB), whatever the number of items.
 BITMAP = 1 << 26
+#: Candidate items of a document that are verified together: its text moves once for about so many.
+TOGETHER = 256
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
@@ -59,13 +61,15 @@ def sketches(texts: list[bytes], size: int, threshold: float) -> Iterator[tuple[
             yield t, int(words), h[: math.floor(largest - threshold * largest + 1e-9) + 1]
 
 
-def contained(text: bytes, shingles: set[bytes], item: bytes, size: int) -> tuple[int, int]:
-    """(the item's shingles, those in the text); a short item counts where its words stand consecutively."""
-    own = shingle_set(item, size)
-    one = next(iter(own))
-    if one.count(b" ") + 1 < size:
-        return 1, int(b" " + one + b" " in b" " + b" ".join(_WORD.findall(text)) + b" ")
-    return len(own), len(own & shingles)
+def contained(text: bytes, items: list[bytes], size: int) -> list[tuple[int, int]]:
+    """(an item's shingles, those in the text) of each item; a short one counts where its words stand consecutively."""
+    shingles, spaced, found = shingle_set(text, size), b" " + b" ".join(_WORD.findall(text)) + b" ", []
+    for item in items:
+        own = shingle_set(item, size)
+        one = next(iter(own))
+        short = one.count(b" ") + 1 < size
+        found.append((1, int(b" " + one + b" " in spaced)) if short else (len(own), len(own & shingles)))
+    return found
 
 
 def contained_items(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = SHINGLE, threshold: float = CONTAINMENT) -> DataFrame:
@@ -122,22 +126,23 @@ def contained_items(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id"
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     suspects, row = numbered(rows.mapInArrow(look_up, f"id {doc_kind}, text string, hits array<long>"), "suspects")
     pairs = suspects.select(F.col(row).alias("d"), F.explode("hits").alias("hash")).join(sketched.select("n", "hash"), "hash").select("d", "n").distinct()
+    pairs = materialise(pairs, "pairs")  # two numbers a row
+    parts = pairs.groupBy("d").agg(F.ceil(F.count("*") / TOGETHER).alias("parts"))
+    dealt = pairs.join(parts, "d").withColumn("part", F.pmod(F.xxhash64("n"), F.col("parts"))).join(wanted.withColumnRenamed(number, "n"), "n")
+    lists = dealt.groupBy("d", "part").agg(F.collect_list(F.struct("item", "words")).alias("items"))  # about TOGETHER each
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, shingles = None, set()
-        for batch in arrow_rows(batches, 256):
-            total, part = [], []
-            for d, document, item in zip(batch.column("d").to_pylist(), text_bytes(batch.column("text")), lowered(batch.column("words")), strict=True):
-                if d != last:
-                    last, shingles = d, shingle_set(document, size)
-                n, m = contained(document, shingles, item, size)
-                total.append(n), part.append(m)
-            n, m = np.array(total, np.int64), np.array(part, np.int64)
-            keep = pa.array(m >= threshold * n - 1e-9)
-            out = pa.RecordBatch.from_arrays([batch.column("id"), batch.column("item"), pa.array(n), pa.array(m), pa.array(m / np.maximum(n, 1))], ["doc_id", "item_id", "n_shingles", "n_shared", "containment"])
-            yield out.filter(keep)
-
-    joined = pairs.join(wanted.withColumnRenamed(number, "n"), "n").join(suspects.select(F.col(row).alias("d"), "id", "text"), "d").select("d", "id", "text", "item", "words")
+        for batch in arrow_rows(batches, 16):
+            for t, document in enumerate(text_bytes(batch.column("text"))):
+                items = batch.column("items")[t].values
+                n, m = np.array(contained(document, lowered(items.field("words")), size), np.int64).T
+                keep = np.flatnonzero(m >= threshold * n - 1e-9)
+                n, m = n[keep], m[keep]
+                if len(keep):
+                    ids = batch.column("id").take(pa.array(np.full(len(keep), t)))
+                    yield pa.RecordBatch.from_arrays([ids, items.field("item").take(pa.array(keep)), pa.array(n), pa.array(m), pa.array(m / n)], ["doc_id", "item_id", "n_shingles", "n_shared", "containment"])
+
+    joined = lists.join(suspects.select(F.col(row).alias("d"), "id", "text"), "d").select("id", "text", "items")
     out = joined.mapInArrow(verify, f"doc_id {doc_kind}, item_id {item_kind}, n_shingles long, n_shared long, containment double")
     return out.withColumnsRenamed({"doc_id": doc_id, "item_id": item_id})
 

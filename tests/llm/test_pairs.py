@@ -306,6 +306,26 @@ def test_decontamination_edges(spark):
     assert dc.contained_items(docs.limit(0), items).count() == dc.contained_items(docs, items.limit(0)).count() == 0
 
 
+def test_items_of_one_document_in_several_parts(spark, monkeypatch):
+    """Items that share a prompt form, all in one document and its copies: each part of them finds what is there."""
+    monkeypatch.setattr(dc, "TOGETHER", 4)
+    form = "answer the question below with one of the letters given here"
+    items = [(i, f"{form} case {i} about w{i}" + " and more" * (i % 3)) for i in range(30)] + [(30, form), (31, "case 7"), (32, f"{form} u v w x y z")]
+    texts = [" . ".join(t for _, t in items[:20]), form, "case 7 only", " ".join(t for _, t in items)]
+    docs = [(i, t) for i, t in enumerate(texts + texts[:1] * 3)]
+    got = Counter((r.doc_id, r.item_id, r.n_shared) for r in dc.contained_items(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id int, text string")).collect())
+    wanted = Counter()
+    for d, text in docs:
+        words = re.findall("[0-9a-z]+", text)
+        for i, item in items:
+            own = re.findall("[0-9a-z]+", item)
+            k = min(5, len(own))
+            all_of = {tuple(own[a : a + k]) for a in range(len(own) - k + 1)}
+            have = all_of & {tuple(words[a : a + k]) for a in range(len(words) - k + 1)}
+            wanted.update([(d, i, len(have))] if len(have) >= 0.8 * len(all_of) else [])
+    assert got == wanted and len(wanted) > 100
+
+
 def test_decontamination_cases_against_sql(spark, tmp_path):
     """Letters beyond ASCII in upper case, capitals with several lower forms, and items of one to four words, against the SQL."""
     items = ["ΣΊΣΥΦΟΣ ΚΑΙ ΟΔΟΣ ΣΤΟΝ ΛΟΦΟ", "İSTANBUL ve İZMİR arasında beş saat", "Ünder den Ästen läuft das Äffchen", "Ein Wort", "solo", "ΟΔΟΣ ΜΑΣ", "one two three four", "İki", "STRASSE straße", "", None, "... !"]
