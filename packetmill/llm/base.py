@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 CHECKPOINT = "spark.checkpoint.dir"
 #: Spark removes the shuffle files of an execution when it ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_WRITTEN: ContextVar[list[DataFrame] | None] = ContextVar("written", default=None)  # by the ``settled`` at work
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +51,20 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
         spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
+    if (written := _WRITTEN.get()) is not None:
+        written.append(out)
+    return out
+
+
+def settled(make: Callable[[], DataFrame], tag: str) -> DataFrame:
+    """``make()`` written as by ``materialise``; the scratch tables that it wrote on the way, which nothing reads any more, go."""
+    written: list[DataFrame] = []
+    token = _WRITTEN.set(written)
+    try:
+        out = materialise(make(), tag)
+    finally:
+        _WRITTEN.reset(token)
+    discard(*(table for table in written if table is not out))
     return out
 
 

@@ -1,9 +1,12 @@
 """The pipeline on small tables: each stage's decisions against plain code over its own input."""
 
+import os
+
 import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
+from packetmill.llm import base
 from packetmill.llm import decontaminate as dc
 from packetmill.llm import personal_data as pd_
 from packetmill.llm import quality_gam as qg
@@ -89,3 +92,16 @@ def test_row_numbers_do_not_depend_on_the_plan(spark, tmp_path):
     assert len(seen[0]) == docs.count() and all(x == seen[0] for x in seen) and len({x[2] for x in seen[0]}) == docs.count()
     made, name = stable_numbers(spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "row long, text string"), "rows")
     assert name != "row" and made.select(name).distinct().count() == 3
+
+
+def test_scratch_tables_of_a_settled_table_go(spark):
+    made = []
+
+    def make():
+        made.extend([base.materialise(spark.range(5), "part"), base.materialise(spark.range(7), "part")])
+        return made[0].union(made[1])
+
+    out = base.settled(make, "whole")
+    assert out.count() == 12 and os.path.exists(out._scratch.removeprefix("file://"))
+    assert not any(os.path.exists(t._scratch.removeprefix("file://")) for t in made)
+    assert base._WRITTEN.get() is None
