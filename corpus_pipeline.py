@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetmill.llm import decontaminate, near_hash, personal_data, quality_gam, retrieval_packing
-from packetmill.llm.base import materialise, read_table, stable_numbers
+from packetmill.llm.base import materialise, read_table, settled, stable_numbers
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,16 +27,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     scan is planned; null and wordless texts are one group.
     """
     rows, row = stable_numbers(docs, "rows")
-    groups = near_hash.similar_groups(rows, id_col=row)
-    gone = materialise(groups.where(F.col(row) != F.col("component_id")).select(row), "gone")
+    gone = settled(lambda: near_hash.similar_groups(rows, id_col=row).where(F.col(row) != F.col("component_id")).select(row), "gone")
     return rows.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that contain an item of ``benchmark``; null texts contain none."""
     rows, row = stable_numbers(docs, "rows")
-    found = decontaminate.contained_items(rows, read_table(spark, sf_dir, "benchmark"), doc_id=row).select(row).distinct()
-    return rows.join(materialise(found, "contaminated"), row, "left_anti").select(*docs.columns)
+    items = read_table(spark, sf_dir, "benchmark")
+    found = settled(lambda: decontaminate.contained_items(rows, items, doc_id=row).select(row).distinct(), "contaminated")
+    return rows.join(found, row, "left_anti").select(*docs.columns)
 
 
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
