@@ -216,7 +216,7 @@ LARGE_SET = 128
 #: Tables that first links are looked for in; all tables follow for what is still apart.
 FIRST_TABLES = 4
 #: Tables whose keys are dealt at once, which bounds the disk that keys take whatever the number of tables.
-PASS_TABLES = 4
+PASS_TABLES = 12
 #: Bits of a second fingerprint, of texts that have near ones only, that pairs are told apart by before their sets are compared.
 WIDE_BITS = 3072
 _MIXES = np.random.default_rng(23).integers(1, 1 << 63, LONG_BITS // 64, dtype=np.uint64)
