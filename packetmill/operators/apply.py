@@ -209,23 +209,24 @@ def payload_items(ops: DataFrame, kind: str, target: DataFrame, member: str | No
     return rows.select("intent_id", "run_id", "analysis_id", "operation_index", "position", "_item.*")
 
 
-def apply_intents(tables: dict[str, DataFrame], ops: DataFrame, results: DataFrame, now: Column) -> dict[str, DataFrame]:
+def apply_intents(tables: dict[str, DataFrame], ops: DataFrame, results: DataFrame, now: Column, settle: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, DataFrame]:
     """The next state of every table after the intents whose result is ``applied``; nothing is written here.
 
     tables: the targets by name (those of ``OPERATION_TABLES``), and ``ledger`` (intent_id, run_id, status, applied_at,
     storage_path, content_sha256), ``runs`` (run_id, status, completed_at, intent_path, intent_sha256) and ``events``
     (as ``intent_events`` gives them). ops: (intent_id, operation_index, kind, payload) as ``explode_operations`` gives
     them. results: (intent_id, run_id, result). An intent is applied whole or not at all, since refused ones are left
-    out before any table is computed; the same intents again, found applied in the ledger, change nothing.
+    out before any table is computed; the same intents again, found applied in the ledger, change nothing. ``settle`` may
+    store the few steps that several tables share, for a caller that writes them all.
     """
     done = results.where("result = 'applied'").select("intent_id", "run_id").distinct()
-    mine = ops.join(done, "intent_id")
     out = dict(tables)
     name = OPERATION_TABLES["create_video_analysis"]
     target = tables[name]
-    made = payload_items(mine.withColumn("analysis_id", F.lit(None).cast("string")), "create_video_analysis", target)
-    out[name] = create_video_analysis(made.drop("analysis_id", "position", "operation_index"), target)
-    mine = mine.join(out[name].select("run_id", "analysis_id"), "run_id")
+    creating = ops.where("kind = 'create_video_analysis'").join(done, "intent_id").withColumn("analysis_id", F.lit(None).cast("string"))
+    made = payload_items(creating, "create_video_analysis", target)
+    out[name] = settle(create_video_analysis(made.drop("analysis_id", "position", "operation_index"), target))
+    mine = ops.join(settle(done.join(out[name].select("run_id", "analysis_id"), "run_id")), "intent_id")  # payloads move once
     touched = lambda kind: mine.where(F.col("kind") == kind)
 
     def write(kind: str, next_table: Callable[[DataFrame, DataFrame], DataFrame], member: str | None = None, keep: tuple[str, ...] = ()) -> None:
@@ -254,8 +255,7 @@ def apply_intents(tables: dict[str, DataFrame], ops: DataFrame, results: DataFra
     write("record_web_search_events", lambda rows, target: append_web_search_events(rows, target))
     if "events" in tables:
         n = F.when(F.col("kind") == "replace_technology_library_summaries", F.json_array_length(F.get_json_object("payload", "$.families"))).otherwise(F.json_array_length("payload"))
-        counts = mine.select("intent_id", "operation_index", n.cast("long").alias("n"))
-        out["events"] = tables["events"].unionByName(intent_events(mine, results, counts), allowMissingColumns=True)
+        out["events"] = tables["events"].unionByName(_events_of(mine.withColumn("n", n.cast("long"))), allowMissingColumns=True)
     if "ledger" in tables:
         out["ledger"] = ledger_after(tables["ledger"], results, now)
     if "runs" in tables:
@@ -289,18 +289,21 @@ def apply_batch(store: Versions, intents: DataFrame, number: int, decide: Callab
     known = store.manifest()["tables"]
     at: dict[str, list[int]] = {"ledger": store.touched("ledger", intents.select("intent_id"))}
     ledger = store.read("ledger", at["ledger"])
-    fresh = intents.dropDuplicates(["intent_id"]).join(ledger.where("status = 'applied'").select("intent_id"), "intent_id", "left_anti").persist()
+    fresh = intents.dropDuplicates(["intent_id"]).join(ledger.where("status = 'applied'").select("intent_id"), "intent_id", "left_anti")
+    scratch = store.scratch()
+    fresh = scratch(fresh)
     own = fresh.select("run_id").distinct()
     made, candidates, sources = (OPERATION_TABLES[k] for k in ("create_video_analysis", "replace_organization_candidates", "replace_organization_sources"))
     at[made] = at["runs"] = store.touched(made, own)
     analyses = store.read(made, at[made])
-    ids = own.join(analyses.select("run_id", "analysis_id"), "run_id", "left").select(F.coalesce("analysis_id", analysis_id_of("run_id")).alias("analysis_id")).persist()
+    ids = own.join(analyses.select("run_id", "analysis_id"), "run_id", "left").select(F.coalesce("analysis_id", analysis_id_of("run_id")).alias("analysis_id"))
+    ids = scratch(ids)
     by_analysis = None
     for name in known:
         if TABLE_KEYS[name] == "analysis_id" and name not in APPENDED:
             by_analysis = store.touched(name, ids) if by_analysis is None else by_analysis
             at[name] = by_analysis
-    ops = explode_operations(fresh)
+    ops = scratch(explode_operations(fresh).select("intent_id", "operation_index", "payload", "kind"), "kind")  # bodies are parsed once, and each table reads its own kind
     if sources in known:
         none = F.lit(None).cast("string")
         named = payload_items(ops.withColumns({"analysis_id": none, "run_id": none}), "replace_organization_sources", store.read(sources, ())).select("organization_candidate_id")
@@ -308,15 +311,14 @@ def apply_batch(store: Versions, intents: DataFrame, number: int, decide: Callab
             named = named.unionByName(store.read(candidates, at[candidates]).join(ids, "analysis_id", "left_semi").select("organization_candidate_id"))
         at[sources] = store.touched(sources, named)
     tables = {name: store.read(name, () if name in APPENDED else at[name]) for name in known}
-    results = decide(tables, fresh).join(fresh.select("intent_id"), "intent_id", "left_semi").persist()
+    results = scratch(decide(tables, fresh).join(fresh.select("intent_id"), "intent_id", "left_semi"))
     if results.where("result = 'applied'").isEmpty():
         store.commit(number)
     else:
         now = fresh.agg(F.max("applied_at")).first()[0]  # of the rows, not of the clock, so that a replay is the same
-        after = apply_intents(tables, ops, results, F.lit(now).cast("timestamp"))
+        after = apply_intents(tables, ops, results, F.lit(now).cast("timestamp"), scratch)
         store.commit(number, {n: (after[n], at[n]) for n in known if n not in APPENDED}, {n: after[n] for n in known if n in APPENDED})
-    for df in (fresh, ids, results):
-        df.unpersist()
+    store.drop_scratch()
 
 
 #: Kinds whose event names the analysis and the number of rows.
@@ -330,9 +332,14 @@ def intent_events(ops: DataFrame, results: DataFrame, counts: DataFrame | None =
     families and organization candidates, and the analysis for all others. ops: (intent_id, run_id, operation_index, kind,
     analysis_id); counts: (intent_id, operation_index, n), where an absent one is 0.
     """
-    tables = F.create_map(*[F.lit(x) for pair in OPERATION_TABLES.items() for x in pair])
     rows = ops.join(results.where("result = 'applied'").select("intent_id"), "intent_id", "left_semi")
     rows = rows.join(counts.select("intent_id", "operation_index", "n"), ["intent_id", "operation_index"], "left") if counts is not None else rows.withColumn("n", F.lit(None).cast("long"))
+    return _events_of(rows)
+
+
+def _events_of(rows: DataFrame) -> DataFrame:
+    """Events of applied operations with the number ``n`` of their rows."""
+    tables = F.create_map(*[F.lit(x) for pair in OPERATION_TABLES.items() for x in pair])
     n = F.coalesce(F.col("n").cast("string"), F.lit("0"))
     key = (
         F.when(F.col("kind") == "replace_organization_sources", n).when(F.col("kind") == "record_web_search_events", F.col("run_id"))

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Collection, Iterable, Mapping
+from collections.abc import Callable, Collection, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -18,6 +19,8 @@ from .tables import bucket_of, touched_buckets
 
 #: Parts of a bucket, beyond which an append writes the bucket anew.
 MOST_PARTS = 16
+#: Tables that are written at the same time.
+AT_ONCE = 4
 
 
 class Versions:
@@ -34,11 +37,9 @@ class Versions:
         self = cls(spark, folder)
         if self.numbers():
             return self
-        made = {}
-        for name, df in tables.items():
-            entry = {"key": keys[name], "buckets": buckets, "schema": df.schema.jsonValue(), "parts": {}}
-            entry["parts"] = {b: [part] for part, found in [self._write(name, df, entry, -1)] for b in found}
-            made[name] = entry
+        made = {name: {"key": keys[name], "buckets": buckets, "schema": df.schema.jsonValue(), "parts": {}} for name, df in tables.items()}
+        for name, (part, found) in self._write_all(tables, made, -1).items():
+            made[name]["parts"] = {b: [part] for b in found}
         self._publish(-1, {"tables": made, "notes": {}})
         return self
 
@@ -54,7 +55,11 @@ class Versions:
     def manifest(self, number: int | None = None) -> dict:
         """The contents of a version, by default the newest."""
         number = self.numbers()[-1] if number is None else number
-        return json.loads("\n".join(r.value for r in self.spark.read.option("wholetext", True).text(f"{self.folder}/versions/{number}.json").collect()))
+        held = self._files.open(self._path(f"{self.folder}/versions/{number}.json"))
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(held, "UTF-8"))
+        finally:
+            held.close()
 
     def _publish(self, number: int, manifest: dict) -> None:
         draft = self._path(f"{self.folder}/versions/.{number}-{uuid.uuid4().hex}")
@@ -80,13 +85,19 @@ class Versions:
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def _write(self, name: str, df: DataFrame, entry: dict, number: int) -> tuple[str, list[str]]:
-        """Write rows as a new part; its name and the buckets it has."""
+        """Write rows as a new part; its name and the buckets it has. Where plans adapt, a large bucket is written by several tasks."""
         part = f"{number}-{uuid.uuid4().hex}"
         path = f"{self.folder}/data/{name}/{part}"
         columns = [f["name"] for f in entry["schema"]["fields"]]
-        df.select(*columns, bucket_of([entry["key"]], entry["buckets"]).alias("bucket")).repartition("bucket").write.partitionBy("bucket").parquet(path)
+        df.select(*columns, bucket_of([entry["key"]], entry["buckets"]).alias("bucket")).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
         return part, [x.removeprefix("bucket=") for x in self._names(path) if x.startswith("bucket=")]
 
+    def _write_all(self, tables: Mapping[str, DataFrame], entries: Mapping[str, dict], number: int) -> dict[str, tuple[str, list[str]]]:
+        """``_write`` of several tables, a few at a time: one small table leaves most of a cluster idle."""
+        with ThreadPoolExecutor(AT_ONCE) as pool:
+            jobs = {name: pool.submit(self._write, name, df, entries[name], number) for name, df in tables.items()}
+            return {name: job.result() for name, job in jobs.items()}
+
     def commit(self, number: int, replace: Mapping[str, tuple[DataFrame, Collection[int]]] | None = None, append: Mapping[str, DataFrame] | None = None, notes: dict | None = None, keep: int = 2) -> None:
         """Publish version ``number``: in ``replace`` the given buckets get exactly the given rows, in ``append`` rows are added.
 
@@ -94,17 +105,19 @@ class Versions:
         """
         now = self.manifest()
         tables = json.loads(json.dumps(now["tables"]))
-        for name, (df, buckets) in (replace or {}).items():
+        replace, append = replace or {}, append or {}
+        written = self._write_all({**{name: df for name, (df, _) in replace.items()}, **append}, tables, number) if not replace.keys() & append.keys() else None
+        for name, (df, buckets) in replace.items():
             entry = tables[name]
-            part, found = self._write(name, df, entry, number)
+            part, found = written[name] if written else self._write(name, df, entry, number)
             if set(map(int, found)) - set(buckets):
                 raise ValueError(f"rows of {name} fall into buckets that were not read")
             for b in buckets:
                 entry["parts"].pop(str(b), None)
             entry["parts"] |= {b: [part] for b in found}
-        for name, df in (append or {}).items():
+        for name, df in append.items():
             entry = tables[name]
-            part, found = self._write(name, df, entry, number)
+            part, found = written[name] if written else self._write(name, df, entry, number)
             for b in found:
                 entry["parts"].setdefault(b, []).append(part)
             full = [b for b in found if len(entry["parts"][b]) > MOST_PARTS]
@@ -115,6 +128,22 @@ class Versions:
         self._publish(number, {"tables": tables, "notes": now["notes"] | (notes or {})})
         self._retire(keep)
 
+    # --- steps of a batch
+
+    def scratch(self) -> Callable[..., DataFrame]:
+        """A function that writes a step of a batch, parted by the given columns, and returns what is there: later steps read it in place of computing it."""
+
+        def settle(df: DataFrame, *parted: str) -> DataFrame:
+            path = f"{self.folder}/scratch/{uuid.uuid4().hex}"
+            (df.write.partitionBy(*parted) if parted else df.write).parquet(path)
+            return self.spark.read.schema(df.schema).parquet(path)
+
+        return settle
+
+    def drop_scratch(self) -> None:
+        """Delete the steps, once a version is published."""
+        self._files.delete(self._path(f"{self.folder}/scratch"), True)
+
     def _retire(self, keep: int) -> None:
         *old, = self.numbers()[:-keep]
         if not old:

@@ -206,3 +206,30 @@ def test_apply_intents_stream_touches_few_buckets_and_replays(spark, tmp_path):
         (tmp_path / "c" / "commits" / name).unlink(missing_ok=True)  # the last batch runs again
     start()
     assert rows_of({n: store.read(n) for n in done}) == done and store.numbers() == [0, 1]
+
+
+def test_parts_of_a_stream_are_written_by_many_tasks_and_taken_in_turn(spark, tmp_path):
+    from packetmill.plans.stream_queries import in_turn
+
+    parts = [spark.range(start, start + 40, 1, 4) for start in (0, 40)]
+    seen = []
+    for stream in in_turn(parts, f"{tmp_path}/in"):
+        take = lambda batch, number: seen.append((number, sorted(r.id for r in batch.collect()), len(batch.inputFiles())))
+        stream.writeStream.foreachBatch(take).option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    assert [(n, ids) for n, ids, _ in seen] == [(0, list(range(40))), (1, list(range(40, 80)))] and len(list((tmp_path / "in").glob("*.parquet"))) == 8
+
+
+def test_a_batch_parses_its_intents_once_and_leaves_no_steps(spark, tmp_path, monkeypatch):
+    from packetmill.operators import apply
+    from packetmill.plans.apply_queries import applied_tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    folder = f"file://{tmp_path}/tables"
+    store = Versions.create(spark, folder, applied_tables(t), TABLE_KEYS, 4)
+    parsed, payloads = [], apply.payload_items
+    monkeypatch.setattr(apply, "payload_items", lambda ops, *rest: (parsed.append(ops), payloads(ops, *rest))[1])
+    body = """'{"operations":[{"kind":"create_video_analysis","payload":{"difficulty":"expert"}},{"kind":"replace_lifecycle_assignments","payload":["design"]}]}'"""
+    intents = t.sql(f"select 'i' || analysis_id as intent_id, run_id, {body} as body, cast('2024-01-01' as timestamp) as applied_at from {{analyses}} where cast(analysis_id as bigint) % 11 <> 0")
+    apply.apply_batch(store, intents, 0, lambda tables, batch: batch.select("intent_id", "run_id", F.lit("applied").alias("result")))
+    assert parsed and all("parse_json" not in df._jdf.queryExecution().optimizedPlan().toString() for df in parsed)
+    assert not (tmp_path / "tables" / "scratch").exists() and store.read("ledger").where("status <> 'applied'").isEmpty()
