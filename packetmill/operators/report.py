@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import vocabulary as v
 from ..functions.text import ordinal, preview_text
+from ..sources.tables import shared_folder
 
 
 def select_run(runs: DataFrame, state: DataFrame, run_id: str | None = None) -> DataFrame:
@@ -70,18 +71,38 @@ def organizations_with_sources(candidates: DataFrame, sources: DataFrame, column
 
 @dataclass
 class Child:
-    """A list of a report: rows, the kind of their key (run, analysis or intent) and its column, sort keys, and the columns shown."""
+    """A list of a report: rows, the kind of their key (run, analysis or intent) and its column, sort keys, and the columns shown.
+
+    sources, if given, are nested in the rows as ``organizations_with_sources`` has them, once it is known which rows are wanted.
+    """
 
     rows: DataFrame
     kind: str
     order: Sequence[Column]
     columns: Sequence[str]
+    sources: DataFrame | None = None
 
     @property
     def key(self) -> str:
         return f"{self.kind}_id"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Rows written to the shared folder and read again: their size is known there, and what hangs on them is planned by it."""
+    path = shared_folder(df.sparkSession, "report")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def within(child: Child, keys: DataFrame) -> Child:
+    """The child with only the rows of the given keys, one column of its kind; sources are nested after that, only those of its rows."""
+    rows = child.rows.join(keys, child.key, "left_semi")
+    if child.sources is not None:
+        own = stored(rows)
+        rows = organizations_with_sources(own, child.sources.join(own.select("organization_candidate_id"), "organization_candidate_id", "left_semi"))
+    return Child(rows, child.kind, child.order, child.columns)
+
+
 def gather(children: Mapping[str, Child]) -> DataFrame:
     """(owner, one array a child): the rows of all children in one union and one aggregation by owner, which is kind and key.
 
@@ -108,12 +129,17 @@ def full_reports(catalog: DataFrame, state: DataFrame, runs: DataFrame, children
     """One row per video: title, pipeline_status, n_runs, the selected run_id, and every child list of that run; none is an empty array.
 
     ``analysis`` among the children gives the run's analysis_id and ``intent`` its intent_id, by which the lists of
-    these kinds are found; a run has one of either. All children share one exchange.
+    these kinds are found; a run has one of either. The chosen runs, their analyses and intents are stored first, so that
+    children lose all other rows where they are read (or, where these are many, in one join) before they share one exchange.
     """
-    chosen = select_run(runs, state, run_id)
+    chosen = stored(select_run(runs, state, run_id))
     n = runs.groupBy("video_id").agg(F.count("*").alias("n_runs"))
     out = catalog.select("video_id", "title").join(state.select("video_id", "pipeline_status"), "video_id", "left").join(n, "video_id", "left").join(chosen, "video_id", "left").na.fill(0, ["n_runs"])
-    lists = gather(children)
+    keys = {"run": chosen.select("run_id")}
+    for kind in ("analysis", "intent"):
+        if kind in children:
+            keys[kind] = stored(children[kind].rows.join(keys["run"], "run_id", "left_semi").select(f"{kind}_id"))
+    lists = gather({name: within(child, keys[child.kind]) if child.kind in keys else child for name, child in children.items()})
     for kind, of in (("run", None), ("analysis", "analysis"), ("intent", "intent")):
         names = [name for name, child in children.items() if child.kind == kind]
         if of in children:
@@ -159,9 +185,10 @@ def produced_lists(reports: DataFrame) -> DataFrame:
 
 def produced(analyses: DataFrame, summaries: DataFrame) -> DataFrame:
     """(analysis_id, transcript_only, structured, contextualized): previews; the contextualized one falls back on the abstract."""
-    s = summaries.select("analysis_id", "transcript_summary")
-    rows = analyses.join(s, "analysis_id", "left")
-    return rows.select("analysis_id", preview_text(F.col("initial_summary"), 320).alias("transcript_only"), preview_text(F.col("structured_summary"), 320).alias("structured"), preview_text(F.coalesce("transcript_summary", "contextualized_abstract"), 320).alias("contextualized"))
+    cut = lambda c, name: preview_text(F.col(c), 320).alias(name)
+    s = summaries.select("analysis_id", F.col("transcript_summary").isNotNull().alias("_has"), cut("transcript_summary", "_said"))
+    rows = analyses.select("analysis_id", cut("initial_summary", "transcript_only"), cut("structured_summary", "structured"), cut("contextualized_abstract", "_abstract")).join(s, "analysis_id", "left")
+    return rows.select("analysis_id", "transcript_only", "structured", F.when(F.col("_has"), F.col("_said")).otherwise(F.col("_abstract")).alias("contextualized"))
 
 
 def summarize_artifact(bodies: DataFrame, body: str = "body") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import vocabulary as v
 from .registry import packet_completeness
-from .report import Child, gather
+from .report import Child, gather, stored, within
 
 
 def latest_live_run(runs: DataFrame) -> DataFrame:
@@ -123,17 +123,19 @@ def run_summary(runs: DataFrame, state: DataFrame) -> DataFrame:
     return runs.join(s, "video_id", "left").select("run_id", "video_id", F.coalesce("_label", "status").alias("phase"), prefix.alias("packet_storage_prefix"), F.coalesce("_done", F.lit(False)).alias("finished"))
 
 
-def finished_feed(catalog: DataFrame, state: DataFrame, runs: DataFrame, analyses: DataFrame, children: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+def finished_feed(catalog: DataFrame, state: DataFrame, runs: DataFrame, analyses: DataFrame, children: dict[str, tuple]) -> DataFrame:
     """Videos finished for the hash they have now, oldest first, with their applied run, analysis and nested child lists.
 
-    children: name to (rows with analysis_id, columns in sort order); a column may itself be a list, as that of
-    ``report.organizations_with_sources``. All are aggregated in one exchange before the join, so that no join multiplies rows.
+    children: name to (rows with analysis_id, columns in sort order), and sources to nest in the rows as the column ``sources``, if any. The
+    feed is stored first and other rows go where they are read; all are aggregated in one exchange before the join, so that no join multiplies rows.
     """
     done = state.where(F.col("pre_research_pipeline_finished") & (F.col("finished_transcript_sha256") == F.col("transcript_sha256"))).select("video_id", "finished_transcript_sha256", "finished_intent_id")
     applied = runs.where(F.col("status") == "applied").select("video_id", F.col("transcript_sha256").alias("finished_transcript_sha256"), "run_id")
     out = catalog.select("video_id", "title", "published_at").join(done, "video_id").join(applied, ["video_id", "finished_transcript_sha256"]).join(analyses.drop("video_id"), "run_id")
     if children:
-        lists = gather({name: Child(rows, "analysis", (), columns) for name, (rows, columns) in children.items()})
+        out = stored(out)
+        keys = out.select("analysis_id")
+        lists = gather({name: within(Child(rows, "analysis", (), columns, *sources), keys) for name, (rows, columns, *sources) in children.items()})
         out = out.join(lists, F.concat(F.lit("analysis:"), "analysis_id") == F.col("owner"), "left").drop("owner")
     return out.orderBy(F.col("published_at").asc_nulls_last(), "video_id")
 

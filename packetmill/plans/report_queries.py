@@ -38,8 +38,7 @@ def children(t: Tables) -> dict[str, p.Child]:
     for name, (kind, sql, order, columns) in _LISTS.items():
         keys = p.child_order(name) if name == "categories" else [F.expr(x) for x in order.split(", ")]
         out[name] = p.Child(t.sql(sql), kind, keys, columns)
-    nested = p.organizations_with_sources(t.candidates, t.sources)
-    out["organizations"] = p.Child(nested, "analysis", p.child_order("organizations"), _ORGANIZATIONS)
+    out["organizations"] = p.Child(t.candidates, "analysis", p.child_order("organizations"), _ORGANIZATIONS, t.sources)
     return out
 
 
@@ -107,8 +106,8 @@ left join ({_NESTED}) o on o.analysis_id = cast(cast(substr(r.run_id, 2) as bigi
 def finished_feed_nested(t: Tables) -> DataFrame:
     """The feed with organizations and, inside them, their ranked sources."""
     analyses = t.sql("select run_id, cast(cast(substr(run_id, 2) as bigint) as string) as analysis_id from {runs}")
-    ordered = p.organizations_with_sources(t.candidates, t.sources).withColumn("later", ~F.col("is_primary_featured"))
-    lists = {"organizations": (ordered, ("later", "featured_rank", "normalized_name", "organization_candidate_id", "sources")), "families": (t.families, ("family_rank", "family_label", "temporal_status"))}
+    ordered = t.candidates.withColumn("later", ~F.col("is_primary_featured"))
+    lists = {"organizations": (ordered, ("later", "featured_rank", "normalized_name", "organization_candidate_id", "sources"), t.sources), "families": (t.families, ("family_rank", "family_label", "temporal_status"))}
     feed = s.finished_feed(t.catalog, _state(t), t.runs, analyses, lists)
     some = lambda c: F.coalesce(c, F.lit(""))
     return feed.select("video_id", "run_id", "finished_intent_id", some(told_organizations(F.col("organizations"))).alias("organizations"), some(told(F.col("families"), ("family_rank", "family_label", "temporal_status"))).alias("families"))

@@ -307,3 +307,27 @@ def test_candidate_rules_take_one_exchange_and_no_window(spark):
     assert plan.count("Exchange") == 1 and "Window" not in plan
     got = sorted(y.message for y in out.collect())
     assert got.count("github: normalized_name is duplicated") == 2 and got.count("github: featured_rank 1 is duplicated") == 1 and x.ONE_RANK in got
+
+
+def test_reports_gather_only_rows_of_chosen_runs(spark, monkeypatch):
+    make = spark.createDataFrame
+    seen, gathered = {}, p.gather
+    monkeypatch.setattr(p, "gather", lambda children: (seen.update({n: c.rows.collect() for n, c in children.items()}), gathered(children))[1])
+    runs = make([("v1", "r1", 1), ("v1", "r2", 2)], "video_id string, run_id string, created_at int")
+    children = {
+        "analysis": p.Child(make([("r1", "a1"), ("r2", "a2")], "run_id string, analysis_id string"), "run", (), ("analysis_id",)),
+        "organizations": p.Child(make([("a1", "c1"), ("a2", "c2"), ("a2", "c3"), (None, "c4")], "analysis_id string, organization_candidate_id string"), "analysis", (), ("organization_candidate_id", "sources"), make([("c1", 1, "r", "u"), ("c2", 2, "r", "u"), ("c2", 1, "r", "w")], "organization_candidate_id string, source_rank int, source_role string, normalized_url string")),
+    }
+    out = p.full_reports(make([("v1", "t"), ("v2", "u")], "video_id string, title string"), make([("v1", None, "x")], "video_id string, latest_run_id string, pipeline_status string"), runs, children)
+    rows = {r.video_id: r for r in out.collect()}
+    assert [(o.organization_candidate_id, [s.source_rank for s in o.sources]) for o in rows["v1"].organizations] == [("c2", [1, 2]), ("c3", [])] and rows["v2"].organizations == []
+    assert len(seen["analysis"]) == 1 and {r.organization_candidate_id for r in seen["organizations"]} == {"c2", "c3"}
+
+
+def test_produced_cuts_texts_before_the_join(spark):
+    analyses = spark.createDataFrame([("a", "x " * 400, "s", "  "), ("b", None, "", "abstract"), ("c", "i", "j", "k")], "analysis_id string, initial_summary string, structured_summary string, contextualized_abstract string")
+    summaries = spark.createDataFrame([("a", ""), ("b", None), ("c", "said  so")], "analysis_id string, transcript_summary string")
+    out = p.produced(analyses, summaries)
+    assert [(len(r.transcript_only or ""), r.structured, r.contextualized) for r in out.orderBy("analysis_id").collect()] == [(320, "s", None), (0, None, "abstract"), (1, "j", "said so")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan[: plan.index("Join")]
