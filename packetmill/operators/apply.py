@@ -36,7 +36,8 @@ def apply_preflight(intents: DataFrame, runs: DataFrame, catalog: DataFrame, reg
     r = runs.select("run_id", F.lit(True).alias("_run"), F.col("video_id").alias("_v"), F.col("status").alias("_st"), F.col("transcript_sha256").alias("_sha"), F.col("taxonomy_version").alias("_tax"), F.col("taxonomy_status").alias("_taxs"), F.col("model_id").alias("_model"), F.col("prompt_bundle_version").alias("_prompt"), F.col("research_as_of").alias("_asof"), F.col("packet_storage_prefix").alias("_prefix"))
     c = catalog.select(F.col("video_id").alias("_v"), F.lit(True).alias("_video"), F.col("reasons").alias("_reasons"), F.col("transcript_sha256").alias("_now"))
     g = registry.groupBy("run_id").agg(F.min("content_sha256").alias("_reg"))
-    rows = intents.join(r, "run_id", "left").join(c, "_v", "left").join(g, "run_id", "left").join(missing.select("run_id", "n_missing"), "run_id", "left")
+    # Videos are looked up for runs, so that intents, which are wide, move once: all their joins are by run.
+    rows = intents.join(r.join(c, "_v", "left"), "run_id", "left").join(g, "run_id", "left").join(missing.select("run_id", "n_missing"), "run_id", "left")
     rows = rows.join(verified.groupBy("run_id").agg(F.max("code").alias("_artifact")), "run_id", "left").join(refusals.select("run_id").distinct().withColumn("_refused", F.lit(True)), "run_id", "left")
     v2 = F.col("schema_version") == PACKET_VERSION
     differs = lambda a, b: ~F.col(a).eqNullSafe(F.col(b))
