@@ -305,9 +305,10 @@ def validate_intent_source_minimum(candidates: DataFrame, sources: DataFrame, ke
 
 def validate_organization_profile(profiles: DataFrame, sources: DataFrame, key: str = "run_id") -> DataFrame:
     """(key, message) over profiles (key, primary_id, primary_org_domain, primary_domain_code, no_organization_reason, review_required) and their sources (key, ...)."""
-    own = sources.join(profiles.select(key, "primary_id"), key).where(F.col("organization_candidate_id") == F.col("primary_id"))
     fit = qualifying_source()
-    n = own.groupBy(key).agg(F.count("*").alias("n"), F.bool_or(fit & _has(v.IDENTITY_ROLES, "source_role")).alias("i"), F.bool_or(fit & _has(v.TECHNICAL_ROLES, "source_role")).alias("t"))
+    told = sources.select(key, "organization_candidate_id", (fit & _has(v.IDENTITY_ROLES, "source_role")).alias("i"), (fit & _has(v.TECHNICAL_ROLES, "source_role")).alias("t"))  # two flags move in place of what they are read from
+    own = told.join(profiles.select(key, "primary_id"), key).where(F.col("organization_candidate_id") == F.col("primary_id"))
+    n = own.groupBy(key).agg(F.count("*").alias("n"), F.bool_or("i").alias("i"), F.bool_or("t").alias("t"))
     rows = profiles.join(n, key, "left").na.fill(0, ["n"]).na.fill(False, ["i", "t"])
     none, unknown = F.col("primary_id").isNull(), F.col("primary_org_domain") == v.UNKNOWN_DOMAIN
     known = ~none & ~unknown
