@@ -245,6 +245,11 @@ def validate_organization_candidates(rows: DataFrame, key: str = "analysis_id",
 
     Second and later uses of a rank, name or id count as the duplicates.
     """
+    return _candidate_messages(_candidate_items(rows, key, position), key)
+
+
+def _candidate_items(rows: DataFrame, key: str, position: str) -> DataFrame:
+    """(key, is_primary_featured, primary_domain_code, item): what the set rules need of a candidate, its own messages among it; the domain of primary ones only."""
     label = F.coalesce("normalized_name", "organization_candidate_id")
     say = lambda text, *more: F.concat(label, F.lit(": " + text), *more)
     second, known = F.col("secondary_domain_codes"), F.array(*map(F.lit, v.DOMAINS))
@@ -255,17 +260,23 @@ def validate_organization_candidates(rows: DataFrame, key: str = "analysis_id",
         (F.col("parent_name").isNotNull() & F.col("parent_canonical_url").isNull(), say("parent_name requires parent_canonical_url")),
         (F.col("is_primary_featured") & ~F.array_contains("relationship_roles", v.PRIMARY_ROLE), say("primary featured organization must include relationship role primary_featured_organization")),
     ]
-    item = F.struct(F.col(position).alias("position"), F.col("featured_rank").alias("rank"), F.col("normalized_name").alias("name"), F.col("organization_candidate_id").alias("id"), label.alias("label"), _messages(own).alias("own"))
-    sets = rows.groupBy(key).agg(
-        F.count_if("is_primary_featured").alias("p"), F.count_if(F.col("featured_rank") == 1).alias("r"), F.count_if(F.col("is_primary_featured") & (F.col("featured_rank") == 1)).alias("b"), F.count("*").alias("n"),
-        F.sort_array(F.collect_list(item)).alias("items"),
+    item = F.struct(F.col(position).alias("position"), F.col("featured_rank").alias("rank"), F.col("normalized_name").alias("name"), F.col("organization_candidate_id").alias("id"), _messages(own).alias("own"))
+    return rows.select(key, "is_primary_featured", F.when(F.col("is_primary_featured"), F.col("primary_domain_code")).alias("primary_domain_code"), item.alias("item"))
+
+
+def _candidate_messages(items: DataFrame, key: str) -> DataFrame:
+    """(key, message) of the set rules over ``_candidate_items``."""
+    rank = F.col("item")["rank"]
+    sets = items.groupBy(key).agg(
+        F.count_if("is_primary_featured").alias("p"), F.count_if(rank == 1).alias("r"), F.count_if(F.col("is_primary_featured") & (rank == 1)).alias("b"), F.count("*").alias("n"),
+        F.sort_array(F.collect_list("item")).alias("items"),
     )
 
     def of_item(x: Column, i: Column) -> Column:
         """A candidate's own messages and those of values that one before it has."""
         before = F.slice("items", 1, i)
         again = lambda c: F.coalesce(F.exists(before, lambda y: y[c] == x[c]), F.lit(False))
-        name = F.concat(x["label"], F.lit(": "))
+        name = F.concat(F.coalesce(x["name"], x["id"]), F.lit(": "))
         return F.concat(x["own"], _messages([
             ((x["rank"] >= 1) & again("rank"), F.concat(name, F.lit("featured_rank "), x["rank"].cast("string"), F.lit(" is duplicated"))), (again("name"), F.concat(name, F.lit("normalized_name is duplicated"))),
             (again("id"), F.concat(name, F.lit("organization_candidate_id is duplicated"))),
@@ -396,7 +407,8 @@ def review_refusal_reasons(runs: DataFrame, profiles: DataFrame, candidates: Dat
     """(key, place, reason): what stands against applying a run without review; reasons are told in the order of place.
 
     runs: (key, status) and, where intents of version 1 are among them, schema_version: those have the first three reasons
-    only. profiles: (key, review_required, n_conflicts, profile_domain); candidates and sources carry the key.
+    only. profiles: (key, review_required, n_conflicts, profile_domain); candidates and sources carry the key, and sources
+    count for candidates of their own key.
     """
     v2 = runs.where(~F.col("schema_version").eqNullSafe(F.lit(v.V1_VERSION))) if "schema_version" in runs.columns else runs
     wanted = v2.select(key).distinct()
@@ -405,18 +417,30 @@ def review_refusal_reasons(runs: DataFrame, profiles: DataFrame, candidates: Dat
         (F.col("status") == "review_required", "run status is review_required"), (F.coalesce("review_required", F.lit(False)), "organization profile review_required"),
         (F.coalesce(F.col("n_conflicts") > 0, F.lit(False)), "unresolved organization hierarchy conflicts"),
     ])
-    of = candidates.join(wanted, key, "left_semi")  # only what belongs to the runs is looked at
-    sets = validate_organization_candidates(of, key)
+    of = _candidate_items(candidates, key, "position").join(wanted, key, "left_semi")  # only what belongs to the runs is looked at, by the rows that the rules need
+    sets = _candidate_messages(of, key)
     primary = of.where("is_primary_featured")
     unknown = primary.where(F.col("primary_domain_code") == v.UNKNOWN_DOMAIN).select(key, F.lit("primary organization domain is other_unknown").alias("message"))
-    known = primary.where(F.col("primary_domain_code") != v.UNKNOWN_DOMAIN).select(key, "organization_candidate_id")
-    minimum = known.join(validate_source_minimum(known, sources.join(wanted, key, "left_semi")), "organization_candidate_id").select(key, "message")
+    known = primary.where(F.col("primary_domain_code") != v.UNKNOWN_DOMAIN).select(key, F.col("item")["id"].alias("organization_candidate_id"))
+    minimum = _minimum_of(known, sources, key)
     last = profiles.join(wanted, key, "left_semi").where(F.col("profile_domain") == v.UNKNOWN_DOMAIN).select(key, F.lit("organization profile primary_domain_code is other_unknown").alias("message"))
     place = F.when(F.col("message") == "run status is review_required", 1).when(F.col("message") == "organization profile review_required", 2).otherwise(3)
     out = own.withColumn("place", place)
     for k, part in enumerate((sets, unknown, minimum, last), 4):
         out = out.unionByName(part.withColumn("place", F.lit(k)))
-    return out.distinct().select(key, "place", F.col("message").alias("reason"))
+    return out.repartition(key).distinct().select(key, "place", F.col("message").alias("reason"))  # by the key, so that what joins reasons with it finds them dealt
+
+
+def _minimum_of(known: DataFrame, sources: DataFrame, key: str) -> DataFrame:
+    """(key, message) for candidates (key, organization_candidate_id) without a qualifying identity or technical source under their key.
+
+    Only qualifying sources move, one row for each candidate of a task: those that do not qualify say as much as absent ones.
+    """
+    at = [key, "organization_candidate_id"]
+    of_role = lambda roles: _has(roles, "source_role")
+    fit = sources.where(qualifying_source() & (of_role(v.IDENTITY_ROLES) | of_role(v.TECHNICAL_ROLES)))
+    met = fit.groupBy(*at).agg(F.bool_or(of_role(v.IDENTITY_ROLES)).alias("has_identity"), F.bool_or(of_role(v.TECHNICAL_ROLES)).alias("has_technical"))
+    return violations(known.join(met, at, "left").na.fill(False, ["has_identity", "has_technical"]), [key], [(~F.col("has_identity"), NO_IDENTITY), (~F.col("has_technical"), NO_TECHNICAL)])
 
 
 # --- quality gates

@@ -132,9 +132,11 @@ _RUN_STATUS = "case when cast(analysis_id as bigint) % 6 = 0 then 'review_requir
     f"select run_id, message from ({_CANDIDATES}) join {{analyses}} using (analysis_id)",
 ) + ")")
 def review_refusal_reasons(t: Tables) -> DataFrame:
-    runs = t.analyses.selectExpr("run_id", f"{_RUN_STATUS} as status")
-    profiles = t.sql(_PROFILES).select("run_id", "review_required", "n_conflicts", F.col("primary_domain_code").alias("profile_domain"))
-    return x.review_refusal_reasons(runs, profiles, _with_run(t, _candidates(t)), _with_run(t, t.sources)).select("run_id", "reason").distinct()
+    """By analysis, which candidates and sources carry; only the reasons get their run, of which an analysis has one."""
+    runs = t.analyses.selectExpr("analysis_id", f"{_RUN_STATUS} as status")
+    profiles = t.sql(_PROFILES).select("analysis_id", "review_required", "n_conflicts", F.col("primary_domain_code").alias("profile_domain"))
+    reasons = x.review_refusal_reasons(runs, profiles, _candidates(t), t.sources, "analysis_id").select("analysis_id", "reason")
+    return _with_run(t, reasons).select("run_id", "reason").distinct()
 
 
 @query("missing_evidence_research", """select distinct run_id, e as evidence_id from (select run_id, unnest(['e' || ((doc_id + kind_no) % 5), 'e' || (doc_id % 3)]) as e from {bodies} where artifact_kind = 'organization_research')

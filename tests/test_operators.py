@@ -241,6 +241,27 @@ def test_refusal_reasons_of_versions_and_their_order(spark):
     assert got == [("r1", m) for m in first] + [("r2", m) for m in [*first, "organization profile primary_domain_code is other_unknown"]]
 
 
+def test_refusal_reasons_move_qualifying_sources_only(spark):
+    from packetmill.operators import validate as x
+
+    make = spark.createDataFrame
+    runs = make([("a", "ready"), ("b", "ready"), ("c", "ready")], "analysis_id string, status string")
+    profiles = make([], "analysis_id string, review_required boolean, n_conflicts int, profile_domain string")
+    candidates = make([("a", *_candidate()[1:]), ("b", *_candidate()[1:]), ("c", *_candidate(domain="other_unknown")[1:]), ("gone", *_candidate()[1:])], CANDIDATE)
+    sources = make(
+        [("a", "id-github", r, "first_party", True, s) for r in ("official_homepage", "official_documentation") for s in ("verified", "likely")] + [("b", "id-github", "official_homepage", "first_party", True, "verified"), ("b", "id-github", "official_documentation", "first_party", False, "verified")],
+        "analysis_id string, organization_candidate_id string, source_role string, authority_tier string, publicly_retrievable boolean, verification_status string",
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = x.review_refusal_reasons(runs, profiles, candidates, sources, "analysis_id")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert {(r.analysis_id, r.reason) for r in out.collect()} == {("b", x.NO_TECHNICAL), ("c", "primary organization domain is other_unknown")}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") <= 13 and plan.count("LeftSemi") == 4  # sources are not joined with the runs
+
+
 def test_version_one_has_an_order_and_bounds_of_its_own(spark):
     from packetmill.operators import validate as x
 
