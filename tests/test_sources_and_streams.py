@@ -164,6 +164,24 @@ def test_written_packets_are_what_comes_back(spark, tmp_path):
     assert {r.content_sha256 for r in written.collect()} == {r.content_sha256 for r in written.collect()} == {r.content_sha256 for r in back.collect()} and back.count() == 20
 
 
+def test_packets_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """Files of any depth but hidden ones, as Spark's own listing has them, which goes through the driver and passes over empty files."""
+    root = f"file://{tmp_path}/out"
+    rows = spark.range(300).select(F.concat(F.lit("pre-research/v2/v/r"), "id").alias("packet_storage_prefix"), F.lit("web_context").alias("artifact_kind"), F.lit("{}").alias("body"))
+    packets.write_packets(rows, root)
+    for name in ("_x/a.json", ".b.json", "c.json", "pre-research/v2/v/r/_d", "pre-research/_e=1/f.json", "g._COPYING_", "empty", "pre-research/v2/v/r1/initial-summary/60-initial-summary.json"):
+        (tmp_path / "out" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "out" / name).write_text("" if "e" == name[:1] or "60" in name else "{}")
+    both = lambda: (Counter(packets.read_storage_listing(spark, root, "b").collect()), Counter(packets.read_packets(spark, root).collect()))
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("binaryFile")
+    assert scans(packets.read_storage_listing(spark, root, "b")) == scans(packets.read_packets(spark, root)) == 0
+    ours = both()
+    monkeypatch.setattr(packets, "_opens", lambda root: False)
+    theirs = both()
+    assert [sorted(r.name if "name" in r else r for r in (a - b) + (b - a)) for a, b in zip(ours, theirs, strict=True)] == [["empty", "pre-research/v2/v/r1/initial-summary/60-initial-summary.json"], []]
+    assert sum(ours[0].values()) == 304 and sum(ours[1].values()) == 300
+
+
 def test_search_counts_and_apply_streams(spark, tmp_path):
     searches = Tables(spark, FOLDER).searches.select(F.col("searched_at").cast("timestamp").alias("searched_at"), "subagent")
     searches.write.parquet(f"{tmp_path}/s")
