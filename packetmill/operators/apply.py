@@ -356,16 +356,18 @@ def build_receipts(intents: DataFrame, events: DataFrame, artifacts: DataFrame,
     analysis_id); artifacts: (run_id) rows that count. An already applied intent without events takes its operations
     from ops (intent_id, operation_index, kind), each with the analysis as its key; another without events has none.
     """
-    events = events.select("intent_id", "operation_index", "operation_kind", "status", "affected_table", "affected_key")
+    entry = ("affected_key", "affected_table", F.lit(None).cast("string").alias("error_detail"), F.col("operation_kind").alias("kind"), "operation_index", "status")
+    listed = events.groupBy("intent_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("operation_index", F.struct(*entry).alias("entry")))), lambda x: x["entry"]).alias("operations"))
+    n = artifacts.groupBy("run_id").agg(F.count("*").cast("int").alias("artifact_count"))
+    rows = intents.join(n, "run_id", "left").join(listed, "intent_id", "left").na.fill(0, ["artifact_count"])
     if ops is not None:
-        bare = intents.where("status = 'already_applied'").join(events.select("intent_id").distinct(), "intent_id", "left_anti").select("intent_id", "analysis_id")
+        # Operations move as an index and a kind, those of intents that may take them only, and are told in full where they are listed.
+        again = ops.select("intent_id", "operation_index", "kind").join(intents.where("status = 'already_applied'").select("intent_id"), "intent_id", "left_semi")
+        again = again.groupBy("intent_id").agg(F.collect_list(F.struct("operation_index", "kind")).alias("_again"))
         tables = F.create_map(*[F.lit(x) for pair in OPERATION_TABLES.items() for x in pair])
-        again = ops.select("intent_id", "operation_index", "kind").join(bare, "intent_id")
-        events = events.unionByName(again.select("intent_id", "operation_index", F.col("kind").alias("operation_kind"), F.lit("applied").alias("status"), tables[F.col("kind")].alias("affected_table"), F.col("analysis_id").alias("affected_key")))
-    op = F.struct("operation_index", F.struct("affected_key", "affected_table", F.lit(None).cast("string").alias("error_detail"), F.col("operation_kind").alias("kind"), "operation_index", "status").alias("entry"))
-    listed = events.groupBy("intent_id").agg(F.transform(F.sort_array(F.collect_list(op)), lambda x: x["entry"]).alias("operations"))
-    n = artifacts.groupBy("run_id").agg(F.count("*").cast("int").alias("artifact_count"))
-    rows = intents.join(listed, "intent_id", "left").join(n, "run_id", "left").na.fill(0, ["artifact_count"])
+        told = F.transform("_again", lambda x: F.struct(x["operation_index"].alias("operation_index"), F.struct(F.col("analysis_id").alias("affected_key"), tables[x["kind"]].alias("affected_table"), F.lit(None).cast("string").alias("error_detail"), x["kind"].alias("kind"), x["operation_index"].alias("operation_index"), F.lit("applied").alias("status")).alias("entry")))
+        told = F.transform(F.sort_array(told), lambda x: x["entry"])
+        rows = rows.join(again, "intent_id", "left").withColumn("operations", F.coalesce("operations", F.when(F.col("status") == "already_applied", told)))
     rows = rows.withColumn("operations", F.coalesce("operations", F.array().cast("array<struct<affected_key:string,affected_table:string,error_detail:string,kind:string,operation_index:int,status:string>>")))
     none = F.lit(None).cast("string")
     members = {

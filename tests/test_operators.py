@@ -228,6 +228,24 @@ def test_apply_intents_whole_or_not_at_all_and_once(spark):
     assert rows_of(again) == rows_of(after)
 
 
+def test_receipts_list_operations_where_there_are_no_events(spark):
+    make = spark.createDataFrame
+    ids = [("i1", "applied"), ("i2", "already_applied"), ("i3", "already_applied"), ("i4", "applied")]
+    intents = make([(i, "r" + i, "v", "h", "2.0.0", "p", s, None, "a" + i) for i, s in ids], "intent_id string, run_id string, video_id string, intent_sha256 string, schema_version string, packet_storage_prefix string, status string, applied_at timestamp, analysis_id string")
+    events = make([(i, 0, "create_video_analysis", "applied", "t", "key") for i in ("i1", "i3")], "intent_id string, operation_index int, operation_kind string, status string, affected_table string, affected_key string")
+    ops = make([(i, n, k) for i, _ in ids for n, k in ((1, "record_web_search_events"), (0, "create_video_analysis"), (1, "other"))], "intent_id string, operation_index int, kind string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = a.build_receipts(intents, events, make([("ri1",)], "run_id string"), ops)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {r.intent_id: [(o["operation_index"], o["kind"], o["affected_key"], o["affected_table"]) for o in json.loads(r.body)["operations"]] for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    known = [(0, "create_video_analysis", "key", "t")]
+    assert got == {"i1": known, "i3": known, "i4": [], "i2": [(0, "create_video_analysis", "ai2", "research_video_analysis"), (1, "other", "ai2", None), (1, "record_web_search_events", "ai2", "research_web_search_event")]}
+    assert plan.count("Exchange") == 6 and "Union" not in plan  # listed operations stay where the join left them
+
+
 def test_refusal_reasons_of_versions_and_their_order(spark):
     from packetmill.operators import validate as x
 
