@@ -61,7 +61,7 @@ def apply_preflight(intents: DataFrame, runs: DataFrame, catalog: DataFrame, reg
 
 def replace_rows(target: DataFrame, incoming: DataFrame, keys: Sequence[str], touched: DataFrame | None = None) -> DataFrame:
     """The target without the rows of touched (or incoming) keys, and the incoming rows; a touched key without rows is emptied."""
-    gone = (incoming if touched is None else touched).select(*keys).distinct()
+    gone = (incoming if touched is None else touched).select(*keys).distinct().hint("shuffle_hash")  # keys alone are held, so that no target is sorted
     return target.join(gone, list(keys), "left_anti").unionByName(incoming, allowMissingColumns=True)
 
 

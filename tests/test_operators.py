@@ -228,6 +228,20 @@ def test_apply_intents_whole_or_not_at_all_and_once(spark):
     assert rows_of(again) == rows_of(after)
 
 
+def test_replaced_targets_are_not_sorted(spark):
+    make = spark.createDataFrame
+    target = make([("a", "old"), ("b", "old"), (None, "old"), ("a", "older")], "analysis_id string, category_code string")
+    rows = make([("a", "new"), ("a", "newer"), ("c", "new")], "analysis_id string, category_code string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = a.replace_category_assignments(rows, target)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert {tuple(r) for r in out.collect()} == {("b", "old"), (None, "old"), ("a", "new"), ("a", "newer"), ("c", "new")}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin" in plan and "Sort " not in plan
+
+
 def test_receipts_list_operations_where_there_are_no_events(spark):
     make = spark.createDataFrame
     ids = [("i1", "applied"), ("i2", "already_applied"), ("i3", "already_applied"), ("i4", "applied")]
