@@ -131,3 +131,14 @@ def test_rewrite_idempotency(spark):
     rows = spark.createDataFrame([(1, body % ""), (2, body % f',"idempotency_key":"{key}"'), (3, body % ',"idempotency_key":"x"'), (4, "no json"), (5, None)], "id int, body string")
     got = {r.id: r.r for r in rows.select("id", f.rewrite_idempotency(F.col("body")).alias("r")).collect()}
     assert [(got[i].idempotency_key, got[i].rewritten) for i in (1, 2, 3)] == [(key, True), (key, False), (key, True)] and got[4].idempotency_key is got[5].idempotency_key is None
+
+
+def test_equal_urls_of_a_batch_are_parsed_once():
+    import pandas as pd
+
+    from packetmill.functions import urls
+
+    asked = []
+    told = urls._once(pd.Series(["b", None, "a", "b", float("nan"), "bad", "bad"], index=range(7, 14)), lambda x: asked.append(x) or (None if x == "bad" else x.upper()))
+    assert list(told) == ["B", None, "A", "B", None, None, None] and list(told.index) == list(range(7, 14)) and sorted(asked) == ["a", "b", "bad"]
+    assert list(urls._once(pd.Series([None, None], dtype=object), str.upper)) == [None, None] and len(urls._once(pd.Series([], dtype=object), str.upper)) == 0
