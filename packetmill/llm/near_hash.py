@@ -208,7 +208,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 #: Words of a shingle and least Jaccard similarity of sets of shingles; bits of a fingerprint, and of its part that pairs are first compared on.
 COPY_WORDS, SIMILARITY, LONG_BITS, FIRST_BITS = 5, 0.8, 1024, 128
 #: Share of pairs at the threshold that keys bring together, and fingerprints per key that the length of keys aims at.
-KEY_RECALL, PER_KEY = 0.995, 0.5
+KEY_RECALL, PER_KEY = 0.995, 4
 #: Room that a pair at the threshold has before its sets are compared: standard deviations of the number of differing bits.
 SLACK = 3
 #: From so many shingles on, sets differ in bits as sets of that size do; smaller ones differ in more.
@@ -216,7 +216,7 @@ LARGE_SET = 128
 #: Tables that first links are looked for in; all tables follow for what is still apart.
 FIRST_TABLES = 4
 #: Tables whose keys are dealt at once, which bounds the disk that keys take whatever the number of tables.
-PASS_TABLES = 12
+PASS_TABLES = 6
 #: Bits of a second fingerprint, of texts that have near ones only, that pairs are told apart by before their sets are compared.
 WIDE_BITS = 3072
 _MIXES = np.random.default_rng(23).integers(1, 1 << 63, LONG_BITS // 64, dtype=np.uint64)
@@ -321,23 +321,25 @@ def runs_of(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.diff(np.append(start, len(key)))
 
 
-def with_neighbours(key: np.ndarray, label: np.ndarray, x: np.ndarray, y: np.ndarray, cut: int, small: int = SMALL_RUN, tile: int = TILE) -> np.ndarray:
-    """Whether each position shares its run of equal keys with one of another label whose (x, y) words differ in ``cut`` or fewer bits."""
+def with_neighbours(key: np.ndarray, label: np.ndarray, x: np.ndarray, y: np.ndarray, cut: int, small: int = SMALL_RUN, tile: int = TILE, asked: np.ndarray | None = None) -> np.ndarray:
+    """Whether each position, of those ``asked`` for, shares its run of equal keys with one of another label whose (x, y) words differ in ``cut`` or fewer bits."""
     start, length = runs_of(key)
     out = np.zeros(len(key), bool)
+    asked = np.ones(len(key), bool) if asked is None else asked
     few = np.repeat(length <= small, length)
     for d in range(1, min(small, int(length.max(initial=0)))):
-        at = np.flatnonzero((key[d:] == key[:-d]) & few[d:] & (label[d:] != label[:-d]))
+        at = np.flatnonzero((key[d:] == key[:-d]) & few[d:] & (label[d:] != label[:-d]) & (asked[d:] | asked[:-d]))
         at = at[np.bitwise_count(x[at] ^ x[at + d]).astype(np.int16) + np.bitwise_count(y[at] ^ y[at + d]) <= cut]
         out[at] = out[at + d] = True
     for k in np.flatnonzero(length > small):
         a, b = start[k], start[k] + length[k]
         step = max(1, tile // (b - a))
-        for at in range(a, b, step):
-            end = min(b, at + step)
-            near = np.bitwise_count(x[at:end, None] ^ x[a:b]).astype(np.int16) + np.bitwise_count(y[at:end, None] ^ y[a:b]) <= cut
-            out[at:end] |= (near & (label[at:end, None] != label[a:b])).any(axis=1)
-    return out
+        own = a + np.flatnonzero(asked[a:b])
+        for at in range(0, len(own), step):
+            one = own[at : at + step]
+            near = np.bitwise_count(x[one, None] ^ x[a:b]).astype(np.int16) + np.bitwise_count(y[one, None] ^ y[a:b]) <= cut
+            out[one] |= (near & (label[one, None] != label[a:b])).any(axis=1)
+    return out & asked
 
 
 @dataclass(frozen=True)
@@ -483,16 +485,21 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def words_of(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
         return np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint64).reshape(batch.num_rows, -1)
 
-    def in_passes(upto: int, one: Callable[[int, int], DataFrame], tag: str) -> list[DataFrame]:
-        """``one(first, end)`` of a few tables at a time, each written before the next, so that only the keys of one pass lie on disk."""
-        return [materialise(one(at, min(upto, at + PASS_TABLES)), tag) for at in range(0, upto, PASS_TABLES)]
+    def in_passes(upto: int, one: Callable[[int, int], DataFrame], tag: str, done: list[DataFrame]) -> list[DataFrame]:
+        """``one(first, end)`` of a few tables at a time, each written and added to ``done`` before the next, so that only the keys of one pass lie on disk."""
+        for at in range(0, upto, PASS_TABLES):
+            done.append(materialise(one(at, min(upto, at + PASS_TABLES)), tag))
+        return done
 
     def with_near(rows: DataFrame, labels: tuple[str, ...]) -> DataFrame:
-        """Nodes of rows (node, fp, labels) that share a key with one of another label (of another node, where labels is empty) and of near first bits."""
+        """Nodes of rows (node, fp, labels) that share a key with one of another label (of another node, where labels is empty) and of near first bits.
+
+        Nodes found in a pass are looked for no more: in later ones they are only what others are near to.
+        """
 
         def flag(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for table in whole_runs(batches):
-                has = with_neighbours(table["key"].to_numpy(), table[(*labels, "node")[0]].to_numpy(), *(table[c].to_numpy().view(np.uint64) for c in ("x", "y")), first_cut)
+                has = with_neighbours(table["key"].to_numpy(), table[(*labels, "node")[0]].to_numpy(), *(table[c].to_numpy().view(np.uint64) for c in ("x", "y")), first_cut, asked=table["asked"].to_numpy())
                 yield pa.RecordBatch.from_arrays([pa.array(np.unique(table["node"].to_numpy()[has]))], ["node"])
 
         def flagged(first: int, end: int) -> DataFrame:
@@ -502,12 +509,16 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         words64 = words_of(batch)
                         key, row = similarity_keys(words64, exact, end, first)
                         of = pa.array(row)
-                        yield pa.RecordBatch.from_arrays([pa.array(key), *(batch.column(c).take(of) for c in ("node", *labels)), _signed(words64[row, -2]), _signed(words64[row, -1])], ["key", "node", *labels, "x", "y"])
+                        yield pa.RecordBatch.from_arrays([pa.array(key), *(batch.column(c).take(of) for c in ("node", *labels)), _signed(words64[row, -2]), _signed(words64[row, -1]), batch.column("asked").take(of)], ["key", "node", *labels, "x", "y", "asked"])
 
-            keyed = rows.select("node", *labels, "fp").mapInArrow(emit, ", ".join(f"{c} long" for c in ("key", "node", *labels, "x", "y")))
+            known = reduce(DataFrame.union, found).withColumn("asked", F.lit(False)) if found else None
+            asking = rows.join(known, "node", "left") if found else rows.withColumn("asked", F.lit(True))
+            keyed = asking.select("node", *labels, "fp", F.coalesce("asked", F.lit(True)).alias("asked")).mapInArrow(emit, ", ".join(f"{c} long" for c in ("key", "node", *labels, "x", "y")) + ", asked boolean")
             return keyed.repartition(F.col("key")).sortWithinPartitions("key", "node").mapInArrow(flag, "node long").distinct()
 
-        return reduce(DataFrame.union, in_passes(tables, flagged, "near")).distinct()
+        found: list[DataFrame] = []
+        in_passes(tables, flagged, "near", found)
+        return reduce(DataFrame.union, found)
 
     chosen = materialise(classes.join(with_near(classes, ()), "node").select("node", "least", "size", "fp"), "chosen")
     texts = docs.select(F.col(id_col).alias("least"), F.col(text_col).alias("text"))
@@ -538,7 +549,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             keyed = rows.select("node", "label", "size", "fp").mapInArrow(emit_whole, "key long, node long, label long, size long, fp binary")
             return keyed.repartition(F.col("key")).sortWithinPartitions("key", "node").mapInArrow(meet, "a long, b long")
 
-        pairs = reduce(DataFrame.union, in_passes(upto, met, "met"))
+        pairs = reduce(DataFrame.union, in_passes(upto, met, "met", []))
         return pairs.distinct() if pick == "span" else pairs
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

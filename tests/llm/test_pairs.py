@@ -213,6 +213,35 @@ def test_similar_groups_of_many_variants(spark):
     assert got == wanted and 1 < len(set(wanted.values())) < 250
 
 
+def test_nodes_with_neighbours_are_found_once(spark, monkeypatch):
+    """In a large group of near texts no pass finds a node again that one before it found, and a pass holds keys of a few tables."""
+    rng = random.Random(32)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(200)]
+    rows = [(i, " ".join(word() if rng.random() < 0.03 else w for w in base)) for i in range(80)]
+    told, write = [], nh.materialise
+    monkeypatch.setattr(nh, "materialise", lambda df, tag: told.append((tag, write(df, tag))) or told[-1][1])
+    monkeypatch.setattr(nh, "discard", lambda *tables: None)
+    nh.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    near = [[r.node for r in table.collect()] for tag, table in told if tag == "near"]
+    passes = len(near) // 2
+    assert passes >= 5 and len(near) == 2 * passes
+    for found in (near[:passes], near[passes:]):
+        every = [x for one in found for x in one]
+        assert len(every) == len(set(every))
+    assert len({x for one in near[:passes] for x in one}) == 80
+
+
+def test_only_asked_positions_are_told():
+    """Positions that are not asked for count as neighbours and are not told themselves, whatever the length of the run."""
+    rng = np.random.default_rng(15)
+    prints, _ = near_prints(rng)
+    key, label, asked = np.repeat([1, 2], 30), np.arange(60), rng.random(60) < 0.4
+    x, y = prints[:, -2], prints[:, -1]
+    for small, tile in ((100, 1), (16, 1 << 21), (16, 64)):
+        assert nh.with_neighbours(key, label, x, y, 30, small, tile, asked).tolist() == (nh.with_neighbours(key, label, x, y, 30, small, tile) & asked).tolist()
+
+
 def test_collision_counting(spark):
     rng = np.random.default_rng(5)
     rows, at = [], 0
