@@ -19,7 +19,7 @@ from ..functions.text import artifact_storage_path, iso_date, iso_datetime, pack
 from ..functions.urls import normalize_official_url, normalize_url
 from ..sources.versions import Versions
 from ..vocabulary import MODEL_ID, OPERATION_TABLES, PACKET_VERSION, V1_VERSION
-from .validate import explode_operations
+from .validate import operations_of
 
 # --- preflight
 
@@ -210,36 +210,73 @@ def payload_items(ops: DataFrame, kind: str, target: DataFrame, member: str | No
     return rows.select("intent_id", "run_id", "analysis_id", "operation_index", "position", "_item.*")
 
 
-def apply_intents(tables: dict[str, DataFrame], ops: DataFrame, results: DataFrame, now: Column, settle: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, DataFrame]:
+def by_kind(intents: DataFrame) -> DataFrame:
+    """Intents with ``ops``, as ``operations_of`` gives them, dealt to a column a known kind: a list of (operation_index, payload); ``kinds`` lists the kinds of all."""
+    kinds = F.col("ops")["kind"]
+    once = F.size(F.array_distinct(kinds)) == F.size(kinds)  # as it should be: then a place says all, and no list is walked
+
+    def listed(kind: str) -> Column:
+        at = F.array_position(kinds, kind)
+        one = F.array(F.struct((at - 1).cast("int").alias("operation_index"), F.get(F.col("ops")["payload"], (at - 1).cast("int")).alias("payload")))
+        numbered = F.transform("ops", lambda op, i: F.struct(i.alias("operation_index"), op["kind"].alias("kind"), op["payload"].alias("payload")))
+        many = F.transform(F.filter(numbered, lambda op: op["kind"] == kind), lambda op: F.struct(op["operation_index"].alias("operation_index"), op["payload"].alias("payload")))
+        return F.when(~F.coalesce(once, F.lit(False)), many).when(at > 0, one).alias(kind)
+
+    return intents.select(*[c for c in intents.columns if c != "ops"], kinds.alias("kinds"), *map(listed, OPERATION_TABLES))
+
+
+def _operations_told(mine: DataFrame) -> DataFrame:
+    """All operations, one a row, with ``n``: the number of rows that its event tells, null for kinds whose events tell none."""
+    families, *others = (*_COUNTED, "replace_organization_sources")
+    payload = lambda kind: F.col("payload")
+    if "kinds" in mine.columns:
+        mine = mine.select("intent_id", "run_id", "analysis_id", families, *others, F.posexplode("kinds").alias("operation_index", "kind"))
+        payload = lambda kind: F.get(F.col(kind)["payload"], F.array_position(F.col(kind)["operation_index"], F.col("operation_index")).cast("int") - 1)
+    n = F.when(F.col("kind") == families, F.json_array_length(F.get_json_object(payload(families), "$.families")))
+    for kind in others:
+        n = n.when(F.col("kind") == kind, F.json_array_length(payload(kind)))
+    return mine.withColumn("n", n.cast("long"))
+
+
+def _of_kind(ops: DataFrame, kind: str) -> DataFrame:
+    """Operations of a kind, one a row, from rows or from what ``by_kind`` gives."""
+    if "kinds" not in ops.columns:
+        return ops.where(F.col("kind") == kind)
+    own = [c for c in ("intent_id", "run_id", "analysis_id") if c in ops.columns]
+    return ops.select(*own, F.explode(F.col(kind)).alias("_op")).select(*own, "_op.operation_index", F.lit(kind).alias("kind"), "_op.payload")
+
+
+def apply_intents(tables: dict[str, DataFrame], ops: DataFrame, results: DataFrame, now: Column, settle: Callable[..., DataFrame] = lambda df, *parted: df) -> dict[str, DataFrame]:
     """The next state of every table after the intents whose result is ``applied``; nothing is written here.
 
     tables: the targets by name (those of ``OPERATION_TABLES``), and ``ledger`` (intent_id, run_id, status, applied_at,
     storage_path, content_sha256), ``runs`` (run_id, status, completed_at, intent_path, intent_sha256) and ``events``
     (as ``intent_events`` gives them). ops: (intent_id, operation_index, kind, payload) as ``explode_operations`` gives
-    them. results: (intent_id, run_id, result). An intent is applied whole or not at all, since refused ones are left
+    them, or one row an intent as ``by_kind`` deals them. results: (intent_id, run_id, result). An intent is applied whole or not at all, since refused ones are left
     out before any table is computed; the same intents again, found applied in the ledger, change nothing. ``settle`` may
-    store the few steps that several tables share, for a caller that writes them all.
+    store the few steps that several tables share, parted by the given columns, for a caller that writes them all.
     """
     done = results.where("result = 'applied'").select("intent_id", "run_id").distinct()
     out = dict(tables)
     name = OPERATION_TABLES["create_video_analysis"]
     target = tables[name]
-    creating = ops.where("kind = 'create_video_analysis'").join(done, "intent_id").withColumn("analysis_id", F.lit(None).cast("string"))
+    creating = _of_kind(ops, "create_video_analysis").join(done, "intent_id").withColumn("analysis_id", F.lit(None).cast("string"))
     made = payload_items(creating, "create_video_analysis", target)
     out[name] = settle(create_video_analysis(made.drop("analysis_id", "position", "operation_index"), target))
-    mine = ops.join(settle(done.join(out[name].select("run_id", "analysis_id"), "run_id")), "intent_id")  # payloads move once
-    touched = lambda kind: mine.where(F.col("kind") == kind)
+    ids = done.join(out[name].select("run_id", "analysis_id"), "run_id").hint("shuffle_hash")  # so that no payloads are sorted
+    mine = settle(ops.join(ids, "intent_id"))  # payloads meet their analyses once, and each table reads its own kind
+    touched = lambda kind: _of_kind(mine, kind)
 
     def write(kind: str, next_table: Callable[[DataFrame, DataFrame], DataFrame], member: str | None = None, keep: tuple[str, ...] = ()) -> None:
         table = OPERATION_TABLES[kind]
         if table in tables:
             target = tables[table]
-            rows = payload_items(mine, kind, target, member)
+            rows = payload_items(touched(kind), kind, target, member)
             out[table] = next_table(rows.select(*target.columns, *keep), target).select(*target.columns)
 
     table = OPERATION_TABLES["create_contextualized_initial_summary"]
     if table in tables:
-        rows = payload_items(mine, "create_contextualized_initial_summary", tables[table]).drop("analysis_id")
+        rows = payload_items(touched("create_contextualized_initial_summary"), "create_contextualized_initial_summary", tables[table]).drop("analysis_id")
         out[table] = create_initial_summary(rows, out[name], tables[table]).select(*tables[table].columns)
     write("replace_technology_library_summaries", lambda rows, target: replace_technology_summaries(rows, target, touched("replace_technology_library_summaries")), "families")
     for kind in ("replace_category_assignments", "replace_domain_assignments", "replace_evidence_anchors"):
@@ -250,13 +287,14 @@ def apply_intents(tables: dict[str, DataFrame], ops: DataFrame, results: DataFra
         out[table] = replace_lifecycle_assignments(stages, tables[table]).select(*tables[table].columns)
     write("replace_organization_candidates", lambda rows, target: replace_organization_candidates(rows, target, touched("replace_organization_candidates")))
     candidates = OPERATION_TABLES["replace_organization_candidates"]
+    if candidates in out and OPERATION_TABLES["replace_organization_sources"] in tables:
+        out[candidates] = settle(out[candidates])  # sources ask twice what is there now
     write("replace_organization_sources", lambda rows, target: replace_sources_of(rows, target, tables[candidates], out[candidates]) if candidates in out else replace_rows(target, rows, ["organization_candidate_id"]))
     write("upsert_resource_candidates", lambda rows, target: upsert_resource_candidates(rows.withColumn("applied_at", now), target), keep=("operation_index", "position"))
     write("upsert_entity_candidates", lambda rows, target: append_entity_candidates(rows, target))
     write("record_web_search_events", lambda rows, target: append_web_search_events(rows, target))
     if "events" in tables:
-        n = F.when(F.col("kind") == "replace_technology_library_summaries", F.json_array_length(F.get_json_object("payload", "$.families"))).otherwise(F.json_array_length("payload"))
-        out["events"] = tables["events"].unionByName(_events_of(mine.withColumn("n", n.cast("long"))), allowMissingColumns=True)
+        out["events"] = tables["events"].unionByName(_events_of(_operations_told(mine)), allowMissingColumns=True)
     if "ledger" in tables:
         out["ledger"] = ledger_after(tables["ledger"], results, now)
     if "runs" in tables:
@@ -292,7 +330,8 @@ def apply_batch(store: Versions, intents: DataFrame, number: int, decide: Callab
     ledger = store.read("ledger", at["ledger"])
     fresh = intents.dropDuplicates(["intent_id"]).join(ledger.where("status = 'applied'").select("intent_id"), "intent_id", "left_anti")
     scratch = store.scratch()
-    fresh = scratch(fresh)
+    whole = scratch(by_kind(operations_of(fresh)))  # bodies are parsed once, and each table reads its own kind
+    fresh = whole.select(*intents.columns)
     own = fresh.select("run_id").distinct()
     made, candidates, sources = (OPERATION_TABLES[k] for k in ("create_video_analysis", "replace_organization_candidates", "replace_organization_sources"))
     at[made] = at["runs"] = store.touched(made, own)
@@ -304,21 +343,23 @@ def apply_batch(store: Versions, intents: DataFrame, number: int, decide: Callab
         if TABLE_KEYS[name] == "analysis_id" and name not in APPENDED:
             by_analysis = store.touched(name, ids) if by_analysis is None else by_analysis
             at[name] = by_analysis
-    ops = scratch(explode_operations(fresh).select("intent_id", "operation_index", "payload", "kind"), "kind")  # bodies are parsed once, and each table reads its own kind
+    ops = whole.drop(*[c for c in intents.columns if c != "intent_id"])
     if sources in known:
         none = F.lit(None).cast("string")
-        named = payload_items(ops.withColumns({"analysis_id": none, "run_id": none}), "replace_organization_sources", store.read(sources, ())).select("organization_candidate_id")
-        if candidates in known:
-            named = named.unionByName(store.read(candidates, at[candidates]).join(ids, "analysis_id", "left_semi").select("organization_candidate_id"))
+        named = payload_items(_of_kind(ops, "replace_organization_sources").withColumns({"analysis_id": none, "run_id": none}), "replace_organization_sources", store.read(sources, ())).select("organization_candidate_id")
         at[sources] = store.touched(sources, named)
+        if candidates in known and len(at[sources]) < known[sources]["buckets"]:  # else all are touched already
+            held = store.read(candidates, at[candidates]).join(ids, "analysis_id", "left_semi").select("organization_candidate_id")
+            at[sources] = sorted({*at[sources], *store.touched(sources, held)})
     tables = {name: store.read(name, () if name in APPENDED else at[name]) for name in known}
     results = scratch(decide(tables, fresh).join(fresh.select("intent_id"), "intent_id", "left_semi"))
     if results.where("result = 'applied'").isEmpty():
         store.commit(number)
     else:
+        adapts = store.spark.conf.get("spark.sql.adaptive.enabled") == "true"
         now = fresh.agg(F.max("applied_at")).first()[0]  # of the rows, not of the clock, so that a replay is the same
         after = apply_intents(tables, ops, results, F.lit(now).cast("timestamp"), scratch)
-        store.commit(number, {n: (after[n], at[n]) for n in known if n not in APPENDED}, {n: after[n] for n in known if n in APPENDED})
+        store.commit(number, {n: (after[n], at[n]) for n in known if n not in APPENDED}, {n: after[n] for n in known if n in APPENDED}, gather=not adapts)  # steps that are read, and joins where plans adapt, have few tasks for their size
     store.drop_scratch()
 
 

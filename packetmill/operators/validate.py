@@ -54,6 +54,12 @@ def explode_operations(intents: DataFrame, key: str = "intent_id", body: str = "
     return rows.select(key, "operation_index", kind.alias("kind"), F.to_json(F.variant_get("op", "$.payload", "variant")).alias("payload"), tables[kind].alias("target_table"))
 
 
+def operations_of(intents: DataFrame, body: str = "body") -> DataFrame:
+    """The intents with ``ops``, the list of (kind, payload) that ``explode_operations`` gives one a row; null where a body has no list."""
+    ops = F.try_variant_get(F.try_parse_json(body), "$.operations", "array<variant>")
+    return intents.withColumn("ops", F.transform(ops, lambda op: F.struct(F.try_variant_get(op, F.lit("$.kind"), "string").alias("kind"), F.to_json(F.variant_get(op, F.lit("$.payload"), "variant")).alias("payload"))))
+
+
 def _with_v1(ops: DataFrame, versions: DataFrame | None, key: str) -> DataFrame:
     """ops with ``v1``: whether versions (key, schema_version) has the first version for their intent."""
     if versions is None:

@@ -32,13 +32,13 @@ class Versions:
         self._files = self._path(self.folder).getFileSystem(spark._jsc.hadoopConfiguration())
 
     @classmethod
-    def create(cls, spark: SparkSession, folder: str, tables: Mapping[str, DataFrame], keys: Mapping[str, str], buckets: int = 64) -> Versions:
-        """Write version -1 of the tables, each in ``buckets`` buckets of its key; a folder that has a version already is left as it is."""
+    def create(cls, spark: SparkSession, folder: str, tables: Mapping[str, DataFrame], keys: Mapping[str, str], buckets: int = 64, gather: bool = True) -> Versions:
+        """Write version -1 of the tables, each in ``buckets`` buckets of its key; a folder that has a version already is left as it is. ``gather``: see ``commit``."""
         self = cls(spark, folder)
         if self.numbers():
             return self
         made = {name: {"key": keys[name], "buckets": buckets, "schema": df.schema.jsonValue(), "parts": {}} for name, df in tables.items()}
-        for name, (part, found) in self._write_all(tables, made, -1).items():
+        for name, (part, found) in self._write_all(tables, made, -1, gather).items():
             made[name]["parts"] = {b: [part] for b in found}
         self._publish(-1, {"tables": made, "notes": {}})
         return self
@@ -84,32 +84,37 @@ class Versions:
         schema = T.StructType.fromJson(entry["schema"])
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def _write(self, name: str, df: DataFrame, entry: dict, number: int) -> tuple[str, list[str]]:
-        """Write rows as a new part; its name and the buckets it has. Where plans adapt, a large bucket is written by several tasks."""
+    def _write(self, name: str, df: DataFrame, entry: dict, number: int, gather: bool = True) -> tuple[str, list[str]]:
+        """Write rows as a new part; its name and the buckets it has. Where plans adapt, a large bucket is written by several tasks.
+
+        Rows that are not gathered are not moved again: every task writes a file for each bucket of its rows.
+        """
         part = f"{number}-{uuid.uuid4().hex}"
         path = f"{self.folder}/data/{name}/{part}"
         columns = [f["name"] for f in entry["schema"]["fields"]]
-        df.select(*columns, bucket_of([entry["key"]], entry["buckets"]).alias("bucket")).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
+        rows = df.select(*columns, bucket_of([entry["key"]], entry["buckets"]).alias("bucket"))
+        (rows.hint("rebalance", "bucket") if gather else rows).write.partitionBy("bucket").parquet(path)
         return part, [x.removeprefix("bucket=") for x in self._names(path) if x.startswith("bucket=")]
 
-    def _write_all(self, tables: Mapping[str, DataFrame], entries: Mapping[str, dict], number: int) -> dict[str, tuple[str, list[str]]]:
+    def _write_all(self, tables: Mapping[str, DataFrame], entries: Mapping[str, dict], number: int, gather: bool = True) -> dict[str, tuple[str, list[str]]]:
         """``_write`` of several tables, a few at a time: one small table leaves most of a cluster idle."""
         with ThreadPoolExecutor(AT_ONCE) as pool:
-            jobs = {name: pool.submit(self._write, name, df, entries[name], number) for name, df in tables.items()}
+            jobs = {name: pool.submit(self._write, name, df, entries[name], number, gather) for name, df in tables.items()}
             return {name: job.result() for name, job in jobs.items()}
 
-    def commit(self, number: int, replace: Mapping[str, tuple[DataFrame, Collection[int]]] | None = None, append: Mapping[str, DataFrame] | None = None, notes: dict | None = None, keep: int = 2) -> None:
+    def commit(self, number: int, replace: Mapping[str, tuple[DataFrame, Collection[int]]] | None = None, append: Mapping[str, DataFrame] | None = None, notes: dict | None = None, keep: int = 2, gather: bool = True) -> None:
         """Publish version ``number``: in ``replace`` the given buckets get exactly the given rows, in ``append`` rows are added.
 
-        Versions but the last ``keep`` are retired, with the parts that only they name.
+        Versions but the last ``keep`` are retired, with the parts that only they name. ``gather`` brings the rows of a bucket
+        together before they are written; a caller whose rows lie in few tasks for their size can do without.
         """
         now = self.manifest()
         tables = json.loads(json.dumps(now["tables"]))
         replace, append = replace or {}, append or {}
-        written = self._write_all({**{name: df for name, (df, _) in replace.items()}, **append}, tables, number) if not replace.keys() & append.keys() else None
+        written = self._write_all({**{name: df for name, (df, _) in replace.items()}, **append}, tables, number, gather) if not replace.keys() & append.keys() else None
         for name, (df, buckets) in replace.items():
             entry = tables[name]
-            part, found = written[name] if written else self._write(name, df, entry, number)
+            part, found = written[name] if written else self._write(name, df, entry, number, gather)
             if set(map(int, found)) - set(buckets):
                 raise ValueError(f"rows of {name} fall into buckets that were not read")
             for b in buckets:
@@ -117,7 +122,7 @@ class Versions:
             entry["parts"] |= {b: [part] for b in found}
         for name, df in append.items():
             entry = tables[name]
-            part, found = written[name] if written else self._write(name, df, entry, number)
+            part, found = written[name] if written else self._write(name, df, entry, number, gather)
             for b in found:
                 entry["parts"].setdefault(b, []).append(part)
             full = [b for b in found if len(entry["parts"][b]) > MOST_PARTS]

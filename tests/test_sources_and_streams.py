@@ -251,3 +251,31 @@ def test_a_batch_parses_its_intents_once_and_leaves_no_steps(spark, tmp_path, mo
     apply.apply_batch(store, intents, 0, lambda tables, batch: batch.select("intent_id", "run_id", F.lit("applied").alias("result")))
     assert parsed and all("parse_json" not in df._jdf.queryExecution().optimizedPlan().toString() for df in parsed)
     assert not (tmp_path / "tables" / "scratch").exists() and store.read("ledger").where("status <> 'applied'").isEmpty()
+
+
+def test_a_batch_joins_its_payloads_once(spark, tmp_path, monkeypatch):
+    """Operations of all kinds, known, repeated or not, give the events of their rows; what is written takes no further join or exchange of theirs."""
+    from packetmill.operators import apply
+    from packetmill.operators.validate import explode_operations
+    from tests.test_operators import INTENT, intent_tables
+
+    odd = '{"operations":[{"kind":"record_web_search_events","payload":[{"query":"a"}]},{"kind":"nobody","payload":1.50},{"kind":"replace_organization_candidates","payload":[{"organization_candidate_id":"z"},{"organization_candidate_id":"y"}]},{"payload":[]},{"kind":"record_web_search_events"},{"kind":"record_web_search_events","payload":[{"query":"b"}]}]}'
+    stamp = datetime.datetime(2024, 5, 1)
+    rows = [("i1", "r1", INTENT % "i1", stamp), ("i2", "r2", odd, stamp), ("i3", "r3", None, stamp)]
+    intents = spark.createDataFrame(rows, "intent_id string, run_id string, body string, applied_at timestamp")
+    results = intents.select("intent_id", "run_id", F.lit("applied").alias("result"))
+    before = intent_tables(spark)
+    expected = apply.apply_intents(before, explode_operations(intents), results, F.lit(stamp).cast("timestamp"))
+    store = Versions.create(spark, f"file://{tmp_path}/tables", before, TABLE_KEYS, 4)
+    commit, plans = Versions.commit, {}
+
+    def kept(self, number, replace=None, append=None, **rest):
+        plans.update({name: df._jdf.queryExecution().optimizedPlan().toString() for name, df in (append or {}).items()})
+        return commit(self, number, replace, append, **rest)
+
+    monkeypatch.setattr(Versions, "commit", kept)
+    apply.apply_batch(store, intents, 0, lambda tables, batch: results)
+    assert plans and not any("Join" in plan or "Rebalance" in plan for plan in plans.values())
+    for name in before:
+        assert Counter(store.read(name).select(*before[name].columns).collect()) == Counter(expected[name].select(*before[name].columns).collect()), name
+    assert store.read("events").where("intent_id = 'i2'").count() == 6
